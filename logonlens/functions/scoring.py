@@ -64,9 +64,10 @@ def value_ranks(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]
         .agg(F.count(F.lit(1)).alias("c"))
     )
     fractions = [i / buckets for i in range(1, buckets)]
+    # percentile_approx skips NULLs itself; filtering here would make this copy of
+    # ``hist`` differ from the others and stop Spark reusing its exchange.
     bounds = (
-        hist.where(F.col("value").isNotNull())
-        .groupBy(*g, "metric")
+        hist.groupBy(*g, "metric")
         .agg(F.percentile_approx("value", fractions, accuracy).alias("bounds"))
     )
     bucket = F.when(F.col("value").isNull(), F.lit(-1)).otherwise(
@@ -113,26 +114,35 @@ def percentile_score_of(avg_rank: Column, n_all: Column) -> Column:
     return (avg_rank - F.lit(1)) / F.nullif(n_all - F.lit(1), F.lit(0)) * F.lit(100)
 
 
-def percentile_scores(df: DataFrame, scores: Mapping[str, str],
+def percentile_scores(df: DataFrame, scores: Mapping[str, str], key: str | Sequence[str],
                       buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Append one percentile score column per ``{output: input}`` pair.
 
     Score of a row = percentile of its value among *all* rows of ``df`` (NULLs count in
-    n and get a NULL score). Range 0-100, ties share their average rank.
+    n and get a NULL score). Range 0-100, ties share their average rank. ``key`` must
+    identify a row.
+
+    The rows are unpivoted to (metric, value) once, joined to the score table once on
+    (metric, value) and pivoted back by ``key``. The K rows made from one input row stay
+    in its partition through a broadcast join, so the pivot's partial aggregate folds
+    them map-side. No branch filters the shared histogram by metric, so its exchanges
+    are reused instead of recomputing ``df`` per metric.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     inputs = list(dict.fromkeys(scores.values()))
-    ranks = value_ranks(df, inputs, buckets=buckets).where(F.col("value").isNotNull())
-    scored = ranks.select(
-        "metric", "value",
-        percentile_score_of(average_rank(F.col("below"), F.col("c")), F.col("n_all")).alias("score"),
+    scored = value_ranks(df, inputs, buckets=buckets).select(
+        F.col("metric").alias("__metric"), F.col("value").alias("__value"),
+        percentile_score_of(average_rank(F.col("below"), F.col("c")), F.col("n_all")).alias("__score"),
     )
-    out = df
-    for i, (name, source) in enumerate(scores.items()):
-        key = f"__rank_value_{i}"
-        side = scored.where(F.col("metric") == source).select(
-            F.col("value").alias(key), F.col("score").alias(name))
-        out = out.join(side, F.col(source).cast("double") == F.col(key), "left").drop(key)
-    return out
+    pairs = F.array(*[
+        F.struct(F.lit(c).alias("__metric"), F.col(c).cast("double").alias("__value")) for c in inputs
+    ])
+    long = df.select(*df.columns, F.inline(pairs))
+    joined = long.join(scored, ["__metric", "__value"], "left")
+    carried = [F.any_value(c).alias(c) for c in df.columns if c not in keys]
+    picked = [F.max(F.when(F.col("__metric") == src, F.col("__score"))).alias(name)
+              for name, src in scores.items()]
+    return joined.groupBy(*keys).agg(*carried, *picked).select(*df.columns, *scores.keys())
 
 
 def exact_quantiles(ranks: DataFrame, quantiles: Mapping[str, float],

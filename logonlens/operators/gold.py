@@ -39,7 +39,7 @@ TOP_COMPUTERS_K = 100
 
 def risk_scores(users: DataFrame, weights: Sequence[tuple[str, float]] = RISK_WEIGHTS) -> DataFrame:
     """Four percentile scores plus the rounded weighted ``risk_score`` on every user row."""
-    scored = percentile_scores(users, RISK_INPUTS)
+    scored = percentile_scores(users, RISK_INPUTS, key="user")
     return scored.withColumn("risk_score", round2(weighted_sum(weights)))
 
 

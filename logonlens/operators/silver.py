@@ -136,6 +136,76 @@ def daily_activity_from_hourly(hourly: DataFrame) -> DataFrame:
     ])
 
 
+# ---------------------------------------------------------------- shared scan
+#
+# One aggregate of the normalized log at the finest grain any silver table needs,
+# (day, hour, user, destination_computer), carrying the three status counts and the
+# first/last second. Every log-derived silver table is an exact rollup of it (sums of
+# counts, min of mins, max of maxes), so the log is read and shuffled once instead of
+# seven times; the rollups read a table that is at most as large as the log and usually
+# far smaller (repeated logons of a user to a host within an hour collapse).
+
+
+def activity_cube(norm: DataFrame) -> DataFrame:
+    return norm.groupBy(
+        "day", hour_of("timestamp").alias("hour"), "user", "destination_computer"
+    ).agg(
+        *status_metrics(),
+        F.min("timestamp").alias("first_ts"),
+        F.max("timestamp").alias("last_ts"),
+    )
+
+
+def _sums(total_name: str = "authentications"):
+    return [
+        F.sum("authentications").alias(total_name),
+        F.sum("success_logins").alias("success_logins"),
+        F.sum("failed_logins").alias("failed_logins"),
+    ]
+
+
+def users_from_cube(cube: DataFrame) -> DataFrame:
+    return cube.groupBy("user").agg(
+        *_sums("total_logins"), F.min("first_ts").alias("first_login"), F.max("last_ts").alias("last_login"))
+
+
+def computers_from_cube(cube: DataFrame) -> DataFrame:
+    return (
+        cube.where(is_computer("destination_computer"))
+        .groupBy(F.col("destination_computer").alias("computer"))
+        .agg(*_sums("total_authentications"), F.min("first_ts").alias("first_seen"),
+             F.max("last_ts").alias("last_seen"))
+    )
+
+
+def user_computers_from_cube(cube: DataFrame) -> DataFrame:
+    return (
+        cube.where(is_computer("destination_computer"))
+        .select("user", F.col("destination_computer").alias("computer"))
+        .distinct()
+    )
+
+
+def daily_user_from_cube(cube: DataFrame) -> DataFrame:
+    return cube.groupBy("day", "user").agg(*_sums())
+
+
+def daily_computer_from_cube(cube: DataFrame) -> DataFrame:
+    return (
+        cube.where(is_computer("destination_computer"))
+        .groupBy("day", F.col("destination_computer").alias("computer"))
+        .agg(*_sums())
+    )
+
+
+def hourly_from_cube(cube: DataFrame) -> DataFrame:
+    return cube.groupBy("day", "hour").agg(*_sums())
+
+
+def daily_from_cube(cube: DataFrame) -> DataFrame:
+    return cube.groupBy("day").agg(*_sums())
+
+
 # ---------------------------------------------------------------- features
 
 

@@ -3,6 +3,11 @@
 ``Layers`` builds every table as a DataFrame plan on demand; nothing runs until an
 action. The same wiring serves the registered queries (raw logs derived from the
 driver's ``events`` table) and the medallion run (raw logs from bronze parquet).
+
+With ``shared_scan=True`` (default) the log-derived silver tables are rollups of one
+:func:`~logonlens.operators.silver.activity_cube`; inside one query Spark reuses that
+single exchange for every branch. ``shared_scan=False`` uses the direct one-groupBy-per-
+table forms (same results; the tests check both).
 """
 
 from __future__ import annotations
@@ -16,26 +21,36 @@ from logonlens.operators import gold, silver
 
 
 class Layers:
-    def __init__(self, auth: DataFrame, redteam: DataFrame):
+    def __init__(self, auth: DataFrame, redteam: DataFrame, shared_scan: bool = True,
+                 cube: DataFrame | None = None):
         self.auth = auth
         self.redteam = redteam
+        self.shared_scan = shared_scan or cube is not None
+        self._cube = cube
 
     @cached_property
     def norm(self) -> DataFrame:
         return normalize_auth(self.auth)
 
+    @cached_property
+    def cube(self) -> DataFrame:
+        return self._cube if self._cube is not None else silver.activity_cube(self.norm)
+
+    def _pick(self, shared, direct) -> DataFrame:
+        return shared(self.cube) if self.shared_scan else direct(self.norm)
+
     # silver
     @cached_property
     def users(self) -> DataFrame:
-        return silver.users_dim(self.norm)
+        return self._pick(silver.users_from_cube, silver.users_dim)
 
     @cached_property
     def computers(self) -> DataFrame:
-        return silver.computers_dim(self.norm)
+        return self._pick(silver.computers_from_cube, silver.computers_dim)
 
     @cached_property
     def user_computers(self) -> DataFrame:
-        return silver.user_computers(self.norm)
+        return self._pick(silver.user_computers_from_cube, silver.user_computers)
 
     @cached_property
     def redteam_events(self) -> DataFrame:
@@ -43,19 +58,19 @@ class Layers:
 
     @cached_property
     def daily_activity(self) -> DataFrame:
-        return silver.daily_activity(self.norm)
+        return self._pick(silver.daily_from_cube, silver.daily_activity)
 
     @cached_property
     def daily_user_activity(self) -> DataFrame:
-        return silver.daily_user_activity(self.norm)
+        return self._pick(silver.daily_user_from_cube, silver.daily_user_activity)
 
     @cached_property
     def daily_computer_activity(self) -> DataFrame:
-        return silver.daily_computer_activity(self.norm)
+        return self._pick(silver.daily_computer_from_cube, silver.daily_computer_activity)
 
     @cached_property
     def hourly_activity(self) -> DataFrame:
-        return silver.hourly_activity(self.norm)
+        return self._pick(silver.hourly_from_cube, silver.hourly_activity)
 
     @cached_property
     def user_features(self) -> DataFrame:

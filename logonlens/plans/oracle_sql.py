@@ -293,6 +293,12 @@ FROM rte GROUP BY day"""),
     "daily_user_activity": _DAILY_USER_ONE_SHOT,
     "hourly_activity": with_(BASE + [HOURLY], "SELECT * FROM hourly"),
     "daily_activity_from_hourly": with_(BASE + [DAILY], "SELECT * FROM daily"),
+    "activity_cube": with_(BASE, f"""SELECT day, ("timestamp" % 86400) // 3600 AS hour, "user", destination_computer,
+  {STATUS.format(total='authentications')}, min("timestamp") AS first_ts, max("timestamp") AS last_ts
+FROM norm GROUP BY ALL"""),
+    "users_from_cube": _USERS_ONE_SHOT,
+    "computers_from_cube": with_(BASE + [COMPUTERS], "SELECT * FROM computers"),
+    "user_computers_from_cube": _BRIDGE_ONE_SHOT,
     "user_features": with_(FEATURES, "SELECT * FROM uf"),
     "computer_features": with_(FEATURES, "SELECT * FROM cf"),
     "percentile_scores": with_(FEATURES, f"""SELECT computer, total_authentications, unique_users, avg_daily_authentications,

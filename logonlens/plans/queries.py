@@ -77,7 +77,7 @@ def _percentile_scores(ly: Layers) -> DataFrame:
         "volume_pct": "total_authentications",
         "users_pct": "unique_users",
         "avg_daily_pct": "avg_daily_authentications",
-    })
+    }, key="computer")
     return scored.select("computer", "total_authentications", "unique_users",
                          "avg_daily_authentications", "volume_pct", "users_pct", "avg_daily_pct")
 
@@ -88,18 +88,22 @@ QUERIES: dict[str, Query] = {
     "auth_row_count": _q(lambda ly: validate.row_count(ly.auth)),
     "redteam_validation": _q(lambda ly: validate.redteam_validation(ly.redteam)),
     # silver
-    "users_dim": _q(lambda ly: ly.users),
-    "computers_dim": _q(lambda ly: ly.computers),
-    "user_computers": _q(lambda ly: ly.user_computers),
+    "users_dim": _q(lambda ly: silver.users_dim(ly.norm)),
+    "computers_dim": _q(lambda ly: silver.computers_dim(ly.norm)),
+    "user_computers": _q(lambda ly: silver.user_computers(ly.norm)),
     "redteam_events": _q(lambda ly: ly.redteam_events),
     "redteam_users": _q(lambda ly: silver.redteam_users(ly.redteam_events)),
     "redteam_computers": _q(lambda ly: silver.redteam_computers(ly.redteam_events)),
     "daily_redteam_activity": _q(lambda ly: silver.daily_redteam_activity(ly.redteam_events)),
-    "daily_activity": _q(lambda ly: ly.daily_activity),
-    "daily_computer_activity": _q(lambda ly: ly.daily_computer_activity),
-    "daily_user_activity": _q(lambda ly: ly.daily_user_activity),
-    "hourly_activity": _q(lambda ly: ly.hourly_activity),
+    "daily_activity": _q(lambda ly: silver.daily_activity(ly.norm)),
+    "daily_computer_activity": _q(lambda ly: silver.daily_computer_activity(ly.norm)),
+    "daily_user_activity": _q(lambda ly: silver.daily_user_activity(ly.norm)),
+    "hourly_activity": _q(lambda ly: silver.hourly_activity(ly.norm)),
     "daily_activity_from_hourly": _q(lambda ly: silver.daily_activity_from_hourly(ly.hourly_activity)),
+    "activity_cube": _q(lambda ly: ly.cube),
+    "users_from_cube": _q(lambda ly: ly.users),
+    "computers_from_cube": _q(lambda ly: ly.computers),
+    "user_computers_from_cube": _q(lambda ly: ly.user_computers),
     "user_features": _q(lambda ly: ly.user_features),
     "computer_features": _q(lambda ly: ly.computer_features),
     # ranks and gold
