@@ -25,16 +25,23 @@ DAILY_COMPUTER_RULE = (("day", "computer"), _ACTIVITY, (), ())
 HOURLY_RULE = (("day", "hour"), _ACTIVITY, (), ())
 
 
+def fold_partials(partials: DataFrame, keys: Sequence[str], sums: Sequence[str] = (),
+                  mins: Sequence[str] = (), maxs: Sequence[str] = ()) -> DataFrame:
+    """Re-aggregate stacked partial aggregates by ``keys`` with the merge rule; output
+    columns keep the partials' order."""
+    exprs = {c: F.sum(c).alias(c) for c in sums}
+    exprs.update({c: F.min(c).alias(c) for c in mins})
+    exprs.update({c: F.max(c).alias(c) for c in maxs})
+    cols = [c for c in partials.columns if c in set(keys) | set(exprs)]
+    return partials.groupBy(*keys).agg(*exprs.values()).select(*cols)
+
+
 def merge_aggregates(stored: DataFrame, batch: DataFrame, keys: Sequence[str],
                      sums: Sequence[str] = (), mins: Sequence[str] = (),
                      maxs: Sequence[str] = ()) -> DataFrame:
     """AGG12: union the two aggregates and re-aggregate by ``keys`` with the merge rule.
     Output columns keep ``stored``'s order."""
-    exprs = {c: F.sum(c).alias(c) for c in sums}
-    exprs.update({c: F.min(c).alias(c) for c in mins})
-    exprs.update({c: F.max(c).alias(c) for c in maxs})
-    merged = stored.unionByName(batch).groupBy(*keys).agg(*exprs.values())
-    return merged.select(*stored.columns)
+    return fold_partials(stored.unionByName(batch), keys, sums, mins, maxs).select(*stored.columns)
 
 
 def merge_with_rule(stored: DataFrame, batch: DataFrame, rule) -> DataFrame:

@@ -101,9 +101,9 @@ QUERIES: dict[str, Query] = {
     "hourly_activity": _q(lambda ly: silver.hourly_activity(ly.norm)),
     "daily_activity_from_hourly": _q(lambda ly: silver.daily_activity_from_hourly(ly.hourly_activity)),
     "activity_cube": _q(lambda ly: ly.cube),
-    "users_from_cube": _q(lambda ly: ly.users),
-    "computers_from_cube": _q(lambda ly: ly.computers),
-    "user_computers_from_cube": _q(lambda ly: ly.user_computers),
+    "users_from_cube": _q(lambda ly: silver.users_from_cube(ly.cube)),
+    "computers_from_cube": _q(lambda ly: silver.computers_from_cube(ly.cube)),
+    "user_computers_from_cube": _q(lambda ly: silver.user_computers_from_cube(ly.cube)),
     "user_features": _q(lambda ly: ly.user_features),
     "computer_features": _q(lambda ly: ly.computer_features),
     # ranks and gold

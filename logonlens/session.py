@@ -71,3 +71,18 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dic
         "spark.sql.files.maxPartitionBytes": str(256 << 20),
         "spark.sql.adaptive.skewJoin.enabled": "true",
     }
+
+
+def cut_lineage(df):
+    """Write ``df`` as parquet under ``spark.checkpoint.dir`` and return a frame reading it.
+
+    Used before operators that read their input several times (the rank path reads it
+    about five times): the plan they build stays small, the planner gets real file
+    statistics (AQE can size broadcasts from them), later scans prune columns, and a lost
+    executor recomputes from the written table instead of from the raw log. Never
+    ``localCheckpoint``: that copy lives on executors and dies with them.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "cut")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
