@@ -19,17 +19,18 @@ from logonlens.plans.layers import Layers
 from logonlens.sources.readers import read_auth_csv, read_redteam_csv, read_table
 from logonlens.sources.sinks import load_tables, write_bronze_auth, write_table
 
-# Published row order of each table (the reference sorts before writing).
+# Published row order of each table (the reference sorts before writing);
+# "-col" = descending with NULLs first.
 SORT = {
     "redteam_events": ["timestamp"],
-    "redteam_users": [F.desc_nulls_first("events"), "user"],
-    "redteam_computers": [F.desc_nulls_first("source_events"), "computer"],
+    "redteam_users": ["-events", "user"],
+    "redteam_computers": ["-source_events", "computer"],
     "daily_redteam_activity": ["day"],
     "daily_activity": ["day"],
     "daily_computer_activity": ["day", "computer"],
     "daily_user_activity": ["day", "user"],
     "hourly_activity": ["day", "hour"],
-    "user_risk": [F.desc_nulls_first("risk_score"), "user"],
+    "user_risk": ["-risk_score", "user"],
     "gold_hourly_activity": ["day", "hour"],
     "login_timeline": ["day"],
 }
@@ -84,7 +85,8 @@ def run_medallion(spark: SparkSession, root: str, raw_auth: str | list[str] | No
 
     def save(layer: str, name: str, df: DataFrame, sort_key: str | None = None) -> DataFrame:
         path = getattr(p, layer)(name)
-        order = SORT.get(sort_key or name)
+        order = [F.desc_nulls_first(c[1:]) if c.startswith("-") else F.col(c)
+                 for c in SORT.get(sort_key or name, [])]
         write_table(df, path, sort_by=order)
         report["tables"][f"{layer}.{name}"] = path
         return read_table(spark, path)

@@ -263,6 +263,8 @@ def _top20(metric: str) -> str:
 ORACLE: dict[str, str] = {
     "auth_normalized": with_(BASE, "SELECT * FROM norm"),
     "auth_row_count": with_([AUTH], "SELECT count(*) AS rows FROM auth"),
+    "auth_bronze_roundtrip": with_([AUTH], "SELECT * FROM auth"),
+    "redteam_bronze_roundtrip": with_([REDTEAM], "SELECT * FROM redteam"),
     "redteam_validation": with_([REDTEAM], """SELECT count(*) AS rows,
   count(DISTINCT "user") + max(CASE WHEN "user" IS NULL THEN 1 ELSE 0 END) AS users,
   count(DISTINCT source_computer) + max(CASE WHEN source_computer IS NULL THEN 1 ELSE 0 END) AS source_computers,

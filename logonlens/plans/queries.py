@@ -59,6 +59,29 @@ def _merge_bridge(ly: Layers) -> DataFrame:
                                 silver.user_computers(normalize_auth(b)))
 
 
+def _bronze_roundtrip(which: str) -> Query:
+    """Raw headerless gzip CSV -> bronze parquet -> read back.
+
+    The raw CSV is first produced from the driver table (there is no raw log in the test
+    data); both files live under the session's checkpoint folder."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from logonlens.plans.medallion import ingest_auth, ingest_redteam
+        from logonlens.session import scratch_path
+        from logonlens.sources.readers import read_table
+
+        ly = layers(spark, sf_dir)
+        raw, bronze = scratch_path(spark, f"raw-{which}"), scratch_path(spark, f"bronze-{which}")
+        source = ly.auth if which == "auth" else ly.redteam
+        source.write.option("compression", "gzip").option("header", "false").csv(raw)
+        if which == "auth":
+            ingest_auth(spark, raw, bronze)
+        else:
+            ingest_redteam(spark, raw, bronze)
+        return read_table(spark, bronze).select(*source.columns)
+    run.__name__ = f"{which}_bronze_roundtrip"
+    return run
+
+
 def _fact_summary(ly: Layers) -> DataFrame:
     parts = [
         profile.table_summary(ly.hourly_activity, ["day", "hour"], "hourly_activity"),
@@ -86,6 +109,8 @@ QUERIES: dict[str, Query] = {
     # normalization / ingest checks
     "auth_normalized": _q(lambda ly: ly.norm),
     "auth_row_count": _q(lambda ly: validate.row_count(ly.auth)),
+    "auth_bronze_roundtrip": _bronze_roundtrip("auth"),
+    "redteam_bronze_roundtrip": _bronze_roundtrip("redteam"),
     "redteam_validation": _q(lambda ly: validate.redteam_validation(ly.redteam)),
     # silver
     "users_dim": _q(lambda ly: silver.users_dim(ly.norm)),
