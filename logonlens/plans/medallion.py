@@ -3,12 +3,16 @@
 Every step hands over through a written table (which also cuts lineage: a lost executor
 re-reads the previous table, never the raw log). Silver tables over the auth log are
 rollups of one written activity cube, so the log is scanned once, not seven times.
+Tables of one dependency level are written by concurrent jobs (the same order of levels
+as the reference's stages), so small tables do not leave the cluster idle.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping
+import time
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +20,7 @@ from pyspark.sql import functions as F
 from logonlens.functions.normalize import normalize_auth
 from logonlens.operators import gold, silver, validate
 from logonlens.plans.layers import Layers
-from logonlens.sources.readers import read_auth_csv, read_redteam_csv, read_table
+from logonlens.sources.readers import input_bytes, read_auth_csv, read_redteam_csv, read_table
 from logonlens.sources.sinks import load_tables, write_bronze_auth, write_table
 
 # Published row order of each table (the reference sorts before writing);
@@ -56,7 +60,8 @@ class Paths:
 def ingest_auth(spark: SparkSession, raw: str | list[str], bronze_dir: str,
                 num_partitions: int | None = None) -> DataFrame:
     """J01 + J02: raw CSV -> bronze parts; returns the one-row validation."""
-    write_bronze_auth(read_auth_csv(spark, raw), bronze_dir, num_partitions=num_partitions)
+    write_bronze_auth(read_auth_csv(spark, raw), bronze_dir, num_partitions=num_partitions,
+                      source_bytes=input_bytes(spark, raw))
     return validate.row_count(read_table(spark, bronze_dir))
 
 
@@ -66,6 +71,13 @@ def ingest_redteam(spark: SparkSession, raw: str | list[str], bronze_path: str)
     return validate.redteam_validation(read_table(spark, bronze_path))
 
 
+def _level(jobs: Mapping[str, Callable[[], DataFrame]], workers: int) -> dict[str, DataFrame]:
+    """Run independent table writes as concurrent Spark jobs; returns name -> read-back."""
+    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(jobs)))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def _bronze_auth(spark: SparkSession, path: str) -> DataFrame:
     df = read_table(spark, path)
     return df.drop("day") if "day" in df.columns else df
@@ -74,61 +86,91 @@ def _bronze_auth(spark: SparkSession, path: str) -> DataFrame:
 def run_medallion(spark: SparkSession, root: str, raw_auth: str | list[str] | None = None,
                   raw_redteam: str | list[str] | None = None, skip_bronze: bool = False,
                   only_load: bool = False, jdbc_url: str | None = None,
-                  jdbc_properties: Mapping[str, str] | None = None) -> dict:
+                  jdbc_properties: Mapping[str, str] | None = None,
+                  concurrent_jobs: int = 8) -> dict:
     """Run the stages in the reference's order; returns table paths and validations.
 
     ``skip_bronze`` reuses existing bronze tables; ``only_load`` only publishes existing
     gold tables (needs ``jdbc_url``); the load runs when ``jdbc_url`` is given.
     """
     p = Paths(root)
-    report: dict = {"tables": {}, "validation": {}}
-
-    def save(layer: str, name: str, df: DataFrame, sort_key: str | None = None) -> DataFrame:
-        path = getattr(p, layer)(name)
-        order = [F.desc_nulls_first(c[1:]) if c.startswith("-") else F.col(c)
-                 for c in SORT.get(sort_key or name, [])]
-        write_table(df, path, sort_by=order)
-        report["tables"][f"{layer}.{name}"] = path
-        return read_table(spark, path)
+    report: dict = {"tables": {}, "validation": {}, "seconds": {}}
+
+    def save(layer: str, name: str, build: Callable[[], DataFrame],
+             sort_key: str | None = None) -> Callable[[], DataFrame]:
+        def job() -> DataFrame:
+            path = getattr(p, layer)(name)
+            order = [F.desc_nulls_first(c[1:]) if c.startswith("-") else F.col(c)
+                     for c in SORT.get(sort_key or name, [])]
+            write_table(build(), path, sort_by=order)
+            report["tables"][f"{layer}.{name}"] = path
+            return read_table(spark, path)
+        return job
+
+    def level(jobs: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+        start = time.perf_counter()
+        out = _level(jobs, concurrent_jobs)
+        report["seconds"]["+".join(jobs)] = round(time.perf_counter() - start, 3)
+        return out
 
     if not only_load:
         if not skip_bronze:
             if raw_auth is None or raw_redteam is None:
                 raise ValueError("raw_auth and raw_redteam are needed unless skip_bronze")
-            report["validation"]["auth"] = ingest_auth(spark, raw_auth, p.bronze("auth")).first().asDict()
-            report["validation"]["redteam"] = ingest_redteam(
-                spark, raw_redteam, p.bronze("redteam")).first().asDict()
+            checks = level({
+                "auth": lambda: ingest_auth(spark, raw_auth, p.bronze("auth")),
+                "redteam": lambda: ingest_redteam(spark, raw_redteam, p.bronze("redteam")),
+            })
+            start = time.perf_counter()
+            report["validation"] = {k: v.first().asDict() for k, v in checks.items()}
+            report["seconds"]["validation"] = round(time.perf_counter() - start, 3)
         auth = _bronze_auth(spark, p.bronze("auth"))
         redteam = read_table(spark, p.bronze("redteam"))
 
-        # silver: one pass over the log, everything else is a rollup
-        cube = save("silver", "activity_cube", silver.activity_cube(normalize_auth(auth)))
-        ly = Layers(auth, redteam, cube=cube)
-        users = save("silver", "users", ly.users)
-        computers = save("silver", "computers", ly.computers)
-        bridge = save("silver", "user_computers", ly.user_computers)
-        events = save("silver", "redteam_events", ly.redteam_events)
-        save("silver", "redteam_users", silver.redteam_users(events))
-        save("silver", "redteam_computers", silver.redteam_computers(events))
-        save("silver", "daily_redteam_activity", silver.daily_redteam_activity(events))
-        save("silver", "daily_activity", ly.daily_activity)
-        daily_computer = save("silver", "daily_computer_activity", ly.daily_computer_activity)
-        daily_user = save("silver", "daily_user_activity", ly.daily_user_activity)
-        hourly = save("silver", "hourly_activity", ly.hourly_activity)
-        users_f = save("silver", "users_features",
-                       silver.user_features(users, daily_user, bridge, events))
-        computers_f = save("silver", "computers_features",
-                           silver.computer_features(computers, daily_computer, bridge, events))
-
-        # gold
-        risk = save("gold", "user_risk", gold.user_risk(users_f))
-        save("gold", "hourly_activity", hourly, sort_key="gold_hourly_activity")
-        save("gold", "login_timeline", gold.login_timeline(hourly))
-        save("gold", "redteam_summary", gold.redteam_summary(users_f, computers_f))
-        save("gold", "risk_distribution", gold.risk_distribution(risk))
-        save("gold", "top_computers", gold.top_computers(computers_f))
-        save("gold", "top_users", gold.top_users(users_f, risk))
-        save("gold", "dashboard_kpis", gold.dashboard_kpis(users_f, hourly, risk))
+        # silver level 1: the one pass over the log, and the red-team events
+        t = level({
+            "cube": save("silver", "activity_cube", lambda: silver.activity_cube(normalize_auth(auth))),
+            "events": save("silver", "redteam_events", lambda: silver.redteam_events(redteam)),
+        })
+        ly = Layers(auth, redteam, cube=t["cube"])
+        events = t["events"]
+        # level 2: dimensions, bridge and facts (rollups of the cube), red-team dimensions
+        t.update(level({
+            "users": save("silver", "users", lambda: ly.users),
+            "computers": save("silver", "computers", lambda: ly.computers),
+            "bridge": save("silver", "user_computers", lambda: ly.user_computers),
+            "daily": save("silver", "daily_activity", lambda: ly.daily_activity),
+            "daily_computer": save("silver", "daily_computer_activity", lambda: ly.daily_computer_activity),
+            "daily_user": save("silver", "daily_user_activity", lambda: ly.daily_user_activity),
+            "hourly": save("silver", "hourly_activity", lambda: ly.hourly_activity),
+            "rt_users": save("silver", "redteam_users", lambda: silver.redteam_users(events)),
+            "rt_computers": save("silver", "redteam_computers", lambda: silver.redteam_computers(events)),
+            "rt_daily": save("silver", "daily_redteam_activity", lambda: silver.daily_redteam_activity(events)),
+        }))
+        # level 3: features, and gold tables that only need the hourly fact
+        hourly = t["hourly"]
+        t.update(level({
+            "users_f": save("silver", "users_features", lambda: silver.user_features(
+                t["users"], t["daily_user"], t["bridge"], events)),
+            "computers_f": save("silver", "computers_features", lambda: silver.computer_features(
+                t["computers"], t["daily_computer"], t["bridge"], events)),
+            "gold_hourly": save("gold", "hourly_activity", lambda: hourly, sort_key="gold_hourly_activity"),
+            "timeline": save("gold", "login_timeline", lambda: gold.login_timeline(hourly)),
+        }))
+        users_f, computers_f = t["users_f"], t["computers_f"]
+        # level 4: risk and what needs only features
+        t.update(level({
+            "risk": save("gold", "user_risk", lambda: gold.user_risk(users_f)),
+            "summary": save("gold", "redteam_summary", lambda: gold.redteam_summary(users_f, computers_f)),
+            "top_computers": save("gold", "top_computers", lambda: gold.top_computers(computers_f)),
+        }))
+        risk = t["risk"]
+        # level 5: what needs the risk table
+        level({
+            "distribution": save("gold", "risk_distribution", lambda: gold.risk_distribution(risk)),
+            "top_users": save("gold", "top_users", lambda: gold.top_users(users_f, risk)),
+            "kpis": save("gold", "dashboard_kpis", lambda: gold.dashboard_kpis(users_f, hourly, risk)),
+        })
 
     if jdbc_url:
         tables = {name: read_table(spark, p.gold(name)) for name in GOLD_TABLES}

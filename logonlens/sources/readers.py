@@ -44,6 +44,29 @@ def read_redteam_csv(spark: SparkSession, path: str | list[str], mode: str = "FA
     return _read_headerless(spark, path, REDTEAM, mode, pandas_nulls)
 
 
+# gzip text logs expand about tenfold; used to size write parallelism from file sizes.
+GZIP_EXPANSION = 10
+
+
+def input_bytes(spark: SparkSession, path: str | list[str]) -> int:
+    """Estimated uncompressed bytes under ``path`` from the file system listing only
+    (no pass over the data; works for any Hadoop file system)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in ([path] if isinstance(path, str) else path):
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        it = fs.listFiles(hp, True)
+        while it.hasNext():
+            status = it.next()
+            name = status.getPath().getName()
+            if name.startswith(("_", ".")):
+                continue
+            total += status.getLen() * (GZIP_EXPANSION if name.endswith(".gz") else 1)
+    return total
+
+
 def read_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """SRC3-SRC5: a parquet file or a directory of parts (implicit UNION ALL)."""
     paths = [path] if isinstance(path, str) else list(path)

@@ -17,11 +17,14 @@ from logonlens.functions.normalize import day_of
 
 # Rows per bronze part, as in the reference's 500k-row chunks.
 BRONZE_ROWS_PER_FILE = 500_000
+# Uncompressed input bytes per bronze writer task.
+BRONZE_BYTES_PER_WRITER = 256 << 20
 
 
 def write_bronze_auth(df: DataFrame, path: str, num_partitions: int | None = None,
                       rows_per_file: int = BRONZE_ROWS_PER_FILE, partition_by_day: bool = True,
-                      salts: int = 8, mode: str = "overwrite") -> None:
+                      salts: int = 8, mode: str = "overwrite",
+                      source_bytes: int | None = None) -> None:
     """SNK1: the raw auth log as parquet parts of at most ``rows_per_file`` rows.
 
     A ``.gz`` source is read by one task, so the rows are redistributed before the write.
@@ -31,11 +34,18 @@ def write_bronze_auth(df: DataFrame, path: str, num_partitions: int | None = Non
     same place) spreads one heavy day over ``salts`` writers. Rows are sorted by
     timestamp inside each part so row-group statistics prune time ranges.
     ``mode="append"`` adds a new batch of parts (what the incremental stream picks up).
+    Without ``num_partitions`` the writer count follows ``source_bytes`` (one writer per
+    256 MB), else the default parallelism; salts never exceed the writer count.
     """
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if num_partitions:
+        n = num_partitions
+    elif source_bytes is not None:
+        n = max(1, -(-source_bytes // BRONZE_BYTES_PER_WRITER))
+    else:
+        n = df.sparkSession.sparkContext.defaultParallelism
     out = df
     if partition_by_day:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(max(1, min(salts, n))))
         out = (
             out.withColumn("day", day_of("timestamp"))
             .repartition(n, "day", salt)
