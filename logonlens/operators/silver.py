@@ -83,14 +83,32 @@ def redteam_users(events: DataFrame) -> DataFrame:
     )
 
 
+def redteam_endpoint_counts(events: DataFrame, source_name: str = "source_events",
+                            target_name: str = "target_events") -> DataFrame:
+    """Events per computer as source and as target, from one scan and one aggregate.
+
+    Each event yields a (role, computer) row for its source and one for its target; a
+    computer's two counts are conditional counts of one group. This equals the full
+    outer join of the two per-role counts: a computer seen in one role gets 0 for the
+    other, and a NULL computer keeps one row per role (NULL keys never join).
+    """
+    ends = F.array(
+        F.struct(F.lit("s").alias("role"), F.col("source_computer").alias("computer")),
+        F.struct(F.lit("t").alias("role"), F.col("destination_computer").alias("computer")),
+    )
+    role = F.col("role")
+    return (
+        events.select(F.inline(ends))
+        .groupBy("computer", F.when(F.col("computer").isNull(), role).alias("null_role"))
+        .agg(F.count_if(role == "s").alias(source_name), F.count_if(role == "t").alias(target_name))
+        .drop("null_role")
+    )
+
+
 def redteam_computers(events: DataFrame) -> DataFrame:
-    """Events per computer as source and as target (full outer join, zeros
-    filled; no ``C*`` filter)."""
-    source = events.groupBy(F.col("source_computer").alias("computer")).agg(
-        F.count(F.lit(1)).alias("source_events"))
-    target = events.groupBy(F.col("destination_computer").alias("computer")).agg(
-        F.count(F.lit(1)).alias("target_events"))
-    return source.join(target, "computer", "full").fillna(0, ["source_events", "target_events"])
+    """Events per computer as source and as target (zeros where absent; no ``C*``
+    filter)."""
+    return redteam_endpoint_counts(events)
 
 
 def daily_redteam_activity(events: DataFrame) -> DataFrame:
@@ -238,14 +256,10 @@ def user_features(users: DataFrame, daily_user: DataFrame, bridge: DataFrame,
 def computer_features(computers: DataFrame, daily_computer: DataFrame, bridge: DataFrame,
                       events: DataFrame) -> DataFrame:
     """Computers enriched with activity profile, user count and red-team counts."""
-    source = events.groupBy(F.col("source_computer").alias("computer")).agg(
-        F.count(F.lit(1)).alias("redteam_source_events"))
-    target = events.groupBy(F.col("destination_computer").alias("computer")).agg(
-        F.count(F.lit(1)).alias("redteam_target_events"))
+    redteam = redteam_endpoint_counts(events, "redteam_source_events", "redteam_target_events")
     return (
         computers.join(_activity_profile(daily_computer, "computer"), "computer", "left")
         .join(bridge.groupBy("computer").agg(F.count(F.lit(1)).alias("unique_users")), "computer", "left")
-        .join(source, "computer", "left")
-        .join(target, "computer", "left")
+        .join(redteam, "computer", "left")
         .fillna(0, ["unique_users", "redteam_source_events", "redteam_target_events"])
     )
