@@ -9,9 +9,9 @@ task. Instead every rank here is computed from a *value histogram*:
    the number of approximate-quantile boundaries below it (boundaries come from
    ``percentile_approx`` over the distinct values, so buckets hold similar numbers of
    distinct values; exactness never depends on the boundaries).
-3. Per-bucket totals (at most groups x metrics x buckets rows) give exclusive offsets
-   through a window per metric; a running sum inside each bucket, partitioned by
-   (metric, bucket), adds the rest.
+3. A running sum inside each bucket, partitioned by (metric, bucket), gives the rank
+   within the bucket; per-bucket totals, one bounded array of ``buckets`` numbers per
+   metric, give each bucket's offset as an exclusive prefix sum.
 
 The result ``below`` = number of non-null rows with a strictly smaller value, exact.
 Joins against the small tables are left to AQE, which broadcasts them only after
@@ -53,6 +53,10 @@ def value_ranks(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]
 
     Output: ``group_cols..., metric, value (double), c, below, n_all, n_valid``; ``below`` is
     NULL for the NULL value. ``n_all`` counts NULLs, ``n_valid`` does not.
+
+    Stages: histogram (shuffle of distinct values) -> bucket boundaries per metric ->
+    running sum inside each (metric, bucket) -> one array of ``buckets`` totals per metric
+    (bounded, broadcast by AQE) whose exclusive prefix sums are the bucket offsets.
     """
     g = list(group_cols)
     pairs = F.array(*[
@@ -65,42 +69,50 @@ def value_ranks(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]
     )
     fractions = [i / buckets for i in range(1, buckets)]
     # percentile_approx skips NULLs itself; filtering here would make this copy of
-    # ``hist`` differ from the others and stop Spark reusing its exchange.
-    bounds = (
-        hist.groupBy(*g, "metric")
-        .agg(F.percentile_approx("value", fractions, accuracy).alias("bounds"))
-    )
+    # ``hist`` differ from the other and stop Spark reusing its exchange.
+    bounds = hist.groupBy(*g, "metric").agg(
+        F.percentile_approx("value", fractions, accuracy).alias("bounds"))
     bucket = F.when(F.col("value").isNull(), F.lit(-1)).otherwise(
-        F.size(F.filter("bounds", lambda b: b < F.col("value")))
-    )
-    hb = hist.join(bounds, [*g, "metric"], "left").withColumn("bucket", bucket).drop("bounds")
-
-    per_metric = Window.partitionBy(*g, "metric")
-    valid_bt = F.when(F.col("bucket") >= 0, F.col("bt"))
-    offsets = (
-        hb.groupBy(*g, "metric", "bucket").agg(F.sum("c").alias("bt"))
-        .select(
-            *g, "metric", "bucket",
-            F.coalesce(
-                F.sum(valid_bt).over(per_metric.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0),
-            ).alias("offset"),
-            F.sum("bt").over(per_metric).alias("n_all"),
-            F.coalesce(F.sum(valid_bt).over(per_metric), F.lit(0)).alias("n_valid"),
-        )
+        F.coalesce(F.size(F.filter("bounds", lambda b: b < F.col("value"))), F.lit(0))
     )
     in_bucket = (
         Window.partitionBy(*g, "metric", "bucket").orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    local = (
+        hist.join(bounds, [*g, "metric"], "left")
+        .withColumn("bucket", bucket).drop("bounds")
+        .withColumn("cum", F.sum("c").over(in_bucket))
+    )
+    # Bucket totals: ``local`` is already partitioned by (metric, bucket), so this
+    # aggregate needs no shuffle; then at most ``buckets`` totals per metric are gathered
+    # (a bounded list) and turned into exclusive prefix sums, i.e. bucket offsets.
+    totals = local.groupBy(*g, "metric", "bucket").agg(F.sum("c").alias("bt"))
+    per_metric = totals.groupBy(*g, "metric").agg(
+        F.array_sort(F.collect_list(F.when(F.col("bucket") >= 0, F.struct("bucket", "bt")))).alias("t"),
+        F.coalesce(F.sum(F.when(F.col("bucket") == -1, F.col("bt"))), F.lit(0)).alias("nulls"),
+    )
+    zero = F.lit(0).cast("bigint")
+    offsets = per_metric.select(
+        *g, "metric",
+        F.map_from_arrays(
+            F.transform("t", lambda x: x["bucket"]),
+            F.transform("t", lambda _, i: F.aggregate(F.slice("t", F.lit(1), i), zero,
+                                                       lambda acc, y: acc + y["bt"])),
+        ).alias("offsets"),
+        F.aggregate("t", zero, lambda acc, y: acc + y["bt"]).alias("n_valid"),
+        "nulls",
+    )
     return (
-        hb.join(offsets, [*g, "metric", "bucket"])
-        .withColumn(
-            "below",
+        local.join(offsets, [*g, "metric"])
+        .select(
+            *g, "metric", "value", "c",
             F.when(F.col("value").isNull(), F.lit(None).cast("bigint"))
-            .otherwise(F.col("offset") + F.sum("c").over(in_bucket) - F.col("c")),
+            .otherwise(F.element_at("offsets", F.col("bucket")) + F.col("cum") - F.col("c"))
+            .alias("below"),
+            (F.col("n_valid") + F.col("nulls")).alias("n_all"),
+            "n_valid",
         )
-        .select(*g, "metric", "value", "c", "below", "n_all", "n_valid")
     )
 
 
