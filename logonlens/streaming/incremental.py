@@ -58,20 +58,53 @@ def start_refresh(spark: SparkSession, bronze_auth_dir: str, state_dir: str,
     return writer.start()
 
 
+def _snapshots(state_dir: str) -> str:
+    return os.path.join(state_dir, "snapshots")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
+
+
+def _latest_snapshot(spark: SparkSession, state_dir: str) -> int | None:
+    """Highest batch id folded into a snapshot (a one-row aggregate over the partition
+    column; nothing else reaches the driver)."""
+    if not _exists(spark, _snapshots(state_dir)):
+        return None
+    return spark.read.parquet(_snapshots(state_dir)).agg(F.max("upto")).first()[0]
+
+
 def merged_cube(spark: SparkSession, state_dir: str) -> DataFrame:
     """The activity cube over every batch processed so far (AGG12 merge of partials).
 
-    Partials of different batches overlap on keys (an hour spans parts), so they are
-    merged with the cube's rule rather than unioned.
+    Reads the latest snapshot (if :func:`compact` made one) plus only the partials of
+    later batches (partition pruning on ``batch``), so the cost follows the data since the
+    last compaction, not the stream's whole history. Partials overlap on keys (an hour
+    spans parts), so they are merged with the cube's rule rather than unioned.
     """
-    partials = spark.read.parquet(_partials(state_dir)).drop("batch")
-    return fold_partials(partials, CUBE_KEYS, sums=CUBE_SUMS, mins=("first_ts",), maxs=("last_ts",))
-
-
-def compact(spark: SparkSession, state_dir: str, snapshot_path: str) -> DataFrame:
-    """Write the merged cube as a standalone table (e.g. a new silver snapshot)."""
-    merged_cube(spark, state_dir).write.mode("overwrite").parquet(snapshot_path)
-    return spark.read.parquet(snapshot_path)
+    parts = spark.read.parquet(_partials(state_dir))
+    upto = _latest_snapshot(spark, state_dir)
+    if upto is not None:
+        snap = spark.read.parquet(_snapshots(state_dir)).where(F.col("upto") == upto).drop("upto")
+        parts = snap.unionByName(parts.where(F.col("batch") > upto).drop("batch"))
+    else:
+        parts = parts.drop("batch")
+    return fold_partials(parts, CUBE_KEYS, sums=CUBE_SUMS, mins=("first_ts",), maxs=("last_ts",))
+
+
+def compact(spark: SparkSession, state_dir: str) -> int:
+    """Fold everything processed so far into ``snapshots/upto=<last batch>``; returns that
+    batch id. Old partials and snapshots stay (readers skip them); a rerun rewrites the
+    same snapshot directory, so compaction is idempotent."""
+    last = spark.read.parquet(_partials(state_dir)).agg(F.max("batch")).first()[0]
+    merged = merged_cube(spark, state_dir)
+    target = os.path.join(_snapshots(state_dir), f"upto={last}")
+    tmp = os.path.join(state_dir, "_compacting", f"upto={last}")
+    merged.write.mode("overwrite").parquet(tmp)       # never overwrite a path being read
+    spark.read.parquet(tmp).write.mode("overwrite").parquet(target)
+    return last
 
 
 def batches_seen(spark: SparkSession, state_dir: str) -> DataFrame:
