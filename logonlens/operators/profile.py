@@ -59,11 +59,30 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None,
-             group_cols: Sequence[str] = ()) -> DataFrame:
-    """STA2 / STA6: count, null_count, mean, std (sample), min, exact p25/p50/p75, max per
-    column (and per group). Mean and std are rounded to 6 decimals."""
+             group_cols: Sequence[str] = (), approximate: bool = False,
+             accuracy: int = 10000) -> DataFrame:
+    """STA2 / STA6: count, null_count, mean, std (sample), min, p25/p50/p75, max per
+    column (and per group). Mean and std are rounded to 6 decimals.
+
+    Quantiles are exact nearest-rank values from the value histogram; ``approximate``
+    switches to one ``percentile_approx`` pass (bounded sketch memory, relative rank
+    error 1/``accuracy``) for log-sized inputs.
+    """
     cols = list(cols) if cols is not None else numeric_columns(df)
     g = list(group_cols)
+    if approximate:
+        names = list(DESCRIBE_QUANTILES)
+        qs = [DESCRIBE_QUANTILES[n] for n in names]
+        return _long(df, cols, g).groupBy(*g, "metric").agg(
+            F.count("value").alias("count"),
+            F.count_if(F.col("value").isNull()).alias("null_count"),
+            round_to(F.avg("value")).alias("mean"),
+            round_to(F.stddev_samp("value")).alias("std"),
+            F.min("value").alias("min"),
+            F.percentile_approx("value", qs, accuracy).alias("q"),
+            F.max("value").alias("max"),
+        ).select(*g, F.col("metric").alias("column"), "count", "null_count", "mean", "std", "min",
+                 *[F.col("q")[i].alias(n) for i, n in enumerate(names)], "max")
     moments = _long(df, cols, g).groupBy(*g, "metric").agg(
         F.count("value").alias("count"),
         F.count_if(F.col("value").isNull()).alias("null_count"),

@@ -7,6 +7,7 @@ the data. Result columns carry the same names as the oracle SQL.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,9 +29,21 @@ ALT_WEIGHTS = (("login_score", 0.40), ("computer_score", 0.20), ("volume_score",
 MERGE_CUT = 15 * SECONDS_PER_DAY + SECONDS_PER_DAY // 2
 
 
+_WIRING: "weakref.WeakKeyDictionary[SparkSession, dict[str, Layers]]" = weakref.WeakKeyDictionary()
+
+
 def layers(spark: SparkSession, sf_dir: str) -> Layers:
-    ev = testdata.events(spark, sf_dir)
-    return Layers(testdata.auth_from_events(ev), testdata.redteam_from_events(ev))
+    """The lazy table wiring over the driver tables in ``sf_dir``, built once per session.
+
+    Only the *plans* are shared: every execution still scans the tables in full. The
+    driver tables are read-only, so a plan's file listing cannot go stale; sharing saves
+    re-analysing the same deep plans (features, ranks) for every query.
+    """
+    per_session = _WIRING.setdefault(spark, {})
+    if sf_dir not in per_session:
+        ev = testdata.events(spark, sf_dir)
+        per_session[sf_dir] = Layers(testdata.auth_from_events(ev), testdata.redteam_from_events(ev))
+    return per_session[sf_dir]
 
 
 def _q(fn: Callable[[Layers], DataFrame]) -> Query:

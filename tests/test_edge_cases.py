@@ -75,3 +75,15 @@ def test_pandas_null_spellings(spark, tmp_path):
     nulls = read_auth_csv(spark, str(path), pandas_nulls=True).first()
     assert nulls["destination_user"] is None and nulls["destination_computer"] is None
     assert nulls["timestamp"] == 5
+
+
+def test_describe_approximate_close_to_exact(spark):
+    from logonlens.operators.profile import describe
+    df = spark.range(0, 5000).select((F.col("id") % 1000).alias("x"), (F.col("id") % 7).alias("y"))
+    exact = {r["column"]: r for r in describe(df, ["x", "y"]).collect()}
+    approx = {r["column"]: r for r in describe(df, ["x", "y"], approximate=True).collect()}
+    for c in ("x", "y"):
+        for k in ("count", "null_count", "mean", "std", "min", "max"):
+            assert exact[c][k] == approx[c][k]
+        for k in ("p25", "p50", "p75"):
+            assert abs(exact[c][k] - approx[c][k]) <= 2

@@ -4,6 +4,7 @@ from conftest import SF_ORACLE
 from pyspark.sql import functions as F
 
 from logonlens.operators import gold
+from logonlens.plans.layers import Layers
 from logonlens.plans.queries import layers
 
 
@@ -21,8 +22,7 @@ def test_counts_agree_across_facts(spark):
 
 def test_shared_scan_equals_direct(spark):
     direct = layers(spark, SF_ORACLE)
-    shared = layers(spark, SF_ORACLE)
-    shared.shared_scan = True
+    shared = Layers(direct.auth, direct.redteam, shared_scan=True)
     for name in ("users", "computers", "user_computers", "daily_activity", "daily_user_activity",
                  "daily_computer_activity", "hourly_activity"):
         a, b = getattr(direct, name), getattr(shared, name)
