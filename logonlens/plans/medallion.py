@@ -87,11 +87,14 @@ def run_medallion(spark: SparkSession, root: str, raw_auth: str | list[str] | No
                   raw_redteam: str | list[str] | None = None, skip_bronze: bool = False,
                   only_load: bool = False, jdbc_url: str | None = None,
                   jdbc_properties: Mapping[str, str] | None = None,
-                  concurrent_jobs: int = 8) -> dict:
+                  concurrent_jobs: int = 8, shared_scan: bool = True) -> dict:
     """Run the stages in the reference's order; returns table paths and validations.
 
     ``skip_bronze`` reuses existing bronze tables; ``only_load`` only publishes existing
     gold tables (needs ``jdbc_url``); the load runs when ``jdbc_url`` is given.
+    ``shared_scan=False`` builds each log-derived silver table by its own aggregate over
+    bronze (seven pruned scans, smaller shuffles) instead of rollups of one written cube
+    (one scan); pick it when the cube would be nearly as large as the log.
     """
     p = Paths(root)
     report: dict = {"tables": {}, "validation": {}, "seconds": {}}
@@ -102,9 +105,11 @@ def run_medallion(spark: SparkSession, root: str, raw_auth: str | list[str] | No
             path = getattr(p, layer)(name)
             order = [F.desc_nulls_first(c[1:]) if c.startswith("-") else F.col(c)
                      for c in SORT.get(sort_key or name, [])]
-            write_table(build(), path, sort_by=order)
+            df = build()
+            write_table(df, path, sort_by=order)
             report["tables"][f"{layer}.{name}"] = path
-            return read_table(spark, path)
+            # read back with the schema just written: no footer pass to infer it
+            return spark.read.schema(df.schema).parquet(path)
         return job
 
     def level(jobs: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
@@ -128,11 +133,11 @@ def run_medallion(spark: SparkSession, root: str, raw_auth: str | list[str] | No
         redteam = read_table(spark, p.bronze("redteam"))
 
         # silver level 1: the one pass over the log, and the red-team events
-        t = level({
-            "cube": save("silver", "activity_cube", lambda: silver.activity_cube(normalize_auth(auth))),
-            "events": save("silver", "redteam_events", lambda: silver.redteam_events(redteam)),
-        })
-        ly = Layers(auth, redteam, cube=t["cube"])
+        first = {"events": save("silver", "redteam_events", lambda: silver.redteam_events(redteam))}
+        if shared_scan:
+            first["cube"] = save("silver", "activity_cube", lambda: silver.activity_cube(normalize_auth(auth)))
+        t = level(first)
+        ly = Layers(auth, redteam, cube=t["cube"]) if shared_scan else Layers(auth, redteam)
         events = t["events"]
         # level 2: dimensions, bridge and facts (rollups of the cube), red-team dimensions
         t.update(level({

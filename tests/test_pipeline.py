@@ -66,6 +66,18 @@ def test_tables_equal_queries(spark, lake, layer, table, query):
     assert bag(stored) == bag(expected)
 
 
+def test_direct_scan_run_equals_cube_run(spark, lake, tmp_path):
+    root, _ = lake
+    other = str(tmp_path / "direct")
+    import shutil
+    shutil.copytree(medallion.Paths(root).bronze(""), medallion.Paths(other).bronze(""))
+    medallion.run_medallion(spark, other, skip_bronze=True, shared_scan=False)
+    for table in ("user_risk", "dashboard_kpis", "top_users"):
+        a = spark.read.parquet(medallion.Paths(root).gold(table))
+        b = spark.read.parquet(medallion.Paths(other).gold(table))
+        assert bag(a) == bag(b), table
+
+
 def test_published_order(spark, lake):
     root, _ = lake
     risk = [r["risk_score"] for r in spark.read.parquet(medallion.Paths(root).gold("user_risk")).collect()]
