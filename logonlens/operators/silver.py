@@ -225,6 +225,64 @@ def daily_from_cube(cube: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- features
+#
+# Fused forms: a dimension row (totals, first/last second) and its activity profile
+# (active days, mean and max per day) are both rollups of the per-day aggregate when that
+# aggregate also carries the first and last second of each day, so one groupBy over it
+# replaces two aggregations and a join.
+
+
+def daily_user_extended(norm: DataFrame) -> DataFrame:
+    return norm.groupBy("day", "user").agg(
+        *status_metrics(), F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"))
+
+
+def daily_computer_extended(norm: DataFrame) -> DataFrame:
+    return (
+        norm.where(is_computer("destination_computer"))
+        .groupBy("day", F.col("destination_computer").alias("computer"))
+        .agg(*status_metrics(), F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"))
+    )
+
+
+def _dimension_with_profile(daily_ext: DataFrame, key: str, total: str, first: str,
+                            last: str) -> DataFrame:
+    return daily_ext.groupBy(key).agg(
+        F.sum("authentications").alias(total),
+        F.sum("success_logins").alias("success_logins"),
+        F.sum("failed_logins").alias("failed_logins"),
+        F.min("first_ts").alias(first),
+        F.max("last_ts").alias(last),
+        F.count(F.lit(1)).alias("active_days"),
+        F.avg("authentications").alias("avg_daily_authentications"),
+        F.max("authentications").alias("max_daily_authentications"),
+    )
+
+
+def user_features_from_daily(daily_ext: DataFrame, bridge: DataFrame, events: DataFrame) -> DataFrame:
+    """J16 in one rollup of :func:`daily_user_extended` (same result as
+    :func:`user_features` over the separate dimension and fact)."""
+    redteam = events.groupBy("user").agg(F.count(F.lit(1)).alias("redteam_events")).withColumn(
+        "is_redteam_user", F.lit(True))
+    return (
+        _dimension_with_profile(daily_ext, "user", "total_logins", "first_login", "last_login")
+        .join(bridge.groupBy("user").agg(F.count(F.lit(1)).alias("unique_computers")), "user", "left")
+        .join(redteam, "user", "left")
+        .fillna(0, ["redteam_events", "unique_computers"])
+        .fillna(False, ["is_redteam_user"])
+    )
+
+
+def computer_features_from_daily(daily_ext: DataFrame, bridge: DataFrame, events: DataFrame) -> DataFrame:
+    """J17 in one rollup of :func:`daily_computer_extended`."""
+    redteam = redteam_endpoint_counts(events, "redteam_source_events", "redteam_target_events")
+    return (
+        _dimension_with_profile(daily_ext, "computer", "total_authentications", "first_seen", "last_seen")
+        .join(bridge.groupBy("computer").agg(F.count(F.lit(1)).alias("unique_users")), "computer", "left")
+        .join(redteam, "computer", "left")
+        .fillna(0, ["unique_users", "redteam_source_events", "redteam_target_events"])
+    )
+
 
 
 def _activity_profile(daily: DataFrame, key: str) -> DataFrame:

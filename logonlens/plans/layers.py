@@ -8,7 +8,9 @@ With ``shared_scan=True`` the log-derived silver tables are rollups of one
 :func:`~logonlens.operators.silver.activity_cube`: the medallion run writes the cube
 once, so the log is read once instead of seven times. For a standalone query the
 direct one-groupBy-per-table forms (default) are better: their scans run as concurrent
-stages and each plan is one shuffle shallower. Both give identical results (tested).
+stages and each plan is one shuffle shallower; there the features come from one rollup
+of the per-day aggregate (dimension and activity profile at once). Both give identical
+results (tested).
 """
 
 from __future__ import annotations
@@ -75,13 +77,19 @@ class Layers:
 
     @cached_property
     def user_features(self) -> DataFrame:
-        return silver.user_features(self.users, self.daily_user_activity, self.user_computers,
-                                    self.redteam_events)
+        if self.shared_scan:
+            return silver.user_features(self.users, self.daily_user_activity, self.user_computers,
+                                        self.redteam_events)
+        return silver.user_features_from_daily(silver.daily_user_extended(self.norm),
+                                               self.user_computers, self.redteam_events)
 
     @cached_property
     def computer_features(self) -> DataFrame:
-        return silver.computer_features(self.computers, self.daily_computer_activity,
-                                        self.user_computers, self.redteam_events)
+        if self.shared_scan:
+            return silver.computer_features(self.computers, self.daily_computer_activity,
+                                            self.user_computers, self.redteam_events)
+        return silver.computer_features_from_daily(silver.daily_computer_extended(self.norm),
+                                                   self.user_computers, self.redteam_events)
 
     # gold
     @cached_property
