@@ -68,10 +68,12 @@ def value_ranks(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]
         .agg(F.count(F.lit(1)).alias("c"))
     )
     fractions = [i / buckets for i in range(1, buckets)]
-    # percentile_approx skips NULLs itself; filtering here would make this copy of
-    # ``hist`` differ from the other and stop Spark reusing its exchange.
+    # This branch must stay an identical copy of ``hist`` so Spark reuses its exchange
+    # (one scan of ``df``): no NULL filter (percentile_approx skips NULLs itself), and it
+    # reads ``c`` (always >= 1) because a branch that ignored the count would be pruned
+    # into a different, count-less aggregate.
     bounds = hist.groupBy(*g, "metric").agg(
-        F.percentile_approx("value", fractions, accuracy).alias("bounds"))
+        F.percentile_approx(F.when(F.col("c") > 0, F.col("value")), fractions, accuracy).alias("bounds"))
     bucket = F.when(F.col("value").isNull(), F.lit(-1)).otherwise(
         F.coalesce(F.size(F.filter("bounds", lambda b: b < F.col("value"))), F.lit(0))
     )
