@@ -74,6 +74,13 @@ def value_ranks(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]
     # into a different, count-less aggregate.
     bounds = hist.groupBy(*g, "metric").agg(
         F.percentile_approx(F.when(F.col("c") > 0, F.col("value")), fractions, accuracy).alias("bounds"))
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        # Both branches below must bucket with the *same* boundaries, and a sketch's
+        # merge order can vary between two computations. Spark shares one boundaries
+        # broadcast through exchange reuse; without it, fetch the boundaries once
+        # (metrics x buckets numbers) and use them as a constant relation.
+        bounds = spark.createDataFrame(bounds.collect(), bounds.schema)
     bucket = F.when(F.col("value").isNull(), F.lit(-1)).otherwise(
         F.coalesce(F.size(F.filter("bounds", lambda b: b < F.col("value"))), F.lit(0))
     )

@@ -70,3 +70,29 @@ def test_shared_scan_reads_the_log_once(spark, bronze):
     df.collect()
     final = plan(ly.user_features.select("user"))
     assert final.count("Scan parquet") >= 1
+
+
+def test_rank_boundaries_computed_once(spark):
+    df = QUERIES["user_risk"](spark, SF_SMALL)
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("functions=[percentile_approx") == 1
+    assert "ReusedExchange [metric" in final
+
+
+def test_rank_exact_without_exchange_reuse(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from logonlens.functions import scoring
+
+    df = spark.range(0, 2000).select(F.col("id").alias("k"), (F.col("id") * 31 % 613).alias("x"))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = {r["k"]: r["p"] for r in scoring.percentile_scores(df, {"p": "x"}, key="k", buckets=8).collect()}
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    w = Window.orderBy("x")
+    ref = df.select("k", ((F.rank().over(w) + (F.count("*").over(Window.partitionBy("x")) - 1) / 2 - 1)
+                          / (F.count("*").over(Window.partitionBy()) - 1) * 100).alias("p"))
+    assert got == {r["k"]: r["p"] for r in ref.collect()}
