@@ -87,3 +87,19 @@ def test_describe_approximate_close_to_exact(spark):
             assert exact[c][k] == approx[c][k]
         for k in ("p25", "p50", "p75"):
             assert abs(exact[c][k] - approx[c][k]) <= 2
+
+
+def test_one_row_results_on_empty_inputs(spark):
+    from logonlens.operators import gold
+    from logonlens.sources.schemas import COMPUTER_FEATURES, HOURLY_ACTIVITY, USER_FEATURES, USER_RISK
+
+    users = spark.createDataFrame([], USER_FEATURES)
+    hourly = spark.createDataFrame([], HOURLY_ACTIVITY)
+    risk = spark.createDataFrame([], USER_RISK)
+    k = gold.dashboard_kpis(users, hourly, risk).collect()
+    assert [r.asDict() for r in k] == [{
+        "total_users": 0, "suspicious_users": 0, "average_risk": None, "authentication_failure_rate": 0.0,
+        "after_hours_logins": 0, "critical_users": 0, "high_users": 0, "medium_users": 0, "low_users": 0}]
+    s = gold.redteam_summary(users, spark.createDataFrame([], COMPUTER_FEATURES)).collect()
+    assert [tuple(r) for r in s] == [(0, 0, 0, 0)]
+    assert gold.user_risk(users).count() == 0
