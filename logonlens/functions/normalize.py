@@ -70,12 +70,13 @@ def normalize_auth(auth: DataFrame) -> DataFrame:
     The prefix test is stated on ``source_user`` rather than the derived ``user``: a
     string and its text up to the first ``@`` share the first character, so the two
     are equivalent, and only this form reaches the parquet scan as a pushed filter.
+    A ``day`` column already present (the bronze partition column, written as
+    ``day_of(timestamp)``) is kept, so filters on ``day`` prune whole partitions.
     """
-    return (
-        auth.where(is_person("source_user"))
-        .withColumns({
-            "user": account_name("source_user"),
-            "domain": account_domain("source_user"),
-            "day": day_of("timestamp"),
-        })
-    )
+    out = auth.where(is_person("source_user")).withColumns({
+        "user": account_name("source_user"),
+        "domain": account_domain("source_user"),
+    })
+    if "day" in auth.columns:
+        return out.select(*[c for c in out.columns if c != "day"], "day")
+    return out.withColumn("day", day_of("timestamp"))

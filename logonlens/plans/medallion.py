@@ -79,8 +79,8 @@ def _level(jobs: Mapping[str, Callable[[], object]], workers: int) -> dict[str,
 
 
 def _bronze_auth(spark: SparkSession, path: str) -> DataFrame:
-    df = read_table(spark, path)
-    return df.drop("day") if "day" in df.columns else df
+    """Bronze auth; a day-partitioned layout keeps its ``day`` column for pruning."""
+    return read_table(spark, path)
 
 
 def run_medallion(spark: SparkSession, root: str, raw_auth: str | list[str] | None = None,

@@ -1,6 +1,8 @@
 """Plan shape: pushdown and pruning reach the parquet scan, no Python in any plan,
 top-k is a bounded TakeOrderedAndProject, and no rank funnels rows into one task."""
 
+import re
+
 import pytest
 from conftest import SF_SMALL
 
@@ -20,10 +22,24 @@ def plan(df) -> str:
 
 
 @pytest.fixture(scope="module")
-def bronze(spark, tmp_path_factory):
+def bronze_dir(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("bronze") / "auth")
     write_bronze_auth(layers(spark, SF_SMALL).auth, path, num_partitions=2)
-    return spark.read.parquet(path).drop("day")
+    return path
+
+
+@pytest.fixture(scope="module")
+def bronze(spark, bronze_dir):
+    return spark.read.parquet(bronze_dir).drop("day")
+
+
+def test_day_filter_prunes_bronze_partitions(spark, bronze_dir):
+    parts = spark.read.parquet(bronze_dir)
+    daily = silver.daily_user_activity(normalize_auth(parts).where("day BETWEEN 3 AND 5"))
+    text = plan(daily)
+    assert re.search(r"PartitionFilters: \[isnotnull\(day#\d+\), \(day#\d+ >= 3\)", text)
+    direct = silver.daily_user_activity(normalize_auth(parts.drop("day"))).where("day BETWEEN 3 AND 5")
+    assert sorted(map(tuple, daily.collect())) == sorted(map(tuple, direct.collect()))
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if "roundtrip" not in n])
