@@ -37,20 +37,30 @@ TOP_USERS_K = 100
 TOP_COMPUTERS_K = 100
 
 
-def risk_scores(users: DataFrame, weights: Sequence[tuple[str, float]] = RISK_WEIGHTS) -> DataFrame:
-    """Four percentile scores plus the rounded weighted ``risk_score`` on every user row."""
-    scored = percentile_scores(users, RISK_INPUTS, key="user")
-    return scored.withColumn("risk_score", round2(weighted_sum(weights)))
+def percentile_risk_scores(users: DataFrame) -> DataFrame:
+    """The four percentile scores on every user row (shared by every weighting)."""
+    return percentile_scores(users, RISK_INPUTS, key="user")
+
+
+def risk_from_scores(scored: DataFrame, weights: Sequence[tuple[str, float]] = RISK_WEIGHTS) -> DataFrame:
+    """J18 from precomputed scores: weighted, rounded ``risk_score`` and its band."""
+    return (
+        scored.withColumn("risk_score", round2(weighted_sum(weights)))
+        .withColumn("risk_level", risk_level())
+        .select(*RISK_COLUMNS)
+    )
 
 
 def user_risk(users: DataFrame, weights: Sequence[tuple[str, float]] = RISK_WEIGHTS) -> DataFrame:
     """Risk score and band per user (sort by ``risk_score`` desc at write time)."""
-    return risk_scores(users, weights).withColumn("risk_level", risk_level()).select(*RISK_COLUMNS)
+    return risk_from_scores(percentile_risk_scores(users), weights)
 
 
-def user_risk_weighted(users: DataFrame, weights: Sequence[tuple[str, float]]) -> DataFrame:
-    """J27 re-score: the four scores and the weighted score under caller weights."""
-    return risk_scores(users, weights).select(
+def user_risk_weighted(users_or_scores: DataFrame, weights: Sequence[tuple[str, float]]) -> DataFrame:
+    """J27 re-score: the four scores and the weighted score under caller weights. Accepts
+    the users dimension or frames already carrying the four scores."""
+    scored = users_or_scores if "login_score" in users_or_scores.columns else percentile_risk_scores(users_or_scores)
+    return scored.withColumn("risk_score", round2(weighted_sum(weights))).select(
         "user", "login_score", "computer_score", "volume_score", "redteam_score", "risk_score")
 
 

@@ -92,6 +92,10 @@ class Layers:
                                                    self.user_computers, self.redteam_events)
 
     # gold
+    @cached_property
+    def risk_scores(self) -> DataFrame:
+        return gold.percentile_risk_scores(self.user_features)
+
     @cached_property
     def user_risk(self) -> DataFrame:
-        return gold.user_risk(self.user_features)
+        return gold.risk_from_scores(self.risk_scores)

@@ -170,6 +170,6 @@ QUERIES: dict[str, Query] = {
     "top20_total_logins": _q(lambda ly: profile.top_by(ly.user_features, "total_logins")),
     "top20_max_daily": _q(lambda ly: profile.top_by(ly.user_features, "max_daily_authentications")),
     "fact_summary": _q(_fact_summary),
-    "user_risk_weighted": _q(lambda ly: gold.user_risk_weighted(ly.user_features, ALT_WEIGHTS)),
+    "user_risk_weighted": _q(lambda ly: gold.user_risk_weighted(ly.risk_scores, ALT_WEIGHTS)),
     "redteam_users_flagged": _q(lambda ly: ly.user_features.where(F.col("is_redteam_user"))),
 }
