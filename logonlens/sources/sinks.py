@@ -45,15 +45,18 @@ def write_bronze_auth(df: DataFrame, path: str, num_partitions: int | None = Non
         n = df.sparkSession.sparkContext.defaultParallelism
     out = df
     if partition_by_day:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(max(1, min(salts, n))))
-        out = (
-            out.withColumn("day", day_of("timestamp"))
-            .repartition(n, "day", salt)
-            .sortWithinPartitions("timestamp")
-        )
+        out = out.withColumn("day", day_of("timestamp"))
+        if n == 1:
+            out = out.coalesce(1)           # one writer: no exchange needed
+        else:
+            salt = F.pmod(F.xxhash64(*df.columns), F.lit(max(1, min(salts, n))))
+            out = out.repartition(n, "day", salt)
+        # (day, timestamp) satisfies the partitioned writer's required ordering on day,
+        # so Spark adds no sort of its own that could reorder rows inside a day
+        out = out.sortWithinPartitions("day", "timestamp")
         writer = out.write.partitionBy("day")
     else:
-        out = out.repartition(n).sortWithinPartitions("timestamp")
+        out = (out.coalesce(1) if n == 1 else out.repartition(n)).sortWithinPartitions("timestamp")
         writer = out.write
     writer.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(path)
 

@@ -100,6 +100,13 @@ def test_bronze_layout(spark, lake):
     assert "day" in bronze.columns
     plan = bronze.where("day = 3").select("timestamp")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
+    # parts are ordered by timestamp (row-group statistics can prune time ranges)
+    import glob
+
+    import pyarrow.parquet as pq
+    for f in glob.glob(medallion.Paths(root).bronze("auth") + "/day=*/*.parquet"):
+        ts = pq.read_table(f, columns=["timestamp"]).column(0).to_pylist()
+        assert ts == sorted(ts)
 
 
 def test_incremental_stream_equals_one_shot(spark, tmp_path):
