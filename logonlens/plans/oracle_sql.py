@@ -354,7 +354,7 @@ LIMIT 100"""),
     "user_null_counts": with_(FEATURES, "SELECT " + ", ".join(
         f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in USER_FEATURE_COLUMNS) + " FROM uf"),
     "user_describe": _with_pair(FEATURES, _describe(NUMERIC_USER_COLUMNS, "uf")),
-    "user_describe_by_cohort": _with_pair(FEATURES, _describe(PROFILE_COLUMNS, "uf", "is_redteam_user")),
+    "user_describe_by_cohort": _with_pair(FEATURES, _describe(NUMERIC_USER_COLUMNS, "uf", "is_redteam_user")),
     "user_histogram": _with_pair(FEATURES, _histogram(PROFILE_COLUMNS, "uf")),
     "user_correlation": with_(FEATURES, _correlation(PROFILE_COLUMNS, "uf")),
     "top20_unique_computers": _top20("unique_computers"),
