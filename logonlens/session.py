@@ -30,8 +30,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        # the medallion run submits the independent tables of a level as concurrent jobs
-        .config("spark.scheduler.mode", "FAIR")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
