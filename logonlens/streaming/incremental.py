@@ -22,7 +22,6 @@ from pyspark.sql.types import LongType, StructField, StructType
 from logonlens.functions.normalize import normalize_auth
 from logonlens.operators.merge import fold_partials
 from logonlens.operators.silver import activity_cube
-from logonlens.session import scratch_path
 from logonlens.sources.schemas import AUTH
 
 CUBE_KEYS = ("day", "hour", "user", "destination_computer")
@@ -50,9 +49,11 @@ def start_refresh(spark: SparkSession, bronze_auth_dir: str, state_dir: str,
         partial = activity_cube(normalize_auth(batch.drop("day")))
         partial.write.mode("overwrite").parquet(os.path.join(target, f"batch={batch_id}"))
 
+    # The checkpoint belongs to the state: a restart must resume the same batch ids, or a
+    # replay would rewrite batch 0 with everything and double count later partials.
     writer = (
         stream.writeStream.foreachBatch(fold)
-        .option("checkpointLocation", checkpoint_location or scratch_path(spark, "refresh-ckpt"))
+        .option("checkpointLocation", checkpoint_location or os.path.join(state_dir, "_checkpoint"))
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

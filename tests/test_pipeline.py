@@ -129,6 +129,18 @@ def test_incremental_stream_equals_one_shot(spark, tmp_path):
     assert bag(Layers(ly.auth, ly.redteam, cube=merged).users) == bag(silver.users_dim(ly.norm))
 
 
+def test_stream_restart_resumes_without_double_counting(spark, tmp_path):
+    ly = layers(spark, SF_SMALL)
+    first, second = merge.split_at(ly.auth, MERGE_CUT)
+    bronze, state = str(tmp_path / "bronze"), str(tmp_path / "state")
+    write_bronze_auth(first, bronze, num_partitions=2)
+    incremental.start_refresh(spark, bronze, state).awaitTermination()
+    incremental.start_refresh(spark, bronze, state).awaitTermination()   # nothing new
+    write_bronze_auth(second, bronze, num_partitions=2, mode="append")
+    incremental.start_refresh(spark, bronze, state).awaitTermination()
+    assert bag(incremental.merged_cube(spark, state)) == bag(silver.activity_cube(normalize_auth(ly.auth)))
+
+
 def test_load_wiring(spark, lake, monkeypatch):
     root, _ = lake
     calls = []
