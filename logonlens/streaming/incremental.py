@@ -63,48 +63,55 @@ def _snapshots(state_dir: str) -> str:
     return os.path.join(state_dir, "snapshots")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _committed(spark: SparkSession, parent: str, key: str) -> dict[int, str]:
+    """``{n: path}`` of the ``key=n`` directories under ``parent`` whose write committed
+    (``_SUCCESS`` present). A directory still being written, or left half-written by a
+    failure, is never read."""
     jvm = spark.sparkContext._jvm
-    hp = jvm.org.apache.hadoop.fs.Path(path)
-    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
-
-
-def _latest_snapshot(spark: SparkSession, state_dir: str) -> int | None:
-    """Highest batch id folded into a snapshot (a one-row aggregate over the partition
-    column; nothing else reaches the driver)."""
-    if not _exists(spark, _snapshots(state_dir)):
-        return None
-    return spark.read.parquet(_snapshots(state_dir)).agg(F.max("upto")).first()[0]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(parent)
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return {}
+    found = {}
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(key + "="):
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+                found[int(name.split("=", 1)[1])] = status.getPath().toString()
+    return found
 
 
 def merged_cube(spark: SparkSession, state_dir: str) -> DataFrame:
     """The activity cube over every batch processed so far (AGG12 merge of partials).
 
-    Reads the latest snapshot (if :func:`compact` made one) plus only the partials of
-    later batches (partition pruning on ``batch``), so the cost follows the data since the
-    last compaction, not the stream's whole history. Partials overlap on keys (an hour
-    spans parts), so they are merged with the cube's rule rather than unioned.
+    Reads the latest committed snapshot (if :func:`compact` made one) plus only the
+    committed partials of later batches, so the cost follows the data since the last
+    compaction, not the stream's whole history. Partials overlap on keys (an hour spans
+    parts), so they are merged with the cube's rule rather than unioned.
     """
-    parts = spark.read.parquet(_partials(state_dir))
-    upto = _latest_snapshot(spark, state_dir)
-    if upto is not None:
-        snap = spark.read.parquet(_snapshots(state_dir)).where(F.col("upto") == upto).drop("upto")
-        parts = snap.unionByName(parts.where(F.col("batch") > upto).drop("batch"))
-    else:
-        parts = parts.drop("batch")
+    snapshots = _committed(spark, _snapshots(state_dir), "upto")
+    upto = max(snapshots) if snapshots else -1
+    paths = [p for n, p in sorted(_committed(spark, _partials(state_dir), "batch").items()) if n > upto]
+    frames = []
+    if snapshots:
+        frames.append(spark.read.parquet(snapshots[upto]))
+    if paths:
+        frames.append(spark.read.option("basePath", _partials(state_dir)).parquet(*paths).drop("batch"))
+    if not frames:
+        raise ValueError(f"no committed batches under {state_dir}")
+    parts = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
     return fold_partials(parts, CUBE_KEYS, sums=CUBE_SUMS, mins=("first_ts",), maxs=("last_ts",))
 
 
 def compact(spark: SparkSession, state_dir: str) -> int:
     """Fold everything processed so far into ``snapshots/upto=<last batch>``; returns that
     batch id. Old partials and snapshots stay (readers skip them); a rerun rewrites the
-    same snapshot directory, so compaction is idempotent."""
-    last = spark.read.parquet(_partials(state_dir)).agg(F.max("batch")).first()[0]
-    merged = merged_cube(spark, state_dir)
-    target = os.path.join(_snapshots(state_dir), f"upto={last}")
+    same snapshot, and a snapshot only counts once its write has committed."""
+    last = max(_committed(spark, _partials(state_dir), "batch"))
     tmp = os.path.join(state_dir, "_compacting", f"upto={last}")
-    merged.write.mode("overwrite").parquet(tmp)       # never overwrite a path being read
-    spark.read.parquet(tmp).write.mode("overwrite").parquet(target)
+    merged_cube(spark, state_dir).write.mode("overwrite").parquet(tmp)   # never overwrite a path being read
+    spark.read.parquet(tmp).write.mode("overwrite").parquet(os.path.join(_snapshots(state_dir), f"upto={last}"))
     return last
 
 

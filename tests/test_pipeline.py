@@ -138,7 +138,16 @@ def test_stream_restart_resumes_without_double_counting(spark, tmp_path):
     incremental.start_refresh(spark, bronze, state).awaitTermination()   # nothing new
     write_bronze_auth(second, bronze, num_partitions=2, mode="append")
     incremental.start_refresh(spark, bronze, state).awaitTermination()
-    assert bag(incremental.merged_cube(spark, state)) == bag(silver.activity_cube(normalize_auth(ly.auth)))
+    expected = bag(silver.activity_cube(normalize_auth(ly.auth)))
+    assert bag(incremental.merged_cube(spark, state)) == expected
+    # a partial whose write never committed (no _SUCCESS) is not read
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    hconf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        silver.activity_cube(normalize_auth(ly.auth)).write.parquet(str(tmp_path / "state" / "partials" / "batch=99"))
+    finally:
+        hconf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+    assert bag(incremental.merged_cube(spark, state)) == expected
 
 
 def test_load_wiring(spark, lake, monkeypatch):
