@@ -197,3 +197,19 @@ def test_jdbc_writer_options():
     assert writer.calls == {"format": "jdbc", "mode": "overwrite", "url": "jdbc:example://db",
                             "dbtable": "t", "truncate": "true", "batchsize": "10000",
                             "numPartitions": "4", "user": "etl"}
+
+
+def test_command_line_maps_to_run(monkeypatch, spark):
+    import logonlens.__main__ as cli
+    seen = {}
+
+    def fake_run(session, root, **kw):
+        seen.update(root=root, **kw)
+        return {"ok": True}
+
+    monkeypatch.setattr("logonlens.plans.medallion.run_medallion", fake_run)
+    assert cli.main(["--root", "/lake", "--skip-bronze", "--jdbc-url", "jdbc:x://h/db",
+                     "--jdbc-option", "user=etl", "--direct-scans"]) == 0
+    assert seen == {"root": "/lake", "raw_auth": None, "raw_redteam": None, "skip_bronze": True,
+                    "only_load": False, "jdbc_url": "jdbc:x://h/db", "jdbc_properties": {"user": "etl"},
+                    "shared_scan": False}
