@@ -93,9 +93,10 @@ def value_ranks(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]
         .withColumn("bucket", bucket).drop("bounds")
         .withColumn("cum", F.sum("c").over(in_bucket))
     )
-    # Bucket totals: ``local`` is already partitioned by (metric, bucket), so this
-    # aggregate needs no shuffle; then at most ``buckets`` totals per metric are gathered
-    # (a bounded list) and turned into exclusive prefix sums, i.e. bucket offsets.
+    # Bucket totals: a partial aggregate leaves at most metrics x buckets rows per map
+    # task (the histogram exchange underneath is the reused one); at most ``buckets``
+    # totals per metric are then gathered (a bounded list) and turned into exclusive
+    # prefix sums, i.e. bucket offsets.
     totals = local.groupBy(*g, "metric", "bucket").agg(F.sum("c").alias("bt"))
     per_metric = totals.groupBy(*g, "metric").agg(
         F.array_sort(F.collect_list(F.when(F.col("bucket") >= 0, F.struct("bucket", "bt")))).alias("t"),
