@@ -25,6 +25,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Rank buckets: a window task holds about (distinct values of a metric) / buckets rows,
+# e.g. 1e9 distinct values -> ~16M rows per task, which sorts and spills comfortably;
+# raise ``buckets`` beyond that. Bucket totals stay tiny (metrics x buckets numbers).
 DEFAULT_BUCKETS = 64
 DEFAULT_ACCURACY = 10000
 
