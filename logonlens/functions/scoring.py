@@ -25,10 +25,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rank buckets: a window task holds about (distinct values of a metric) / buckets rows,
-# e.g. 1e9 distinct values -> ~16M rows per task, which sorts and spills comfortably;
-# raise ``buckets`` beyond that. Bucket totals stay tiny (metrics x buckets numbers).
-DEFAULT_BUCKETS = 64
+# Rank buckets: the (metric, bucket) groups are what the rank's window spreads over, so by
+# default there are as many buckets as the session has shuffle partitions (at least 64, at
+# most 4096): rank parallelism follows the cluster's sizing, and a window task holds about
+# (distinct values) / buckets rows. Bucket lookup is a binary search (O(log buckets)) and
+# bucket totals stay tiny (metrics x buckets numbers).
+MIN_BUCKETS, MAX_BUCKETS = 64, 4096
 DEFAULT_ACCURACY = 10000
 
 # Risk bands (lower bounds, highest first) and the default weights of
@@ -50,8 +52,28 @@ RISK_INPUTS = {
 }
 
 
+def default_buckets(spark) -> int:
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, parts))
+
+
+def bucket_of(bounds: Column, value: Column, n_bounds: int) -> Column:
+    """Number of entries of the ascending array ``bounds`` strictly below ``value``:
+    a binary search in ceil(log2(n_bounds + 1)) steps."""
+    def step(acc, _):
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        below = F.element_at(bounds, mid + 1) < value
+        moved = F.when(below, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))).otherwise(
+            F.struct(acc["lo"].alias("lo"), mid.alias("hi")))
+        return F.when(acc["lo"] >= acc["hi"], acc).otherwise(moved)
+
+    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
+    steps = max(1, int(n_bounds).bit_length())
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)["lo"]
+
+
 def value_ranks(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str] = (),
-                buckets: int = DEFAULT_BUCKETS, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                buckets: int | None = None, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Exact rank statistics per distinct value of each column (optionally per group).
 
     Output: ``group_cols..., metric, value (double), c, below, n_all, n_valid``; ``below`` is
@@ -62,6 +84,9 @@ def value_ranks(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]
     (bounded, broadcast by AQE) whose exclusive prefix sums are the bucket offsets.
     """
     g = list(group_cols)
+    spark = df.sparkSession
+    buckets = buckets or default_buckets(spark)
+    accuracy = max(accuracy, 4 * buckets)
     pairs = F.array(*[
         F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns
     ])
@@ -77,7 +102,6 @@ def value_ranks(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]
     # into a different, count-less aggregate.
     bounds = hist.groupBy(*g, "metric").agg(
         F.percentile_approx(F.when(F.col("c") > 0, F.col("value")), fractions, accuracy).alias("bounds"))
-    spark = df.sparkSession
     if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
         # Both branches below must bucket with the *same* boundaries, and a sketch's
         # merge order can vary between two computations. Spark shares one boundaries
@@ -85,7 +109,7 @@ def value_ranks(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]
         # (metrics x buckets numbers) and use them as a constant relation.
         bounds = spark.createDataFrame(bounds.collect(), bounds.schema)
     bucket = F.when(F.col("value").isNull(), F.lit(-1)).otherwise(
-        F.coalesce(F.size(F.filter("bounds", lambda b: b < F.col("value"))), F.lit(0))
+        F.coalesce(bucket_of(F.col("bounds"), F.col("value"), buckets - 1), F.lit(0))
     )
     in_bucket = (
         Window.partitionBy(*g, "metric", "bucket").orderBy("value")
@@ -106,14 +130,17 @@ def value_ranks(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]
         F.coalesce(F.sum(F.when(F.col("bucket") == -1, F.col("bt"))), F.lit(0)).alias("nulls"),
     )
     zero = F.lit(0).cast("bigint")
+    # one pass over the sorted totals: exclusive prefix sums, and the running total
+    prefix = F.aggregate(
+        "t",
+        F.struct(F.array().cast("array<bigint>").alias("offs"), zero.alias("run")),
+        lambda acc, x: F.struct(F.array_append(acc["offs"], acc["run"]).alias("offs"),
+                                (acc["run"] + x["bt"]).alias("run")),
+    )
     offsets = per_metric.select(
         *g, "metric",
-        F.map_from_arrays(
-            F.transform("t", lambda x: x["bucket"]),
-            F.transform("t", lambda _, i: F.aggregate(F.slice("t", F.lit(1), i), zero,
-                                                       lambda acc, y: acc + y["bt"])),
-        ).alias("offsets"),
-        F.aggregate("t", zero, lambda acc, y: acc + y["bt"]).alias("n_valid"),
+        F.map_from_arrays(F.transform("t", lambda x: x["bucket"]), prefix["offs"]).alias("offsets"),
+        prefix["run"].alias("n_valid"),
         "nulls",
     )
     return (
@@ -140,7 +167,7 @@ def percentile_score_of(avg_rank: Column, n_all: Column) -> Column:
 
 
 def percentile_scores(df: DataFrame, scores: Mapping[str, str], key: str | Sequence[str],
-                      buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      buckets: int | None = None) -> DataFrame:
     """Append one percentile score column per ``{output: input}`` pair.
 
     Score of a row = percentile of its value among *all* rows of ``df`` (NULLs count in

@@ -56,13 +56,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "logonlens-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+MAX_SHUFFLE_PARTITIONS = 32768
+
+
 def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Shuffle sizing for a cluster run over ``input_bytes`` of log.
 
     AQE coalesces small partitions at run time, so the initial number only has to be
-    large enough that no shuffle partition of the raw log outgrows executor memory.
+    large enough that no shuffle partition outgrows executor memory (every shuffle here
+    follows a map-side partial aggregate, so it carries far less than the input); it is
+    capped so the map-output bookkeeping (mappers x reducers) stays manageable.
     """
-    initial = max(200, int(input_bytes // target_partition_bytes))
+    initial = max(200, min(MAX_SHUFFLE_PARTITIONS, int(input_bytes // target_partition_bytes)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),

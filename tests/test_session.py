@@ -18,5 +18,5 @@ def test_existing_checkpoint_dir_is_kept(spark, tmp_path):
 def test_scale_conf_grows_with_input():
     small, big = scale_conf(1 << 30), scale_conf(100 << 40)
     assert int(small["spark.sql.shuffle.partitions"]) == 200
-    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert int(big["spark.sql.shuffle.partitions"]) == 32768   # capped
     assert big["spark.sql.adaptive.enabled"] == "true"
