@@ -108,7 +108,10 @@ def compact(spark: SparkSession, state_dir: str) -> int:
     """Fold everything processed so far into ``snapshots/upto=<last batch>``; returns that
     batch id. Old partials and snapshots stay (readers skip them); a rerun rewrites the
     same snapshot, and a snapshot only counts once its write has committed."""
-    last = max(_committed(spark, _partials(state_dir), "batch"))
+    batches = _committed(spark, _partials(state_dir), "batch")
+    if not batches:
+        raise ValueError(f"no committed batches under {state_dir}")
+    last = max(batches)
     tmp = os.path.join(state_dir, "_compacting", f"upto={last}")
     merged_cube(spark, state_dir).write.mode("overwrite").parquet(tmp)   # never overwrite a path being read
     spark.read.parquet(tmp).write.mode("overwrite").parquet(os.path.join(_snapshots(state_dir), f"upto={last}"))
@@ -116,8 +119,11 @@ def compact(spark: SparkSession, state_dir: str) -> int:
 
 
 def batches_seen(spark: SparkSession, state_dir: str) -> DataFrame:
-    """One row per processed batch with its cube rows (a progress view)."""
+    """One row per committed batch with its cube rows (a progress view)."""
+    paths = list(_committed(spark, _partials(state_dir), "batch").values())
+    if not paths:
+        raise ValueError(f"no committed batches under {state_dir}")
     return (
-        spark.read.parquet(_partials(state_dir))
+        spark.read.option("basePath", _partials(state_dir)).parquet(*paths)
         .groupBy("batch").agg(F.count(F.lit(1)).alias("cube_rows"))
     )
