@@ -245,6 +245,19 @@ def daily_computer_extended(norm: DataFrame) -> DataFrame:
     )
 
 
+def daily_user_extended_from_cube(cube: DataFrame) -> DataFrame:
+    return cube.groupBy("day", "user").agg(
+        *_sums(), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
+
+
+def daily_computer_extended_from_cube(cube: DataFrame) -> DataFrame:
+    return (
+        cube.where(is_computer("destination_computer"))
+        .groupBy("day", F.col("destination_computer").alias("computer"))
+        .agg(*_sums(), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
+    )
+
+
 def _dimension_with_profile(daily_ext: DataFrame, key: str, total: str, first: str,
                             last: str) -> DataFrame:
     return daily_ext.groupBy(key).agg(

@@ -138,8 +138,20 @@ def run_medallion(spark: SparkSession, root: str, raw_auth: str | list[str] | No
         t = level(first)
         ly = Layers(auth, redteam, cube=t["cube"]) if shared_scan else Layers(auth, redteam)
         events = t["events"]
-        # level 2: dimensions, bridge and facts (rollups of the cube), red-team dimensions
+        # level 2: dimensions, bridge, facts and features (all rollups of the cube plus the
+        # red-team events), red-team dimensions
+        if shared_scan:
+            cube = t["cube"]
+            features = {
+                "users_f": save("silver", "users_features", lambda: silver.user_features_from_daily(
+                    silver.daily_user_extended_from_cube(cube), silver.user_computers_from_cube(cube), events)),
+                "computers_f": save("silver", "computers_features", lambda: silver.computer_features_from_daily(
+                    silver.daily_computer_extended_from_cube(cube), silver.user_computers_from_cube(cube), events)),
+            }
+        else:
+            features = {}
         t.update(level({
+            **features,
             "users": save("silver", "users", lambda: ly.users),
             "computers": save("silver", "computers", lambda: ly.computers),
             "bridge": save("silver", "user_computers", lambda: ly.user_computers),
@@ -151,25 +163,26 @@ def run_medallion(spark: SparkSession, root: str, raw_auth: str | list[str] | No
             "rt_computers": save("silver", "redteam_computers", lambda: silver.redteam_computers(events)),
             "rt_daily": save("silver", "daily_redteam_activity", lambda: silver.daily_redteam_activity(events)),
         }))
-        # level 3: features, and gold tables that only need the hourly fact
         hourly = t["hourly"]
-        t.update(level({
-            "users_f": save("silver", "users_features", lambda: silver.user_features(
-                t["users"], t["daily_user"], t["bridge"], events)),
-            "computers_f": save("silver", "computers_features", lambda: silver.computer_features(
-                t["computers"], t["daily_computer"], t["bridge"], events)),
-            "gold_hourly": save("gold", "hourly_activity", lambda: hourly, sort_key="gold_hourly_activity"),
-            "timeline": save("gold", "login_timeline", lambda: gold.login_timeline(hourly)),
-        }))
+        if not shared_scan:
+            # direct scans: features join the written dimension and fact tables
+            t.update(level({
+                "users_f": save("silver", "users_features", lambda: silver.user_features(
+                    t["users"], t["daily_user"], t["bridge"], events)),
+                "computers_f": save("silver", "computers_features", lambda: silver.computer_features(
+                    t["computers"], t["daily_computer"], t["bridge"], events)),
+            }))
         users_f, computers_f = t["users_f"], t["computers_f"]
-        # level 4: risk and what needs only features
+        # level 3: risk, and gold tables that need only features or the hourly fact
         t.update(level({
             "risk": save("gold", "user_risk", lambda: gold.user_risk(users_f)),
             "summary": save("gold", "redteam_summary", lambda: gold.redteam_summary(users_f, computers_f)),
             "top_computers": save("gold", "top_computers", lambda: gold.top_computers(computers_f)),
+            "gold_hourly": save("gold", "hourly_activity", lambda: hourly, sort_key="gold_hourly_activity"),
+            "timeline": save("gold", "login_timeline", lambda: gold.login_timeline(hourly)),
         }))
         risk = t["risk"]
-        # level 5: what needs the risk table
+        # level 4: what needs the risk table
         level({
             "distribution": save("gold", "risk_distribution", lambda: gold.risk_distribution(risk)),
             "top_users": save("gold", "top_users", lambda: gold.top_users(users_f, risk)),
