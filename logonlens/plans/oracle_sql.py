@@ -301,6 +301,8 @@ FROM norm GROUP BY ALL"""),
     "users_from_cube": _USERS_ONE_SHOT,
     "computers_from_cube": with_(BASE + [COMPUTERS], "SELECT * FROM computers"),
     "user_computers_from_cube": _BRIDGE_ONE_SHOT,
+    "user_features_from_cube": with_(FEATURES, "SELECT * FROM uf"),
+    "computer_features_from_cube": with_(FEATURES, "SELECT * FROM cf"),
     "user_features": with_(FEATURES, "SELECT * FROM uf"),
     "computer_features": with_(FEATURES, "SELECT * FROM cf"),
     "percentile_scores": with_(FEATURES, f"""SELECT computer, total_authentications, unique_users, avg_daily_authentications,

@@ -142,6 +142,12 @@ QUERIES: dict[str, Query] = {
     "users_from_cube": _q(lambda ly: silver.users_from_cube(ly.cube)),
     "computers_from_cube": _q(lambda ly: silver.computers_from_cube(ly.cube)),
     "user_computers_from_cube": _q(lambda ly: silver.user_computers_from_cube(ly.cube)),
+    "user_features_from_cube": _q(lambda ly: silver.user_features_from_daily(
+        silver.daily_user_extended_from_cube(ly.cube), silver.user_computers_from_cube(ly.cube),
+        ly.redteam_events)),
+    "computer_features_from_cube": _q(lambda ly: silver.computer_features_from_daily(
+        silver.daily_computer_extended_from_cube(ly.cube), silver.user_computers_from_cube(ly.cube),
+        ly.redteam_events)),
     "user_features": _q(lambda ly: ly.user_features),
     "computer_features": _q(lambda ly: ly.computer_features),
     # ranks and gold
