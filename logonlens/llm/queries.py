@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from logonlens.llm import byte_bpe
+from logonlens.llm import byte_bpe, packed_ids, simhash, token_counts
 from logonlens.llm.common import table
+from logonlens.session import scratch_path
 
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -17,8 +18,25 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), MULTI_RANKS, public_tokenizers.PATTERN)
 
 
+def op5_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_ids.write_and_read(spark, table(spark, sf_dir, "documents"), scratch_path(spark, "idpk"),
+                                     public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_bits=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op5_packed_ids": op5_packed_ids,
+    "op7_token_counts": op7_token_counts,
+    "op10_simhash": op10_simhash,
 }
 
 #: DuckDB statements for the queries that SQL can express.
