@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 from logonlens.llm.common import document_rows, split_at_spaces
 
-MAX_STATES = 200_000        # transducer states kept per worker
-MAX_MEMO = 300_000          # encoded pieces kept per worker
+MAX_STATES = 100_000        # transducer states kept per worker
+MAX_MEMO = 500_000          # encoded pieces kept per worker
 MAX_MEMO_CHARS = 48         # longer pieces are not kept
 NEVER = 1 << 62             # later than any rank
 ROOT = 2                    # the trie's root
@@ -148,7 +148,7 @@ class Transducer:
                 key = token if before is None else (before + 1) << 32 | token
                 fits = pairs.get(key)
                 if fits is None:
-                    if len(pairs) > 4 * self.max_states:
+                    if len(pairs) > 8 * self.max_states:
                         pairs.clear()
                     fits = pairs[key] = self._may_follow(before, token)
                 if fits:
@@ -218,22 +218,22 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer = Transducer(ranks)
         self.matches = regex.compile(pattern).findall
-        self.first, self.later = Memo(self._pack), Memo(lambda piece: self._pack(" " + piece))
-        self.match = Memo(self._pack_match)
-
-    def _pack_match(self, match: str) -> bytes:
-        ids = self.transducer.encode(match.encode())
-        return struct.pack(f"<{len(ids)}I", *ids)
+        self.packed = Memo(self._pack)
 
     def _pack(self, piece: str) -> bytes:
-        return b"".join(map(self.match.__getitem__, self.matches(piece)))
+        """A piece of several matches is put together from theirs, which may be known."""
+        matches = self.matches(piece)
+        if len(matches) > 1:
+            return b"".join(map(self.packed.__getitem__, matches))
+        ids = self.transducer.encode(piece.encode())
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         pieces = split_at_spaces(text)
-        head = self.first[pieces[0]]
-        return head + b"".join(map(self.later.__getitem__, pieces[1:]))
+        pieces[1:] = [" " + piece for piece in pieces[1:]]
+        return b"".join(map(self.packed.__getitem__, pieces))
 
 
 # ---------------------------------------------------------------- decoding
@@ -391,10 +391,25 @@ def decode(df: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str
     return rows.mapInArrow(work, "doc_id long, ids binary, decoded binary, text string")
 
 
+def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """``doc_id, ids, decoded``: :func:`encode`, and the ids' bytes by the streaming decoder,
+    in one pass."""
+    def work(batches):
+        rarer_gc()
+        encoder, decoder = _encoder(ranks_path, pattern), _decoder(ranks_path)
+        for part in slices(batches):
+            ids = [encoder.encode(t) for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(ids, pa.binary()), pa.array([decoder.decode(x)[0] for x in ids], pa.binary())],
+                ["doc_id", "ids", "decoded"])
+
+    return document_rows(df, id_col, text_col).mapInArrow(work, "doc_id long, ids binary, decoded binary")
+
+
 def digests(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Encode every text and decode the ids: ``doc_id, n_tokens, ids_sha256,
     decoded_sha256``."""
-    back = decode(encode(df, ranks_path, pattern), ranks_path)
-    return back.select(
+    return round_trip(df, ranks_path, pattern).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -195,7 +195,7 @@ class LibraryEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.first, self.later = Memo(self._whole), Memo(lambda piece: self._whole(" " + piece))
+        self.packed = Memo(self._whole)
 
     def _whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
@@ -205,7 +205,8 @@ class LibraryEncoder:
         if not text or any(t in text for t in self.added):
             return self._whole(text)
         pieces = split_at_spaces(text)
-        return self.first[pieces[0]] + b"".join(map(self.later.__getitem__, pieces[1:]))
+        pieces[1:] = [" " + piece for piece in pieces[1:]]
+        return b"".join(map(self.packed.__getitem__, pieces))
 
 
 @lru_cache(maxsize=2)
