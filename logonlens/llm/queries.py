@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from logonlens.llm import byte_bpe, packed_ids, simhash, token_counts
+from logonlens.llm import byte_bpe, license_scan, mixing, packed_ids, quality, simhash, token_counts
 from logonlens.llm.common import table
 from logonlens.session import scratch_path
 
@@ -18,11 +18,24 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), MULTI_RANKS, public_tokenizers.PATTERN)
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op5_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_ids.write_and_read(spark, table(spark, sf_dir, "documents"), scratch_path(spark, "idpk"),
                                      public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"),
                                      public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
@@ -34,7 +47,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_mixing": op2_mixing,
+    "op4_license_scan": op4_license_scan,
     "op5_packed_ids": op5_packed_ids,
+    "op6_quality": op6_quality,
     "op7_token_counts": op7_token_counts,
     "op10_simhash": op10_simhash,
 }
