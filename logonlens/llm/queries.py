@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from logonlens.llm import byte_bpe, license_scan, mixing, packed_ids, quality, simhash, token_counts
+from logonlens.llm import byte_bpe, license_scan, mixing, packed_ids, quality, simhash, suffix_dedup, token_counts
 from logonlens.llm.common import table
 from logonlens.session import scratch_path
 
@@ -41,6 +41,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_bits=2)
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packed_ids": op5_packed_ids,
     "op6_quality": op6_quality,
     "op7_token_counts": op7_token_counts,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
 }
 
