@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from logonlens.llm import byte_bpe, license_scan, mixing, packed_ids, quality, simhash, suffix_dedup, token_counts
+from logonlens.llm import (
+    ann, byte_bpe, gru_lm, license_scan, mixing, packed_ids, quality, simhash, suffix_dedup, token_counts,
+)
 from logonlens.llm.common import table
 from logonlens.session import scratch_path
 
@@ -22,6 +25,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op3_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru_lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
@@ -41,6 +48,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
@@ -52,10 +63,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_mixing": op2_mixing,
+    "op3_gru_lm": op3_gru_lm,
     "op4_license_scan": op4_license_scan,
     "op5_packed_ids": op5_packed_ids,
     "op6_quality": op6_quality,
     "op7_token_counts": op7_token_counts,
+    "op8_ann": op8_ann,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
 }
