@@ -1,13 +1,89 @@
-"""The training-corpus pipeline over ``documents``."""
+"""The training-corpus pipeline over ``documents``: quality rules, SimHash near-dedup,
+suffix-array dedup, mixing to target weights, byte-level BPE.
+
+Every stage works on all rows the one before it kept, and its decisions take effect: rejected
+documents and all but one of each near-duplicate group go, repeated passages are cut out of the
+texts, rows come in mixed order, and the last stage gives their token ids. All stages but the
+last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from logonlens.llm import byte_bpe, mixing, quality, simhash, suffix_dedup
+from logonlens.llm.common import cut
+from logonlens.llm.queries import MULTI_RANKS
+
+SHINGLE_WORDS, MAX_BITS, REPEAT_BYTES = 3, 2, 100
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    judged = quality.quality(docs, keep=tuple(docs.columns))
+    return judged.where("kept").select("row.*")
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group: the one of smallest doc_id (of several rows
+    of that id, the one whose text has the smallest hash). Rows without an id stay unless their
+    group has a document with one; of equal texts among them one stays."""
+    groups = simhash.near_duplicates(docs, SHINGLE_WORDS, MAX_BITS)
+    no_id = F.lit(suffix_dedup.NULL_ID).cast("long")
+    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
+        .select(F.coalesce("doc_id", no_id).alias("own_id")).distinct()
+    keyed = docs.withColumn("own_id", F.coalesce(F.col("doc_id").cast("long"), no_id)) \
+        .join(stays, "own_id", "left_semi").withColumn("own_hash", F.xxhash64("text"))
+    same = Window.partitionBy("own_id", F.when(F.col("doc_id").isNull(), F.col("own_hash"))).orderBy("own_hash")
+    return keyed.withColumn("place", F.row_number().over(same)).where("place = 1").select(*docs.columns)
+
+
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that stand earlier in the corpus; ``n_chars`` follows. Bytes
+    of a character that was cut into are left out."""
+    kept = suffix_dedup.remove_repeats(docs, REPEAT_BYTES, as_text=True).where("n_removed > 0").select(
+        F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"),
+        F.col("kept").cast("string").alias("own_text")).dropDuplicates(["own_id", "own_hash"])
+    joined = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit("")))).join(
+        kept, F.col("doc_id").cast("long").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")), "left")
+    n_chars = docs.schema["n_chars"].dataType
+    return joined.withColumns({
+        "text": F.coalesce("own_text", "text"),
+        "n_chars": F.coalesce(F.length("own_text").cast(n_chars), "n_chars"),
+    }).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order that mixes the sources to their target weights."""
+    placed = cut(mixing.mix(docs, keep=tuple(docs.columns)).select("position", "row"), "mixed")
+    return placed.repartitionByRange("position").sortWithinPartitions("position").select("row.*")
+
+
+def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the digests of ids and of the decoded text."""
+    coded = byte_bpe.round_trip(docs, MULTI_RANKS, public_tokenizers.PATTERN)
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("simhash near-dedup", simhash_dedup),
+    ("suffix-array dedup", suffix_array_dedup),
+    ("mixing", mix_sources),
+    ("byte-level bpe", encode_texts),
+]
+
+#: SQL cannot express the fingerprints, the passages or the encoding; see tests/llm/.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = cut(docs, "stage")
     return docs

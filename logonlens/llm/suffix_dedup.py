@@ -445,9 +445,11 @@ def removed_spans(size: int, start: np.ndarray, count: np.ndarray, length: int)
     return list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
 
 
-def remove_repeats(df: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(df: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text",
+                   as_text: bool = False) -> DataFrame:
     """``doc_id, text_hash, n_bytes, n_removed, n_spans, kept`` (the remaining bytes) for every
-    row of ``df``; ``text_hash`` is Spark's xxhash64 of the text."""
+    row of ``df``; ``text_hash`` is Spark's xxhash64 of the text. With ``as_text`` the remaining
+    bytes of characters that were cut into are left out, so ``kept`` is UTF-8."""
     if length <= ANCHOR:
         raise ValueError(f"length must be over {ANCHOR} bytes")
     table, total = write_slices(df, id_col, text_col)
@@ -473,7 +475,10 @@ def remove_repeats(df: DataFrame, length: int = 100, id_col: str = "doc_id", tex
                 for i, h, t, s in zip(row["ids"], row["hashes"], texts, spans, strict=True):
                     edges = [0, *(x for span in s for x in span), len(t)]
                     kept = b"".join(t[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-                    out.append({"doc_id": i, "text_hash": h, "n_bytes": len(t), "n_removed": len(t) - len(kept),
+                    n_kept = len(kept)
+                    if as_text and s:
+                        kept = kept.decode(errors="ignore").encode()
+                    out.append({"doc_id": i, "text_hash": h, "n_bytes": len(t), "n_removed": len(t) - n_kept,
                                 "n_spans": len(s), "kept": kept})
                 yield pa.RecordBatch.from_pylist(out, result)
 

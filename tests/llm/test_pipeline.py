@@ -1,0 +1,88 @@
+"""The pipeline, stage by stage, against plain Python on what the stage before kept."""
+import hashlib
+
+import corpus_pipeline as cp
+import public_tokenizers
+import pytest
+import tiktoken
+from conftest import SMALL
+from test_simhash import plain_components, plain_fingerprint
+
+from logonlens.llm import byte_bpe, mixing, quality
+from logonlens.llm.common import cut
+
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    frames = [spark.read.parquet(f"{SMALL}/documents.parquet")]
+    for _, stage in cp.STAGES:
+        frames.append(cut(stage(spark, frames[-1], SMALL), "test-stage"))
+    return frames
+
+
+def texts(df):
+    return {r.doc_id: r.text for r in df.collect()}
+
+
+def test_columns(steps):
+    assert all(f.columns == steps[0].columns and f.dtypes == steps[0].dtypes for f in steps[:-1])
+
+
+def test_quality_keeps_what_it_judges_good(steps):
+    kept = {r.doc_id for r in quality.quality(steps[0]).where("kept").collect()}
+    assert texts(steps[1]) == {i: t for i, t in texts(steps[0]).items() if i in kept} and 0 < len(kept) < steps[0].count()
+
+
+def test_one_of_each_near_duplicate_group_stays(steps):
+    docs = sorted(texts(steps[1]).items())
+    groups = plain_components([(i, plain_fingerprint(t, 3)) for i, t in docs], 2)
+    assert texts(steps[2]) == {i: t for (i, t), g in zip(docs, groups, strict=True) if i == g}
+
+
+def test_repeated_passages_go(steps):
+    seen, want = set(), {}
+    for i, t in sorted(texts(steps[2]).items()):
+        data = t.encode()
+        gone = bytearray(len(data))
+        for s in range(len(data) - 99):
+            if data[s:s + 100] in seen:
+                gone[s:s + 100] = b"\1" * 100
+            seen.add(data[s:s + 100])
+        want[i] = bytes(b for b, g in zip(data, gone, strict=True) if not g).decode(errors="ignore")
+    assert texts(steps[3]) == want
+    assert want != texts(steps[2])
+    assert all(r.n_chars == len(r.text) for r in steps[3].collect())
+
+
+def test_mixing_keeps_every_row_in_mixed_order(spark, steps):
+    assert sorted(map(tuple, steps[4].collect())) == sorted(map(tuple, steps[3].collect()))
+    place = {r.doc_id: r.position for r in mixing.mix(steps[3]).collect()}
+    got = [place[r.doc_id] for r in cp.mix_sources(spark, steps[3], SMALL).collect()]
+    assert got == sorted(place.values())
+
+
+def test_encoding_equals_the_library(steps):
+    ranks = byte_bpe.read_ranks(cp.MULTI_RANKS)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rows = steps[5].collect()
+    docs = texts(steps[4])
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    for r in rows:
+        ids = library.encode_ordinary(docs[r.doc_id])
+        packed = b"".join(i.to_bytes(4, "little") for i in ids)
+        assert (bytes(r.ids), r.n_tokens, r.ids_sha256) == (packed, len(ids), hashlib.sha256(packed).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
+
+
+def test_run_equals_its_stages(spark, steps):
+    assert sorted(r.ids_sha256 for r in cp.run(spark, SMALL).collect()) == sorted(r.ids_sha256 for r in steps[5].collect())
+
+
+def test_edge_cases(spark, edge_docs, no_docs):
+    for docs in (edge_docs, no_docs):
+        df = docs
+        for _, stage in cp.STAGES[1:]:       # the rules would reject all of these short texts
+            df = cut(stage(spark, df, SMALL), "test-edge")
+        assert df.count() <= docs.count()
+    assert cp.quality_rules(spark, no_docs, SMALL).count() == 0
+    assert {r.doc_id for r in cp.simhash_dedup(spark, edge_docs, SMALL).collect()} >= {None, 4, 9}
