@@ -22,7 +22,9 @@ SHINGLE_WORDS, MAX_BITS, REPEAT_BYTES = 3, 2, 100
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    judged = quality.quality(docs, keep=tuple(docs.columns))
+    # written before it is filtered: a filter on ``kept`` would be pushed below the steps that
+    # compute it, and every step's expressions be put into the next one's
+    judged = cut(quality.quality(docs, keep=tuple(docs.columns)).select("kept", "row"), "quality")
     return judged.where("kept").select("row.*")
 
 

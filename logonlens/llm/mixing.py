@@ -28,6 +28,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logonlens.llm.common import cut
+
 SLOTS = 1000
 BLOCK_ROWS = 16
 BUCKETS = 4096
@@ -82,7 +84,8 @@ def schedule(sizes: DataFrame, weights: Mapping[str, float] | None = None, slots
     q = tickets(sizes, weights, slots, temperature)
     one = q.agg(F.sort_array(F.collect_list(F.struct("source", "n", "q"))).alias("sources"))
     one = one.withColumn("counts", F.transform("sources", lambda x: x["q"]))
-    one = one.where(F.size("sources") > 0).withColumn("order", edf(F.col("counts"), slots))
+    # one row, written so that the fold runs once and not wherever its result is used
+    one = cut(one.where(F.size("sources") > 0).withColumn("order", edf(F.col("counts"), slots)), "mixing-schedule")
     one = one.withColumn("all_sources", F.transform("sources", lambda x, s: F.struct(
         x["source"].alias("source"), x["n"].alias("n"), x["q"].alias("q"),
         F.filter(F.transform("order", lambda o, t: F.when(o == s, t)), lambda t: t.isNotNull()).alias("own_slots"))))

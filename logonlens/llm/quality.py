@@ -33,6 +33,7 @@ MAX_REPEAT_PERCENT = 30
 # Character classes: the characters that a class keeps.
 CLASSES = {"upper": "A-Z", "lower": "a-z", "digit": "0-9", "space": SPACE, "symbol": SYMBOLS,
            "stop": ".,;:!?", "wide": r"\u0080-\x{10FFFF}"}
+CLASS_NAMES = list(CLASSES)
 COMMON_WORDS = 32            # common words of a language's reference
 COMMON_CHARS = 5             # they have at most so many letters
 COMMON_SHARE = 1e-4          # and at least this share of such words, so 10,000 at most compete
@@ -51,16 +52,25 @@ def words_of(text: Column) -> Column:
 def _counts(df: DataFrame, keep: list[str]) -> DataFrame:
     """The base counts of every text, with its words for the common-word histogram.
 
-    Windows are compared by a 64-bit hash of their words' hashes. Only texts that repeat a
+    Windows (8 words: three doublings) are compared by a 64-bit hash of their words' hashes. Only texts that repeat a
     window are sorted: equal windows then stand side by side, and the words they cover are
     summed over their sorted starts, so the cost is n log n for any text."""
     df = df.withColumn("words", words_of(F.col("text")))
     df = df.withColumn("lines", F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\f\r")) != ""))
     df = df.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
     n = F.size("words")
-    df = df.withColumn("windows", F.when(n >= WINDOW, F.transform(
-        F.sequence(F.lit(0), n - WINDOW),
-        lambda i: F.xxhash64(*[F.get("hashes", i + k) for k in range(WINDOW)]))).otherwise(F.array().cast("array<bigint>")))
+
+    def joined(hashes: str, step: int) -> Column:
+        """Hashes of twice as many words: each with the one ``step`` places on."""
+        size = F.greatest(F.lit(0), F.size(hashes) - step)
+        return F.zip_with(F.slice(hashes, 1, size), F.slice(hashes, step + 1, size), lambda x, y: F.xxhash64(x, y))
+
+    step = 1
+    df = df.withColumn("windows", F.col("hashes"))
+    while step < WINDOW:
+        df = df.withColumn(f"windows{step}", joined("windows" if step == 1 else f"windows{step // 2}", step))
+        step *= 2
+    df = df.withColumn("windows", F.col(f"windows{step // 2}"))
     df = df.withColumn("pairs", F.when(
         F.size("windows") > F.size(F.array_distinct("windows")),
         F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
@@ -78,23 +88,29 @@ def _counts(df: DataFrame, keep: list[str]) -> DataFrame:
     return df.select(
         *keep, "words",
         n.cast("long").alias("n_words"),
-        F.length(F.regexp_replace(text, f"[{SPACE}]+", "")).cast("long").alias("word_chars"),
-        F.length(F.regexp_replace(text, "[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
+        (F.length(text) - F.get("own_classes", CLASS_NAMES.index("space"))).cast("long").alias("word_chars"),
+        F.get("own_classes", CLASS_NAMES.index("symbol")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(repeat, F.lit(0)).alias("n_repeat_words"))
 
 
-def class_counts(text: Column) -> Column:
-    """Characters of each class, and of none."""
-    counts = [F.length(F.regexp_replace(text, f"[^{kept}]+", "")).cast("double") for kept in CLASSES.values()]
-    every = F.array(*counts)
-    return F.concat(every, F.array(F.length(text).cast("double") - F.aggregate(every, F.lit(0.0), lambda a, x: a + x)))
+def with_classes(df: DataFrame, name: str) -> DataFrame:
+    """Adds the characters of each class of ``text``, and of none. One pass takes the lower-case
+    letters out, which are most of a text; the other classes are counted in what is left."""
+    left = F.col("without_lower")
+    df = df.withColumn("without_lower", F.regexp_replace("text", "[a-z]+", ""))
+    counts = [F.length("text") - F.length(left) if kept == "a-z" else F.length(F.regexp_replace(left, f"[^{kept}]+", ""))
+              for kept in CLASSES.values()]
+    df = df.withColumn("in_classes", F.array(*[c.cast("double") for c in counts]))
+    every = F.aggregate("in_classes", F.lit(0.0), lambda a, x: a + x)
+    return df.withColumn(name, F.array_append("in_classes", F.length("text") - every)).drop("without_lower", "in_classes")
 
 
 def common_words(words: Column) -> Column:
-    """The lower-cased words that may be common ones: short, and letters only."""
-    return F.filter(F.transform(words, lambda w: F.lower(F.btrim(w, F.lit(".,;:!?|")))),
-                    lambda w: F.length(w).between(1, COMMON_CHARS))
+    """The lower-cased words that may be common ones: those with few letters between marks."""
+    marks = F.lit(".,;:!?|")
+    short = F.filter(words, lambda w: F.length(F.btrim(w, marks)).between(1, COMMON_CHARS))
+    return F.transform(short, lambda w: F.lower(F.btrim(w, marks)))
 
 
 def references(docs: DataFrame, max_languages: int = MAX_LANGUAGES) -> DataFrame:
@@ -103,7 +119,7 @@ def references(docs: DataFrame, max_languages: int = MAX_LANGUAGES) -> DataFrame
     ``common``: all other short words."""
     known = docs.where(F.col("lang").isNotNull())
     sums = [F.sum(F.get("c", k)).alias(f"c{k}") for k in range(len(CLASSES) + 1)]
-    classes = known.select("lang", class_counts(F.col("text")).alias("c")).groupBy("lang") \
+    classes = with_classes(known, "c").groupBy("lang") \
         .agg(F.count(F.lit(1)).alias("n"), *sums) \
         .select("lang", "n", F.array(*[f"c{k}" for k in range(len(CLASSES) + 1)]).alias("classes"))
     counted = known.select("lang", F.explode(common_words(words_of(F.col("text")))).alias("word")) \
@@ -152,7 +168,7 @@ def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                      F.col(lang_col).alias("lang"), *([F.struct(*keep).alias("row")] if keep else []))
     carried = ["doc_id", *(["row"] if keep else [])]
     refs = references(docs.select("lang", "text"))
-    counted = _counts(docs.withColumn("own_classes", class_counts(F.col("text"))), [*carried, "lang", "own_classes"])
+    counted = _counts(with_classes(docs, "own_classes"), [*carried, "lang", "own_classes"])
     judged = counted.join(F.broadcast(refs), "lang", "left")
     judged = judged.withColumn("short_words", F.when(F.col("common").isNotNull() & (F.col("n_words") >= MIN_WORDS_JUDGED),
                                                      common_words(F.col("words"))))
