@@ -19,8 +19,13 @@ def parse(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--jdbc-url", help="load the gold tables to this JDBC database")
     p.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE",
                    help="extra JDBC option (user, password, driver, ...); repeatable")
-    p.add_argument("--direct-scans", action="store_true",
-                   help="one aggregate per silver table instead of rollups of one cube")
+    scans = p.add_mutually_exclusive_group()
+    scans.add_argument("--direct-scans", action="store_true",
+                       help="one aggregate per silver table (the default)")
+    scans.add_argument("--cube", action="store_true", help="silver tables as rollups of one written cube")
+    p.add_argument("--missing-values", action="store_true",
+                   help="read NA, NaN, null and the like in the raw logs as missing")
+    p.add_argument("--input-bytes", type=int, help="uncompressed bytes of the raw log, for the session's sizing")
     return p.parse_args(argv)
 
 
@@ -29,13 +34,17 @@ def main(argv: list[str] | None = None) -> int:
     from pyspark.sql import SparkSession
 
     from logonlens.plans.medallion import run_medallion
+    from logonlens.session import scale_conf
 
-    spark = SparkSession.builder.appName("logonlens").getOrCreate()
+    builder = SparkSession.builder.appName("logonlens")
+    if args.input_bytes:
+        builder = builder.config(map=scale_conf(args.input_bytes))
+    spark = builder.getOrCreate()
     report = run_medallion(
         spark, args.root, raw_auth=args.raw_auth, raw_redteam=args.raw_redteam,
         skip_bronze=args.skip_bronze, only_load=args.only_load, jdbc_url=args.jdbc_url,
         jdbc_properties=dict(opt.split("=", 1) for opt in args.jdbc_option) or None,
-        shared_scan=not args.direct_scans,
+        shared_scan=args.cube, pandas_nulls=args.missing_values,
     )
     print(json.dumps(report, indent=2, default=str))
     return 0

@@ -27,15 +27,20 @@ def account_domain(col: str | Column) -> Column:
     return F.substring_index(_c(col), "@", -1)
 
 
+def _whole(t: Column, by: int) -> Column:
+    """Integer division (SQL ``div``), without going through doubles."""
+    return F.call_function("div", t, F.lit(by).cast("bigint"))
+
+
 def day_of(ts: str | Column = "timestamp") -> Column:
     """TIM1: floor(ts / 86400), exact on bigint and correct below zero."""
-    t = _c(ts)
-    return ((t - F.pmod(t, F.lit(SECONDS_PER_DAY))) / F.lit(SECONDS_PER_DAY)).cast("bigint")
+    t = _c(ts).cast("bigint")
+    return _whole(t - F.pmod(t, F.lit(SECONDS_PER_DAY)), SECONDS_PER_DAY)
 
 
 def hour_of(ts: str | Column = "timestamp") -> Column:
     """TIM2: hour of day 0-23 (floor modulo, so also correct below zero)."""
-    return (F.pmod(_c(ts), F.lit(SECONDS_PER_DAY)) / F.lit(SECONDS_PER_HOUR)).cast("bigint")
+    return _whole(F.pmod(_c(ts).cast("bigint"), F.lit(SECONDS_PER_DAY)), SECONDS_PER_HOUR)
 
 
 def is_business_hour(hour: str | Column = "hour") -> Column:
@@ -71,12 +76,13 @@ def normalize_auth(auth: DataFrame) -> DataFrame:
     string and its text up to the first ``@`` share the first character, so the two
     are equivalent, and only this form reaches the parquet scan as a pushed filter.
     A ``day`` column already present (the bronze partition column, written as
-    ``day_of(timestamp)``) is kept, so filters on ``day`` prune whole partitions.
+    ``day_of(timestamp)``) is kept, so filters on ``day`` prune whole partitions; it is cast to
+    bigint, since partition discovery reads it back as int.
     """
     out = auth.where(is_person("source_user")).withColumns({
         "user": account_name("source_user"),
         "domain": account_domain("source_user"),
     })
     if "day" in auth.columns:
-        return out.select(*[c for c in out.columns if c != "day"], "day")
+        return out.select(*[c for c in out.columns if c != "day"], F.col("day").cast("bigint").alias("day"))
     return out.withColumn("day", day_of("timestamp"))

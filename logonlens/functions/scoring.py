@@ -6,9 +6,11 @@ task. Instead every rank here is computed from a *value histogram*:
 1. ``hist``: one row per (group, metric, distinct value) with its row count ``c``
    (partial aggregation map-side, then a shuffle of distinct values only).
 2. Each distinct value gets a bucket that is a fixed, monotone function of the value:
-   the number of approximate-quantile boundaries below it (boundaries come from
-   ``percentile_approx`` over the distinct values, so buckets hold similar numbers of
-   distinct values; exactness never depends on the boundaries).
+   the number of boundaries below it. Boundaries come from a sample of the distinct values
+   chosen by hash alone: of the values in one hash slot the one of smallest hash. So they
+   are the same whenever and in whatever order they are computed (a retried or repeated
+   stage cannot shift them), they fold map-side, and at most ``slots`` values per metric are
+   sorted. Exactness never depends on where they lie.
 3. A running sum inside each bucket, partitioned by (metric, bucket), gives the rank
    within the bucket; per-bucket totals, one bounded array of ``buckets`` numbers per
    metric, give each bucket's offset as an exclusive prefix sum.
@@ -26,12 +28,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Rank buckets: the (metric, bucket) groups are what the rank's window spreads over, so by
-# default there are as many buckets as the session has shuffle partitions (at least 64, at
-# most 4096): rank parallelism follows the cluster's sizing, and a window task holds about
-# (distinct values) / buckets rows. Bucket lookup is a binary search (O(log buckets)) and
-# bucket totals stay tiny (metrics x buckets numbers).
-MIN_BUCKETS, MAX_BUCKETS = 64, 4096
-DEFAULT_ACCURACY = 10000
+# default there are as many buckets as the session has shuffle partitions: rank parallelism
+# follows the cluster's sizing, and a window task holds about (distinct values) / buckets
+# rows. Bucket lookup is a binary search (O(log buckets)) and bucket totals stay tiny
+# (metrics x buckets numbers).
+SLOTS_PER_BUCKET = 16       # hash slots a boundary is chosen from
 
 # Risk bands (lower bounds, highest first) and the default weights of
 # the four percentile scores, in the order they are summed.
@@ -53,8 +54,7 @@ RISK_INPUTS = {
 
 
 def default_buckets(spark) -> int:
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, parts))
+    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def bucket_of(bounds: Column, value: Column, n_bounds: int) -> Column:
@@ -72,13 +72,24 @@ def bucket_of(bounds: Column, value: Column, n_bounds: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)["lo"]
 
 
+def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on ``keys`` where NULL equals NULL (a NULL group is a group); keys come once, from
+    the left side."""
+    names = {k: f"__right_{k}" for k in keys}
+    renamed = right.withColumnsRenamed(names)
+    on = [F.col(k).eqNullSafe(F.col(names[k])) for k in keys]
+    return left.join(renamed, on, how).drop(*names.values())
+
+
 def value_ranks(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str] = (),
-                buckets: int | None = None, accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                buckets: int | None = None) -> DataFrame:
     """Exact rank statistics per distinct value of each column (optionally per group).
 
     Output: ``group_cols..., metric, value (double), c, below, n_all, n_valid``; ``below`` is
     NULL for the NULL value. ``n_all`` counts NULLs, ``n_valid`` does not.
 
+    A NULL group is a group of its own.
+
     Stages: histogram (shuffle of distinct values) -> bucket boundaries per metric ->
     running sum inside each (metric, bucket) -> one array of ``buckets`` totals per metric
     (bounded, broadcast by AQE) whose exclusive prefix sums are the bucket offsets.
@@ -86,7 +97,6 @@ def value_ranks(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]
     g = list(group_cols)
     spark = df.sparkSession
     buckets = buckets or default_buckets(spark)
-    accuracy = max(accuracy, 4 * buckets)
     pairs = F.array(*[
         F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns
     ])
@@ -95,19 +105,21 @@ def value_ranks(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]
         .groupBy(*g, "metric", "value")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    fractions = [i / buckets for i in range(1, buckets)]
-    # This branch must stay an identical copy of ``hist`` so Spark reuses its exchange
-    # (one scan of ``df``): no NULL filter (percentile_approx skips NULLs itself), and it
-    # reads ``c`` (always >= 1) because a branch that ignored the count would be pruned
-    # into a different, count-less aggregate.
-    bounds = hist.groupBy(*g, "metric").agg(
-        F.percentile_approx(F.when(F.col("c") > 0, F.col("value")), fractions, accuracy).alias("bounds"))
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        # Both branches below must bucket with the *same* boundaries, and a sketch's
-        # merge order can vary between two computations. Spark shares one boundaries
-        # broadcast through exchange reuse; without it, fetch the boundaries once
-        # (metrics x buckets numbers) and use them as a constant relation.
-        bounds = spark.createDataFrame(bounds.collect(), bounds.schema)
+    # Boundaries: one value per hash slot (a partial aggregate of at most ``slots`` rows per
+    # group and metric), sorted, then every (size / buckets)-th of them.
+    slots = buckets * SLOTS_PER_BUCKET
+    h = F.xxhash64("value")
+    sample = (
+        hist.where(F.col("value").isNotNull())
+        .groupBy(*g, "metric", F.pmod(h, F.lit(slots)).alias("slot"))
+        .agg(F.min_by("value", h).alias("value"))
+        .groupBy(*g, "metric")
+        .agg(F.sort_array(F.collect_list("value")).alias("sample"))
+    )
+    picked = F.transform(
+        F.sequence(F.lit(1), F.lit(buckets - 1)),
+        lambda i: F.element_at("sample", F.greatest(F.lit(1), F.floor(i * F.size("sample") / F.lit(buckets))).cast("int")))
+    bounds = sample.select(*g, "metric", F.array_sort(F.array_distinct(picked)).alias("bounds"))
     bucket = F.when(F.col("value").isNull(), F.lit(-1)).otherwise(
         F.coalesce(bucket_of(F.col("bounds"), F.col("value"), buckets - 1), F.lit(0))
     )
@@ -116,7 +128,7 @@ def value_ranks(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = (
-        hist.join(bounds, [*g, "metric"], "left")
+        join_groups(hist, bounds, [*g, "metric"], "left")
         .withColumn("bucket", bucket).drop("bounds")
         .withColumn("cum", F.sum("c").over(in_bucket))
     )
@@ -144,11 +156,13 @@ def value_ranks(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]
         "nulls",
     )
     return (
-        local.join(offsets, [*g, "metric"])
+        join_groups(local, offsets, [*g, "metric"], "inner")
         .select(
             *g, "metric", "value", "c",
             F.when(F.col("value").isNull(), F.lit(None).cast("bigint"))
-            .otherwise(F.element_at("offsets", F.col("bucket")) + F.col("cum") - F.col("c"))
+            .otherwise(F.coalesce(F.element_at("offsets", F.col("bucket")),
+                                  F.raise_error(F.lit("rank bucket without an offset")).cast("bigint"))
+                       + F.col("cum") - F.col("c"))
             .alias("below"),
             (F.col("n_valid") + F.col("nulls")).alias("n_all"),
             "n_valid",

@@ -25,6 +25,7 @@ from logonlens.functions.scoring import (
     weighted_sum,
 )
 
+# Published column lists of the gold tables, in order.
 RISK_COLUMNS = ["user", "risk_score", "risk_level", "login_score", "computer_score",
                 "volume_score", "redteam_score"]
 TOP_USERS_COLUMNS = ["user", "risk_score", "risk_level", "redteam_events", "total_logins",

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logonlens.functions.metrics import n_unique
-from logonlens.functions.scoring import exact_quantiles, value_ranks
+from logonlens.functions.scoring import exact_quantiles, join_groups, value_ranks
 
 # The metric columns the exploratory profile studies.
 PROFILE_COLUMNS = (
@@ -93,7 +93,7 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None,
     )
     quants = exact_quantiles(value_ranks(df, cols, g), DESCRIBE_QUANTILES, g)
     return (
-        moments.join(quants, [*g, "metric"], "left")
+        join_groups(moments, quants, [*g, "metric"], "left")
         .select(*g, F.col("metric").alias("column"), "count", "null_count", "mean", "std", "min",
                 "p25", "p50", "p75", "max")
     )

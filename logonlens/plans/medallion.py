@@ -1,8 +1,9 @@
 """The full bronze -> silver -> gold run, with optional JDBC load.
 
 Every step hands over through a written table (which also cuts lineage: a lost executor
-re-reads the previous table, never the raw log). Silver tables over the auth log are
-rollups of one written activity cube, so the log is scanned once, not seven times.
+re-reads the previous table, never the raw log). Silver tables over the auth log are pruned
+aggregates over bronze, each with a small shuffle; ``shared_scan=True`` derives them from
+one written activity cube instead (one scan, but the cube may be nearly as large as the log).
 Tables of one dependency level are written by concurrent jobs (the same order of levels
 as the reference's stages), so small tables do not leave the cluster idle.
 """
@@ -38,6 +39,8 @@ SORT = {
     "gold_hourly_activity": ["day", "hour"],
     "login_timeline": ["day"],
 }
+# Facts and events, which grow with the log: ordered inside their parts only.
+SORTED_PARTS = ("redteam_events", "daily_computer_activity", "daily_user_activity")
 # The gold tables the load step publishes, in load order.
 GOLD_TABLES = ("user_risk", "dashboard_kpis", "login_timeline", "risk_distribution", "top_users",
                "top_computers", "hourly_activity", "redteam_summary")
@@ -58,16 +61,18 @@ class Paths:
 
 
 def ingest_auth(spark: SparkSession, raw: str | list[str], bronze_dir: str,
-                num_partitions: int | None = None) -> DataFrame:
-    """J01 + J02: raw CSV -> bronze parts; returns the one-row validation."""
-    write_bronze_auth(read_auth_csv(spark, raw), bronze_dir, num_partitions=num_partitions,
-                      source_bytes=input_bytes(spark, raw))
+                num_partitions: int | None = None, pandas_nulls: bool = False, **writer) -> DataFrame:
+    """J01 + J02: raw CSV -> bronze parts; returns the one-row validation. ``writer`` goes to
+    :func:`~logonlens.sources.sinks.write_bronze_auth` (rows_per_file, day_share, ...)."""
+    write_bronze_auth(read_auth_csv(spark, raw, pandas_nulls=pandas_nulls), bronze_dir,
+                      num_partitions=num_partitions, source_bytes=input_bytes(spark, raw), **writer)
     return validate.row_count(read_table(spark, bronze_dir))
 
 
-def ingest_redteam(spark: SparkSession, raw: str | list[str], bronze_path: str) -> DataFrame:
+def ingest_redteam(spark: SparkSession, raw: str | list[str], bronze_path: str,
+                   pandas_nulls: bool = False) -> DataFrame:
     """J03 + J04: raw CSV -> bronze table; returns the one-row validation."""
-    write_table(read_redteam_csv(spark, raw), bronze_path)
+    write_table(read_redteam_csv(spark, raw, pandas_nulls=pandas_nulls), bronze_path)
     return validate.redteam_validation(read_table(spark, bronze_path))
 
 
@@ -87,14 +92,17 @@ def run_medallion(spark: SparkSession, root: str, raw_auth: str | list[str] | No
                   raw_redteam: str | list[str] | None = None, skip_bronze: bool = False,
                   only_load: bool = False, jdbc_url: str | None = None,
                   jdbc_properties: Mapping[str, str] | None = None,
-                  concurrent_jobs: int = 8, shared_scan: bool = True) -> dict:
+                  concurrent_jobs: int = 8, shared_scan: bool = False, pandas_nulls: bool = False,
+                  bronze_writer: Mapping[str, object] | None = None) -> dict:
     """Run the stages in the reference's order; returns table paths and validations.
 
     ``skip_bronze`` reuses existing bronze tables; ``only_load`` only publishes existing
     gold tables (needs ``jdbc_url``); the load runs when ``jdbc_url`` is given.
-    ``shared_scan=False`` builds each log-derived silver table by its own aggregate over
-    bronze (seven pruned scans, smaller shuffles) instead of rollups of one written cube
-    (one scan); pick it when the cube would be nearly as large as the log.
+    Each log-derived silver table is its own aggregate over bronze (pruned scans, small
+    shuffles); ``shared_scan=True`` makes them rollups of one written cube (one scan), for
+    logs in which few (day, hour, user, computer) groups hold many rows. ``pandas_nulls``
+    reads the CSV reader's usual spellings of missing values as NULL. ``bronze_writer`` holds
+    settings of :func:`~logonlens.sources.sinks.write_bronze_auth`.
     """
     p = Paths(root)
     report: dict = {"tables": {}, "validation": {}, "seconds": {}}
@@ -106,7 +114,7 @@ def run_medallion(spark: SparkSession, root: str, raw_auth: str | list[str] | No
             order = [F.desc_nulls_first(c[1:]) if c.startswith("-") else F.col(c)
                      for c in SORT.get(sort_key or name, [])]
             df = build()
-            write_table(df, path, sort_by=order)
+            write_table(df, path, sort_by=order, global_order=name not in SORTED_PARTS)
             report["tables"][f"{layer}.{name}"] = path
             # read back with the schema just written: no footer pass to infer it
             return spark.read.schema(df.schema).parquet(path)
@@ -124,8 +132,10 @@ def run_medallion(spark: SparkSession, root: str, raw_auth: str | list[str] | No
                 raise ValueError("raw_auth and raw_redteam are needed unless skip_bronze")
             # each ingest validates its own output (a one-row result) inside its job
             checks = level({
-                "auth": lambda: ingest_auth(spark, raw_auth, p.bronze("auth")).first().asDict(),
-                "redteam": lambda: ingest_redteam(spark, raw_redteam, p.bronze("redteam")).first().asDict(),
+                "auth": lambda: ingest_auth(spark, raw_auth, p.bronze("auth"), pandas_nulls=pandas_nulls,
+                                            **(bronze_writer or {})).first().asDict(),
+                "redteam": lambda: ingest_redteam(spark, raw_redteam, p.bronze("redteam"),
+                                                  pandas_nulls).first().asDict(),
             })
             report["validation"] = dict(checks)
         auth = _bronze_auth(spark, p.bronze("auth"))

@@ -176,7 +176,8 @@ def _long(cols, src: str) -> str:
 
 
 def _describe(cols, src: str, group: str | None = None) -> tuple[str, str]:
-    gsel = f"{group}, " if group else ""
+    gsel, gout = (f"{group}, ", f"m.{group}, ") if group else ("", "")
+    same = f"m.metric = q.metric AND m.{group} IS NOT DISTINCT FROM q.{group}" if group else "m.metric = q.metric"
     long = "\n  UNION ALL ".join(
         f"SELECT {gsel}'{c}' AS metric, CAST({c} AS DOUBLE) AS value FROM {src}" for c in cols)
     gpart = f"{group}, metric" if group else "metric"
@@ -196,8 +197,8 @@ ordered AS (
 quants AS (
   SELECT {gpart},
     {quant}
-  FROM ordered GROUP BY {gpart})""", f"""SELECT {gsel}m.metric AS column, count, null_count, mean, std, min, p25, p50, p75, max
-FROM moments m LEFT JOIN quants q USING ({gpart})""")
+  FROM ordered GROUP BY {gpart})""", f"""SELECT {gout}m.metric AS column, count, null_count, mean, std, min, p25, p50, p75, max
+FROM moments m LEFT JOIN quants q ON {same}""")
 
 
 def _histogram(cols, src: str, bins: int = 50) -> tuple[str, str]:
@@ -212,16 +213,9 @@ stats AS (
     CASE WHEN min(value) = max(value) THEN min(value) - 0.5 ELSE min(value) END AS lo,
     CASE WHEN min(value) = max(value) THEN max(value) + 0.5 ELSE max(value) END AS hi
   FROM hlong WHERE value IS NOT NULL GROUP BY metric),
-guess AS (
-  SELECT l.metric, l.value, s.lo, s.hi,
-    CAST(least(greatest(floor((l.value - s.lo) * ({bins}.0::DOUBLE / (s.hi - s.lo))), 0), {bins - 1}) AS INTEGER) AS g
-  FROM hlong l JOIN stats s USING (metric) WHERE l.value IS NOT NULL),
 binned AS (
-  SELECT metric,
-    CASE WHEN value < {edge('g')} THEN g - 1
-         WHEN value >= {edge('g + 1')} AND g <> {bins - 1} THEN g + 1
-         ELSE g END AS bin
-  FROM guess),
+  SELECT l.metric, b.bin FROM hlong l JOIN stats s ON s.metric = l.metric JOIN range(0, {bins}) b(bin)
+    ON l.value >= {edge('b.bin')} AND (l.value < {edge('b.bin + 1')} OR b.bin = {bins - 1} AND l.value <= hi)),
 counts AS (SELECT metric, bin, count(*) AS cnt FROM binned GROUP BY metric, bin),
 frame AS (SELECT metric, lo, hi, b.bin FROM stats, range(0, {bins}) b(bin))""", f"""SELECT f.metric AS column, CAST(f.bin AS INTEGER) AS bin,
   {edge('f.bin')} AS lower, {edge('f.bin + 1')} AS upper,
@@ -356,6 +350,9 @@ LIMIT 100"""),
     "user_null_counts": with_(FEATURES, "SELECT " + ", ".join(
         f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in USER_FEATURE_COLUMNS) + " FROM uf"),
     "user_describe": _with_pair(FEATURES, _describe(NUMERIC_USER_COLUMNS, "uf")),
+    "user_describe_null_group": _with_pair(
+        [*FEATURES, "uc AS (SELECT *, CASE WHEN redteam_events > 0 THEN 'flagged' END AS cohort FROM uf)"],
+        _describe(["total_logins", "unique_computers"], "uc", "cohort")),
     "user_describe_by_cohort": _with_pair(FEATURES, _describe(NUMERIC_USER_COLUMNS, "uf", "is_redteam_user")),
     "user_histogram": _with_pair(FEATURES, _histogram(PROFILE_COLUMNS, "uf")),
     "user_correlation": with_(FEATURES, _correlation(PROFILE_COLUMNS, "uf")),
@@ -372,3 +369,8 @@ LIMIT 100"""),
                                 "SELECT \"user\", login_score, computer_score, volume_score, redteam_score, risk_score FROM weighted"),
     "redteam_users_flagged": with_(FEATURES, "SELECT * FROM uf WHERE is_redteam_user"),
 }
+
+# The tables of the full run hold what the lazy queries of the same name give.
+ORACLE |= {f"run_{name}": ORACLE[source] for name, source in (
+    ("hourly_activity", "hourly_activity"), ("users_features", "user_features"),
+    ("user_risk", "user_risk"), ("dashboard_kpis", "dashboard_kpis"))}

@@ -95,6 +95,37 @@ def _bronze_roundtrip(which: str) -> Query:
     return run
 
 
+_LAKES: "weakref.WeakKeyDictionary[SparkSession, dict[str, str]]" = weakref.WeakKeyDictionary()
+
+
+def _full_run(layer: str, table: str) -> Query:
+    """A table as the whole raw -> bronze -> silver -> gold run wrote it. The run over a
+    data folder happens once per session; its raw logs and its lake lie in new folders under
+    the session's checkpoint folder."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from logonlens.plans.medallion import Paths, run_medallion
+        from logonlens.session import scratch_path
+
+        lakes = _LAKES.setdefault(spark, {})
+        if sf_dir not in lakes:
+            ly = layers(spark, sf_dir)
+            raw_auth, raw_red = scratch_path(spark, "run-raw-auth"), scratch_path(spark, "run-raw-redteam")
+            ly.auth.write.option("compression", "gzip").csv(raw_auth)
+            ly.redteam.write.option("compression", "gzip").csv(raw_red)
+            root = scratch_path(spark, "run-lake")
+            run_medallion(spark, root, raw_auth, raw_red)
+            lakes[sf_dir] = root
+        return spark.read.parquet(getattr(Paths(lakes[sf_dir]), layer)(table))
+    run.__name__ = f"run_{table}"
+    return run
+
+
+def _describe_with_null_group(ly: Layers) -> DataFrame:
+    """STA6 over a group column that is NULL for users outside the red-team events."""
+    users = ly.user_features.withColumn("cohort", F.when(F.col("redteam_events") > 0, F.lit("flagged")))
+    return profile.describe(users, ["total_logins", "unique_computers"], ["cohort"])
+
+
 def _fact_summary(ly: Layers) -> DataFrame:
     parts = [
         profile.table_summary(ly.hourly_activity, ["day", "hour"], "hourly_activity"),
@@ -124,6 +155,11 @@ QUERIES: dict[str, Query] = {
     "auth_row_count": _q(lambda ly: validate.row_count(ly.auth)),
     "auth_bronze_roundtrip": _bronze_roundtrip("auth"),
     "redteam_bronze_roundtrip": _bronze_roundtrip("redteam"),
+    "run_hourly_activity": _full_run("silver", "hourly_activity"),
+    "run_users_features": _full_run("silver", "users_features"),
+    "run_user_risk": _full_run("gold", "user_risk"),
+    "run_dashboard_kpis": _full_run("gold", "dashboard_kpis"),
+    "user_describe_null_group": _q(_describe_with_null_group),
     "redteam_validation": _q(lambda ly: validate.redteam_validation(ly.redteam)),
     # silver
     "users_dim": _q(lambda ly: silver.users_dim(ly.norm)),

@@ -40,10 +40,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir, setting a local one only if none is configured."""
+    """Return the session's checkpoint dir. Only a local session without one gets a folder of
+    this machine; on a cluster other machines could not see it, so it has to be configured."""
     current = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="logonlens-ckpt-")
     spark.conf.set(_CHECKPOINT_KEY, local)
     spark.sparkContext.setCheckpointDir(local)
@@ -56,7 +60,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "logonlens-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-MAX_SHUFFLE_PARTITIONS = 32768
+MIN_SHUFFLE_PARTITIONS = 200      # Spark's own default
 
 
 def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
@@ -64,10 +68,10 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dic
 
     AQE coalesces small partitions at run time, so the initial number only has to be
     large enough that no shuffle partition outgrows executor memory (every shuffle here
-    follows a map-side partial aggregate, so it carries far less than the input); it is
-    capped so the map-output bookkeeping (mappers x reducers) stays manageable.
+    follows a map-side partial aggregate, so it carries far less than the input). Raise
+    ``target_partition_bytes`` where map-output bookkeeping (mappers x reducers) gets large.
     """
-    initial = max(200, min(MAX_SHUFFLE_PARTITIONS, int(input_bytes // target_partition_bytes)))
+    initial = max(MIN_SHUFFLE_PARTITIONS, int(input_bytes // target_partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
@@ -77,18 +81,3 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dic
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.scheduler.mode": "FAIR",
     }
-
-
-def cut_lineage(df):
-    """Write ``df`` as parquet under ``spark.checkpoint.dir`` and return a frame reading it.
-
-    Used before operators that read their input several times (the rank path reads it
-    about five times): the plan they build stays small, the planner gets real file
-    statistics (AQE can size broadcasts from them), later scans prune columns, and a lost
-    executor recomputes from the written table instead of from the raw log. Never
-    ``localCheckpoint``: that copy lives on executors and dies with them.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, "cut")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)

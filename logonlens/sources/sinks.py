@@ -15,60 +15,63 @@ from pyspark.sql import functions as F
 
 from logonlens.functions.normalize import day_of
 
-# Rows per bronze part, as in the reference's 500k-row chunks.
-BRONZE_ROWS_PER_FILE = 500_000
 # Uncompressed input bytes per bronze writer task.
 BRONZE_BYTES_PER_WRITER = 256 << 20
+# Share of the writers that one day's rows are dealt over.
+BRONZE_DAY_SHARE = 1.0
 
 
 def write_bronze_auth(df: DataFrame, path: str, num_partitions: int | None = None,
-                      rows_per_file: int = BRONZE_ROWS_PER_FILE, partition_by_day: bool = True,
-                      salts: int = 8, mode: str = "overwrite",
-                      source_bytes: int | None = None) -> None:
-    """SNK1: the raw auth log as parquet parts of at most ``rows_per_file`` rows.
+                      rows_per_file: int | None = None, partition_by_day: bool = True,
+                      day_share: float = BRONZE_DAY_SHARE, mode: str = "overwrite",
+                      source_bytes: int | None = None,
+                      bytes_per_writer: int = BRONZE_BYTES_PER_WRITER) -> None:
+    """SNK1: the raw auth log as parquet parts.
 
     A ``.gz`` source is read by one task, so the rows are redistributed before the write.
     With ``partition_by_day`` the parts go under ``day=N/`` directories (daily and
-    incremental jobs then prune whole days) and are hash-distributed on (day, salt): a
-    salt derived from the row (deterministic, so a retried task sends every row to the
-    same place) spreads one heavy day over ``salts`` writers. Rows are sorted by
+    incremental jobs then prune whole days) and rows are hash-distributed on (day, salt): the
+    salt comes from the row (deterministic, so a retried task sends every row to the same
+    place) and takes ``day_share * writers`` values, so however few days there are, and
+    however much of the log falls on one of them, the writers share it. A smaller
+    ``day_share`` gives fewer and larger files where days are many and even. No range
+    shuffle: its sampling would read the unsplittable source twice. Rows are sorted by
     timestamp inside each part so row-group statistics prune time ranges.
     ``mode="append"`` adds a new batch of parts (what the incremental stream picks up).
+
     Without ``num_partitions`` the writer count follows ``source_bytes`` (one writer per
-    256 MB), else the default parallelism; salts never exceed the writer count.
+    ``bytes_per_writer``, and no fewer than the session's default parallelism).
+    ``rows_per_file`` bounds the rows of a part, if given.
     """
-    if num_partitions:
-        n = num_partitions
-    elif source_bytes is not None:
-        n = max(1, -(-source_bytes // BRONZE_BYTES_PER_WRITER))
-    else:
-        n = df.sparkSession.sparkContext.defaultParallelism
-    out = df
+    writers = num_partitions or max(df.sparkSession.sparkContext.defaultParallelism,
+                                    -(-(source_bytes or 0) // bytes_per_writer))
     if partition_by_day:
-        out = out.withColumn("day", day_of("timestamp"))
-        if n == 1:
-            out = out.coalesce(1)           # one writer: no exchange needed
-        else:
-            salt = F.pmod(F.xxhash64(*df.columns), F.lit(max(1, min(salts, n))))
-            out = out.repartition(n, "day", salt)
+        salts = max(1, round(day_share * writers))
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
         # (day, timestamp) satisfies the partitioned writer's required ordering on day,
         # so Spark adds no sort of its own that could reorder rows inside a day
-        out = out.sortWithinPartitions("day", "timestamp")
+        out = (df.withColumn("day", day_of("timestamp")).repartition(writers, "day", salt)
+               .sortWithinPartitions("day", "timestamp"))
         writer = out.write.partitionBy("day")
     else:
-        out = (out.coalesce(1) if n == 1 else out.repartition(n)).sortWithinPartitions("timestamp")
-        writer = out.write
-    writer.mode(mode).option("maxRecordsPerFile", rows_per_file).parquet(path)
+        writer = df.repartition(writers).sortWithinPartitions("timestamp").write
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.mode(mode).parquet(path)
 
 
 def write_table(df: DataFrame, path: str, sort_by: Sequence[str | object] | None = None,
-                rows_per_file: int | None = None) -> None:
-    """SNK2 / SNK3: write a silver or gold table, optionally globally ordered.
+                rows_per_file: int | None = None, global_order: bool = True) -> None:
+    """SNK2 / SNK3: write a silver or gold table, optionally ordered.
 
-    ``sort_by`` is the reference's published order (range-partitioned sort, so the output
-    parts are ordered one after another without funnelling through one task).
+    ``sort_by`` is the published order: over all parts by a range-partitioned sort, or with
+    ``global_order=False`` inside each part only, which needs no further shuffle (large
+    fact tables).
     """
-    out = df.orderBy(*sort_by) if sort_by else df
+    if not sort_by:
+        out = df
+    else:
+        out = df.orderBy(*sort_by) if global_order else df.sortWithinPartitions(*sort_by)
     writer = out.write.mode("overwrite")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)

@@ -82,17 +82,21 @@ def _committed(spark: SparkSession, parent: str, key: str) -> dict[int, str]:
     return found
 
 
-def merged_cube(spark: SparkSession, state_dir: str) -> DataFrame:
+def merged_cube(spark: SparkSession, state_dir: str, last_batch: int | None = None) -> DataFrame:
     """The activity cube over every batch processed so far (AGG12 merge of partials).
 
     Reads the latest committed snapshot (if :func:`compact` made one) plus only the
     committed partials of later batches, so the cost follows the data since the last
     compaction, not the stream's whole history. Partials overlap on keys (an hour spans
-    parts), so they are merged with the cube's rule rather than unioned.
+    parts), so they are merged with the cube's rule rather than unioned. ``last_batch``
+    leaves later batches out, also ones that are committed meanwhile.
     """
-    snapshots = _committed(spark, _snapshots(state_dir), "upto")
+    def within(n: int) -> bool:
+        return last_batch is None or n <= last_batch
+
+    snapshots = {n: p for n, p in _committed(spark, _snapshots(state_dir), "upto").items() if within(n)}
     upto = max(snapshots) if snapshots else -1
-    paths = [p for n, p in sorted(_committed(spark, _partials(state_dir), "batch").items()) if n > upto]
+    paths = [p for n, p in sorted(_committed(spark, _partials(state_dir), "batch").items()) if n > upto and within(n)]
     frames = []
     if snapshots:
         frames.append(spark.read.parquet(snapshots[upto]))
@@ -106,15 +110,17 @@ def merged_cube(spark: SparkSession, state_dir: str) -> DataFrame:
 
 def compact(spark: SparkSession, state_dir: str) -> int:
     """Fold everything processed so far into ``snapshots/upto=<last batch>``; returns that
-    batch id. Old partials and snapshots stay (readers skip them); a rerun rewrites the
-    same snapshot, and a snapshot only counts once its write has committed."""
+    batch id. Batches committed while it runs are left to the next one. Old partials and
+    snapshots stay (readers skip them), a snapshot only counts once its write has committed,
+    and one that is there already is not written again."""
     batches = _committed(spark, _partials(state_dir), "batch")
     if not batches:
         raise ValueError(f"no committed batches under {state_dir}")
     last = max(batches)
-    tmp = os.path.join(state_dir, "_compacting", f"upto={last}")
-    merged_cube(spark, state_dir).write.mode("overwrite").parquet(tmp)   # never overwrite a path being read
-    spark.read.parquet(tmp).write.mode("overwrite").parquet(os.path.join(_snapshots(state_dir), f"upto={last}"))
+    if last not in _committed(spark, _snapshots(state_dir), "upto"):
+        # reads older snapshots and partials only, so it never overwrites what it reads
+        merged_cube(spark, state_dir, last).write.mode("overwrite").parquet(
+            os.path.join(_snapshots(state_dir), f"upto={last}"))
     return last
 
 

@@ -80,20 +80,40 @@ def test_ranks_never_use_one_partition(spark, name):
             assert "], [], [" not in line, line
 
 
-def test_shared_scan_reads_the_log_once(spark, bronze):
-    ly = Layers(bronze, layers(spark, SF_SMALL).redteam, shared_scan=True)
-    df = ly.users.unionByName(ly.users.limit(0))
-    df.collect()
-    final = plan(ly.user_features.select("user"))
-    assert final.count("Scan parquet") >= 1
-
-
-def test_rank_boundaries_computed_once(spark):
-    df = QUERIES["user_risk"](spark, SF_SMALL)
-    df.collect()
-    final = plan(df).split("== Initial Plan ==")[0]
-    assert final.count("functions=[percentile_approx") == 1
-    assert "ReusedExchange [metric" in final
+def test_rollups_of_a_written_cube_never_read_the_log(spark, bronze, tmp_path):
+    path = str(tmp_path / "cube")
+    silver.activity_cube(normalize_auth(bronze)).write.parquet(path)
+    ly = Layers(bronze, layers(spark, SF_SMALL).redteam, cube=spark.read.parquet(path))
+    for table in (ly.users, ly.computers, ly.user_computers, ly.daily_user_activity, ly.hourly_activity):
+        files = table.inputFiles()
+        assert files and all(path in f for f in files)
+
+
+@pytest.mark.parametrize("aqe", ["true", "false"])
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_ranks_equal_the_window_form_whatever_the_settings(spark, aqe, broadcast, reuse):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from logonlens.functions import scoring
+
+    settings = {"spark.sql.adaptive.enabled": aqe, "spark.sql.autoBroadcastJoinThreshold": broadcast,
+                "spark.sql.exchange.reuse": reuse}
+    before = {k: spark.conf.get(k) for k in settings}
+    df = spark.range(0, 3000, numPartitions=7).select(
+        F.col("id").alias("k"), F.when(F.col("id") % 50 != 3, F.col("id") * 31 % 613).alias("x"))
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        ranks = scoring.value_ranks(df, ["x"], buckets=8)
+        got = {(r["value"], r["c"], r["below"]) for r in ranks.collect() if r["value"] is not None}
+        want = df.where("x is not null").groupBy("x").count().withColumn(
+            "below", F.sum("count").over(Window.orderBy("x")) - F.col("count"))
+        assert got == {(float(r["x"]), r["count"], r["below"]) for r in want.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_rank_exact_without_exchange_reuse(spark):
