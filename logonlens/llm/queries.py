@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logonlens.llm import (
-    ann, byte_bpe, gru_lm, license_scan, mixing, packed_ids, quality, simhash, suffix_dedup, token_counts,
+    ann, byte_bpe, gru_lm, license_scan, mixing, oracle, packed_ids, quality, simhash, suffix_dedup, token_counts,
 )
 from logonlens.llm.common import table
 from logonlens.session import scratch_path
@@ -73,5 +73,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
 }
 
-#: DuckDB statements for the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+#: DuckDB statements for the queries that SQL can express; the others have brute-force tests.
+ORACLE: dict[str, str] = dict(oracle.ORACLE)
