@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from logonlens.llm.common import document_rows, split_at_spaces
 
 MAX_STATES = 100_000        # transducer states kept per worker
-MAX_MEMO = 500_000          # encoded pieces kept per worker
+MAX_MEMO = 700_000          # encoded pieces kept per worker
 MAX_MEMO_CHARS = 48         # longer pieces are not kept
 NEVER = 1 << 62             # later than any rank
 ROOT = 2                    # the trie's root
@@ -86,6 +86,7 @@ class Transducer:
         self.edges = {node_of[tok[:-1]] << 8 | tok[-1]: node for tok, node in node_of.items() if tok}
         self.token_at = {node_of[tok]: rank for tok, rank in ranks.items()}
         self.spines: dict[tuple[int, bool], list] = {}
+        self.own: dict[int, bool] = {}           # is a token the encoding of its own bytes?
         self.pairs: dict[int, bool] = {}
         self._reset()
 
@@ -115,7 +116,10 @@ class Transducer:
     def _may_follow(self, before: int | None, token: int) -> bool:
         """Are the two tokens the encoding of their concatenation? Both are merged in step,
         and no merge across the boundary may come first (equal ranks: the left one)."""
-        if merge_by_rank(self.bytes_of[token], self.ranks) != [token]:
+        own = self.own.get(token)
+        if own is None:
+            own = self.own[token] = merge_by_rank(self.bytes_of[token], self.ranks) == [token]
+        if not own:
             return False
         if before is None:
             return True

@@ -25,7 +25,10 @@ followed further. So common prefixes come out by increasing value, and the searc
 ``length``: suffixes not parted by then share ``length`` bytes, and each run of them is one
 string, whose earliest start stays.
 
-Equality of segments is by 128 bits of hash (anchor and segment).
+Equality of segments is by 128 bits of hash (anchor and segment). Segments of one anchor that
+have more bytes than a transform should hold are judged a few starts at a time (equal strings
+stand at equal places from their anchor, so nothing is lost), equal parts folded first: where a
+passage stands in very many texts, most parts lie inside it and are equal.
 
 Nulls: a NULL text is the empty text; a NULL doc_id stands before all others. Rows equal in both
 doc_id and text count as one document, and each gets its result. An empty table gives an empty
@@ -51,8 +54,9 @@ from logonlens.session import scratch_path
 ANCHOR = 32                   # bytes hashed for an anchor; a power of two
 SLICE_BYTES = 4 << 20         # text of a slice (one longer text is a slice of its own)
 CHUNK_BYTES = 1 << 20         # text whose anchors are found at once
-GROUP_ANCHORS = 250_000       # anchors of a hash range, about
-BATCH_BYTES = 1 << 20         # bytes of one Burrows-Wheeler transform, unless one anchor has more
+GROUP_ANCHORS = 125_000       # anchors of a hash range, about
+BATCH_BYTES = 1 << 20         # bytes of one Burrows-Wheeler transform, about
+PART_STARTS = 8               # starts taken at once where one anchor has more bytes than that
 NULL_ID = -(1 << 63)
 
 _random = np.random.default_rng(20240501)
@@ -75,8 +79,9 @@ def _window_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def _least_in_window(h: np.ndarray, width: int) -> np.ndarray:
-    """Place of the smallest of ``h[i : i + width]``, the leftmost of equal ones."""
-    value, place, have = h, np.arange(len(h), dtype=np.int32), 1
+    """Place of the smallest of ``h[i : i + width]`` by its highest 32 bits, the leftmost of
+    equal ones."""
+    value, place, have = (h >> np.uint64(32)).astype(np.uint32), np.arange(len(h), dtype=np.int32), 1
 
     def joined(value, place, step):
         right = value[step:] < value[:-step]
@@ -146,14 +151,24 @@ class Segments:
 def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes sorted by their first ``depth`` symbols at least, by prefix doubling."""
     n = len(symbols)
-    _, rank = np.unique(symbols, return_inverse=True)
-    rank, have = rank.astype(np.int64), 1
+    # the first round sorts by as many symbols as fit into one number
+    bits = int(symbols.max() + 1).bit_length()
+    have = min(4, 63 // bits)
+    key = np.zeros(n, np.int64)
+    for k in range(have):
+        key <<= bits
+        key[:n - k] += symbols[k:].astype(np.int64) + 1
+    order = np.argsort(key)
+    key = key[order]
+    rank = np.empty(n, np.int64)
+    rank[order] = np.cumsum(np.r_[0, key[1:] != key[:-1]])
     while True:
         after = np.zeros(n, np.int64)
         after[:n - have] = rank[have:] + 1
-        key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
-        key = key[order]
+        after += rank * (n + 1)
+        order = np.argsort(after)
+        key = after[order]
+        del after
         step = np.r_[0, key[1:] != key[:-1]]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(step)
@@ -162,16 +177,16 @@ def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
             return order
 
 
-def shared_runs(segments: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each string of ``length`` bytes that several places of the segments share: the
-    numbers of their segments, and the offsets in them."""
+def shared_runs(segments: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places of all strings of ``length`` bytes that several places of the segments share:
+    the number of the string, of the segment, and the offset in it."""
     sizes = np.array([len(s) for s in segments])
     n_seg = len(segments)
     ends = np.cumsum(sizes + 1)
-    symbols = np.empty(ends[-1], np.int64)
+    symbols = np.empty(ends[-1], np.int32)
     inside = np.ones(len(symbols), bool)
     inside[ends - 1] = False
-    symbols[inside] = np.frombuffer(b"".join(segments), np.uint8).astype(np.int64) + n_seg
+    symbols[inside] = np.frombuffer(b"".join(segments), np.uint8).astype(np.int32) + np.int32(n_seg)
     symbols[~inside] = np.arange(n_seg)          # each segment ends with a symbol of its own
     n = len(symbols)
     order = suffix_array(symbols, length + 1)
@@ -196,7 +211,7 @@ def shared_runs(segments: list[bytes], length: int) -> Iterator[tuple[np.ndarray
         owner, place, left = owner[real], place[real], left[real]
         if not len(place):
             break
-        by = np.argsort(owner * 512 + (left - n_seg), kind="stable")
+        by = np.argsort(owner * 256 + (left - n_seg), kind="stable")
         owner, place, left = owner[by], place[by], left[by]
         new = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (left[1:] != left[:-1])])
         low = to_left[place[new]]
@@ -204,46 +219,83 @@ def shared_runs(segments: list[bytes], length: int) -> Iterator[tuple[np.ndarray
         go = ~parted[high]
         low, high = low[go], high[go]
         parted[high] = True
-    begin = np.flatnonzero(parted[:n])
-    size = np.diff(np.r_[begin, n])
+    run = np.cumsum(parted[:n]) - 1
+    shared = np.bincount(run)[run] > 1
+    run, order = run[shared], order[shared]
     which = np.searchsorted(ends, order, "right")
-    offset = order - (ends - sizes - 1)[which]
-    for b, s in zip(begin[size > 1].tolist(), size[size > 1].tolist(), strict=True):
-        yield which[b:b + s], offset[b:b + s]
+    return run, which, order - (ends - sizes - 1)[which]
 
 
-def judge(anchor: np.ndarray, digest: np.ndarray, first: np.ndarray, count: np.ndarray, blobs: list[bytes],
-          length: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def _lose(parts: list[tuple[int, int, bytes]], first: np.ndarray, lost: list, length: int) -> None:
+    """Marks the strings of each part (segment, first offset in it, bytes) that start earlier in
+    another one. Strings shared by several parts go along with their segments' order, since
+    segments of one anchor in one text do not overlap in their starts."""
+    run, which, offset = shared_runs([data for _, _, data in parts], length)
+    if not len(run):
+        return
+    segments = np.array([seg for seg, _, _ in parts])
+    order = np.lexsort((first[segments[which]], run))
+    run, which, offset = run[order], which[order], offset[order]
+    late = np.r_[False, run[1:] == run[:-1]]          # all but the earliest of each run
+    which, offset = which[late], offset[late]
+    by = np.argsort(which, kind="stable")
+    which, offset = which[by], offset[by]
+    cuts = np.flatnonzero(np.r_[True, which[1:] != which[:-1]])
+    for at, until in zip(cuts.tolist(), [*cuts[1:].tolist(), len(which)], strict=True):
+        seg, begin, _ = parts[which[at]]
+        lost[seg][begin + offset[at:until]] = True
+
+
+def _lose_by_parts(group: list[int], first: np.ndarray, count: np.ndarray, offset: np.ndarray,
+                   blobs: list[bytes], lost: list, length: int) -> None:
+    """:func:`_lose` for one anchor with many segments, ``PART_STARTS`` starts at a time."""
+    lowest = -int(offset[group].max())
+    highest = int((count[group] - offset[group]).max())
+    for at in range(lowest, highest, PART_STARTS):
+        folded: dict[tuple[int, bytes], int] = {}
+        for seg in sorted(group, key=first.__getitem__):
+            begin = max(0, at + int(offset[seg]))
+            end = min(int(count[seg]), at + PART_STARTS + int(offset[seg]))
+            if begin < end:
+                key = (begin - int(offset[seg]), blobs[seg][begin:end + length - 1])
+                if folded.setdefault(key, seg) != seg:
+                    lost[seg][begin:end] = True
+        parts = [(seg, place + int(offset[seg]), data) for (place, data), seg in folded.items()]
+        if len(parts) > 1:
+            _lose(parts, first, lost, length)
+
+
+def judge(anchor: np.ndarray, digest: np.ndarray, first: np.ndarray, count: np.ndarray, offset: np.ndarray,
+          blobs: list[bytes], length: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """For segments that came from slices (``first``: rank of their first start among all of
     them): whether each is the earliest of its equals, and for these the strings that start
     earlier in another segment (flags by offset)."""
     order = np.lexsort((first, digest, anchor))
     a, d = anchor[order], digest[order]
-    lead = np.r_[True, (a[1:] != a[:-1]) | (d[1:] != d[:-1])]
+    lead = np.r_[True, (a[1:] != a[:-1]) | (d[1:] != d[:-1])][:len(order)]
     earliest = np.zeros(len(order), bool)
     earliest[order[lead]] = True
     lost = [None] * len(order)
     distinct = order[lead]
-    group = np.r_[0, np.cumsum(anchor[distinct][1:] != anchor[distinct][:-1])] if len(distinct) else np.zeros(0, int)
-    several = np.bincount(group, minlength=1)[group] > 1 if len(distinct) else np.zeros(0, bool)
-    batch, size, last = [], 0, None
-    for seg, g in [*zip(distinct[several].tolist(), group[several].tolist(), strict=True), (None, None)]:
-        if seg is None or size >= BATCH_BYTES and g != last:
-            if batch:
-                for i in batch:
-                    lost[i] = np.zeros(count[i], bool)
-                numbers = np.array(batch)
-                for which, offset in shared_runs([blobs[i] for i in batch], length):
-                    # first starts are ranks of (document, start); offsets go along with them
-                    k = np.argmin(first[numbers[which]])
-                    for j in range(len(which)):
-                        if j != k:
-                            lost[batch[which[j]]][offset[j]] = True
+    cuts = np.flatnonzero(np.r_[True, np.diff(anchor[distinct].astype(np.int64)) != 0][:len(distinct)])
+    batch, size = [], 0
+    for at, until in zip(cuts.tolist(), [*cuts[1:].tolist(), len(distinct)], strict=False):
+        if until - at < 2:
+            continue
+        group = distinct[at:until].tolist()
+        for seg in group:
+            lost[seg] = np.zeros(count[seg], bool)
+        own = sum(len(blobs[seg]) for seg in group)
+        if own > BATCH_BYTES:
+            _lose_by_parts(group, first, count, offset, blobs, lost, length)
+            continue
+        if size + own > BATCH_BYTES:
+            _lose([(seg, 0, blobs[seg]) for seg in batch], first, lost, length)
             batch, size = [], 0
-        if seg is not None:
-            batch.append(seg)
-            size += len(blobs[seg])
-            last = g
+        batch += group
+        size += own
+    if batch:
+        _lose([(seg, 0, blobs[seg]) for seg in batch], first, lost, length)
     return earliest, lost
 
 
@@ -372,11 +424,11 @@ def verdicts(table: DataFrame, repeated: DataFrame, ranges: int, length: int) ->
                     out.append({"range": r, "slice": row["slice"], "blobs": b"".join(blobs)} | _pack({
                         "anchor": s.anchor, "digest": digest[at], "id": ids[s.text], "hash": hashes[s.text],
                         "text": s.text.astype(np.int64), "start": s.start.astype(np.int64),
-                        "count": s.count.astype(np.int64)}))
+                        "count": s.count.astype(np.int64), "offset": s.offset.astype(np.int64)}))
                 yield pa.RecordBatch.from_pylist(out, sent)
 
     kinds = {"anchor": np.uint64, "digest": np.uint64, "id": np.int64, "hash": np.int64, "text": np.int64,
-             "start": np.int64, "count": np.int64}
+             "start": np.int64, "count": np.int64, "offset": np.int64}
     sent = pa.schema([("range", pa.int64()), ("slice", pa.int64()), ("blobs", pa.binary()),
                       *((k, pa.binary()) for k in kinds)])
     answer = pa.schema([("slice", pa.int64()), *((k, pa.binary()) for k in (
@@ -397,7 +449,7 @@ def verdicts(table: DataFrame, repeated: DataFrame, ranges: int, length: int) ->
         order = np.lexsort((v["start"], v["hash"], v["id"]))
         new = np.r_[False, (np.diff(v["id"][order]) != 0) | (np.diff(v["hash"][order]) != 0) | (np.diff(v["start"][order]) != 0)]
         first[order] = np.cumsum(new)
-        earliest, lost = judge(v["anchor"], v["digest"], first, v["count"], blobs, length)
+        earliest, lost = judge(v["anchor"], v["digest"], first, v["count"], v["offset"], blobs, length)
         out, at = [], 0
         for number, own in zip(group.column("slice").to_pylist(), columns["count"], strict=True):
             here = slice(at, at + len(own))
@@ -410,7 +462,9 @@ def verdicts(table: DataFrame, repeated: DataFrame, ranges: int, length: int) ->
 
     asked = table.select("slice", "ids", "hashes", "texts").join(_to_slices(repeated, ["anchors"]), "slice")
     rows = asked.mapInArrow(send, "range long, slice long, blobs binary, " + ", ".join(f"{k} binary" for k in kinds))
-    return rows.groupBy("range").applyInArrow(
+    # as many tasks as there are partitions, however few bytes a range has: judging is the work
+    tasks = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, "range").groupBy("range").applyInArrow(
         find, "slice long, digest binary, keeps binary, text binary, start binary, count binary, lost binary")
 
 

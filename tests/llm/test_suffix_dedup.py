@@ -48,9 +48,35 @@ def test_query_on_the_table(spark):
     assert sorted(map(tuple, got.collect()), key=str) == plain(ordered(spark, docs), 100)
 
 
-@pytest.mark.parametrize("length", [33, 40, 100])
-def test_shared_passages_periods_and_overlaps(spark, length, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 300)
+def plain_starts(texts, length):
+    seen, out = set(), set()
+    for k, t in enumerate(texts):
+        for s in range(len(t) - length + 1):
+            out |= {(k, s)} if t[s:s + length] in seen else set()
+            seen.add(t[s:s + length])
+    return out
+
+
+def in_one_slice(texts, length, batch_bytes):
+    """Lost starts by the operator's own steps, without Spark."""
+    before, suffix_dedup.BATCH_BYTES = suffix_dedup.BATCH_BYTES, batch_bytes
+    found = suffix_dedup.Segments(texts, length)
+    blobs = [texts[t][s:s + c + length - 1] for t, s, c in zip(found.text, found.start, found.count, strict=True)]
+    first = np.empty(len(blobs), np.int64)
+    first[np.lexsort((found.start, found.text))] = np.arange(len(blobs))
+    earliest, lost = suffix_dedup.judge(found.anchor, found.digests(texts, length), first, found.count, found.offset,
+                                        blobs, length)
+    suffix_dedup.BATCH_BYTES = before
+    out = set()
+    for i in range(len(blobs)):
+        for k in range(found.count[i]):
+            if not earliest[i] or lost[i] is not None and lost[i][k]:
+                out.add((int(found.text[i]), int(found.start[i] + k)))
+    return out
+
+
+@pytest.mark.parametrize("length", [33, 100])
+def test_shared_passages_periods_and_overlaps(spark, length):
     rnd = random.Random(length)
     base = "".join(rnd.choice("abcd é") for _ in range(600))
     texts = ["x" * 260, "ab" * 150, base, base[50:330] + "|" + base[100:420], base[:length - 1], base[:length],
@@ -61,6 +87,9 @@ def test_shared_passages_periods_and_overlaps(spark, length, monkeypatch):
         k = rnd.randrange(len(cut) + 1)
         texts.append(cut[:k] + rnd.choice(["", "#", "##"]) + cut[k:] + rnd.choice(["", base[:90], "x" * 50]))
     rnd.shuffle(texts)
+    data = [t.encode() for t in texts]
+    for batch in (200, 2000, 1 << 20):      # by parts, in several batches, at once
+        assert in_one_slice(data, length, batch) == plain_starts(data, length)
     same(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), length)
 
 
@@ -79,7 +108,10 @@ def test_runs_of_the_transform_equal_brute_force():
         for k, s in enumerate(segments):
             for o in range(len(s) - length + 1):
                 want.setdefault(s[o:o + length], []).append((k, o))
-        got = [sorted(zip(w.tolist(), o.tolist(), strict=True)) for w, o in suffix_dedup.shared_runs(segments, length)]
+        runs = {}
+        for r, w, o in zip(*suffix_dedup.shared_runs(segments, length), strict=True):
+            runs.setdefault(int(r), []).append((int(w), int(o)))
+        got = [sorted(v) for v in runs.values()]
         assert sorted(got) == sorted(sorted(v) for v in want.values() if len(v) > 1)
 
 
