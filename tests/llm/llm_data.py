@@ -1,10 +1,7 @@
-import os
-import sys
+"""Data and fixtures that the tests of the training-data operators share."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
 SMALL = "/root/testdata/sf0.001"
 
 #: What every operator on documents must take: nulls, empty and odd texts, ties, repeats.
@@ -12,15 +9,6 @@ EDGE_TEXTS = [None, "", " ", "\n", "word", "a b", "Tab\there", "  two  spaces  "
               "the same text twice", "the same text twice", "<|endoftext|> inside", "a\x00b", "lone ▁ mark▁"]
 
 
-@pytest.fixture(scope="session")
-def spark():
-    from logonlens.session import local_session
-
-    session = local_session("4", shuffle_partitions=4, app="llm-tests")
-    yield session
-    session.stop()
-
-
 @pytest.fixture(scope="session")
 def edge_docs(spark):
     """Edge cases with a NULL id, a repeated row and columns whose names clash with the

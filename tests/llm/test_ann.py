@@ -1,6 +1,6 @@
 """Nearest neighbours against brute force."""
 import numpy as np
-from conftest import SMALL
+from llm_data import SMALL
 from pyspark.sql import functions as F
 
 from logonlens.llm import ann

@@ -5,7 +5,7 @@ import corpus_pipeline as cp
 import public_tokenizers
 import pytest
 import tiktoken
-from conftest import SMALL
+from llm_data import edge_docs, no_docs, SMALL  # noqa: F401
 from test_simhash import plain_components, plain_fingerprint
 
 from logonlens.llm import byte_bpe, mixing, quality

@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import texts_of
+from llm_data import edge_docs, no_docs, texts_of  # noqa: F401
 
 from logonlens.llm import gru_lm
 

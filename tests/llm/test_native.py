@@ -4,7 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import SMALL, texts_of
+from llm_data import edge_docs, no_docs, SMALL, texts_of  # noqa: F401
 
 from logonlens.llm import license_scan, mixing, quality
 from logonlens.llm.queries import QUERIES

@@ -3,7 +3,7 @@ import re
 
 import pytest
 import xxhash
-from conftest import SMALL, texts_of
+from llm_data import edge_docs, no_docs, SMALL, texts_of  # noqa: F401
 
 from logonlens.llm import simhash
 from logonlens.llm.queries import QUERIES

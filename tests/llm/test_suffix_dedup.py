@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import SMALL, texts_of
+from llm_data import edge_docs, no_docs, SMALL, texts_of  # noqa: F401
 
 from logonlens.llm import suffix_dedup
 from logonlens.llm.queries import QUERIES

@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 import tiktoken
-from conftest import EDGE_TEXTS, SMALL, texts_of
+from llm_data import edge_docs, EDGE_TEXTS, no_docs, SMALL, texts_of  # noqa: F401
 from tokenizers import Tokenizer
 
 from logonlens.llm import byte_bpe, packed_ids, token_counts
