@@ -55,7 +55,7 @@ ANCHOR = 32                   # bytes hashed for an anchor; a power of two
 SLICE_BYTES = 4 << 20         # text of a slice (one longer text is a slice of its own)
 CHUNK_BYTES = 1 << 20         # text whose anchors are found at once
 GROUP_ANCHORS = 125_000       # anchors of a hash range, about
-BATCH_BYTES = 1 << 20         # bytes of one Burrows-Wheeler transform, about
+BATCH_BYTES = 1 << 18         # bytes of one Burrows-Wheeler transform, about
 PART_STARTS = 8               # starts taken at once where one anchor has more bytes than that
 NULL_ID = -(1 << 63)
 
@@ -248,7 +248,9 @@ def _lose(parts: list[tuple[int, int, bytes]], first: np.ndarray, lost: list, le
 
 def _lose_by_parts(group: list[int], first: np.ndarray, count: np.ndarray, offset: np.ndarray,
                    blobs: list[bytes], lost: list, length: int) -> None:
-    """:func:`_lose` for one anchor with many segments, ``PART_STARTS`` starts at a time."""
+    """:func:`_lose` for one anchor with many segments, ``PART_STARTS`` starts at a time. All
+    strings of a part hold the bytes between its last start and the end of its first string, so
+    only parts that are equal there can share one, and are judged together."""
     lowest = -int(offset[group].max())
     highest = int((count[group] - offset[group]).max())
     for at in range(lowest, highest, PART_STARTS):
@@ -260,8 +262,19 @@ def _lose_by_parts(group: list[int], first: np.ndarray, count: np.ndarray, offse
                 key = (begin - int(offset[seg]), blobs[seg][begin:end + length - 1])
                 if folded.setdefault(key, seg) != seg:
                     lost[seg][begin:end] = True
-        parts = [(seg, place + int(offset[seg]), data) for (place, data), seg in folded.items()]
-        if len(parts) > 1:
+        alike: dict[bytes, list] = {}
+        for (place, data), seg in folded.items():
+            core = data[at + PART_STARTS - 1 - place:at + length - place]
+            alike.setdefault(core, []).append((seg, place + int(offset[seg]), data))
+        parts, size = [], 0
+        for own in alike.values():
+            if len(own) > 1:
+                parts += own
+                size += sum(len(data) for _, _, data in own)
+                if size > BATCH_BYTES:
+                    _lose(parts, first, lost, length)
+                    parts, size = [], 0
+        if parts:
             _lose(parts, first, lost, length)
 
 
