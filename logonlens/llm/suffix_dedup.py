@@ -54,7 +54,7 @@ from logonlens.session import scratch_path
 ANCHOR = 32                   # bytes hashed for an anchor; a power of two
 SLICE_BYTES = 4 << 20         # text of a slice (one longer text is a slice of its own)
 CHUNK_BYTES = 1 << 20         # text whose anchors are found at once
-GROUP_ANCHORS = 125_000       # anchors of a hash range, about
+GROUP_ANCHORS = 30_000        # anchors of a hash range, about
 BATCH_BYTES = 1 << 18         # bytes of one Burrows-Wheeler transform, about
 PART_STARTS = 8               # starts taken at once where one anchor has more bytes than that
 NULL_ID = -(1 << 63)
@@ -374,8 +374,9 @@ def _by_range(anchor: np.ndarray, ranges: int) -> Iterator[tuple[int, np.ndarray
 
 
 def _to_slices(answers: DataFrame, columns: list[str]) -> DataFrame:
-    """One row for each slice, with the list of what came back from the hash ranges."""
-    return answers.groupBy("slice").agg(F.collect_list(F.struct(*columns)).alias("answers"))
+    """One row for each slice, with the list of what came back from the hash ranges. It is the
+    build side of its join, so the slices' texts stream through and are never sorted."""
+    return answers.groupBy("slice").agg(F.collect_list(F.struct(*columns)).alias("answers")).hint("shuffle_hash")
 
 
 def repeated_anchors(table: DataFrame, ranges: int, length: int) -> DataFrame:
