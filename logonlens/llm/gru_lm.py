@@ -8,16 +8,18 @@ They give the base score, the class layout and the distribution of rare words. T
 most frequent words are broadcast (a bounded table); the counts of all others are joined by a
 shuffle of the rare words alone.
 
-**Model.** The ``CLASSES * CLASS_WORDS`` most frequent words lie in classes by frequency; all
-other words, seen or not, form one more class. A word's probability is that of its class times
-that within its class, both from the state of a gated recurrent unit (the last class: by
-counts). The network starts out as the unigram model.
-
-**Training** is truncated backpropagation in numpy: each training text gives a window of
-``TRAIN_TOKENS`` tokens at an offset set by its hash, worked off in steps of ``STEPS`` tokens with
-the state carried from step to step. Each partition trains its own copy of the weights, and
-copies are averaged by their numbers of tokens in a tree, ``ROUNDS`` times over. So the training
-work and what is gathered grow with the corpus.
+**Model.** The most frequent words, the head, lie in classes by frequency; all other words, seen
+or not, form one more class. The number of classes and that of words in a class both grow with
+the fourth root of the vocabulary, so the head grows with its square root (``layout``). A word's
+probability is that of its class times that within its class, both from the state of a gated
+recurrent unit (the last class: by counts). The network starts out as the unigram model.
+
+**Training** is truncated backpropagation in numpy over every token of every training text:
+gradients go back over windows of ``STEPS`` tokens, the state is carried from window to window.
+``TRAIN_TEXTS`` texts run side by side, and one that ends gives its place to the next. Texts are
+dealt by hash to ``ROUNDS`` rounds, so all rounds together are one pass. In a round each partition
+trains its own copy of the weights, and copies are averaged by their numbers of tokens in a tree.
+So the training work and what is gathered grow with the corpus.
 
 **Scoring** runs over whole texts in windows with the state carried across them. Texts are
 scored side by side, longest first, so the set of running ones only shrinks.
@@ -29,7 +31,9 @@ Repeated rows each give a row. An empty table gives an empty result.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +45,13 @@ from logonlens.llm.common import cut, document_rows
 
 FOLDS, HELD_OUT = 5, 1
 KNOWN = 100_000               # words of the broadcast table
-CLASSES, CLASS_WORDS = 32, 64
+CLASSES, CLASS_WORDS = 32, 64   # up to a vocabulary of ``CLASSED`` words
+CLASSED = 80_000
 HIDDEN = 24
 STEPS = 16                    # tokens that a gradient goes back
-TRAIN_TOKENS = 64             # training tokens of one text
-TRAIN_TEXTS = 256             # texts trained side by side
-ROUNDS = 3                    # averagings of the partitions' weights
+TRAIN_TEXTS = 512             # texts trained side by side
+UPDATE_TOKENS = 2048          # least tokens of an update, but for a partition's last one
+ROUNDS = 3                    # averagings of the partitions' weights; a text is in one of them
 RATE = 0.02
 SCORE_TEXTS = 4096            # texts scored side by side, at most
 SCORE_BYTES = 16 << 20        # and their bytes
@@ -88,16 +93,24 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(work, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def layout(distinct: int) -> tuple[int, int]:
+    """Classes and words in a class for a vocabulary of so many words."""
+    side = max(1.0, distinct / CLASSED) ** 0.25
+    return round(CLASSES * side), round(CLASS_WORDS * side)
+
+
 class Vocabulary:
-    """The known words by falling count. The first ``HEAD`` of them have classes of their own."""
+    """The known words by falling count. The first ``head`` of them have classes of their own."""
 
     def __init__(self, words: list[str], counts: list[int], total: int, distinct: int):
         self.place = {w.encode(): k for k, w in enumerate(words)}
         self.counts = np.array(counts, dtype=np.float64)
         self.total, self.distinct = total, distinct
-        self.end = self.place.get(b"", HEAD)
+        self.classes, self.class_words = layout(distinct)
+        self.head = self.classes * self.class_words
+        self.end = min(self.head, self.place.get(b"", self.head))
         # what all words outside the head have, with half a count for each and for a new word
-        self.rest = total - self.counts[:HEAD].sum() + 0.5 * (max(0, distinct - HEAD) + 1)
+        self.rest = total - self.counts[:self.head].sum() + 0.5 * (max(0, distinct - self.head) + 1)
         self.denominator = total + 0.5 * (distinct + 1)
 
     def base_log10(self, counts):
@@ -109,24 +122,29 @@ class Vocabulary:
 
 # ---------------------------------------------------------------- network
 
-SHAPES = {"x": (HEAD + 1, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "wc": (HIDDEN, CLASSES + 1), "bc": (CLASSES + 1,),
-          "ww": (CLASSES, HIDDEN, CLASS_WORDS), "bw": (CLASSES, CLASS_WORDS)}
+def shapes(classes: int, class_words: int) -> dict[str, tuple[int, ...]]:
+    return {"x": (classes * class_words + 1, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "wc": (HIDDEN, classes + 1),
+            "bc": (classes + 1,), "ww": (classes, HIDDEN, class_words), "bw": (classes, class_words)}
+
+
+SHAPES = shapes(CLASSES, CLASS_WORDS)
 ABSENT = -30.0                # logit of an empty place
 
 
 def initial(vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     """Weights that give the unigram model whatever the state is."""
     rng = np.random.default_rng(7)
-    head = np.zeros(HEAD)
-    own = vocabulary.counts[:HEAD]
+    shape = shapes(vocabulary.classes, vocabulary.class_words)
+    head = np.zeros(vocabulary.head)
+    own = vocabulary.counts[:vocabulary.head]
     head[:len(own)] = own + 0.5
-    head = head.reshape(CLASSES, CLASS_WORDS)
+    head = head.reshape(vocabulary.classes, vocabulary.class_words)
     with np.errstate(divide="ignore"):
         of_class = np.log(np.r_[head.sum(1), vocabulary.rest] / (head.sum() + vocabulary.rest))
         within = np.log(head / np.maximum(head.sum(1, keepdims=True), 1e-300))
-    w = {"x": rng.normal(0, 0.3, SHAPES["x"]), "u": rng.normal(0, HIDDEN ** -0.5, SHAPES["u"]),
-         "wc": np.zeros(SHAPES["wc"]), "bc": np.maximum(of_class, ABSENT),
-         "ww": np.zeros(SHAPES["ww"]), "bw": np.maximum(within, ABSENT)}
+    w = {"x": rng.normal(0, 0.3, shape["x"]), "u": rng.normal(0, HIDDEN ** -0.5, shape["u"]),
+         "wc": np.zeros(shape["wc"]), "bc": np.maximum(of_class, ABSENT),
+         "ww": np.zeros(shape["ww"]), "bw": np.maximum(within, ABSENT)}
     return {k: v.astype(np.float32) for k, v in w.items()}
 
 
@@ -143,19 +161,21 @@ def _step(w, x, h):
     return z, r, n, h + z * (n - h)
 
 
-def _softmax(logits):
-    logits = logits - logits.max(axis=1, keepdims=True)
+def _softmax(logits, picked):
+    """The log probability of the ``picked`` place of each row; the exponentials and their sums."""
+    logits -= logits.max(axis=1, keepdims=True)
     e = np.exp(logits)
     total = e.sum(axis=1, keepdims=True)
-    return logits - np.log(total), e, total
+    return logits[np.arange(len(picked)), picked] - np.log(total[:, 0]), e, total
 
 
 def output(w, h, y, grads=None):
     """Log probability (natural) of the head words or classes ``y`` under states ``h``; with
     ``grads`` also adds up the gradients of the loss and returns that of ``h``."""
-    of_class = y // CLASS_WORDS
-    log_p, e, total = _softmax(h @ w["wc"] + w["bc"])
-    out = log_p[np.arange(len(y)), of_class].astype(np.float64)
+    classes, _, class_words = w["ww"].shape
+    of_class = y // class_words
+    log_p, e, total = _softmax(h @ w["wc"] + w["bc"], of_class)
+    out = log_p.astype(np.float64)
     back = None
     if grads is not None:
         d = e / total
@@ -164,13 +184,13 @@ def output(w, h, y, grads=None):
         grads["bc"] += d.sum(0)
         back = d @ w["wc"].T
     order = np.argsort(of_class, kind="stable")
-    cuts = np.searchsorted(of_class[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
+    cuts = np.searchsorted(of_class[order], np.arange(classes + 1))
+    for c in range(classes):
         own = order[cuts[c]:cuts[c + 1]]
         if len(own):
-            hc, k = h[own], y[own] % CLASS_WORDS
-            log_p, e, total = _softmax(hc @ w["ww"][c] + w["bw"][c])
-            out[own] += log_p[np.arange(len(own)), k]
+            hc, k = h[own], y[own] % class_words
+            log_p, e, total = _softmax(hc @ w["ww"][c] + w["bw"][c], k)
+            out[own] += log_p
             if grads is not None:
                 d = e / total
                 d[np.arange(len(own)), k] -= 1
@@ -187,20 +207,37 @@ class Trainer:
         self.w = {k: v.copy() for k, v in w.items()}
         self.m = {k: np.zeros_like(v) for k, v in w.items()}
         self.v = {k: np.zeros_like(v) for k, v in w.items()}
-        self.t = self.tokens = 0
-
-    def texts(self, docs: list[np.ndarray], end: int) -> None:
-        """``docs``: head words (``HEAD``: any other) of windows of training texts."""
-        docs = sorted(docs, key=len, reverse=True)
-        lengths = np.array([len(d) for d in docs])
-        y = np.full((lengths[0], len(docs)), HEAD)
-        for k, d in enumerate(docs):
-            y[:len(d), k] = d
-        x = np.vstack([np.full((1, len(docs)), end), y[:-1]])
-        h = np.zeros((len(docs), HIDDEN), np.float32)
-        for at in range(0, len(y), STEPS):
-            running = [int(np.searchsorted(-lengths, -t, "left")) for t in range(at, min(at + STEPS, len(y)))]
-            h = self._window(x[at:at + STEPS], y[at:at + STEPS], h, running)
+        self.grads = {k: np.zeros_like(v) for k, v in w.items()}
+        self.rows = []                  # of ``x`` that have a gradient
+        self.t = self.tokens = self.waiting = 0
+
+    def texts(self, docs: Iterable[np.ndarray], end: int) -> None:
+        """``docs``: the head words (``head``: any other) of whole training texts, read as places
+        become free."""
+        docs, running = iter(docs), []              # running: [text, place in it]
+        h = np.zeros((0, HIDDEN), np.float32)
+        while True:
+            new = [[d, 0] for d in islice(docs, TRAIN_TEXTS - len(running))]
+            running += new
+            if not running:
+                break
+            h = np.vstack([h, np.zeros((len(new), HIDDEN), np.float32)])
+            lengths = np.array([min(STEPS, len(d) - at) for d, at in running])
+            order = np.argsort(-lengths, kind="stable")
+            running, lengths, h = [running[k] for k in order], lengths[order], h[order]
+            y = np.full((lengths[0], len(running)), end)
+            first = np.full(len(running), end)
+            for k, (d, at) in enumerate(running):
+                y[:lengths[k], k] = d[at:at + STEPS]
+                if at:
+                    first[k] = d[at - 1]
+                running[k][1] += STEPS
+            x = np.vstack([first[None], y[:-1]])
+            h = self._window(x, y, h, [int(np.searchsorted(-lengths, -t, "left")) for t in range(len(y))])
+            on = [k for k, (d, at) in enumerate(running) if at < len(d)]
+            running, h = [running[k] for k in on], h[on]
+        if self.waiting:
+            self._update(self.grads, self.waiting)
 
     def _window(self, x, y, h, running):
         w, kept = self.w, []
@@ -210,7 +247,7 @@ class Trainer:
             kept.append((before, z, r, c))
             h = np.vstack([after, h[n:]])
             kept[-1] += (after,)
-        grads = {k: np.zeros_like(v) for k, v in w.items()}
+        grads, inputs = self.grads, []
         states = np.vstack([k[-1] for k in kept])
         targets = np.concatenate([y[t, :n] for t, n in enumerate(running)])
         _, back = output(w, states, targets, grads)
@@ -226,64 +263,75 @@ class Trainer:
             dz = dh * (c - before) * z * (1 - z)
             dr = drh * before * r * (1 - r)
             dg = np.hstack([dz, dr, dc])
-            np.add.at(grads["x"], x[t, :n], dg)
+            inputs.append((x[t, :n], dg))
             grads["u"][:, :2 * HIDDEN] += before.T @ dg[:, :2 * HIDDEN]
             grads["u"][:, 2 * HIDDEN:] += (r * before).T @ dc
             carried = dh * (1 - z) + drh * r + dg[:, :2 * HIDDEN] @ w["u"][:, :2 * HIDDEN].T
-        self._update(grads, len(targets))
+        words, dg = np.concatenate([k for k, _ in inputs]), np.vstack([g for _, g in inputs])
+        order = np.argsort(words, kind="stable")
+        rows, starts = np.unique(words[order], return_index=True)
+        grads["x"][rows] += np.add.reduceat(dg[order], starts)
+        self.rows.append(rows)
+        self.waiting += len(targets)
+        if self.waiting >= UPDATE_TOKENS:
+            self._update(grads, self.waiting)
         return h
 
     def _update(self, grads, n):
         self.t += 1
         self.tokens += n
-        size = np.sqrt(sum(float((g * g).sum()) for g in grads.values())) / n
+        rows = np.unique(np.concatenate(self.rows))
+        of = {k: rows if k == "x" else slice(None) for k in grads}     # other rows of x keep their moments
+        own = {k: g[of[k]] for k, g in grads.items()}
+        size = np.sqrt(sum(float((g * g).sum()) for g in own.values())) / n
         scale = 1 / n / max(1.0, size / 1.0)
         rate = RATE * np.sqrt(1 - 0.999 ** self.t) / (1 - 0.9 ** self.t)
-        for k, g in grads.items():
-            g *= scale
-            self.m[k] += 0.1 * (g - self.m[k])
-            self.v[k] += 0.001 * (g * g - self.v[k])
-            self.w[k] -= (rate * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)).astype(np.float32)
+        for k, g in own.items():
+            g = g * scale
+            m, v = self.m[k][of[k]], self.v[k][of[k]]
+            m = m + 0.1 * (g - m)
+            v = v + 0.001 * (g * g - v)
+            self.m[k][of[k]], self.v[k][of[k]] = m, v
+            self.w[k][of[k]] -= (rate * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
+            grads[k][of[k]] = 0
+        self.rows, self.waiting = [], 0
 
 
 def _pack(w: dict[str, np.ndarray]) -> bytes:
     return np.concatenate([w[k].ravel() for k in SHAPES]).astype(np.float32).tobytes()
 
 
-def _unpack(data: bytes) -> dict[str, np.ndarray]:
+def _unpack(data: bytes, classes: int, class_words: int) -> dict[str, np.ndarray]:
     flat, out = np.frombuffer(data, np.float32), {}
-    for k, shape in SHAPES.items():
+    for k, shape in shapes(classes, class_words).items():
         out[k], flat = flat[:np.prod(shape)].reshape(shape), flat[np.prod(shape):]
     return out
 
 
 def train(texts: DataFrame, vocabulary, weights: dict[str, np.ndarray], rounds: int = ROUNDS) -> dict[str, np.ndarray]:
     """Local training in every partition of ``texts`` (text: binary, h: a hash), averaged in a
-    tree; ``vocabulary`` is a broadcast."""
+    tree; ``vocabulary`` is a broadcast. Each text is in one of the rounds, with all its tokens."""
     spark = texts.sparkSession
+    classes, class_words = vocabulary.value.classes, vocabulary.value.class_words
     for n_round in range(rounds):
         shared = spark.sparkContext.broadcast(_pack(weights))
 
-        def work(batches, shared=shared, n_round=n_round):
-            known, trainer, held = vocabulary.value, None, []
-            place = known.place
-            for part in slices(batches):
-                for text, h in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    words = words_of(text)
-                    # windows at offsets by the text's hash, others in each round
-                    at = (h + 7919 * n_round) % max(1, len(words) + 1 - TRAIN_TOKENS // 2)
-                    ids = [min(HEAD, place.get(w, HEAD)) for w in words[at:at + TRAIN_TOKENS]]
-                    if at + TRAIN_TOKENS > len(words):
-                        ids.append(min(HEAD, known.end))
-                    held.append(np.array(ids))
-                    if len(held) == TRAIN_TEXTS:
-                        trainer = trainer or Trainer(_unpack(shared.value))
-                        trainer.texts(held, min(HEAD, known.end))
-                        held = []
-            if held:
-                trainer = trainer or Trainer(_unpack(shared.value))
-                trainer.texts(held, min(HEAD, known.end))
-            if trainer is not None:
+        def work(batches, shared=shared):
+            known = vocabulary.value
+            place, head, end = known.place, known.head, known.end
+
+            def ids_of():
+                for part in slices(batches):
+                    for text in part.column(0).to_pylist():
+                        ids = [place.get(w, head) for w in words_of(text)]
+                        ids.append(end)
+                        yield np.minimum(np.array(ids, np.int32), head)
+
+            docs = ids_of()
+            first = next(docs, None)
+            if first is not None:
+                trainer = Trainer(_unpack(shared.value, classes, class_words))
+                trainer.texts(chain([first], docs), end)
                 yield pa.RecordBatch.from_pylist([{"n": trainer.tokens, "w": _pack(trainer.w)}])
 
         def merge(a, b):
@@ -291,14 +339,15 @@ def train(texts: DataFrame, vocabulary, weights: dict[str, np.ndarray], rounds:
             both = [np.frombuffer(x, np.float32).astype(np.float64) for x in (a[1], b[1])]
             return n, ((both[0] * a[0] + both[1] * b[0]) / n).astype(np.float32).tobytes()
 
-        copies = texts.mapInArrow(work, "n long, w binary").rdd.map(lambda r: (r["n"], bytes(r["w"])))
+        part = texts.where(F.col("h") % rounds == n_round).select("text")
+        copies = part.mapInArrow(work, "n long, w binary").rdd.map(lambda r: (r["n"], bytes(r["w"])))
         parts = copies.getNumPartitions()
         none = (0, b"")
         got = copies.treeAggregate(none, lambda a, b: b if not a[0] else merge(a, b),
                                    lambda a, b: a if not b[0] else b if not a[0] else merge(a, b),
                                    max(2, int(np.ceil(np.log(max(2, parts)) / np.log(8)))))
         if got[0]:
-            weights = _unpack(got[1])
+            weights = _unpack(got[1], classes, class_words)
     return weights
 
 
@@ -331,8 +380,8 @@ def score_texts(w, y_of: list[np.ndarray], end: int) -> np.ndarray:
 
 
 @lru_cache(maxsize=1)
-def _weights_of(data: bytes):
-    return _unpack(data)
+def _weights_of(data: bytes, classes: int, class_words: int):
+    return _unpack(data, classes, class_words)
 
 
 def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: int = KNOWN,
@@ -348,14 +397,15 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", kno
     top = counts.orderBy(F.desc("c"), "word").limit(known).collect()      # bounded by ``known``
     vocabulary = Vocabulary([r["word"] for r in top], [r["c"] for r in top], total, distinct)
     shared = spark.sparkContext.broadcast(vocabulary)
-    seeds = learn.select("text", F.pmod(F.xxhash64("text"), F.lit(1 << 31)).alias("h"))
+    seeds = learn.select("text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 31)).alias("h"))
     weights = spark.sparkContext.broadcast(_pack(train(seeds, shared, initial(vocabulary), rounds)))
 
     def work(batches):
         rarer_gc()
-        voc, w = shared.value, _weights_of(weights.value)
+        voc = shared.value
+        w, head = _weights_of(weights.value, voc.classes, voc.class_words), voc.head
         place, counts, n_known_words = voc.place, voc.counts, len(voc.counts)
-        end = min(HEAD, voc.end)
+        end = voc.end
         held, size = [], 0
 
         def scored():
@@ -371,10 +421,10 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", kno
                 n_known.append(len(c))
                 missing_end = ids[-1] < 0       # nothing to learn from
                 base.append(float(voc.base_log10(c).sum()) + (float(voc.base_log10(0.0)) if missing_end else 0.0))
-                outside = found[found >= HEAD]
+                outside = found[found >= head]
                 rest.append(float(voc.rest_log10(counts[outside]).sum() if len(outside) else 0.0)
                             + (float(voc.rest_log10(0.0)) if missing_end else 0.0))
-                y_of.append(np.where((found < 0) | (found > HEAD), HEAD, found))
+                y_of.append(np.where((found < 0) | (found > head), head, found))
             scores = score_texts(w, y_of, end) + np.array(rest)
             return pa.RecordBatch.from_arrays(
                 [pa.array([d for d, _, _ in held], pa.int64()), pa.array([x for _, x, _ in held], pa.bool_()),

@@ -85,3 +85,58 @@ def test_probabilities_sum_to_one_and_state_is_carried(small):
     assert abs(sum(10 ** (scores - prefix)) - 1) < 1e-6
     long = np.arange(200) % 50
     assert abs(gru_lm.score_texts(w, [long, long[:3]], 0)[0] - gru_lm.score_texts(w, [long], 0)[0]) < 1e-6
+
+
+def trained_on(spark, texts, rounds):
+    """The vocabulary of ``texts``, and whether training moved the input vector of each word."""
+    counts = Counter(w for t in texts for w in [*t.split(), ""])
+    words = sorted(counts, key=lambda w: (-counts[w], w))
+    voc = gru_lm.Vocabulary(words, [counts[w] for w in words], sum(counts.values()), len(words))
+    rows = spark.createDataFrame([(t.encode(), k) for k, t in enumerate(texts)], "text binary, h long")
+    rng = np.random.default_rng(1)      # from the unigram model the first update would leave the inputs alone
+    before = {k: (v + rng.normal(0, 0.1, v.shape)).astype(np.float32) for k, v in gru_lm.initial(voc).items()}
+    after = gru_lm.train(rows, spark.sparkContext.broadcast(voc), before, rounds)
+    return words, (before["x"][:len(words)] != after["x"][:len(words)]).any(axis=1)
+
+
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_every_word_of_long_texts_is_trained_on(spark, rounds):
+    texts = [" ".join(f"w{k}x{i}" for i in range(600)) for k in range(3)]
+    words, moved = trained_on(spark, texts, rounds)
+    assert len(words) == 1801 and moved.all(), (moved.sum(), len(moved))
+
+
+def test_more_texts_than_places_all_tokens_count(small, monkeypatch):
+    monkeypatch.setattr(gru_lm, "TRAIN_TEXTS", 3)
+    w, rng = small
+    docs = [rng.integers(0, 300, n) for n in (40, 1, 16, 100, 3, 17, 33)]
+    trainer = gru_lm.Trainer(w)
+    trainer.texts(iter(docs), 0)
+    assert trainer.tokens == sum(map(len, docs))
+
+
+def test_state_is_carried_from_window_to_window_in_training(small, monkeypatch):
+    w, rng = small
+    seen, docs = [], [rng.integers(0, 300, n) for n in (70, 45)]
+    whole, output = gru_lm.score_texts(w, docs, 0).sum(), gru_lm.output
+
+    def loss(*args):
+        log_p, back = output(*args)
+        seen.append(log_p.sum())
+        return log_p, back
+
+    monkeypatch.setattr(gru_lm, "output", loss)
+    monkeypatch.setattr(gru_lm, "UPDATE_TOKENS", 10_000)
+    gru_lm.Trainer(w).texts(docs, 0)
+    assert len(seen) == 5 and abs(sum(seen) / np.log(10) - whole) < 1e-4
+
+
+def test_classes_follow_the_vocabulary():
+    small, large = (gru_lm.Vocabulary([f"w{k}" for k in range(20_000)], [5] * 20_000, 10 ** 9, n) for n in (80_000, 81 * 80_000))
+    assert (small.classes, small.class_words) == (gru_lm.CLASSES, gru_lm.CLASS_WORDS)
+    assert (large.classes, large.class_words, large.head) == (96, 192, 96 * 192)
+    w = gru_lm.initial(large)
+    packed = gru_lm._unpack(gru_lm._pack(w), large.classes, large.class_words)
+    assert all((packed[k] == w[k]).all() for k in w)
+    scores = gru_lm.score_texts(w, [np.array([y]) for y in range(large.head + 1)], 0)
+    assert abs(sum(10 ** scores) - 1) < 1e-4
