@@ -3,8 +3,8 @@ suffix-array dedup, mixing to target weights, byte-level BPE.
 
 Every stage works on all rows the one before it kept, and its decisions take effect: rejected
 documents and all but one of each near-duplicate group go, repeated passages are cut out of the
-texts, rows come in mixed order, and the last stage gives their token ids. All stages but the
-last return the columns of ``documents``.
+texts, rows come in mixed order, and the last stage gives their token ids and their ``position``
+in that order. All stages but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -58,15 +58,33 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order that mixes the sources to their target weights."""
+    """All documents, in the order that mixes the sources to their target weights: that of the
+    part numbers of the files it is written to, and of the rows in each."""
     placed = cut(mixing.mix(docs, keep=tuple(docs.columns)).select("position", "row"), "mixed")
     return placed.repartitionByRange("position").sortWithinPartitions("position").select("row.*")
 
 
+def written_order(docs: DataFrame) -> DataFrame:
+    """``docs``, read from files, with the ``position`` (from 0) of every row in written order. A
+    read is no such order: it takes large files first, and splits and packs them."""
+    file = F.struct(F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long").alias("part"),
+                    F.col("_metadata.file_name").alias("name"))
+    placed = docs.select("*", file.alias("own_file"), F.col("_metadata.row_index").alias("own_row"))
+    before = Window.partitionBy(F.lit(1)).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    # a row per file
+    starts = placed.groupBy(F.col("own_file").alias("file")).agg(F.count(F.lit(1)).alias("n")) \
+        .select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return placed.join(F.broadcast(starts), F.col("own_file") == F.col("file")) \
+        .select(*docs.columns, (F.col("start") + F.col("own_row")).alias("position"))
+
+
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and the digests of ids and of the decoded text."""
-    coded = byte_bpe.round_trip(docs, MULTI_RANKS, public_tokenizers.PATTERN)
-    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
+    """Token ids of every document, and the digests of ids and of the decoded text; ``position``
+    is the document's place in the mixed order, which is also that of the rows."""
+    ordered = written_order(docs).select("doc_id", "text", "position") \
+        .repartitionByRange("position").sortWithinPartitions("position")
+    coded = byte_bpe.round_trip(ordered, MULTI_RANKS, public_tokenizers.PATTERN, keep=("position",))
+    return coded.select("position", "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -396,19 +396,21 @@ def decode(df: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str
 
 
 def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
+               text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, ids, decoded``: :func:`encode`, and the ids' bytes by the streaming decoder,
-    in one pass."""
+    in one pass. ``keep`` names further columns of ``df`` to hand on; rows stay in their order."""
     def work(batches):
         rarer_gc()
         encoder, decoder = _encoder(ranks_path, pattern), _decoder(ranks_path)
         for part in slices(batches):
             ids = [encoder.encode(t) for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(ids, pa.binary()), pa.array([decoder.decode(x)[0] for x in ids], pa.binary())],
-                ["doc_id", "ids", "decoded"])
+                [part.column(0), pa.array(ids, pa.binary()), pa.array([decoder.decode(x)[0] for x in ids], pa.binary()),
+                 *part.columns[2:]], ["doc_id", "ids", "decoded", *keep])
 
-    return document_rows(df, id_col, text_col).mapInArrow(work, "doc_id long, ids binary, decoded binary")
+    docs = document_rows(df, id_col, text_col, keep)
+    kept = "".join(f", `{name}` {kind}" for name, kind in docs.dtypes[2:])
+    return docs.mapInArrow(work, "doc_id long, ids binary, decoded binary" + kept)
 
 
 def digests(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

@@ -13,11 +13,12 @@ _PAIR_OF_SPACES = re.compile(r"\s\s")
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
-def document_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the id (long) and the text; a NULL text becomes the empty text. Every other
-    column is left behind, so names of the operators' own columns cannot clash."""
+def document_rows(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  keep: tuple[str, ...] = ()) -> DataFrame:
+    """Only the id (long) and the text, and the columns ``keep``; a NULL text becomes the empty
+    text. Every other column is left behind, so names of the operators' own columns cannot clash."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"),
-                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *keep)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

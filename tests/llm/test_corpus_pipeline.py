@@ -86,3 +86,19 @@ def test_edge_cases(spark, edge_docs, no_docs):
         assert df.count() <= docs.count()
     assert cp.quality_rules(spark, no_docs, SMALL).count() == 0
     assert {r.doc_id for r in cp.simhash_dedup(spark, edge_docs, SMALL).collect()} >= {None, 4, 9}
+
+
+def test_run_gives_the_mixed_order(spark, monkeypatch):
+    monkeypatch.setattr(cp, "STAGES", cp.STAGES[3:])       # the stages before it decide no order
+    changed = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "20000"}
+    before = {k: spark.conf.get(k) for k in changed}
+    place = {r.doc_id: r.position for r in mixing.mix(spark.read.parquet(f"{SMALL}/documents.parquet")).collect()}
+    try:
+        for k, v in changed.items():        # many files, read in other partitions than written
+            spark.conf.set(k, v)
+        rows = cp.run(spark, SMALL).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r.doc_id: r.position for r in rows} == place
+    assert [r.position for r in rows] == list(range(len(place)))
