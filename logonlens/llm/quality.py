@@ -9,11 +9,11 @@ windows that occur more than once in it.
 shares of character classes, and the shares of its most common short words. A text is held
 against its language's references by the Jensen-Shannon distance (base 2, 0 to 1). Texts
 below a minimum length are not judged by it, since short histograms are noise, nor are texts
-in a language that has no reference (no ``lang``, or not among the ``max_languages`` most
-frequent).
+in a language that has no reference (no ``lang``, or no short word in any of its texts).
 
-The references are one row per language (bounded by ``max_languages``), so they are
-broadcast and texts are never shuffled.
+The references are one row per language, for all languages, written before they are joined: their
+size is then known, and Spark broadcasts them while they are small (texts are not shuffled) and
+else joins by a shuffle on ``lang``.
 
 Nulls: a NULL text has no words (and fails). A NULL lang has no reference. Repeated rows each
 give a row. An empty table gives an empty result.
@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logonlens.llm.common import cut
+
 SPACE = r"\x20\x09-\x0D"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -37,7 +39,6 @@ CLASS_NAMES = list(CLASSES)
 COMMON_WORDS = 32            # common words of a language's reference
 COMMON_CHARS = 5             # they have at most so many letters
 COMMON_SHARE = 1e-4          # and at least this share of such words, so 10,000 at most compete
-MAX_LANGUAGES = 256
 # Minimum lengths and largest distances. Clean texts of the languages seen lie far below.
 MIN_CHARS_JUDGED = 200
 MIN_WORDS_JUDGED = 50
@@ -113,15 +114,14 @@ def common_words(words: Column) -> Column:
     return F.transform(short, lambda w: F.lower(F.btrim(w, marks)))
 
 
-def references(docs: DataFrame, max_languages: int = MAX_LANGUAGES) -> DataFrame:
-    """``lang, classes, common, shares``: one row for each of the most frequent languages,
-    from all its documents (``docs``: lang, text). ``shares`` has one more entry than
+def references(docs: DataFrame) -> DataFrame:
+    """``lang, classes, common, shares``: one row for each language, from all its documents (``docs``: lang, text). ``shares`` has one more entry than
     ``common``: all other short words."""
     known = docs.where(F.col("lang").isNotNull())
     sums = [F.sum(F.get("c", k)).alias(f"c{k}") for k in range(len(CLASSES) + 1)]
     classes = with_classes(known, "c").groupBy("lang") \
-        .agg(F.count(F.lit(1)).alias("n"), *sums) \
-        .select("lang", "n", F.array(*[f"c{k}" for k in range(len(CLASSES) + 1)]).alias("classes"))
+        .agg(*sums) \
+        .select("lang", F.array(*[f"c{k}" for k in range(len(CLASSES) + 1)]).alias("classes"))
     counted = known.select("lang", F.explode(common_words(words_of(F.col("text")))).alias("word")) \
         .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("c"))
     totals = counted.groupBy("lang").agg(F.sum("c").alias("total"))
@@ -132,7 +132,7 @@ def references(docs: DataFrame, max_languages: int = MAX_LANGUAGES) -> DataFrame
     common = best.groupBy("lang").agg(
         F.sort_array(F.collect_list(F.struct("r", "word", "c"))).alias("list"), F.first("total").alias("total"),
         F.sum("c").alias("in_list"))
-    return classes.join(common, "lang").orderBy(F.desc("n"), "lang").limit(max_languages).select(
+    return classes.join(common, "lang").select(
         "lang", "classes", F.transform("list", lambda x: x["word"]).alias("common"),
         F.concat(F.transform("list", lambda x: x["c"].cast("double")),
                  F.array((F.col("total") - F.col("in_list")).cast("double"))).alias("shares"))
@@ -167,9 +167,9 @@ def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                      F.col(lang_col).alias("lang"), *([F.struct(*keep).alias("row")] if keep else []))
     carried = ["doc_id", *(["row"] if keep else [])]
-    refs = references(docs.select("lang", "text"))
+    refs = cut(references(docs.select("lang", "text")), "quality-references")
     counted = _counts(with_classes(docs, "own_classes"), [*carried, "lang", "own_classes"])
-    judged = counted.join(F.broadcast(refs), "lang", "left")
+    judged = counted.join(refs, "lang", "left")
     judged = judged.withColumn("short_words", F.when(F.col("common").isNotNull() & (F.col("n_words") >= MIN_WORDS_JUDGED),
                                                      common_words(F.col("words"))))
     judged = judged.withColumn("coded", coded_words("short_words", "common"))

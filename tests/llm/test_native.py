@@ -87,6 +87,20 @@ def test_quality_without_language_or_rows(spark, edge_docs, no_docs):
     assert quality.quality(no_docs).count() == 0
 
 
+def test_every_language_has_a_reference(spark):
+    rows = [(i, f"word{i} the of and to " * 15, f"l{i:03}") for i in range(260)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert quality.references(docs).count() == 260
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit in (before, "-1"):        # broadcast, and joined by a shuffle
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            got = quality.quality(docs).collect()
+            assert len(got) == 260 and all(r.char_distance is not None and r.word_distance is not None for r in got)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 # ------------------------------------------------------------------ license scan
 
 def plain_scan(docs, templates, threshold):
