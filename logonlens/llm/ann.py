@@ -197,7 +197,8 @@ def _matrix(column: pa.Array | pa.ChunkedArray, dimensions: int) -> np.ndarray:
 def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding",
             sure: float = SURE, cell_rows: int = CELL_ROWS, sample: int = SAMPLE) -> DataFrame:
     """``query_id, rank`` (from 1), ``vec_id, score``: the ``k`` nearest rows found for every row
-    of ``df`` where ``is_query`` (a condition on the id, named ``vec_id``) holds."""
+    of ``df`` where ``is_query`` (a condition on the id, named ``vec_id``) holds; equal query rows
+    are asked once."""
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("v")))
@@ -220,7 +221,9 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
                                              ["vec_id", "v", "cell", "own_cell"])
 
     placed = cut(rows.mapInArrow(put, "vec_id long, v array<double>, cell long, own_cell long"), "ann-cells")
-    queries = placed.where(is_query)
+    # equal query rows are one query; rows of one id with other vectors are queries of their own, by ``q``
+    queries = cut(placed.where(is_query).dropDuplicates(["vec_id", "v"])
+                  .withColumn("q", F.monotonically_increasing_id()), "ann-queries")
     # a row per cell, and at most sample / 16 cells
     shards = {r["cell"]: ceil(r["count"] / cell_rows) for r in placed.groupBy("cell").count().collect()}
     blocks = ceil(queries.count() / QUERY_ROWS) or 1
@@ -231,13 +234,14 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
 
     def find(key, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
+            return pa.table({"q": pa.array([], pa.int64()), "query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
                              "score": pa.array([], pa.float64())})
         asked = right.column("vec_id").to_numpy()
         which, ids, products = search(index.value, left.column("vec_id").to_numpy(), _matrix(left.column("v"), dimensions),
                                       asked, _matrix(right.column("v"), dimensions),
                                       right.column("bound").to_numpy(), k, sure)
-        return pa.table({"query_id": pa.array(asked[which.astype(np.int64)]), "vec_id": pa.array(ids.astype(np.int64)),
+        which = which.astype(np.int64)
+        return pa.table({"q": pa.array(right.column("q").to_numpy()[which]), "query_id": pa.array(asked[which]), "vec_id": pa.array(ids.astype(np.int64)),
                          "score": pa.array(products.astype(np.float64))})
 
     def searched(asked: DataFrame) -> DataFrame:
@@ -245,19 +249,19 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
         to = asked.withColumn("shard", F.explode(F.sequence(
             F.lit(0).cast("long"), (number[F.col("cell")] - 1).cast("long"))))
         return candidates.groupBy(*keys).cogroup(to.groupBy(*keys)).applyInArrow(
-            find, "query_id long, vec_id long, score double")
+            find, "q long, query_id long, vec_id long, score double")
 
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
 
     def top(found: DataFrame) -> DataFrame:
         return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
     none = F.lit(float("-inf"))
     # a query's own cell may hold no candidate: it then goes on without a bound
-    first = cut(top(searched(queries.select("vec_id", "v", F.col("own_cell").alias("cell"), none.alias("bound"), block)
+    first = cut(top(searched(queries.select("q", "vec_id", "v", F.col("own_cell").alias("cell"), none.alias("bound"), block)
                              .where(F.col("cell").isin(list(shards))))), "ann-first")
-    bounds = first.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("bound"))
-    known = queries.join(bounds, "vec_id", "left").select("vec_id", "v", "own_cell", F.coalesce("bound", none).alias("bound"))
+    bounds = first.where(F.col("rank") == k).select("q", F.col("score").alias("bound"))
+    known = queries.join(bounds, "q", "left").select("vec_id", "v", "own_cell", F.coalesce("bound", none).alias("bound"), "q")
 
     def go_on(batches):
         ix, quantile = index.value, chi_square_quantile(sure)
@@ -272,8 +276,8 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
             q, c = np.nonzero((gaps <= reach[:, None]) & (cells[None, :] != own[:, None]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(q)), batch.column(1).take(pa.array(q)), pa.array(cells[c]),
-                 batch.column(3).take(pa.array(q))], ["vec_id", "v", "cell", "bound"])
+                 batch.column(3).take(pa.array(q)), batch.column(4).take(pa.array(q))], ["vec_id", "v", "cell", "bound", "q"])
 
-    asked = known.mapInArrow(go_on, "vec_id long, v array<double>, cell long, bound double").select("*", block)
-    every = searched(asked).unionByName(first.select("query_id", "vec_id", "score"))
+    asked = known.mapInArrow(go_on, "vec_id long, v array<double>, cell long, bound double, q long").select("*", block)
+    every = searched(asked).unionByName(first.select("q", "query_id", "vec_id", "score"))
     return top(every).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

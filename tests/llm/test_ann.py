@@ -71,3 +71,16 @@ def test_rows_that_take_no_part(spark):
 def test_chi_square():
     assert abs(ann.chi_square_cdf(ann.chi_square_quantile(0.9)) - 0.9) < 1e-9
     assert abs(ann.chi_square_quantile(0.95) - 12.5916) < 1e-3
+
+
+def test_repeated_query_rows_give_whole_results(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(300)]
+    kind = "vec_id long, embedding array<double>"
+    once = results(ann.nearest(spark.createDataFrame(rows, kind), F.col("vec_id") % 50 == 0, k=8, cell_rows=50))
+    again = spark.createDataFrame(rows + [rows[0], rows[0]], kind)        # one of the query rows three times
+    got = results(ann.nearest(again, F.col("vec_id") % 50 == 0, k=8, cell_rows=50))
+    assert len({i for i, _ in got[0]}) == 8 and recall(got, once) >= 0.95
+    other = spark.createDataFrame([*rows, (0, rows[7][1])], kind)           # its id with another vector: two queries
+    found = [r for r in ann.nearest(other, F.col("vec_id") == 0, k=8, cell_rows=50).collect()]
+    assert sorted(r["rank"] for r in found) == sorted([*range(1, 9)] * 2)
