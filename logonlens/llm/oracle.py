@@ -81,24 +81,26 @@ windows AS (SELECT r, i, w[i:i + {q.WINDOW - 1}] AS win
 twice AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, win) > 1),
 covered AS (SELECT r, sum(least({q.WINDOW}, i - before)) AS n
             FROM (SELECT r, i, coalesce(lag(i) OVER (PARTITION BY r ORDER BY i), -{q.WINDOW}) AS before FROM twice) GROUP BY r),
-classes AS (SELECT lang, list(total ORDER BY k) AS classes
-            FROM (SELECT lang, k, sum(own_classes[k]) AS total FROM counts, range(1, {len(kept) + 3}) x(k)
-                  WHERE lang IS NOT NULL GROUP BY lang, k) GROUP BY lang),
-words AS (SELECT lang, word, count(*) AS c FROM (SELECT lang, unnest(short) AS word FROM counts WHERE lang IS NOT NULL)
-          GROUP BY lang, word),
-totals AS (SELECT *, sum(c) OVER (PARTITION BY lang) AS total FROM words),
-top AS (SELECT * FROM totals WHERE c >= {q.COMMON_SHARE} * total
-        QUALIFY row_number() OVER (PARTITION BY lang ORDER BY c DESC, word) <= {q.COMMON_WORDS}),
-refs AS (SELECT lang, list(word ORDER BY c DESC, word) AS common,
-           list_append(list(CAST(c AS DOUBLE) ORDER BY c DESC, word), CAST(any_value(total) - sum(c) AS DOUBLE)) AS shares
-         FROM top GROUP BY lang),
-own AS (SELECT c.*, x.classes, f.shares, list_transform(f.common, lambda x: CAST(len(list_filter(c.short, lambda y: y = x)) AS DOUBLE)) AS hits
-        FROM counts c LEFT JOIN refs f USING (lang) LEFT JOIN classes x USING (lang)),
-full_own AS (SELECT *, list_append(hits, len(short) - list_sum(hits)) AS own_words FROM own),
-judged AS (SELECT *, CASE WHEN length(t) >= {q.MIN_CHARS_JUDGED} AND shares IS NOT NULL
-                          THEN {distance.format(a='own_classes', b='classes')} END AS cd,
-             CASE WHEN len(w) >= {q.MIN_WORDS_JUDGED} AND shares IS NOT NULL AND len(short) > 0
-                  THEN {distance.format(a='own_words', b='shares')} END AS wd FROM full_own),
+texts AS (SELECT lang AS ref, own_classes, short, len(w) AS n FROM counts WHERE lang IS NOT NULL
+          UNION ALL SELECT NULL, own_classes, short, len(w) FROM counts),
+classes AS (SELECT ref, list(total ORDER BY k) AS classes
+            FROM (SELECT ref, k, sum(own_classes[k]) AS total FROM texts, range(1, {len(kept) + 3}) x(k) GROUP BY ref, k) GROUP BY ref),
+totals AS (SELECT ref, sum(n) AS total FROM texts GROUP BY ref),
+words AS (SELECT ref, word, count(*) AS c FROM (SELECT ref, unnest(short) AS word FROM texts) GROUP BY ref, word),
+top AS (SELECT w.*, x.total FROM words w JOIN totals x ON w.ref IS NOT DISTINCT FROM x.ref WHERE c >= {q.COMMON_SHARE} * total
+        QUALIFY row_number() OVER (PARTITION BY w.ref ORDER BY c DESC, word) <= {q.COMMON_WORDS}),
+lists AS (SELECT ref, list(word ORDER BY c DESC, word) AS common, list(CAST(c AS DOUBLE) ORDER BY c DESC, word) AS held FROM top GROUP BY ref),
+refs AS (SELECT x.ref, coalesce(common, []) AS common, list_append(coalesce(held, []), CAST(total - coalesce(list_sum(held), 0) AS DOUBLE)) AS shares,
+           classes FROM totals x LEFT JOIN lists f ON f.ref IS NOT DISTINCT FROM x.ref JOIN classes c ON c.ref IS NOT DISTINCT FROM x.ref),
+near AS (SELECT r, arg_min(ref, (-hits, ref)) AS ref FROM (SELECT r, f.ref, len(list_intersect(short, common)) AS hits
+           FROM counts, refs f WHERE lang IS NULL AND f.ref IS NOT NULL) WHERE hits > 0 GROUP BY r),
+own AS (SELECT c.*, f.classes, f.shares, list_transform(f.common, lambda x: CAST(len(list_filter(c.short, lambda y: y = x)) AS DOUBLE)) AS hits
+        FROM counts c LEFT JOIN near USING (r) LEFT JOIN refs f ON f.ref IS NOT DISTINCT FROM coalesce(c.lang, near.ref)),
+full_own AS (SELECT *, list_append(hits, len(w) - coalesce(list_sum(hits), 0)) AS own_words,
+               list_append(list_transform(hits, lambda x: 0.0::DOUBLE), 1.0::DOUBLE) AS no_hit FROM own),
+judged AS (SELECT *, CASE WHEN length(t) >= {q.MIN_CHARS_JUDGED} THEN {distance.format(a='own_classes', b='classes')} END AS cd,
+             CASE WHEN len(w) >= {q.MIN_WORDS_JUDGED} THEN {distance.format(a='own_words', b='shares')}
+               / nullif({distance.format(a='no_hit', b='shares')}, 0) END AS wd FROM full_own),
 base AS (SELECT j.*, CAST(coalesce(v.n, 0) AS BIGINT) AS rep FROM judged j LEFT JOIN covered v USING (r))
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(t) - own_classes[4] AS BIGINT) AS word_chars,
   CAST(own_classes[5] AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,

@@ -6,16 +6,24 @@ fewer than ``MIN_WORDS`` words, or when over ``MAX_REPEAT_PERCENT`` of its words
 windows that occur more than once in it.
 
 **Divergence.** For every language two references are counted over all its documents: the
-shares of character classes, and the shares of its most common short words. A text is held
-against its language's references by the Jensen-Shannon distance (base 2, 0 to 1). Texts
-below a minimum length are not judged by it, since short histograms are noise, nor are texts
-in a language that has no reference (no ``lang``, or no short word in any of its texts).
-
-The references are one row per language, for all languages, written before they are joined: their
-size is then known, and Spark broadcasts them while they are small (texts are not shuffled) and
-else joins by a shuffle on ``lang``.
-
-Nulls: a NULL text has no words (and fails). A NULL lang has no reference. Repeated rows each
+shares of character classes, and the shares of its most common short words among all words
+(every word counts; those not listed are one class of their own). A text is held against its
+language's references by the Jensen-Shannon distance (base 2, 0 to 1). The word distance is
+measured in that of a text with none of the listed words, so a text without any common word
+is far in every language. Texts below a minimum length are not judged by it, since short
+histograms are noise.
+
+A text without ``lang`` is held against the nearest language, the one with the most of its
+common words in the text (ties: the smaller name), or where it holds none of any language,
+against all documents taken together.
+
+What the rules and histograms need of a text is written once, as a row of small columns, and
+the references and the verdicts are made from those. The references are one row per language,
+for all languages, written before they are joined: their size is then known, and Spark
+broadcasts them while they are small (texts are not shuffled) and else joins by a shuffle on
+``lang``. The result can be filtered on any column at no further cost.
+
+Nulls: a NULL text has no words (and fails); a NULL lang see above. Repeated rows each
 give a row. An empty table gives an empty result.
 """
 
@@ -32,18 +40,19 @@ WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
-# Character classes: the characters that a class keeps.
-CLASSES = {"upper": "A-Z", "lower": "a-z", "digit": "0-9", "space": SPACE, "symbol": SYMBOLS,
-           "stop": ".,;:!?", "wide": r"\u0080-\x{10FFFF}"}
-CLASS_NAMES = list(CLASSES)
+# Character classes by the letter that stands for them in a coded text. Lower-case letters are
+# counted apart, all other ASCII characters are one class, all beyond ASCII another.
+CODED = {"U": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "D": "0123456789", "S": " \t\n\x0b\f\r", "Y": SYMBOLS, "P": ".,;:!?"}
+CODED["O"] = "".join(chr(k) for k in range(128) if not chr(k).islower() and chr(k) not in "".join(CODED.values()))
+CLASS_NAMES = ["upper", "lower", "digit", "space", "symbol", "stop", "wide", "other"]
 COMMON_WORDS = 32            # common words of a language's reference
 COMMON_CHARS = 5             # they have at most so many letters
-COMMON_SHARE = 1e-4          # and at least this share of such words, so 10,000 at most compete
-# Minimum lengths and largest distances. Clean texts of the languages seen lie far below.
+COMMON_SHARE = 1e-4          # and at least this share of all words, so 10,000 at most compete
+# Minimum lengths and largest distances (of words: in that of a text with no common word).
 MIN_CHARS_JUDGED = 200
 MIN_WORDS_JUDGED = 50
 MAX_CHAR_DISTANCE = 0.30
-MAX_WORD_DISTANCE = 0.55
+MAX_WORD_DISTANCE = 0.90
 
 
 def words_of(text: Column) -> Column:
@@ -51,7 +60,7 @@ def words_of(text: Column) -> Column:
 
 
 def _counts(df: DataFrame, keep: list[str]) -> DataFrame:
-    """The base counts of every text, with its words for the common-word histogram.
+    """The base counts of every text, and its short words for the common-word histogram.
 
     Windows (8 words: three doublings) are compared by a 64-bit hash of their words' hashes. Only texts that repeat a
     window are sorted: equal windows then stand side by side, and the words they cover are
@@ -87,59 +96,73 @@ def _counts(df: DataFrame, keep: list[str]) -> DataFrame:
         F.lit(0).cast("bigint"), lambda a, x: a + x)
     text = F.col("text")
     return df.select(
-        *keep, "words",
-        n.cast("long").alias("n_words"),
+        *keep, n.cast("long").alias("n_words"),
         (F.length(text) - F.get("own_classes", CLASS_NAMES.index("space"))).cast("long").alias("word_chars"),
         F.get("own_classes", CLASS_NAMES.index("symbol")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(repeat, F.lit(0)).alias("n_repeat_words"))
+        F.coalesce(repeat, F.lit(0)).alias("n_repeat_words"),
+        short_words(F.col("words")).alias("short"))
 
 
 def with_classes(df: DataFrame, name: str) -> DataFrame:
-    """Adds the characters of each class of ``text``, and of none. One pass takes the lower-case
-    letters out, which are most of a text; the other classes are counted in what is left."""
-    left = F.col("without_lower")
-    df = df.withColumn("without_lower", F.regexp_replace("text", "[a-z]+", ""))
-    counts = [F.length("text") - F.length(left) if kept == "a-z" else F.length(F.regexp_replace(left, f"[^{kept}]+", ""))
-              for kept in CLASSES.values()]
-    df = df.withColumn("in_classes", F.array(*[c.cast("double") for c in counts]))
-    every = F.aggregate("in_classes", F.lit(0.0), lambda a, x: a + x)
-    return df.withColumn(name, F.array_append("in_classes", F.length("text") - every)).drop("without_lower", "in_classes")
-
-
-def common_words(words: Column) -> Column:
-    """The lower-cased words that may be common ones: those with few letters between marks."""
-    marks = F.lit(".,;:!?|")
-    short = F.filter(words, lambda w: F.length(F.btrim(w, marks)).between(1, COMMON_CHARS))
-    return F.transform(short, lambda w: F.lower(F.btrim(w, marks)))
-
-
-def references(docs: DataFrame) -> DataFrame:
-    """``lang, classes, common, shares``: one row for each language, from all its documents (``docs``: lang, text). ``shares`` has one more entry than
-    ``common``: all other short words."""
-    known = docs.where(F.col("lang").isNotNull())
-    sums = [F.sum(F.get("c", k)).alias(f"c{k}") for k in range(len(CLASSES) + 1)]
-    classes = with_classes(known, "c").groupBy("lang") \
-        .agg(*sums) \
-        .select("lang", F.array(*[f"c{k}" for k in range(len(CLASSES) + 1)]).alias("classes"))
-    counted = known.select("lang", F.explode(common_words(words_of(F.col("text")))).alias("word")) \
-        .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("c"))
-    totals = counted.groupBy("lang").agg(F.sum("c").alias("total"))
-    # at least COMMON_SHARE of a language's short words each: 1 / COMMON_SHARE rows at most
-    best = counted.join(totals, "lang").where(F.col("c") >= COMMON_SHARE * F.col("total")) \
+    """Adds the characters of each class of ``text`` (long each, as CLASS_NAMES). Lower-case
+    letters are most of a text; what is left without them is recoded, a letter for each class,
+    and a class has as many characters as the recoded rest loses with its letter."""
+    rest = F.regexp_replace("text", "[a-z]+", "")
+    df = df.withColumn("rest", F.translate(rest, "".join(CODED.values()), "".join(k * len(v) for k, v in CODED.items())))
+    size = F.length("rest")
+    n = {k: size - F.length(F.replace(F.col("rest"), F.lit(k), F.lit(""))) for k in CODED}
+    df = df.withColumn("in_classes", F.array(n["U"], F.length("text") - size, n["D"], n["S"], n["Y"], n["P"], n["O"]))
+    wide = F.length("text") - F.aggregate("in_classes", F.lit(0), lambda a, x: a + x)
+    return df.withColumn(name, F.concat(F.slice("in_classes", 1, 6), F.array(wide), F.slice("in_classes", 7, 1))
+                         .cast("array<long>")).drop("rest", "in_classes")
+
+
+def short_words(words: Column) -> Column:
+    """The lower-cased words of few letters between marks, which may be common ones, each
+    between two spaces of its own, in one string."""
+    bare = F.transform(words, lambda w: F.lower(F.btrim(w, F.lit(".,;:!?|"))))
+    short = F.filter(bare, lambda w: F.length(w).between(1, COMMON_CHARS))
+    return F.when(F.size(short) > 0, F.concat(F.lit(" "), F.array_join(short, "  "), F.lit(" "))).otherwise(F.lit(""))
+
+
+def listed(short: Column) -> Column:
+    """The words of such a string."""
+    return F.split(F.substring(short, 2, 2147483647), " (?: |$)")
+
+
+def references(texts: DataFrame) -> DataFrame:
+    """``lang, classes, common, shares``: one row for each language, from all its texts
+    (``texts``: lang, own_classes, n_words, short), and one with a NULL lang from all texts.
+    ``shares`` has one more entry than ``common``: all other words."""
+    k = len(CLASS_NAMES)
+    by_lang = texts.groupBy("lang").agg(*[F.sum(F.get("own_classes", i)).alias(f"c{i}") for i in range(k)],
+                                        F.sum("n_words").alias("total"))
+    counted = texts.where(F.col("short") != "").select("lang", F.explode(listed(F.col("short"))).alias("word")) \
+        .where("word != ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("c"))
+    # the languages, and all texts together from their sums
+    sums = by_lang.where("lang IS NOT NULL").unionByName(by_lang.agg(
+        F.lit(None).cast("string").alias("lang"), *[F.sum(c).alias(c) for c in by_lang.columns if c != "lang"]))
+    counted = counted.where("lang IS NOT NULL").unionByName(counted.groupBy("word").agg(F.sum("c").alias("c"))
+                                                            .withColumn("lang", F.lit(None).cast("string")))
+    totals = sums.select(F.col("lang").alias("l"), "total")
+    # at least COMMON_SHARE of a language's words each: 1 / COMMON_SHARE rows at most
+    best = counted.join(totals, F.col("lang").eqNullSafe(F.col("l"))).where(F.col("c") >= COMMON_SHARE * F.col("total")) \
         .withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("c"), "word"))) \
         .where(F.col("r") <= COMMON_WORDS)
-    common = best.groupBy("lang").agg(
-        F.sort_array(F.collect_list(F.struct("r", "word", "c"))).alias("list"), F.first("total").alias("total"),
-        F.sum("c").alias("in_list"))
-    return classes.join(common, "lang").select(
-        "lang", "classes", F.transform("list", lambda x: x["word"]).alias("common"),
-        F.concat(F.transform("list", lambda x: x["c"].cast("double")),
-                 F.array((F.col("total") - F.col("in_list")).cast("double"))).alias("shares"))
+    common = best.groupBy(F.col("lang").alias("l")).agg(
+        F.sort_array(F.collect_list(F.struct("r", "word", "c"))).alias("list"))
+    out = sums.join(common, F.col("lang").eqNullSafe(F.col("l")), "left").where("total IS NOT NULL")
+    in_list = F.transform("list", lambda x: x["c"].cast("double"))
+    return out.select(
+        "lang", F.array(*[F.col(f"c{i}").cast("double") for i in range(k)]).alias("classes"),
+        F.coalesce(F.transform("list", lambda x: x["word"]), F.array().cast("array<string>")).alias("common"),
+        F.coalesce(F.array_append(in_list, F.col("total") - F.aggregate(in_list, F.lit(0.0), lambda a, x: a + x)),
+                   F.array(F.col("total").cast("double"))).alias("shares"))
 
 
 def js_distance(counts: Column, reference: Column) -> Column:
-    """Jensen-Shannon distance of two histograms; 0 when either is empty."""
+    """Jensen-Shannon distance of two histograms; NULL when either is empty."""
     def total(x):
         return F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
 
@@ -148,15 +171,25 @@ def js_distance(counts: Column, reference: Column) -> Column:
 
     terms = F.zip_with(counts, reference, lambda c, r: part(c / total(counts), r / total(reference))
                        + part(r / total(reference), c / total(counts)))
-    return F.when((total(counts) > 0) & (total(reference) > 0),
-                  F.sqrt(F.greatest(F.lit(0.0), total(terms) / 2))).otherwise(F.lit(0.0))
+    return F.when((total(counts) > 0) & (total(reference) > 0), F.sqrt(F.greatest(F.lit(0.0), total(terms) / 2)))
+
+
+def word_histogram(short: str, common: str, n_words: str) -> Column:
+    """How often each word of ``common`` stands in the string ``short``, and all other words.
+    A word's count is what the string loses with it, by its length and two spaces."""
+    held = F.transform(common, lambda w: ((F.octet_length(short) - F.octet_length(F.replace(
+        F.col(short), F.concat(F.lit(" "), w, F.lit(" ")), F.lit("")))) / (F.octet_length(w) + 2)).cast("double"))
+    return F.array_append(held, F.col(n_words) - F.aggregate(held, F.lit(0.0), lambda a, x: a + x))
 
 
-def coded_words(words: str, common: str) -> Column:
-    """A string with one character for every word: its place in ``common`` (0: none of them),
-    counted from "@". The count of a word is then what the string loses with its character."""
-    return F.array_join(F.transform(words, lambda w: F.char(F.lit(64) + F.coalesce(
-        F.array_position(common, w), F.lit(0)))), "")
+def nearest_languages(texts: DataFrame, refs: DataFrame) -> DataFrame:
+    """``texts`` without ``lang`` with that of the nearest reference as ``ref_lang`` (NULL: none)."""
+    words = refs.where("lang IS NOT NULL").select(F.col("lang").alias("near"), F.explode("common").alias("word"))
+    own = texts.where("short != ''").select("short").distinct() \
+        .select("short", F.explode(F.array_distinct(listed(F.col("short")))).alias("word"))
+    hits = own.join(words, "word").groupBy("short", "near").agg(F.count(F.lit(1)).alias("n"))
+    found = hits.groupBy(F.col("short").alias("of")).agg(F.min(F.struct(-F.col("n"), "near"))["near"].alias("ref_lang"))
+    return texts.join(found, F.col("short") == F.col("of"), "left").drop("of")
 
 
 def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -167,25 +200,25 @@ def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                      F.col(lang_col).alias("lang"), *([F.struct(*keep).alias("row")] if keep else []))
     carried = ["doc_id", *(["row"] if keep else [])]
-    refs = cut(references(docs.select("lang", "text")), "quality-references")
-    counted = _counts(with_classes(docs, "own_classes"), [*carried, "lang", "own_classes"])
-    judged = counted.join(refs, "lang", "left")
-    judged = judged.withColumn("short_words", F.when(F.col("common").isNotNull() & (F.col("n_words") >= MIN_WORDS_JUDGED),
-                                                     common_words(F.col("words"))))
-    judged = judged.withColumn("coded", coded_words("short_words", "common"))
-    judged = judged.withColumn("own_words", F.transform(
-        F.sequence(F.lit(1), F.size("common") + 1),
-        lambda k: (F.length("coded") - F.length(F.replace(F.col("coded"), F.char(F.lit(64) + F.when(
-            k <= F.size("common"), k).otherwise(F.lit(0)))))).cast("double")))
+    texts = cut(_counts(with_classes(docs, "own_classes"), [*carried, "lang", "own_classes"]), "quality-texts")
+    refs = cut(references(texts), "quality-references")
+    with_ref = texts.where("lang IS NOT NULL").withColumn("ref_lang", F.col("lang")) \
+        .unionByName(nearest_languages(texts.where("lang IS NULL"), refs))
+    judged = with_ref.join(refs.withColumnRenamed("lang", "l"), F.col("ref_lang").eqNullSafe(F.col("l")), "left")
+    judged = judged.withColumn("own_words", F.when(F.col("n_words") >= MIN_WORDS_JUDGED,
+                                                   word_histogram("short", "common", "n_words")))
+    none = F.transform("shares", lambda x, i: F.when(i == F.size("common"), F.lit(1.0)).otherwise(F.lit(0.0)))
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    length = F.aggregate("own_classes", F.lit(0.0), lambda a, x: a + x)
+    length = F.aggregate("own_classes", F.lit(0).cast("long"), lambda a, x: a + x)
     out = judged.select(
         *carried, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed.alias("base_failed"),
-        F.when(F.col("classes").isNotNull() & (length >= MIN_CHARS_JUDGED),
-               js_distance(F.col("own_classes"), F.col("classes"))).alias("char_distance"),
-        F.when(F.col("n_words") >= MIN_WORDS_JUDGED,
-               js_distance(F.col("own_words"), F.col("shares"))).alias("word_distance"))
+        F.when(length >= MIN_CHARS_JUDGED,
+               js_distance(F.col("own_classes").cast("array<double>"), F.col("classes"))).alias("char_distance"),
+        (js_distance(F.col("own_words"), F.col("shares"))
+         / F.nullif(js_distance(none, F.col("shares")), F.lit(0.0))).alias("word_distance"))
     far = (F.coalesce(F.col("char_distance"), F.lit(0.0)) > MAX_CHAR_DISTANCE) \
         | (F.coalesce(F.col("word_distance"), F.lit(0.0)) > MAX_WORD_DISTANCE)
-    return out.withColumn("kept", ~F.col("base_failed") & ~far)
+    out = out.withColumn("kept", ~F.col("base_failed") & ~far)
+    # a filter on the result stays above the generator instead of repeating the expressions below
+    return out.select(F.inline(F.array(F.struct(*out.columns))))
