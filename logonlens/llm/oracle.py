@@ -8,33 +8,31 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 
 def mixing_sql() -> str:
-    """Earliest deadline first, one slot after the other, then the order of all documents."""
-    n = mixing.SLOTS
+    """Pairs of the lightest claimants, one after the other, and the way up from every half-block;
+    then the order of all documents."""
+    half = mixing.BLOCK_ROWS // 2
     return f"""WITH RECURSIVE
-sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
-quotas AS (SELECT *, pow(n, {mixing.TEMPERATURE}) / sum(pow(n, {mixing.TEMPERATURE})) OVER ()
-             * ({n} - count(*) OVER ()) AS quota, {n} - count(*) OVER () AS spare FROM sizes),
-rests AS (SELECT *, spare - sum(floor(quota)) OVER () AS unused FROM quotas),
-tickets AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) AS s, CAST(1 + floor(quota) + CASE
-             WHEN row_number() OVER (ORDER BY quota - floor(quota) DESC, source NULLS FIRST) <= unused THEN 1 ELSE 0 END
-             AS BIGINT) AS q FROM rests),
-counts AS (SELECT list(q ORDER BY s) AS q FROM tickets),
-edf AS (
-  SELECT -1 AS t, list_transform(q, lambda x: 0::BIGINT) AS done, 0::BIGINT AS s, q FROM counts
+leaves AS (SELECT source, w, row_number() OVER (ORDER BY w, source NULLS FIRST) - 1 AS k
+           FROM (SELECT source, pow(count(*), {mixing.TEMPERATURE}) AS w FROM documents GROUP BY source)),
+queues AS (
+  SELECT 0 AS m, count(*) AS s, list({{'w': w, 'k': k}} ORDER BY w, k) AS q FROM leaves
   UNION ALL
-  SELECT t, list_transform(range(1, len(q) + 1), lambda i: done[i] + CASE WHEN i = s THEN 1 ELSE 0 END), s, q
-  FROM (SELECT t + 1 AS t, done, q, list_min(list_transform(range(1, len(q) + 1), lambda i: CASE
-          WHEN done[i] < q[i] AND done[i] * {n} // q[i] <= t + 1
-          THEN ((done[i] + 1) * {n} + q[i] - 1) // q[i] * 100000 + i END)) % 100000 AS s
-        FROM edf WHERE t + 1 < {n})),
-slots AS (SELECT s, t, row_number() OVER (PARTITION BY s ORDER BY t) - 1 AS nth FROM edf WHERE t >= 0),
-hashed AS (SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || '/{mixing.SEED}') AS h FROM documents),
-placed AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source
-             ORDER BY CAST('0x' || substr(h, 1, 6) AS BIGINT) % {mixing.BUCKETS}, h, doc_id) - 1 AS k FROM hashed),
-blocks AS (SELECT p.doc_id, p.source, p.k, p.k // {mixing.BLOCK_ROWS} AS block, x.s, x.q
-           FROM placed p JOIN tickets x ON x.source IS NOT DISTINCT FROM p.source),
-timed AS (SELECT b.*, b.block // b.q * {n} + x.t AS slot FROM blocks b JOIN slots x ON x.s = b.s AND x.nth = b.block % b.q)
-SELECT doc_id, source, block, slot, row_number() OVER (ORDER BY slot, k) - 1 AS position FROM timed"""
+  SELECT m + 1, s, list_sort(list_append(q[3:], {{'w': q[1].w + q[2].w, 'k': s + m}})) FROM queues WHERE len(q) > 1),
+links AS (SELECT q[i].k AS child, s + m AS parent, q[i].w / (q[1].w + q[2].w) AS p, i = 1 AS is_first
+          FROM queues, range(1, 3) x(i) WHERE len(q) > 1),
+hashed AS (SELECT doc_id, source, md5(concat_ws('/', coalesce(CAST(doc_id AS VARCHAR), ''), md5(coalesce(text, '')),
+             '{mixing.SEED}')) AS h FROM documents),
+placed AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY h, doc_id) - 1 AS k FROM hashed),
+climb AS (
+  SELECT DISTINCT p.source, p.k // {half} AS half, l.k AS node, CAST(p.k // {half} AS BIGINT) AS t
+  FROM placed p JOIN leaves l ON l.source IS NOT DISTINCT FROM p.source
+  UNION ALL
+  SELECT source, half, parent, CAST(CASE WHEN is_first THEN ceil((t + 0.5::DOUBLE) / p) - 1 ELSE floor((t + 0.5::DOUBLE) / p) END AS BIGINT)
+  FROM climb JOIN links ON node = child),
+slots AS (SELECT * FROM climb WHERE node NOT IN (SELECT child FROM links))
+SELECT p.doc_id, p.source, p.k // {mixing.BLOCK_ROWS} AS block, t AS slot,
+  row_number() OVER (ORDER BY t, p.source NULLS FIRST, p.k) - 1 AS position
+FROM placed p JOIN slots x ON x.source IS NOT DISTINCT FROM p.source AND x.half = p.k // {half}"""
 
 
 def license_sql() -> str:

@@ -22,7 +22,7 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.mix(table(spark, sf_dir, "documents"), spread_cols=("text",))
 
 
 def op3_gru_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -168,48 +168,78 @@ def test_license_scan_equals_plain_scan(spark, edge_docs, threshold):
 
 # ------------------------------------------------------------------ mixing
 
-def plain_schedule(q, slots):
-    done, order = {s: 0 for s in q}, []
-    for t in range(slots):
-        ready = [(-(-(done[s] + 1) * slots // q[s]), s) for s in sorted(q, key=lambda s: (s is not None, s))
-                 if done[s] < q[s] and done[s] * slots // q[s] <= t]
-        order.append(min(ready, key=lambda x: (x[0], x[1] is not None, x[1] or ""))[1])
-        done[order[-1]] += 1
-    return order
+def most_apart(order, weight):
+    """The largest deviation of any source's share of any prefix from its target, in entries."""
+    had, worst = Counter(), 0.0
+    for t, s in enumerate(order):
+        had[s] += 1
+        # a source is furthest ahead just after an entry of it, and furthest behind just before
+        worst = max(worst, had[s] - weight[s] * (t + 1), weight[s] * t - (had[s] - 1))
+    return max(worst, *(abs(had[s] - w * len(order)) for s, w in weight.items()))
+
+
+WEIGHTS = [
+    {"a": 0.61, "b": 0.3, "c": 0.09}, {"a": 0.5, "b": 0.5}, {"only": 3.0}, {"a": 0.9, "b": 0.05, "c": 0.03, "d": 0.02},
+    {f"s{k}": 1.0 for k in range(20)}, {f"s{k}": 0.5 ** k for k in range(12)}, {"a": 1 / 3} | {f"s{k}": 1.0 / 300 for k in range(200)}]
+
+
+@pytest.mark.parametrize("weights", WEIGHTS + [{"a": 1 / 3} | {f"s{k}": 1.0 / 2250 for k in range(1500)}])
+def test_slots_deviate_from_the_weights_by_less_than_a_block(spark, weights):
+    """Against the weights themselves, over at least 20 rounds of all sources."""
+    total = sum(weights.values())
+    slots = max(3000, 20 * len(weights))
+    sizes = spark.createDataFrame([(s, 1) for s in weights], "source string, n long")
+    plan = mixing.schedule(sizes, weights)
+    halves = plan.select("source", "path", F.explode(F.sequence(F.lit(0), F.ceil(F.col("w") / total * slots) + 2)).alias("i"))
+    got = sorted((r.slot, r.source) for r in halves.select("source", mixing.slot_of("path", F.col("i")).alias("slot")).collect())
+    got = got[:slots]
+    assert [t for t, _ in got] == list(range(slots))         # every slot has one source
+    assert most_apart([s for _, s in got], {s: w / total for s, w in weights.items()}) < 2
 
 
 @pytest.mark.parametrize("weights", [None, {"a": 0.61, "b": 0.3, "c": 0.09}])
-def test_mixing_is_edf_and_deviates_less_than_a_block(spark, weights):
-    rows = [(i, "a" if i % 3 == 0 else "b" if i % 5 else "c") for i in range(400)]
+def test_mixed_rows_follow_the_weights(spark, weights):
+    rows = [(i, "a" if i % 3 == 0 else "b" if i % 5 else "c") for i in range(1500)]
     df = spark.createDataFrame(rows, "doc_id long, source string")
-    slots, block = 50, 4
-    plan = {r.source: r for r in mixing.schedule(df.groupBy("source").count().withColumnRenamed("count", "n"),
-                                                 weights, slots).collect()}
-    q = {s: r.q for s, r in plan.items()}
-    assert sum(q.values()) == slots and all(q.values())
-    order = plain_schedule(q, slots)
-    assert all(r.own_slots == [t for t, s in enumerate(order) if s == name] for name, r in plan.items())
-    for t in range(1, slots + 1):
-        for s in q:
-            assert abs(order[:t].count(s) - q[s] * t / slots) < 1
-    got = mixing.mix(df, weights=weights, slots=slots, block_rows=block, buckets=7).collect()
-    assert sorted(r.position for r in got) == list(range(len(rows)))
-    assert sorted(r.doc_id for r in got) == [i for i, _ in rows]
-    ordered = sorted(got, key=lambda r: r.position)
-    assert [r.slot for r in ordered] == sorted(r.slot for r in got)
-    for r in got:
-        assert r.slot == r.block // q[r.source] * slots + plan[r.source].own_slots[r.block % q[r.source]]
-    sizes = Counter((r.source, r.block) for r in got)
-    assert all(n == block for (s, b), n in sizes.items() if (s, b + 1) in sizes)
+    block = 4
+    for buckets in (7, None):
+        got = sorted(mixing.mix(df, weights=weights, block_rows=block, buckets=buckets).collect(), key=lambda r: r.position)
+        assert [r.position for r in got] == list(range(len(rows)))
+        assert sorted((r.doc_id, r.source) for r in got) == sorted(rows)
+        assert [r.slot for r in got] == sorted(r.slot for r in got)
+        sizes = Counter(r.source for r in got)
+        weight = weights or {s: n ** 0.5 for s, n in sizes.items()}
+        total = sum(weight.values())
+        weight = {s: w / total for s, w in weight.items()}
+        until, left = 0, dict(sizes)                          # while all sources have rows
+        while min(left.values()):
+            left[got[until].source] -= 1
+            until += 1
+        assert until > 300
+        assert most_apart([r.source for r in got[:until]], weight) < block
+        assert all(n == block for (s, b), n in Counter((r.source, r.block) for r in got).items() if (b + 1) * block <= sizes[s])
+    assert got == sorted(mixing.mix(df, weights=weights, block_rows=block).collect(), key=lambda r: r.position)
+
+
+def test_one_id_for_many_rows_is_spread(spark):
+    """Rows without an id, and equal rows."""
+    rows = [(None, "a", f"text {i}") for i in range(500)] + [(7, "a", "same")] * 300 + [(i, "b", "x") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = mixing.mix(df, spread_cols=("text",)).collect()
+    assert sorted(r.position for r in got) == list(range(1000))
+    assert Counter((r.doc_id, r.source) for r in got) == Counter((i, s) for i, s, _ in rows)
+    hashed = df.select(F.md5(F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5("text"))).alias("h"))
+    assert hashed.distinct().count() >= 700
 
 
 def test_mixing_edge_cases(spark, edge_docs, no_docs):
-    got = mixing.mix(edge_docs).collect()
+    got = mixing.mix(edge_docs, spread_cols=("text",), keep=("score", "n_tokens")).collect()
     assert sorted(r.position for r in got) == list(range(edge_docs.count()))
-    assert {r.source for r in got} == {"s", None}
+    assert {r.source for r in got} == {"s", None} and {r.row.score for r in got} == {0.5, 0.0}
     assert mixing.mix(no_docs).count() == 0
-    with pytest.raises(Exception, match="no target weight"):
-        mixing.mix(edge_docs, weights={"z": 1.0}).collect()
+    for wrong in ({"z": 1.0}, {"s": 0.0}):
+        with pytest.raises(Exception, match="no target weight"):
+            mixing.mix(edge_docs, weights=wrong).collect()
 
 
 def test_queries_on_the_tables(spark):
