@@ -96,7 +96,7 @@ def _counts(df: DataFrame, keep: list[str]) -> DataFrame:
         F.lit(0).cast("bigint"), lambda a, x: a + x)
     text = F.col("text")
     return df.select(
-        *keep, n.cast("long").alias("n_words"),
+        *keep, F.length(text).cast("long").alias("n_chars"), n.cast("long").alias("n_words"),
         (F.length(text) - F.get("own_classes", CLASS_NAMES.index("space"))).cast("long").alias("word_chars"),
         F.get("own_classes", CLASS_NAMES.index("symbol")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -132,9 +132,10 @@ def listed(short: Column) -> Column:
 
 
 def references(texts: DataFrame) -> DataFrame:
-    """``lang, classes, common, shares``: one row for each language, from all its texts
+    """``lang, classes, common, shares, no_hit``: one row for each language, from all its texts
     (``texts``: lang, own_classes, n_words, short), and one with a NULL lang from all texts.
-    ``shares`` has one more entry than ``common``: all other words."""
+    ``classes`` and ``shares`` are shares; ``shares`` has one more entry than ``common``: all
+    other words. ``no_hit`` is the distance of a text that has only those."""
     k = len(CLASS_NAMES)
     by_lang = texts.groupBy("lang").agg(*[F.sum(F.get("own_classes", i)).alias(f"c{i}") for i in range(k)],
                                         F.sum("n_words").alias("total"))
@@ -154,24 +155,25 @@ def references(texts: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("r", "word", "c"))).alias("list"))
     out = sums.join(common, F.col("lang").eqNullSafe(F.col("l")), "left").where("total IS NOT NULL")
     in_list = F.transform("list", lambda x: x["c"].cast("double"))
-    return out.select(
-        "lang", F.array(*[F.col(f"c{i}").cast("double") for i in range(k)]).alias("classes"),
+    out = out.withColumn("length", sum(F.col(f"c{i}") for i in range(k))).withColumn("words", F.coalesce(F.array_append(
+        in_list, F.col("total") - F.aggregate(in_list, F.lit(0.0), lambda a, x: a + x)), F.array(F.col("total").cast("double"))))
+    out = out.select(
+        "lang", F.array(*[F.col(f"c{i}") / F.nullif("length", F.lit(0)) for i in range(k)]).alias("classes"),
         F.coalesce(F.transform("list", lambda x: x["word"]), F.array().cast("array<string>")).alias("common"),
-        F.coalesce(F.array_append(in_list, F.col("total") - F.aggregate(in_list, F.lit(0.0), lambda a, x: a + x)),
-                   F.array(F.col("total").cast("double"))).alias("shares"))
+        F.transform("words", lambda x: x / F.nullif("total", F.lit(0))).alias("shares"))
+    none = F.transform("shares", lambda x, i: F.when(i == F.size("common"), F.lit(1)).otherwise(F.lit(0)))
+    return out.withColumn("no_hit", js_distance(none, F.lit(1), F.col("shares")))
 
 
-def js_distance(counts: Column, reference: Column) -> Column:
-    """Jensen-Shannon distance of two histograms; NULL when either is empty."""
-    def total(x):
-        return F.aggregate(x, F.lit(0.0), lambda a, v: a + v)
-
+def js_distance(counts: Column, total: Column, shares: Column) -> Column:
+    """Jensen-Shannon distance of the histogram ``counts`` of ``total`` entries and the shares of
+    another one; NULL when either is empty."""
     def part(a, b):
         return F.when(a > 0, a * F.log2(F.lit(2.0) * a / (a + b))).otherwise(F.lit(0.0))
 
-    terms = F.zip_with(counts, reference, lambda c, r: part(c / total(counts), r / total(reference))
-                       + part(r / total(reference), c / total(counts)))
-    return F.when((total(counts) > 0) & (total(reference) > 0), F.sqrt(F.greatest(F.lit(0.0), total(terms) / 2)))
+    terms = F.zip_with(counts, shares, lambda c, r: part(c / total, r) + part(r, c / total))
+    divergence = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2
+    return F.when((total > 0) & F.get(shares, 0).isNotNull() & divergence.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), divergence)))
 
 
 def word_histogram(short: str, common: str, n_words: str) -> Column:
@@ -207,16 +209,14 @@ def quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     judged = with_ref.join(refs.withColumnRenamed("lang", "l"), F.col("ref_lang").eqNullSafe(F.col("l")), "left")
     judged = judged.withColumn("own_words", F.when(F.col("n_words") >= MIN_WORDS_JUDGED,
                                                    word_histogram("short", "common", "n_words")))
-    none = F.transform("shares", lambda x, i: F.when(i == F.size("common"), F.lit(1.0)).otherwise(F.lit(0.0)))
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    length = F.aggregate("own_classes", F.lit(0).cast("long"), lambda a, x: a + x)
     out = judged.select(
         *carried, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed.alias("base_failed"),
-        F.when(length >= MIN_CHARS_JUDGED,
-               js_distance(F.col("own_classes").cast("array<double>"), F.col("classes"))).alias("char_distance"),
-        (js_distance(F.col("own_words"), F.col("shares"))
-         / F.nullif(js_distance(none, F.col("shares")), F.lit(0.0))).alias("word_distance"))
+        F.when(F.col("n_chars") >= MIN_CHARS_JUDGED,
+               js_distance(F.col("own_classes"), F.col("n_chars"), F.col("classes"))).alias("char_distance"),
+        (js_distance(F.col("own_words"), F.col("n_words"), F.col("shares"))
+         / F.nullif(F.col("no_hit"), F.lit(0.0))).alias("word_distance"))
     far = (F.coalesce(F.col("char_distance"), F.lit(0.0)) > MAX_CHAR_DISTANCE) \
         | (F.coalesce(F.col("word_distance"), F.lit(0.0)) > MAX_WORD_DISTANCE)
     out = out.withColumn("kept", ~F.col("base_failed") & ~far)
