@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,10 +28,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_scratch: ContextVar[list[tuple[str, str | None]] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch() -> Iterator[list[tuple[str, str | None]]]:
+    """Lists the folders (and their tables, if any) that operators write inside the block, for
+    :func:`release`. Outside of it scratch stays under the checkpoint folder."""
+    token = _scratch.set([])
+    try:
+        yield _scratch.get()
+    finally:
+        _scratch.reset(token)
+
+
+def note_scratch(path: str, table_name: str | None = None) -> None:
+    if _scratch.get() is not None:
+        _scratch.get().append((path, table_name))
+
+
+def release(spark: SparkSession, written: list[tuple[str, str | None]]) -> None:
+    """Drop scratch that nothing will read again."""
+    for path, table_name in written:
+        if table_name:
+            spark.sql(f"DROP TABLE IF EXISTS {table_name}")
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back: later stages and
     retries start from the written table."""
     path = scratch_path(df.sparkSession, name)
+    note_scratch(path)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

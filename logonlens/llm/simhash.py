@@ -64,15 +64,18 @@ def fingerprint(text: bytes, shingle_words: int) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(df: DataFrame, shingle_words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed long) for every row of ``df``."""
+def fingerprints(df: DataFrame, shingle_words: int, id_col: str = "doc_id", text_col: str = "text",
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, fp`` (the fingerprint as a signed long) for every row of ``df``, and its columns ``keep``."""
     def work(batches):
         for part in slices(batches):
             fps = np.array([fingerprint(t, shingle_words) for t in part.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64)), *part.columns[2:]],
+                                             ["doc_id", "fp", *keep])
 
-    docs = document_rows(df, id_col, text_col)
-    return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(work, "doc_id long, fp long")
+    docs = document_rows(df, id_col, text_col, keep)
+    kept = "".join(f", `{name}` {kind}" for name, kind in docs.dtypes[2:])
+    return docs.withColumn("text", F.col("text").cast("binary")).mapInArrow(work, "doc_id long, fp long" + kept)
 
 
 def signed(value: int) -> int:
@@ -155,15 +158,18 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, shingle_words: int, max_bits: int, id_col: str = "doc_id",
-                    text_col: str = "text", segments: int = SEGMENTS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+                    text_col: str = "text", segments: int = SEGMENTS, bucket_rows: int = BUCKET_ROWS,
+                    keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, fingerprint`` (16 hex digits), ``component_id`` (the smallest doc_id reachable
-    over links of at most ``max_bits`` differing bits) for every row of ``df``."""
-    docs = cut(fingerprints(df, shingle_words, id_col, text_col), "simhash-fp")
+    over links of at most ``max_bits`` differing bits) for every row of ``df``; with ``keep``
+    also ``component`` (a fingerprint that names the group even where it has no id) and those
+    columns of ``df``."""
+    docs = cut(fingerprints(df, shingle_words, id_col, text_col, keep), "simhash-fp")
     reps = docs.groupBy("fp").agg(F.min("doc_id").alias("first"))
     reached = components(links(reps.select("fp"), max_bits, segments, bucket_rows))
     named = reps.join(reached, F.col("fp") == F.col("node"), "left") \
         .select("fp", "first", F.coalesce("component", "fp").alias("component"))
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    of_fp = named.select("fp", "component").join(smallest, "component").select("fp", "component_id")
+    of_fp = named.select("fp", "component").join(smallest, "component").select("fp", "component_id", "component")
     return docs.join(of_fp, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *(["component", *keep] if keep else []))

@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logonlens.llm.byte_bpe import rarer_gc, slices
-from logonlens.llm.common import cut, document_rows
+from logonlens.llm.common import cut, document_rows, note_scratch
 from logonlens.session import scratch_path
 
 ANCHOR = 32                   # bytes hashed for an anchor; a power of two
@@ -348,9 +348,10 @@ def write_slices(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
     docs = document_rows(df, id_col, text_col)
     packed = docs.select("doc_id", F.xxhash64("text").alias("h"), F.col("text").cast("binary").alias("text")).mapInArrow(
         work, "slice long, n_bytes long, ids array<long>, hashes array<long>, texts array<binary>")
-    name = f"slices_{uuid.uuid4().hex}"
+    name, path = f"slices_{uuid.uuid4().hex}", scratch_path(spark, "slices")
+    note_scratch(path, name)
     packed.write.format("parquet").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "slice") \
-        .option("path", scratch_path(spark, "slices")).option("parquet.block.size", str(16 << 20)).saveAsTable(name)
+        .option("path", path).option("parquet.block.size", str(16 << 20)).saveAsTable(name)
     table = spark.table(name)
     return table, table.agg(F.sum("n_bytes")).first()[0] or 0
 

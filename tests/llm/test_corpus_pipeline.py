@@ -1,15 +1,18 @@
 """The pipeline, stage by stage, against plain Python on what the stage before kept."""
 import hashlib
+import pathlib
 
 import corpus_pipeline as cp
 import public_tokenizers
 import pytest
 import tiktoken
 from llm_data import edge_docs, no_docs, SMALL  # noqa: F401
+from pyspark.sql import functions as F
 from test_simhash import plain_components, plain_fingerprint
 
 from logonlens.llm import byte_bpe, mixing, quality
 from logonlens.llm.common import cut
+from logonlens.session import ensure_checkpoint_dir
 
 
 @pytest.fixture(scope="module")
@@ -56,7 +59,7 @@ def test_repeated_passages_go(steps):
 
 def test_mixing_keeps_every_row_in_mixed_order(spark, steps):
     assert sorted(map(tuple, steps[4].collect())) == sorted(map(tuple, steps[3].collect()))
-    place = {r.doc_id: r.position for r in mixing.mix(steps[3]).collect()}
+    place = {r.doc_id: r.position for r in mixing.mix(steps[3], spread_cols=("text",)).collect()}
     got = [place[r.doc_id] for r in cp.mix_sources(spark, steps[3], SMALL).collect()]
     assert got == sorted(place.values())
 
@@ -88,11 +91,49 @@ def test_edge_cases(spark, edge_docs, no_docs):
     assert {r.doc_id for r in cp.simhash_dedup(spark, edge_docs, SMALL).collect()} >= {None, 4, 9}
 
 
+CLASHING = ["own_id", "own_hash", "own_text", "place", "text_hash", "key", "row", "hash", "position", "k", "component", "kept",
+            "file", "own", "h", "bucket", "slot"]
+
+
+def test_columns_of_the_input_come_back_whatever_their_names(spark):
+    small = spark.read.parquet(f"{SMALL}/documents.parquet").where("doc_id < 40")
+    docs = cut(small.select("*", *[F.concat(F.lit(f"{c} of "), "doc_id").alias(c) for c in CLASHING]), "test-clash")
+    df = docs
+    for _, stage in cp.STAGES[:-1]:
+        df = cut(stage(spark, df, SMALL), "test-clash")
+        assert df.columns == docs.columns and df.dtypes == docs.dtypes
+    rows = df.collect()
+    assert 0 < len(rows) <= 40 and all(r[c] == f"{c} of {r.doc_id}" for r in rows for c in CLASHING)
+    assert cp.encode_texts(spark, df, SMALL).count() == len(rows)
+
+
+def test_repeated_and_missing_ids(spark):
+    """Different texts of one id both stay; of near copies one goes, whatever their ids."""
+    word = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
+    texts = [" ".join(word[(i * k + i) % len(word)] for k in range(1, 60)) for i in (2, 3, 5, 7)]
+    rows = [(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[0]), (5, texts[2]), (None, texts[3]), (1, texts[0])]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in cp.simhash_dedup(spark, docs, SMALL).collect()), key=str)
+    assert got == sorted([(1, texts[0]), (1, texts[1]), (5, texts[2]), (None, texts[3])], key=str)
+    assert cp.quality_rules(spark, docs, SMALL).count() <= len(rows)
+    mixed = cp.mix_sources(spark, docs, SMALL).collect()
+    assert sorted(((r.doc_id, r.text) for r in mixed), key=str) == sorted(rows, key=str)
+
+
+def test_run_leaves_no_scratch_but_the_last_result(spark):
+    folder = pathlib.Path(ensure_checkpoint_dir(spark).removeprefix("file:")) / "logonlens-scratch"
+    before = set(folder.iterdir()) if folder.exists() else set()
+    assert cp.run(spark, SMALL).count() > 0
+    assert [p.name.split("-")[0] for p in set(folder.iterdir()) - before] == ["stage"]
+
+
 def test_run_gives_the_mixed_order(spark, monkeypatch):
     monkeypatch.setattr(cp, "STAGES", cp.STAGES[3:])       # the stages before it decide no order
     changed = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "20000"}
     before = {k: spark.conf.get(k) for k in changed}
-    place = {r.doc_id: r.position for r in mixing.mix(spark.read.parquet(f"{SMALL}/documents.parquet")).collect()}
+    place = {r.doc_id: r.position for r in mixing.mix(spark.read.parquet(f"{SMALL}/documents.parquet"),
+                                                      spread_cols=("text",)).collect()}
     try:
         for k, v in changed.items():        # many files, read in other partitions than written
             spark.conf.set(k, v)
