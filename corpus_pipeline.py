@@ -10,36 +10,50 @@ in that order. All stages but the last return the columns of ``documents``.
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logonlens.llm import byte_bpe, mixing, quality, simhash, suffix_dedup
-from logonlens.llm.common import cut
+from logonlens.llm.common import cut, release, scratch
 from logonlens.llm.queries import MULTI_RANKS
 
 SHINGLE_WORDS, MAX_BITS, REPEAT_BYTES = 3, 2, 100
+FILES_TOGETHER = 4096        # files whose rows are summed up in one window
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``row`` (a struct of all columns, so that no name can clash with the stages' own) and
+    ``key``, which tells every row of the written table from all others: file and place."""
+    key = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    row = F.struct(*docs.columns).alias("row")
+    try:
+        return docs.select(row, key.alias("key"))
+    except AnalysisException:               # not read from files
+        return cut(docs, "keyed").select(row, key.alias("key"))
+
+
+def rows_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (:func:`keyed`) whose key is in ``keys.key``."""
+    on = (F.col("key.file") == F.col("k.file")) & (F.col("key.at") == F.col("k.at"))
+    return docs.join(keys.select(F.col("key").alias("k")), on, "left_semi").select("row.*")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    # written before it is filtered: a filter on ``kept`` would be pushed below the steps that
-    # compute it, and every step's expressions be put into the next one's
-    judged = cut(quality.quality(docs, keep=tuple(docs.columns)).select("kept", "row"), "quality")
-    return judged.where("kept").select("row.*")
+    all_rows = keyed(docs)
+    judged = quality.quality(all_rows.select("row.doc_id", "row.text", "row.lang", "key"), keep=("key",))
+    return rows_of(all_rows, judged.where("kept").select("row.key"))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one of smallest doc_id (of several rows
-    of that id, the one whose text has the smallest hash). Rows without an id stay unless their
-    group has a document with one; of equal texts among them one stays."""
-    groups = simhash.near_duplicates(docs, SHINGLE_WORDS, MAX_BITS)
-    no_id = F.lit(suffix_dedup.NULL_ID).cast("long")
-    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
-        .select(F.coalesce("doc_id", no_id).alias("own_id")).distinct()
-    keyed = docs.withColumn("own_id", F.coalesce(F.col("doc_id").cast("long"), no_id)) \
-        .join(stays, "own_id", "left_semi").withColumn("own_hash", F.xxhash64("text"))
-    same = Window.partitionBy("own_id", F.when(F.col("doc_id").isNull(), F.col("own_hash"))).orderBy("own_hash")
-    return keyed.withColumn("place", F.row_number().over(same)).where("place = 1").select(*docs.columns)
+    """One document of each near-duplicate group: the one of smallest doc_id (rows without an id
+    after all others), of several such rows the one whose text has the smallest hash."""
+    all_rows = keyed(docs)
+    texts = all_rows.select("row.doc_id", "row.text", F.struct(F.xxhash64("row.text").alias("hash"), "key").alias("own"))
+    groups = simhash.near_duplicates(texts, SHINGLE_WORDS, MAX_BITS, keep=("own",))
+    first = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own")).alias("m"))
+    return rows_of(all_rows, first.select(F.col("m.own.key").alias("key")))
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,40 +62,48 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     kept = suffix_dedup.remove_repeats(docs, REPEAT_BYTES, as_text=True).where("n_removed > 0").select(
         F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"),
         F.col("kept").cast("string").alias("own_text")).dropDuplicates(["own_id", "own_hash"])
-    joined = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit("")))).join(
-        kept, F.col("doc_id").cast("long").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")), "left")
-    n_chars = docs.schema["n_chars"].dataType
-    return joined.withColumns({
-        "text": F.coalesce("own_text", "text"),
-        "n_chars": F.coalesce(F.length("own_text").cast(n_chars), "n_chars"),
-    }).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
+    joined = rows.join(kept, F.col("row.doc_id").cast("long").eqNullSafe(F.col("own_id"))
+                       & (F.col("hash") == F.col("own_hash")), "left")
+    n_chars = F.coalesce(F.length("own_text").cast(docs.schema["n_chars"].dataType), F.col("row.n_chars"))
+    return joined.select(F.col("row").withField("text", F.coalesce("own_text", "row.text"))
+                         .withField("n_chars", n_chars).alias("row")).select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order that mixes the sources to their target weights: that of the
-    part numbers of the files it is written to, and of the rows in each."""
-    placed = cut(mixing.mix(docs, keep=tuple(docs.columns)).select("position", "row"), "mixed")
-    return placed.repartitionByRange("position").sortWithinPartitions("position").select("row.*")
+    part numbers of the files it is written to, and of the rows in each. The order is found
+    from ids, sources and hashes; the texts follow it."""
+    all_rows = keyed(docs)
+    placed = mixing.mix(all_rows.select("row.source", "row.doc_id", "row.text", "key"), spread_cols=("text",), keep=("key",))
+    placed = placed.select("position", F.col("row.key").alias("k"))
+    on = (F.col("key.file") == F.col("k.file")) & (F.col("key.at") == F.col("k.at"))
+    return all_rows.join(placed, on).select("row", "position") \
+        .repartitionByRange("position").sortWithinPartitions("position").select("row.*")
 
 
 def written_order(docs: DataFrame) -> DataFrame:
-    """``docs``, read from files, with the ``position`` (from 0) of every row in written order. A
-    read is no such order: it takes large files first, and splits and packs them."""
-    file = F.struct(F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long").alias("part"),
-                    F.col("_metadata.file_name").alias("name"))
-    placed = docs.select("*", file.alias("own_file"), F.col("_metadata.row_index").alias("own_row"))
-    before = Window.partitionBy(F.lit(1)).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    # a row per file
-    starts = placed.groupBy(F.col("own_file").alias("file")).agg(F.count(F.lit(1)).alias("n")) \
-        .select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    return placed.join(F.broadcast(starts), F.col("own_file") == F.col("file")) \
-        .select(*docs.columns, (F.col("start") + F.col("own_row")).alias("position"))
+    """``row`` (all columns of ``docs``, read from files) and ``position`` (from 0), its place in
+    written order. A read is no such order: it takes large files first, and splits and packs them."""
+    part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.struct(part.alias("part"), F.col("_metadata.file_name").alias("name"))
+                       .alias("file"), F.col("_metadata.row_index").alias("at"))
+    # a row per file, summed up within FILES_TOGETHER of them and then over those
+    sizes = rows.groupBy(F.col("file").alias("f")).agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("many", F.floor(F.col("f.part") / FILES_TOGETHER))
+    within = Window.partitionBy("many").orderBy("f").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(F.lit(1)).orderBy("m").rowsBetween(Window.unboundedPreceding, -1)
+    many = sizes.groupBy(F.col("many").alias("m")).agg(F.sum("n").alias("n")) \
+        .select("m", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    starts = sizes.withColumn("own", F.coalesce(F.sum("n").over(within), F.lit(0))) \
+        .join(many, F.col("many").eqNullSafe(F.col("m"))).select("f", (F.col("first") + F.col("own")).alias("start"))
+    return rows.join(starts, F.col("file.name") == F.col("f.name")).select("row", (F.col("start") + F.col("at")).alias("position"))
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the digests of ids and of the decoded text; ``position``
     is the document's place in the mixed order, which is also that of the rows."""
-    ordered = written_order(docs).select("doc_id", "text", "position") \
+    ordered = written_order(docs).select("row.doc_id", "row.text", "position") \
         .repartitionByRange("position").sortWithinPartitions("position")
     coded = byte_bpe.round_trip(ordered, MULTI_RANKS, public_tokenizers.PATTERN, keep=("position",))
     return coded.select("position", "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
@@ -101,9 +123,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = cut(docs, "stage")
-    return docs
+    """All stages over ``documents``. Each result is written; what its stage wrote on the way, and
+    the result that the stage read, are dropped then."""
+    docs, read = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
+    for _, stage in STAGES[:-1]:
+        with scratch() as on_the_way:
+            out = stage(spark, docs, sf_dir)
+        with scratch() as result:
+            docs = cut(out, "stage")
+        release(spark, on_the_way + read)
+        read = result
+    return STAGES[-1][1](spark, docs, sf_dir)
