@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logonlens.llm import license_scan, mixing, quality
+from logonlens.llm import license_scan, line_dedup, mixing, quality
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -108,4 +108,18 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(t) - own_classes[4
 FROM base"""
 
 
-ORACLE = {"op2_mixing": mixing_sql(), "op4_license_scan": license_sql(), "op6_quality": quality_sql()}
+def line_sql() -> str:
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS doc,
+  string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (SELECT r, doc_id, doc, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM docs),
+keyed AS (SELECT *, translate(trim(line, {white}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+firsts AS (SELECT key, min(doc) AS first_doc FROM keyed WHERE length(key) >= {line_dedup.MIN_CHARS} GROUP BY key),
+judged AS (SELECT k.*, coalesce(doc > first_doc, false) AS gone FROM keyed k LEFT JOIN firsts USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY r, doc_id"""
+
+
+ORACLE = {"op2_mixing": mixing_sql(), "op4_license_scan": license_sql(), "op6_quality": quality_sql(),
+          "op13_line_dedup": line_sql()}
