@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logonlens.llm import license_scan, line_dedup, mixing, quality
+from logonlens.llm import collocations, license_scan, line_dedup, mixing, quality
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -121,5 +121,27 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM judged GROUP BY r, doc_id"""
 
 
+def collocation_sql() -> str:
+    c = collocations
+    return f"""WITH pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS p
+            FROM (SELECT coalesce(lang, '{c.NO_LANGUAGE}') AS lang, {_LOWER} AS t FROM documents)),
+lists AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM lists GROUP BY lang),
+grams AS (SELECT lang, w[i:i + k - 1] AS words, k, count(*) AS f
+          FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM lists, range(1, {c.LONGEST + 1}) x(k))
+          GROUP BY ALL HAVING count(*) >= {c.MIN_COUNT}),
+cuts AS (SELECT g.lang, g.words, g.k, g.f AS a, j, x.f AS l, y.f AS r, 2000000::HUGEINT * g.f // (x.f + y.f) AS score
+         FROM (SELECT *, unnest(range(1, k)) AS j FROM grams) g
+         JOIN grams x ON x.lang = g.lang AND x.words = g.words[:g.j] JOIN grams y ON y.lang = g.lang AND y.words = g.words[g.j + 1:]),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, j) = 1),
+inside AS (SELECT lang, words[i:i + n - 1] AS words, max(a) AS most
+           FROM (SELECT lang, words, a, n, unnest(range(1, k - n + 2)) AS i FROM scored, range(2, {c.LONGEST}) x(n) WHERE n < k) GROUP BY ALL),
+kept AS (SELECT s.lang, array_to_string(s.words, ' ') AS phrase, a, l, r, score FROM scored s
+         LEFT JOIN inside i ON i.lang = s.lang AND i.words = s.words WHERE most IS NULL OR 100 * most < {c.COVERED_PERCENT} * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+  CAST(score AS BIGINT) AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= {c.TOP}"""
+
+
 ORACLE = {"op2_mixing": mixing_sql(), "op4_license_scan": license_sql(), "op6_quality": quality_sql(),
-          "op13_line_dedup": line_sql()}
+          "op12_collocations": collocation_sql(), "op13_line_dedup": line_sql()}

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logonlens.llm import (
-    ann, byte_bpe, gru_lm, license_scan, line_dedup, mixing, oracle, packed_ids, quality, simhash, suffix_dedup, token_counts,
+    ann, byte_bpe, collocations, gru_lm, license_scan, line_dedup, mixing, oracle, packed_ids, quality, simhash,
+    suffix_dedup, token_counts,
 )
 from logonlens.llm.common import table
 from logonlens.session import scratch_path
@@ -60,6 +61,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_bits=2)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(table(spark, sf_dir, "documents"))
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ann": op8_ann,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
+    "op12_collocations": op12_collocations,
     "op13_line_dedup": op13_line_dedup,
 }
 
