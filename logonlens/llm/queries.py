@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from logonlens.llm import (
     ann, byte_bpe, collocations, gru_lm, license_scan, line_dedup, mixing, oracle, packed_ids, quality, simhash,
-    suffix_dedup, token_counts,
+    suffix_dedup, token_align, token_counts,
 )
 from logonlens.llm.common import table
 from logonlens.session import scratch_path
@@ -61,6 +61,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_bits=2)
 
 
+def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.alignment_figures(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                         public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ann": op8_ann,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_simhash": op10_simhash,
+    "op11_token_align": op11_token_align,
     "op12_collocations": op12_collocations,
     "op13_line_dedup": op13_line_dedup,
 }
