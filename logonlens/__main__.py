@@ -25,6 +25,8 @@ def parse(argv: list[str]) -> argparse.Namespace:
     scans.add_argument("--cube", action="store_true", help="silver tables as rollups of one written cube")
     p.add_argument("--missing-values", action="store_true",
                    help="read NA, NaN, null and the like in the raw logs as missing")
+    p.add_argument("--fail-on-bad-lines", action="store_true",
+                   help="stop at the first malformed line (default: write such lines to a rejects partition)")
     p.add_argument("--input-bytes", type=int, help="uncompressed bytes of the raw log, for the session's sizing")
     return p.parse_args(argv)
 
@@ -45,6 +47,7 @@ def main(argv: list[str] | None = None) -> int:
         skip_bronze=args.skip_bronze, only_load=args.only_load, jdbc_url=args.jdbc_url,
         jdbc_properties=dict(opt.split("=", 1) for opt in args.jdbc_option) or None,
         shared_scan=args.cube, pandas_nulls=args.missing_values,
+        **({"on_bad_lines": "fail"} if args.fail_on_bad_lines else {}),
     )
     print(json.dumps(report, indent=2, default=str))
     return 0

@@ -21,8 +21,22 @@ from pyspark.sql import functions as F
 from logonlens.functions.normalize import normalize_auth
 from logonlens.operators import gold, silver, validate
 from logonlens.plans.layers import Layers
-from logonlens.sources.readers import input_bytes, read_auth_csv, read_redteam_csv, read_table
-from logonlens.sources.sinks import load_tables, write_bronze_auth, write_table
+from logonlens.sources.readers import (
+    input_bytes,
+    read_auth_csv,
+    read_bronze,
+    read_checked,
+    read_redteam_csv,
+    read_table,
+)
+from logonlens.sources.schemas import AUTH, REDTEAM
+from logonlens.sources.sinks import (
+    load_tables,
+    write_bronze_auth,
+    write_checked,
+    write_checked_auth,
+    write_table,
+)
 
 # Published row order of each table (the reference sorts before writing);
 # "-col" = descending with NULLs first.
@@ -76,6 +90,19 @@ def ingest_redteam(spark: SparkSession, raw: str | list[str], bronze_path: str,
     return validate.redteam_validation(read_table(spark, bronze_path))
 
 
+def ingest_checked_auth(spark: SparkSession, raw: str | list[str], bronze_dir: str, pandas_nulls: bool = False,
+                        **writer) -> dict:
+    """J01 + J02 in one read of the raw log: accepted lines and rejects are written side by side
+    and counted on the way (:func:`~logonlens.sources.sinks.write_checked_auth`)."""
+    return write_checked_auth(read_checked(spark, raw, AUTH, pandas_nulls), bronze_dir,
+                              source_bytes=input_bytes(spark, raw), **writer)
+
+
+def ingest_checked_redteam(spark: SparkSession, raw: str | list[str], bronze_path: str, pandas_nulls: bool = False) -> dict:
+    """J03 with rejects: the counts of :func:`~logonlens.sources.sinks.write_checked`."""
+    return write_checked(read_checked(spark, raw, REDTEAM, pandas_nulls), bronze_path)
+
+
 def _level(jobs: Mapping[str, Callable[[], object]], workers: int) -> dict[str, object]:
     """Run independent jobs concurrently; returns name -> result (a read-back table)."""
     with ThreadPoolExecutor(max_workers=max(1, min(workers, len(jobs)))) as pool:
@@ -83,17 +110,12 @@ def _level(jobs: Mapping[str, Callable[[], object]], workers: int) -> dict[str,
         return {name: f.result() for name, f in futures.items()}
 
 
-def _bronze_auth(spark: SparkSession, path: str) -> DataFrame:
-    """Bronze auth; a day-partitioned layout keeps its ``day`` column for pruning."""
-    return read_table(spark, path)
-
-
 def run_medallion(spark: SparkSession, root: str, raw_auth: str | list[str] | None = None,
                   raw_redteam: str | list[str] | None = None, skip_bronze: bool = False,
                   only_load: bool = False, jdbc_url: str | None = None,
                   jdbc_properties: Mapping[str, str] | None = None,
                   concurrent_jobs: int = 8, shared_scan: bool = False, pandas_nulls: bool = False,
-                  bronze_writer: Mapping[str, object] | None = None) -> dict:
+                  bronze_writer: Mapping[str, object] | None = None, on_bad_lines: str = "reject") -> dict:
     """Run the stages in the reference's order; returns table paths and validations.
 
     ``skip_bronze`` reuses existing bronze tables; ``only_load`` only publishes existing
@@ -101,9 +123,14 @@ def run_medallion(spark: SparkSession, root: str, raw_auth: str | list[str] | No
     Each log-derived silver table is its own aggregate over bronze (pruned scans, small
     shuffles); ``shared_scan=True`` makes them rollups of one written cube (one scan), for
     logs in which few (day, hour, user, computer) groups hold many rows. ``pandas_nulls``
-    reads the CSV reader's usual spellings of missing values as NULL. ``bronze_writer`` holds
-    settings of :func:`~logonlens.sources.sinks.write_bronze_auth`.
+    reads the CSV reader's usual spellings of missing values as NULL. Lines that do not fit the
+    declared schema go to a rejects partition of the bronze tables, with their counts under
+    ``report["ingest"]``; ``on_bad_lines="fail"`` stops at the first one instead. ``bronze_writer``
+    holds settings of the bronze writer (:func:`~logonlens.sources.sinks.write_checked_auth`, or
+    :func:`~logonlens.sources.sinks.write_bronze_auth` with ``fail``).
     """
+    if on_bad_lines not in ("reject", "fail"):
+        raise ValueError("on_bad_lines must be 'reject' or 'fail'")
     p = Paths(root)
     report: dict = {"tables": {}, "validation": {}, "seconds": {}}
 
@@ -131,15 +158,27 @@ def run_medallion(spark: SparkSession, root: str, raw_auth: str | list[str] | No
             if raw_auth is None or raw_redteam is None:
                 raise ValueError("raw_auth and raw_redteam are needed unless skip_bronze")
             # each ingest validates its own output (a one-row result) inside its job
-            checks = level({
-                "auth": lambda: ingest_auth(spark, raw_auth, p.bronze("auth"), pandas_nulls=pandas_nulls,
-                                            **(bronze_writer or {})).first().asDict(),
-                "redteam": lambda: ingest_redteam(spark, raw_redteam, p.bronze("redteam"),
-                                                  pandas_nulls).first().asDict(),
-            })
-            report["validation"] = dict(checks)
-        auth = _bronze_auth(spark, p.bronze("auth"))
-        redteam = read_table(spark, p.bronze("redteam"))
+            if on_bad_lines == "fail":
+                checks = level({
+                    "auth": lambda: ingest_auth(spark, raw_auth, p.bronze("auth"), pandas_nulls=pandas_nulls,
+                                                **(bronze_writer or {})).first().asDict(),
+                    "redteam": lambda: ingest_redteam(spark, raw_redteam, p.bronze("redteam"),
+                                                      pandas_nulls).first().asDict(),
+                })
+                report["validation"] = dict(checks)
+            else:
+                counts = level({
+                    "auth": lambda: ingest_checked_auth(spark, raw_auth, p.bronze("auth"), pandas_nulls=pandas_nulls,
+                                                        **(bronze_writer or {})),
+                    "redteam": lambda: ingest_checked_redteam(spark, raw_redteam, p.bronze("redteam"), pandas_nulls),
+                })
+                report["ingest"] = dict(counts)
+                report["validation"] = {
+                    "auth": {"rows": counts["auth"]["accepted"]},
+                    "redteam": validate.redteam_validation(read_bronze(spark, p.bronze("redteam"))).first().asDict(),
+                }
+        auth = read_bronze(spark, p.bronze("auth"))
+        redteam = read_bronze(spark, p.bronze("redteam"))
 
         # silver level 1: the one pass over the log, and the red-team events
         first = {"events": save("silver", "redteam_events", lambda: silver.redteam_events(redteam))}

@@ -254,7 +254,20 @@ def _top20(metric: str) -> str:
     return with_(FEATURES, f'SELECT * FROM uf ORDER BY {metric} DESC NULLS FIRST, "user" LIMIT 20')
 
 
+_FIELDS = """coalesce(CAST("timestamp" AS VARCHAR), '') || ',' || coalesce(source_user, '') || ',' || coalesce(destination_user, '')
+  || ',' || coalesce(source_computer, '') || ',' || coalesce(destination_computer, '') || ',' || coalesce(authentication_type, '')
+  || ',' || coalesce(logon_type, '') || ',' || coalesce(authentication_orientation, '')"""
+_SPOILT = "\"timestamp\" % 97 IN (5, 6, 7)"
+
 ORACLE: dict[str, str] = {
+    "auth_ingest_counts": with_([AUTH], f"""SELECT count(*) AS lines, count(*) FILTER (NOT {_SPOILT}) AS accepted,
+  count(*) FILTER ({_SPOILT}) AS rejected, min("timestamp") FILTER (NOT {_SPOILT}) AS first_second,
+  max("timestamp") FILTER (NOT {_SPOILT}) AS last_second FROM auth"""),
+    "auth_ingest_accepted": with_([AUTH], f"SELECT * FROM auth WHERE NOT {_SPOILT}"),
+    "auth_ingest_rejects": with_([AUTH, f"""lines AS (SELECT CASE WHEN "timestamp" % 97 = 7 THEN 'value' ELSE 'fields' END AS reason,
+  CASE "timestamp" % 97 WHEN 5 THEN {_FIELDS} WHEN 6 THEN {_FIELDS} || ',' || coalesce(status, '') || ',more'
+    ELSE 'x' || {_FIELDS} || ',' || coalesce(status, '') END AS line FROM auth WHERE {_SPOILT})"""],
+        "SELECT reason, count(*) AS lines, min(line) AS example FROM lines GROUP BY reason"),
     "auth_normalized": with_(BASE, "SELECT * FROM norm"),
     "auth_row_count": with_([AUTH], "SELECT count(*) AS rows FROM auth"),
     "auth_bronze_roundtrip": with_([AUTH], "SELECT * FROM auth"),

@@ -95,6 +95,43 @@ def _bronze_roundtrip(which: str) -> Query:
     return run
 
 
+# Lines of the stand-in raw log that are spoilt on purpose, by their second: a field too few, one
+# too many, and a second that is no number.
+BAD_LINE_MOD, FEW_FIELDS, MANY_FIELDS, BAD_SECOND = 97, 5, 6, 7
+
+
+def spoilt_auth_lines(auth: DataFrame) -> DataFrame:
+    """``auth`` as the text of a headerless CSV log with some malformed lines."""
+    second = F.pmod(F.col("timestamp"), F.lit(BAD_LINE_MOD))
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in auth.columns]
+    return auth.select(
+        F.when(second == FEW_FIELDS, F.concat_ws(",", *fields[:-1]))
+        .when(second == MANY_FIELDS, F.concat_ws(",", *fields, F.lit("more")))
+        .when(second == BAD_SECOND, F.concat(F.lit("x"), F.concat_ws(",", *fields)))
+        .otherwise(F.concat_ws(",", *fields)).alias("value"))
+
+
+def _checked_ingest(what: str) -> Query:
+    """J01 + J02 over a raw log with malformed lines: what the one-pass ingest counted, and what
+    it wrote."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from logonlens.plans.medallion import ingest_checked_auth
+        from logonlens.session import scratch_path
+        from logonlens.sources.readers import read_bronze, read_rejects
+
+        auth = layers(spark, sf_dir).auth
+        raw, bronze = scratch_path(spark, "raw-spoilt"), scratch_path(spark, "bronze-checked")
+        spoilt_auth_lines(auth).write.option("compression", "gzip").text(raw)
+        counts = ingest_checked_auth(spark, raw, bronze)
+        if what == "counts":
+            return spark.createDataFrame([counts], "lines long, accepted long, rejected long, first_second long, last_second long")
+        if what == "accepted":
+            return read_bronze(spark, bronze).select(*auth.columns)
+        return read_rejects(spark, bronze).groupBy("reason").agg(F.count(F.lit(1)).alias("lines"), F.min("bad_line").alias("example"))
+    run.__name__ = f"auth_ingest_{what}"
+    return run
+
+
 _LAKES: "weakref.WeakKeyDictionary[SparkSession, dict[str, str]]" = weakref.WeakKeyDictionary()
 
 
@@ -155,6 +192,9 @@ QUERIES: dict[str, Query] = {
     "auth_row_count": _q(lambda ly: validate.row_count(ly.auth)),
     "auth_bronze_roundtrip": _bronze_roundtrip("auth"),
     "redteam_bronze_roundtrip": _bronze_roundtrip("redteam"),
+    "auth_ingest_counts": _checked_ingest("counts"),
+    "auth_ingest_accepted": _checked_ingest("accepted"),
+    "auth_ingest_rejects": _checked_ingest("rejects"),
     "run_hourly_activity": _full_run("silver", "hourly_activity"),
     "run_users_features": _full_run("silver", "users_features"),
     "run_user_risk": _full_run("gold", "user_risk"),

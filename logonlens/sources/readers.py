@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from logonlens.sources.schemas import AUTH, REDTEAM
 
@@ -23,12 +24,59 @@ def _read_headerless(spark: SparkSession, path: str | list[str], schema, mode: s
         .option("mode", mode)
         .csv(path)
     )
-    if pandas_nulls:
-        df = df.withColumns({
-            f.name: F.when(F.col(f.name).isin(*PANDAS_NULL_TOKENS), None).otherwise(F.col(f.name))
-            for f in schema.fields if f.dataType.typeName() == "string"
-        })
-    return df
+    return _with_pandas_nulls(df, schema) if pandas_nulls else df
+
+
+def _with_pandas_nulls(df: DataFrame, schema: StructType) -> DataFrame:
+    return df.withColumns({
+        f.name: F.when(F.col(f.name).isin(*PANDAS_NULL_TOKENS), None).otherwise(F.col(f.name))
+        for f in schema.fields if f.dataType.typeName() == "string"
+    })
+
+
+# What an ingest adds to the columns of a log.
+ACCEPTED, REJECTED = "accepted", "rejected"
+REJECT_COLUMNS = ("bad_line", "reason", "source_file")
+
+
+def read_checked(spark: SparkSession, path: str | list[str], schema: StructType,
+                 pandas_nulls: bool = False) -> DataFrame:
+    """SRC1 / SRC2 without stopping at a bad line: the columns of ``schema``, and ``outcome``.
+
+    A line with another number of fields, or with a value that is not of its column's type, is
+    ``rejected``: its columns are NULL, and ``bad_line``, ``reason`` (``fields`` or ``value``) and
+    ``source_file`` say what it was. All other lines are ``accepted``, and these three are NULL.
+    Empty lines are no lines."""
+    df = (
+        spark.read.schema(StructType([*schema.fields, StructField("bad_line", StringType())]))
+        .option("header", "false")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "bad_line")
+        # else only the columns that a query needs are parsed, and bad fields elsewhere are missed
+        .option("columnPruning", "false")
+        .csv(path)
+    )
+    bad = F.col("bad_line").isNotNull()
+    file = F.col("_metadata.file_path")
+    df = df.select(
+        *[F.when(~bad, F.col(f.name)).alias(f.name) for f in schema.fields], "bad_line",
+        F.when(bad & (F.size(F.split("bad_line", ",")) != len(schema.fields)), "fields").when(bad, "value").alias("reason"),
+        F.when(bad, file).alias("source_file"),
+        F.when(bad, REJECTED).otherwise(ACCEPTED).alias("outcome"))
+    return _with_pandas_nulls(df, schema) if pandas_nulls else df
+
+
+def read_bronze(spark: SparkSession, path: str) -> DataFrame:
+    """The accepted rows of a bronze table, written with or without rejects beside them."""
+    df = read_table(spark, path)
+    if "outcome" not in df.columns:
+        return df
+    return df.where(F.col("outcome") == ACCEPTED).drop("outcome", *REJECT_COLUMNS)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """``bad_line, reason, source_file`` of the rejected lines of a bronze table."""
+    return read_table(spark, path).where(F.col("outcome") == REJECTED).select(*REJECT_COLUMNS)
 
 
 def read_auth_csv(spark: SparkSession, path: str | list[str], mode: str = "FAILFAST",

@@ -10,15 +10,45 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from logonlens.functions.normalize import day_of
+from logonlens.sources.readers import ACCEPTED
 
 # Uncompressed input bytes per bronze writer task.
 BRONZE_BYTES_PER_WRITER = 256 << 20
-# Share of the writers that one day's rows are dealt over.
+# Share of the writers that one day's rows are dealt over, where their number is given.
 BRONZE_DAY_SHARE = 1.0
+# Hash partitions of days before they are split and joined by size: a few times the days of a log,
+# so that few days share a partition (whose parts each write a file for every day in it).
+DAY_PARTITIONS = 1024
+
+
+def dealt_by_day(df: DataFrame, writers: int, salts: int | None = None, keys: Sequence[str] = ("day",)) -> DataFrame:
+    """``df`` with its ``day``, dealt over writer tasks so that files are few and even.
+
+    All rows of a day go to one shuffle partition, and the adaptive re-plan, which knows the
+    measured sizes, splits partitions over the session's advisory size and joins small ones: a
+    file a day, and one more for each full partition, however many days there are and however
+    much of the log falls on one. Partitions are split between the outputs of map tasks, so a
+    source of fewer tasks than ``writers`` (an unsplittable ``.gz``) is dealt by row hash first.
+
+    ``salts`` (or a session without adaptive planning) asks for a fixed number of hash
+    partitions on (day, salt) instead."""
+    spark = df.sparkSession
+    row_hash = F.xxhash64(*df.columns)
+    with_day = day_of("timestamp")
+    if salts is None and spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        if df.rdd.getNumPartitions() < writers:
+            df = df.repartition(writers, row_hash)
+        # the day comes after it: two exchanges in a row would be made one
+        return df.withColumn("day", with_day).hint("rebalance", DAY_PARTITIONS, *keys)
+    return df.withColumn("day", with_day).repartition(writers, *keys, F.pmod(row_hash, F.lit(salts or max(1, round(BRONZE_DAY_SHARE * writers)))))
+
+
+def _writers(df: DataFrame, source_bytes: int | None, bytes_per_writer: int) -> int:
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-(source_bytes or 0) // bytes_per_writer))
 
 
 def write_bronze_auth(df: DataFrame, path: str, num_partitions: int | None = None,
@@ -28,30 +58,22 @@ def write_bronze_auth(df: DataFrame, path: str, num_partitions: int | None = Non
                       bytes_per_writer: int = BRONZE_BYTES_PER_WRITER) -> None:
     """SNK1: the raw auth log as parquet parts.
 
-    A ``.gz`` source is read by one task, so the rows are redistributed before the write.
     With ``partition_by_day`` the parts go under ``day=N/`` directories (daily and
-    incremental jobs then prune whole days) and rows are hash-distributed on (day, salt): the
-    salt comes from the row (deterministic, so a retried task sends every row to the same
-    place) and takes ``day_share * writers`` values, so however few days there are, and
-    however much of the log falls on one of them, the writers share it. A smaller
-    ``day_share`` gives fewer and larger files where days are many and even. No range
+    incremental jobs then prune whole days), dealt by :func:`dealt_by_day`. No range
     shuffle: its sampling would read the unsplittable source twice. Rows are sorted by
     timestamp inside each part so row-group statistics prune time ranges.
     ``mode="append"`` adds a new batch of parts (what the incremental stream picks up).
 
-    Without ``num_partitions`` the writer count follows ``source_bytes`` (one writer per
-    ``bytes_per_writer``, and no fewer than the session's default parallelism).
-    ``rows_per_file`` bounds the rows of a part, if given.
+    With ``num_partitions`` there are that many writers instead, and each day is dealt over
+    ``day_share`` of them by a salt that comes from the row (deterministic, so a retried task
+    sends every row to the same place). ``rows_per_file`` bounds the rows of a part, if given.
     """
-    writers = num_partitions or max(df.sparkSession.sparkContext.defaultParallelism,
-                                    -(-(source_bytes or 0) // bytes_per_writer))
+    writers = num_partitions or _writers(df, source_bytes, bytes_per_writer)
     if partition_by_day:
-        salts = max(1, round(day_share * writers))
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
         # (day, timestamp) satisfies the partitioned writer's required ordering on day,
         # so Spark adds no sort of its own that could reorder rows inside a day
-        out = (df.withColumn("day", day_of("timestamp")).repartition(writers, "day", salt)
-               .sortWithinPartitions("day", "timestamp"))
+        salts = max(1, round(day_share * writers)) if num_partitions else None
+        out = dealt_by_day(df, writers, salts).sortWithinPartitions("day", "timestamp")
         writer = out.write.partitionBy("day")
     else:
         writer = df.repartition(writers).sortWithinPartitions("timestamp").write
@@ -60,6 +82,38 @@ def write_bronze_auth(df: DataFrame, path: str, num_partitions: int | None = Non
     writer.mode(mode).parquet(path)
 
 
+def _observed(df: DataFrame, extra: Sequence[Column] = ()) -> tuple[DataFrame, Observation]:
+    """``df`` with the counts of an ingest, taken while its rows are written. They belong to the
+    writing tasks, whose results count once even where a lost executor makes tasks run again."""
+    counts = Observation()
+    accepted = F.col("outcome") == ACCEPTED
+    return df.observe(counts, F.count(F.lit(1)).alias("lines"), F.count_if(accepted).alias("accepted"),
+                      F.count_if(~accepted).alias("rejected"), *extra), counts
+
+
+def write_checked_auth(df: DataFrame, path: str, source_bytes: int | None = None,
+                       bytes_per_writer: int = BRONZE_BYTES_PER_WRITER, rows_per_file: int | None = None) -> dict:
+    """SNK1 for a log read by :func:`~logonlens.sources.readers.read_checked`: one job over one read
+    of the raw log writes accepted lines under ``outcome=accepted/day=N/`` and bad ones under
+    ``outcome=rejected/``, and counts both. Returns ``lines``, ``accepted``, ``rejected`` and the
+    first and last second."""
+    out = dealt_by_day(df, _writers(df, source_bytes, bytes_per_writer),
+                       keys=("outcome", "day")).sortWithinPartitions("outcome", "day", "timestamp")
+    out, counts = _observed(out, [F.min("timestamp").alias("first_second"), F.max("timestamp").alias("last_second")])
+    writer = out.write.partitionBy("outcome", "day").mode("overwrite")
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.parquet(path)
+    return counts.get
+
+
+def write_checked(df: DataFrame, path: str) -> dict:
+    """SNK2 for a small checked log: ``outcome=accepted/`` and ``outcome=rejected/``, and the counts."""
+    out, counts = _observed(df)
+    out.write.partitionBy("outcome").mode("overwrite").parquet(path)
+    return counts.get
+
+
 def write_table(df: DataFrame, path: str, sort_by: Sequence[str | object] | None = None,
                 rows_per_file: int | None = None, global_order: bool = True) -> None:
     """SNK2 / SNK3: write a silver or gold table, optionally ordered.
