@@ -11,11 +11,11 @@ words, their counts, and the texts as numbers into that list. Only the distinct
 shuffled, to be counted and numbered; a phrase can only be frequent if its words are, so just those
 get ids. The ids go back to the slices; no word occurrence is ever a row of its own.
 
-**Counting quotient filters.** A phrase is its word ids packed into one number of fixed width (zeros
-behind the last word). A Feistel network, which can be inverted, permutes these numbers; the top bits
-are the quotient, all other bits the remainder. A filter keeps entries in order of (quotient,
-remainder): run lengths of the quotients in unary, remainders in full, counters of one byte with
-an escape. Nothing is lost, so counts are exact and phrases are read back by the inverse. The
+**Counting quotient filters.** A phrase is its word ids packed into one number, of a width that all
+phrases of its length share. A Feistel network, which can be inverted, permutes these numbers; the top
+bits are the quotient, all other bits the remainder. A filter keeps entries in order of (quotient,
+remainder): run lengths of the quotients in unary, remainders in full, and counters that take a bit
+where they are one, else a byte, with an escape. Nothing is lost, so counts are exact and phrases are read back by the inverse. The
 permutation spreads all phrases evenly, so ranges of quotients make even parts however skewed the
 words are: a phrase that stands in a third of all texts is one entry in each task's filter. Filters
 of one part are merged by order, and entries below ``min_count`` leave there.
@@ -47,11 +47,11 @@ COVERED_PERCENT = 80
 TOP = 2000
 NO_LANGUAGE = "und"
 
-SLICE_WORDS = 1 << 20        # word occurrences of a slice, about (a longer text is a slice of its own)
+SLICE_WORDS = 1 << 19        # word occurrences of a slice, about (a longer text is a slice of its own)
 SLICE_DISTINCT = 1 << 18     # distinct words of the slices that a task has open
 CHUNK_BYTES = 1 << 20        # text that is split into words at once
 FILTER_ENTRIES = 1 << 21     # entries of a task's filter before it is handed on
-PART_OCCURRENCES = 1 << 22   # phrase occurrences of a part, about
+PART_OCCURRENCES = 1 << 20   # phrase occurrences of one length in a part, about
 BUCKETS_PER_PARTITION = 4
 
 _BREAK = b"\xff"             # not in UTF-8; stands for the end of a piece
@@ -216,24 +216,30 @@ class CountingQuotientFilter:
         quotient = (below >> np.uint64(rest)).astype(np.int64)
         unary = np.zeros(n + (1 << bits), np.uint8)
         unary[quotient + np.arange(n)] = 1
-        small = np.minimum(self.count, 255).astype(np.uint8)
+        more = self.count > 1
+        extra = self.count[more] - 1
+        small = np.minimum(extra, 255).astype(np.uint8)
         return b"".join([
-            np.array([n, bits], np.int64).tobytes(), np.packbits(unary).tobytes(),
+            np.array([n, bits, len(extra)], np.int64).tobytes(), np.packbits(unary).tobytes(),
             _bytes_of(below & np.uint64((1 << rest) - 1), rest), _bytes_of(self.right, self.width),
-            small.tobytes(), self.count[small == 255].astype(np.int64).tobytes()])
+            np.packbits(more).tobytes(), small.tobytes(), extra[small == 255].astype(np.int64).tobytes()])
 
     @classmethod
     def unpack(cls, data: bytes, width: int, prefix: int, top: int) -> CountingQuotientFilter:
-        n, bits = (int(x) for x in np.frombuffer(data, np.int64, 2))
-        rest, at = width - prefix - bits, 16
+        n, bits, n_more = (int(x) for x in np.frombuffer(data, np.int64, 3))
+        rest, at = width - prefix - bits, 24
         size = n + (1 << bits)
         ones = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, -(-size // 8), at), count=size))
         at += -(-size // 8)
         quotient = (ones - np.arange(n)).astype(np.uint64)
         low, at = _read(data, at, n, rest)
         right, at = _read(data, at, n, width)
-        count = np.frombuffer(data, np.uint8, n, at).astype(np.int64)
-        count[count == 255] = np.frombuffer(data, np.int64, -1, at + n)
+        more = np.unpackbits(np.frombuffer(data, np.uint8, -(-n // 8), at), count=n).astype(bool)
+        at += -(-n // 8)
+        extra = np.frombuffer(data, np.uint8, n_more, at).astype(np.int64)
+        extra[extra == 255] = np.frombuffer(data, np.int64, -1, at + n_more)
+        count = np.ones(n, np.int64)
+        count[more] += extra
         left = (quotient << np.uint64(rest)) | low
         if prefix:
             left |= np.uint64(top << (width - prefix))
@@ -252,30 +258,50 @@ def _read(data: bytes, at: int, n: int, bits: int) -> tuple[np.ndarray, int]:
     return wide.view("<u8").reshape(-1).astype(np.uint64), at + n * size
 
 
-def phrases_of(ids: np.ndarray, bits: int) -> CountingQuotientFilter:
-    """The phrases of two to LONGEST words in a row of ids (0: no frequent word, or a break)."""
-    ids, width, shift = ids.astype(np.uint64), 2 * bits, np.uint64(bits)
-    known = ids > 0
-    start = np.flatnonzero(known[:-1] & known[1:])
-    left, right = [], []
-    third = np.zeros(len(start), np.uint64)
+def width_of(n: int, bits: int) -> int:
+    """Bits of each half of a packed phrase of ``n`` ids."""
+    return -(-n * bits // 2)
+
+
+def pack_ids(ids: list[np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The halves of packed phrases, from their ids in columns; the middle one of three is split."""
+    shift = np.uint64(bits)
+    if len(ids) == 2:
+        return ids[0], ids[1]
+    if len(ids) == 4:
+        return (ids[0] << shift) | ids[1], (ids[2] << shift) | ids[3]
+    low = width_of(3, bits) - bits
+    return ((ids[0] << np.uint64(bits - low)) | (ids[1] >> np.uint64(low)),
+            ((ids[1] & np.uint64((1 << low) - 1)) << shift) | ids[2])
+
+
+def unpack_ids(left: np.ndarray, right: np.ndarray, n: int, bits: int) -> list[np.ndarray]:
+    shift, mask = np.uint64(bits), np.uint64((1 << bits) - 1)
+    if n == 2:
+        return [left, right]
+    if n == 4:
+        return [left >> shift, left & mask, right >> shift, right & mask]
+    low = width_of(3, bits) - bits
+    high = np.uint64(bits - low)
+    return [left >> high, ((left & np.uint64((1 << (bits - low)) - 1)) << np.uint64(low)) | (right >> shift), right & mask]
+
+
+def phrases_of(ids: np.ndarray, bits: int) -> Iterator[tuple[int, CountingQuotientFilter]]:
+    """The phrases of every length in a row of ids (0: no frequent word, or a break)."""
+    ids = ids.astype(np.uint64)
+    start = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
     for n in range(2, LONGEST + 1):
-        first = (ids[start] << shift) | ids[start + 1]
-        left.append(first)
-        right.append((third << shift) | (ids[start + 3] if n > 3 else np.uint64(0)))
-        if n < LONGEST:
-            start = start[start + n < len(ids)]
-            start = start[known[start + n]]
-            third = ids[start + 2]
-    halves = permute(np.concatenate(left), np.concatenate(right), width)
-    return CountingQuotientFilter(width, *fold(*halves, np.ones(len(halves[0]), np.int64)))
+        if n > 2:
+            start = start[start + n - 1 < len(ids)]
+            start = start[ids[start + n - 1] > 0]
+        width = width_of(n, bits)
+        halves = permute(*pack_ids([ids[start + k] for k in range(n)], bits), width)
+        yield n, CountingQuotientFilter(width, *fold(*halves, np.ones(len(start), np.int64)))
 
 
-def word_ids(left: np.ndarray, right: np.ndarray, bits: int) -> np.ndarray:
-    """The four ids of every permuted phrase, in columns."""
-    left, right = restore(left, right, 2 * bits)
-    low, shift = np.uint64((1 << bits) - 1), np.uint64(bits)
-    return np.stack([left >> shift, left & low, right >> shift, right & low], axis=1).astype(np.int64)
+def word_ids(whole: CountingQuotientFilter, n: int, bits: int) -> np.ndarray:
+    """The ids of every phrase of a filter, in columns."""
+    return np.stack(unpack_ids(*restore(whole.left, whole.right, whole.width), n, bits), axis=1).astype(np.int64)
 
 
 def phrase_counts(slices: DataFrame, words: DataFrame, n_words: int, n_known: int, min_count: int) -> DataFrame:
@@ -284,17 +310,18 @@ def phrase_counts(slices: DataFrame, words: DataFrame, n_words: int, n_known: in
     bits = max(1, n_known.bit_length())
     if bits > 32:
         raise ValueError("more than 2 ** 32 frequent words")
-    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (LONGEST - 1) * n_words // PART_OCCURRENCES)
-    prefix = min(2 * bits, wanted.bit_length())
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_words // PART_OCCURRENCES)
+    prefix = {n: min(width_of(n, bits), wanted.bit_length()) for n in range(2, LONGEST + 1)}
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rarer_gc()
-        held: list[CountingQuotientFilter] = []
+        held: dict[int, list[CountingQuotientFilter]] = defaultdict(list)
 
-        def packed(whole: CountingQuotientFilter) -> pa.RecordBatch:
-            rows = [(top, part.pack(prefix)) for top, part in whole.parts(prefix)]
-            return pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows], pa.int64()),
-                                               pa.array([b for _, b in rows], pa.binary())], ["part", "filter"])
+        def packed(n: int) -> pa.RecordBatch:
+            rows = [(top, part.pack(prefix[n])) for top, part in CountingQuotientFilter.merged(held.pop(n)).parts(prefix[n])]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([n] * len(rows), pa.int32()), pa.array([t for t, _ in rows], pa.int64()),
+                 pa.array([b for _, b in rows], pa.binary())], ["n", "part", "filter"])
 
         for batch in batches:
             for k in range(batch.num_rows):
@@ -305,29 +332,31 @@ def phrase_counts(slices: DataFrame, words: DataFrame, n_words: int, n_known: in
                 at, name = (known.field(j).to_numpy() for j in (0, 1))
                 table = np.zeros(int(max(ids.max(), at.max() + 1)) + 1, np.int64)
                 table[at + 1] = name                 # 0 is the break
-                held.append(phrases_of(table[ids], bits))
-                if len(held) > 1 and sum(map(len, held)) >= FILTER_ENTRIES:
-                    held = [CountingQuotientFilter.merged(held)]
-                if sum(map(len, held)) >= FILTER_ENTRIES:
-                    yield packed(held.pop())
-        if held:
-            yield packed(CountingQuotientFilter.merged(held))
+                for n, own in phrases_of(table[ids], bits):
+                    held[n].append(own)
+                    if len(held[n]) > 1 and sum(map(len, held[n])) >= FILTER_ENTRIES:
+                        held[n] = [CountingQuotientFilter.merged(held[n])]
+                    if sum(map(len, held[n])) >= FILTER_ENTRIES:
+                        yield packed(n)
+        for n in list(held):
+            yield packed(n)
 
     def merge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        top = key[0].as_py()
-        whole = CountingQuotientFilter.merged([CountingQuotientFilter.unpack(x.as_py(), 2 * bits, prefix, top)
+        n, top = key[0].as_py(), key[1].as_py()
+        whole = CountingQuotientFilter.merged([CountingQuotientFilter.unpack(x.as_py(), width_of(n, bits), prefix[n], top)
                                                for x in table.column("filter")])
         many = whole.count >= min_count
-        ids = word_ids(whole.left[many], whole.right[many], bits)
-        lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum((ids > 0).sum(axis=1))].astype(np.int32), pa.array(ids[ids > 0]))
-        return pa.table({"ids": lists, "a": whole.count[many]})
+        kept = CountingQuotientFilter(whole.width, whole.left[many], whole.right[many], whole.count[many])
+        ids = word_ids(kept, n, bits)
+        lists = pa.ListArray.from_arrays(np.arange(0, ids.size + 1, n, dtype=np.int32), pa.array(ids.reshape(-1)))
+        return pa.table({"ids": lists, "a": kept.count})
 
     exploded = slices.select("slice", "lang", F.posexplode("words").alias("at", "word"))
     own = exploded.join(words.select("lang", "word", "id"), ["lang", "word"]) \
         .groupBy(F.col("slice").alias("s")).agg(F.collect_list(F.struct(F.col("at").cast("long"), "id")).alias("known"))
     filters = slices.select("slice", "ids").join(own, F.col("slice") == F.col("s")).select("ids", "known") \
-        .mapInArrow(count, "part long, filter binary")
-    return cut(filters.groupBy("part").applyInArrow(merge, "ids array<long>, a long"), "phrase-counts")
+        .mapInArrow(count, "n int, part long, filter binary")
+    return cut(filters.groupBy("n", "part").applyInArrow(merge, "ids array<long>, a long"), "phrase-counts")
 
 
 # ------------------------------------------------------------------ scores

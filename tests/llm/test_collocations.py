@@ -86,39 +86,33 @@ def test_scores_do_not_overflow(spark):
     assert (row.l, row.r, row.score) == (9 * 10 ** 15 + 1, 9 * 10 ** 15, 2000000 * 9 * 10 ** 15 // (18 * 10 ** 15 + 1))
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.integers(1, 32), st.lists(st.tuples(*[st.integers(0, (1 << 32) - 1)] * 4, st.integers(1, 700)), min_size=1, max_size=60), st.data())
-def test_filters_lose_nothing(bits, rows, data):
+@settings(max_examples=80, deadline=None)
+@given(st.integers(1, 32), st.integers(2, 4), st.lists(st.tuples(*[st.integers(0, (1 << 32) - 1)] * 4, st.integers(1, 700)),
+                                                       min_size=1, max_size=60), st.data())
+def test_filters_lose_nothing(bits, n, rows, data):
     """Permuting, folding, cutting into parts, packing, merging and restoring."""
-    mask, width = (1 << bits) - 1, 2 * bits
-    rows = [(*(x & mask for x in r[:4]), r[4]) for r in rows]
+    mask, width = (1 << bits) - 1, c.width_of(n, bits)
+    rows = [(*(x & mask for x in r[:n]), r[4]) for r in rows]
     want = Counter()
-    for *ids, n in rows:
-        want[tuple(ids)] += n
     prefix = data.draw(st.integers(0, min(width, 12)))
     filters = defaultdict(list)
     for some in (rows[::2], rows[1::2], rows[:1]):
         if not some:
             continue
-        w = np.array([r[:4] for r in some], np.uint64).T
-        shift = np.uint64(bits)
-        left, right = c.permute((w[0] << shift) | w[1], (w[2] << shift) | w[3], width)
-        assert not ((left | right) >> np.uint64(width)).any() if width < 64 else True
-        whole = c.CountingQuotientFilter(width, *c.fold(left, right, np.array([r[4] for r in some], np.int64)))
-        if prefix:
-            for top, part in whole.parts(prefix):
-                filters[top].append(c.CountingQuotientFilter.unpack(part.pack(prefix), width, prefix, top))
-        else:
-            filters[0].append(c.CountingQuotientFilter.unpack(whole.pack(0), width, 0, 0))
-    want[tuple(rows[0][:4])] += rows[0][4]           # counted once more above
+        for *ids, times in some:
+            want[tuple(ids)] += times
+        left, right = c.permute(*c.pack_ids(list(np.array([r[:n] for r in some], np.uint64).T), bits), width)
+        assert width == 64 or not ((left | right) >> np.uint64(width)).any()
+        whole = c.CountingQuotientFilter(width, *c.fold(left, right, np.array([r[n] for r in some], np.int64)))
+        for top, part in whole.parts(prefix) if prefix else [(0, whole)]:
+            filters[top].append(c.CountingQuotientFilter.unpack(part.pack(prefix), width, prefix, top))
     got = Counter()
     for group in filters.values():
         merged = c.CountingQuotientFilter.merged(group)
-        order = np.lexsort((merged.right, merged.left))
-        assert (order == np.arange(len(merged))).all()
-        for ids, n in zip(c.word_ids(merged.left, merged.right, bits).tolist(), merged.count.tolist(), strict=True):
+        assert (np.lexsort((merged.right, merged.left)) == np.arange(len(merged))).all()
+        for ids, times in zip(c.word_ids(merged, n, bits).tolist(), merged.count.tolist(), strict=True):
             assert tuple(ids) not in got
-            got[tuple(ids)] = n
+            got[tuple(ids)] = times
     assert got == want
 
 
