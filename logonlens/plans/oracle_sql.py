@@ -254,6 +254,13 @@ def _top20(metric: str) -> str:
     return with_(FEATURES, f'SELECT * FROM uf ORDER BY {metric} DESC NULLS FIRST, "user" LIMIT 20')
 
 
+def _rolling(src: str, cols: dict[str, str], days: int = 7) -> str:
+    counts = ",\n  ".join(f"count(DISTINCT x.{c}) + coalesce(max(CASE WHEN x.{c} IS NULL THEN 1 ELSE 0 END), 0) AS {m}"
+                          for m, c in cols.items())
+    return f"""SELECT d.day AS last_day, {counts}
+FROM (SELECT DISTINCT day FROM {src}) d JOIN {src} x ON x.day BETWEEN d.day - {days - 1} AND d.day GROUP BY d.day"""
+
+
 _FIELDS = """coalesce(CAST("timestamp" AS VARCHAR), '') || ',' || coalesce(source_user, '') || ',' || coalesce(destination_user, '')
   || ',' || coalesce(source_computer, '') || ',' || coalesce(destination_computer, '') || ',' || coalesce(authentication_type, '')
   || ',' || coalesce(logon_type, '') || ',' || coalesce(authentication_orientation, '')"""
@@ -359,6 +366,9 @@ LIMIT 100"""),
     "merge_daily_user_activity": _DAILY_USER_ONE_SHOT,
     "merge_users_dim": _USERS_ONE_SHOT,
     "merge_user_computers": _BRIDGE_ONE_SHOT,
+    "active_users_rolling": with_(BASE, _rolling("norm", {"users": '"user"', "targets": "destination_computer"})),
+    "redteam_distinct_rolling": with_([REDTEAM, RTE], _rolling("rte", {
+        "users": '"user"', "source_computers": "source_computer", "targets": "destination_computer"})),
     "user_shape": with_(FEATURES, "SELECT count(*) AS rows, 12::BIGINT AS columns FROM uf"),
     "user_null_counts": with_(FEATURES, "SELECT " + ", ".join(
         f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in USER_FEATURE_COLUMNS) + " FROM uf"),

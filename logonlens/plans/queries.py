@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from logonlens.functions.normalize import SECONDS_PER_DAY, normalize_auth
 from logonlens.functions.scoring import percentile_scores
-from logonlens.operators import gold, merge, profile, silver, validate
+from logonlens.operators import distinct, gold, merge, profile, silver, validate
 from logonlens.plans.layers import Layers
 from logonlens.sources import testdata
 
@@ -157,6 +157,33 @@ def _full_run(layer: str, table: str) -> Query:
     return run
 
 
+ROLLING_DAYS = 7
+ACTIVE = {"users": "user", "targets": "destination_computer"}
+REDTEAM_SEEN = {"users": "user", "source_computers": "source_computer", "targets": "destination_computer"}
+
+
+def _stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write a table under the checkpoint folder and read it back, as a later run would."""
+    from logonlens.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.partitionBy(*(partition_by or [])).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _rolling(log: Callable[[Layers], DataFrame], cols: dict[str, str]) -> Query:
+    """AGG9 / AGG10 over days: the log comes in two batches; the second one's new values get ids
+    behind the first one's, both keep bitmaps by day, and every window is merged from those."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        a, b = merge.split_at(log(layers(spark, sf_dir)), MERGE_CUT)
+        ids = _stored(distinct.value_ids(a, cols), "distinct-ids")
+        ids = ids.unionByName(_stored(distinct.extend_ids(ids, b, cols), "distinct-ids"))
+        parts = [_stored(distinct.group_bitmaps(part, ids, cols, ["day"]), "distinct-days", ["day"]) for part in (a, b)]
+        by_day = distinct.merge_bitmaps(parts[0].unionByName(parts[1]), ["day"])
+        return distinct.rolling_distinct(by_day, ROLLING_DAYS, list(cols))
+    return run
+
+
 def _describe_with_null_group(ly: Layers) -> DataFrame:
     """STA6 over a group column that is NULL for users outside the red-team events."""
     users = ly.user_features.withColumn("cohort", F.when(F.col("redteam_events") > 0, F.lit("flagged")))
@@ -240,6 +267,9 @@ QUERIES: dict[str, Query] = {
     "merge_daily_user_activity": _q(_merge_daily_user),
     "merge_users_dim": _q(_merge_users),
     "merge_user_computers": _q(_merge_bridge),
+    # stored states that are merged over days
+    "active_users_rolling": _rolling(lambda ly: ly.norm, ACTIVE),
+    "redteam_distinct_rolling": _rolling(lambda ly: ly.redteam_events, REDTEAM_SEEN),
     # profile
     "user_shape": _q(lambda ly: profile.shape(ly.user_features)),
     "user_null_counts": _q(lambda ly: profile.null_counts(ly.user_features)),
