@@ -25,14 +25,16 @@ from logonlens.sources.readers import (
     input_bytes,
     read_auth_csv,
     read_bronze,
+    read_by_day,
     read_checked,
     read_redteam_csv,
     read_table,
 )
-from logonlens.sources.schemas import AUTH, REDTEAM
+from logonlens.sources.schemas import AUTH, DAILY_COMPUTER_ACTIVITY, DAILY_USER_ACTIVITY, REDTEAM
 from logonlens.sources.sinks import (
     load_tables,
     write_bronze_auth,
+    write_by_day,
     write_checked,
     write_checked_auth,
     write_table,
@@ -53,8 +55,10 @@ SORT = {
     "gold_hourly_activity": ["day", "hour"],
     "login_timeline": ["day"],
 }
-# Facts and events, which grow with the log: ordered inside their parts only.
-SORTED_PARTS = ("redteam_events", "daily_computer_activity", "daily_user_activity")
+# Tables that grow with the log or its users: ordered inside their parts only.
+SORTED_PARTS = ("redteam_events", "user_risk")
+# Facts in one folder a day, by the schema they are read with.
+BY_DAY = {"daily_computer_activity": DAILY_COMPUTER_ACTIVITY, "daily_user_activity": DAILY_USER_ACTIVITY}
 # The gold tables the load step publishes, in load order.
 GOLD_TABLES = ("user_risk", "dashboard_kpis", "login_timeline", "risk_distribution", "top_users",
                "top_computers", "hourly_activity", "redteam_summary")
@@ -74,6 +78,12 @@ class Paths:
         return os.path.join(self.root, "gold", name)
 
 
+def read_stored(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
+    """A silver or gold table as a run wrote it."""
+    path = getattr(Paths(root), layer)(name)
+    return read_by_day(spark, path, BY_DAY[name]) if name in BY_DAY else read_table(spark, path)
+
+
 def ingest_auth(spark: SparkSession, raw: str | list[str], bronze_dir: str,
                 num_partitions: int | None = None, pandas_nulls: bool = False, **writer) -> DataFrame:
     """J01 + J02: raw CSV -> bronze parts; returns the one-row validation. ``writer`` goes to
@@ -141,8 +151,11 @@ def run_medallion(spark: SparkSession, root: str, raw_auth: str | list[str] | No
             order = [F.desc_nulls_first(c[1:]) if c.startswith("-") else F.col(c)
                      for c in SORT.get(sort_key or name, [])]
             df = build()
-            write_table(df, path, sort_by=order, global_order=name not in SORTED_PARTS)
             report["tables"][f"{layer}.{name}"] = path
+            if name in BY_DAY:
+                write_by_day(df, path, [c for c in SORT[name] if c != "day"])
+                return read_by_day(spark, path, BY_DAY[name])
+            write_table(df, path, sort_by=order, global_order=name not in SORTED_PARTS)
             # read back with the schema just written: no footer pass to infer it
             return spark.read.schema(df.schema).parquet(path)
         return job

@@ -366,6 +366,7 @@ LIMIT 100"""),
     "merge_daily_user_activity": _DAILY_USER_ONE_SHOT,
     "merge_users_dim": _USERS_ONE_SHOT,
     "merge_user_computers": _BRIDGE_ONE_SHOT,
+    "refresh_daily_user_activity": _DAILY_USER_ONE_SHOT,
     "active_users_rolling": with_(BASE, _rolling("norm", {"users": '"user"', "targets": "destination_computer"})),
     "redteam_distinct_rolling": with_([REDTEAM, RTE], _rolling("rte", {
         "users": '"user"', "source_computers": "source_computer", "targets": "destination_computer"})),

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logonlens.functions.normalize import SECONDS_PER_DAY, normalize_auth
+from logonlens.functions.normalize import SECONDS_PER_DAY, day_of, hour_of, normalize_auth
 from logonlens.functions.scoring import percentile_scores
 from logonlens.operators import distinct, gold, merge, profile, silver, validate
 from logonlens.plans.layers import Layers
@@ -184,6 +184,30 @@ def _rolling(log: Callable[[Layers], DataFrame], cols: dict[str, str]) -> Query:
     return run
 
 
+# Days that the stored facts of the refresh query have wrong: one lacks its afternoon, one is
+# missing, one was counted twice.
+SHORT_DAY, MISSING_DAY, DOUBLE_DAY = 3, 17, 25
+
+
+def _refreshed_daily_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG12 / J14: a fact stored from a log with wrong days, and those days replaced from the
+    complete bronze log."""
+    from logonlens.plans.medallion import Paths, read_stored
+    from logonlens.plans.refresh import refresh_days
+    from logonlens.session import scratch_path
+    from logonlens.sources.sinks import write_bronze_auth, write_by_day
+
+    auth = layers(spark, sf_dir).auth
+    day = day_of("timestamp")
+    early = auth.where(F.coalesce((day != MISSING_DAY) & ((day != SHORT_DAY) | (hour_of("timestamp") < 12)), F.lit(True)))
+    root = scratch_path(spark, "refresh-lake")
+    write_bronze_auth(auth, Paths(root).bronze("auth"))
+    write_by_day(silver.daily_user_activity(normalize_auth(early.unionAll(auth.where(day == DOUBLE_DAY)))),
+                 Paths(root).silver("daily_user_activity"), ["user"])
+    refresh_days(spark, root, [SHORT_DAY, MISSING_DAY, DOUBLE_DAY], ["daily_user_activity"])
+    return read_stored(spark, root, "silver", "daily_user_activity")
+
+
 def _describe_with_null_group(ly: Layers) -> DataFrame:
     """STA6 over a group column that is NULL for users outside the red-team events."""
     users = ly.user_features.withColumn("cohort", F.when(F.col("redteam_events") > 0, F.lit("flagged")))
@@ -268,6 +292,7 @@ QUERIES: dict[str, Query] = {
     "merge_users_dim": _q(_merge_users),
     "merge_user_computers": _q(_merge_bridge),
     # stored states that are merged over days
+    "refresh_daily_user_activity": _refreshed_daily_user,
     "active_users_rolling": _rolling(lambda ly: ly.norm, ACTIVE),
     "redteam_distinct_rolling": _rolling(lambda ly: ly.redteam_events, REDTEAM_SEEN),
     # profile

@@ -115,6 +115,12 @@ def input_bytes(spark: SparkSession, path: str | list[str]) -> int:
     return total
 
 
+def read_by_day(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A fact in one folder a day, with the columns and types it was built with (a folder's name
+    alone gives an int, as the last column)."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def read_table(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """SRC3-SRC5: a parquet file or a directory of parts (implicit UNION ALL)."""
     paths = [path] if isinstance(path, str) else list(path)

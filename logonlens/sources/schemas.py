@@ -67,6 +67,18 @@ HOURLY_ACTIVITY = _schema(
     ("day", L), ("hour", L), ("authentications", L), ("success_logins", L), ("failed_logins", L),
 )
 
+DAILY_USER_ACTIVITY = _schema(
+    ("day", L), ("user", S), ("authentications", L), ("success_logins", L), ("failed_logins", L),
+)
+
+DAILY_COMPUTER_ACTIVITY = _schema(
+    ("day", L), ("computer", S), ("authentications", L), ("success_logins", L), ("failed_logins", L),
+)
+
+DAILY_ACTIVITY = _schema(
+    ("day", L), ("authentications", L), ("success_logins", L), ("failed_logins", L),
+)
+
 USER_RISK = _schema(
     ("user", S), ("risk_score", D), ("risk_level", S), ("login_score", D),
     ("computer_score", D), ("volume_score", D), ("redteam_score", D),

@@ -132,6 +132,42 @@ def write_table(df: DataFrame, path: str, sort_by: Sequence[str | object] | None
     writer.parquet(path)
 
 
+def write_by_day(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> None:
+    """A fact with a ``day``, in one folder a day (files by size, as in :func:`dealt_by_day`), each
+    file ordered by ``sort_by``. Single days can then be read, and replaced, on their own."""
+    _by_day(df, sort_by).mode("overwrite").parquet(path)
+
+
+def _by_day(df: DataFrame, sort_by: Sequence[str]):
+    return df.hint("rebalance", DAY_PARTITIONS, "day").sortWithinPartitions("day", *sort_by).write.partitionBy("day")
+
+
+def in_days(days: Sequence[int | None]) -> Column:
+    """Rows of these days; None stands for rows without a day."""
+    known = [d for d in days if d is not None]
+    wanted = F.col("day").isin(known) if known else F.lit(False)
+    return F.coalesce(wanted, F.lit(False)) | F.col("day").isNull() if None in days else wanted
+
+
+def replace_days(df: DataFrame, path: str, days: Sequence[int | None], sort_by: Sequence[str] = ()) -> dict:
+    """Replace single days of a fact written by :func:`write_by_day` with those of ``df``: the
+    folders of ``days`` are overwritten, one that has no rows any more is dropped, and no other
+    day's files are touched. Returns the rows of each day. Safe to repeat."""
+    spark = df.sparkSession
+    counts = Observation()
+    names = {d: f"day_{k}" for k, d in enumerate(days)}
+    one = [F.count_if(F.col("day").eqNullSafe(F.lit(d).cast("long"))).alias(n) for d, n in names.items()]
+    new = df.where(in_days(days)).hint("rebalance", DAY_PARTITIONS, "day").sortWithinPartitions("day", *sort_by)
+    new.observe(counts, *one).write.partitionBy("day").option("partitionOverwriteMode", "dynamic") \
+        .mode("overwrite").parquet(path)
+    rows = {d: counts.get[n] for d, n in names.items()}
+    for d in (d for d, n in rows.items() if not n):
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+            path, "day=__HIVE_DEFAULT_PARTITION__" if d is None else f"day={d}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return rows
+
+
 def jdbc_writer(df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None,
                 batch_size: int = 10_000, num_partitions: int | None = None):
     """SNK4 for one table: TRUNCATE + insert, keeping the table's existing DDL.

@@ -60,7 +60,7 @@ def test_validations(lake):
 @pytest.mark.parametrize("layer,table,query", GOLD_VS_QUERY, ids=[t for _, t, _ in GOLD_VS_QUERY])
 def test_tables_equal_queries(spark, lake, layer, table, query):
     root, _ = lake
-    stored = spark.read.parquet(getattr(medallion.Paths(root), layer)(table))
+    stored = medallion.read_stored(spark, root, layer, table)
     expected = QUERIES[query](spark, SF_SMALL)
     assert stored.dtypes == expected.dtypes
     assert bag(stored) == bag(expected)

@@ -1,0 +1,81 @@
+"""Refresh of single days: equal to a full build, and other days' files stay as they are."""
+
+import glob
+import os
+from collections import Counter
+
+import pytest
+from conftest import SF_SMALL
+from pyspark.sql import functions as F
+
+from logonlens.functions.normalize import normalize_auth
+from logonlens.operators import silver
+from logonlens.plans import medallion, refresh
+from logonlens.plans.queries import layers
+from logonlens.sources.schemas import DAILY_USER_ACTIVITY
+from logonlens.sources.sinks import replace_days, write_bronze_auth, write_by_day
+
+
+def bag(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def files(path):
+    return {f: (os.path.getmtime(f), os.path.getsize(f)) for f in glob.glob(path + "/day=*/*.parquet")}
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    """A full run over a log that lacks some lines, and its bronze written anew with all of them."""
+    root = str(tmp_path / "lake")
+    ly = layers(spark, SF_SMALL)
+    raw, red = str(tmp_path / "raw"), str(tmp_path / "red")
+    ly.auth.where("timestamp NOT BETWEEN 2 * 86400 AND 4 * 86400 - 1").unionAll(ly.auth.where("timestamp < 86400")).write.csv(raw)
+    ly.redteam.write.csv(red)
+    medallion.run_medallion(spark, root, raw, red)
+    write_bronze_auth(ly.auth, medallion.Paths(root).bronze("auth"))
+    return root, ly
+
+
+def test_refreshed_days_equal_a_full_build(spark, lake):
+    root, ly = lake
+    paths = {n: medallion.Paths(root).silver(n) for n in refresh.DAY_FACTS}
+    before = {n: files(p) for n, p in paths.items()}
+    days = [0, 2, 3]
+    rows = refresh.refresh_days(spark, root, days)
+    for name, (build, _) in (refresh.DAY_FACTS | refresh.SMALL_FACTS).items():
+        want = build(normalize_auth(ly.auth))
+        got = medallion.read_stored(spark, root, "silver", name)
+        assert got.dtypes == want.dtypes and bag(got) == bag(want)
+        if name in paths:
+            assert rows[name] == {d: want.where(F.col("day") == d).count() for d in days}
+            after = files(paths[name])
+            touched = {f for f in set(before[name]) ^ set(after)} | {f for f in set(before[name]) & set(after) if before[name][f] != after[f]}
+            assert touched and {f.split("day=")[1].split("/")[0] for f in touched} <= {"0", "2", "3"}
+    # once more: the same
+    assert refresh.refresh_days(spark, root, days) == rows
+    assert bag(medallion.read_stored(spark, root, "silver", "hourly_activity")) == bag(silver.hourly_activity(normalize_auth(ly.auth)))
+
+
+def test_days_without_rows_go_and_rows_without_a_day_can_be_replaced(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    fact = spark.createDataFrame([(1, "a", 1, 1, 0), (2, "b", 2, 2, 0), (None, "c", 3, 3, 0)], DAILY_USER_ACTIVITY)
+    write_by_day(fact, path, ["user"])
+    assert replace_days(fact.where("day = 1").withColumn("user", F.lit("z")), path, [1, 2]) == {1: 1, 2: 0}
+    read = lambda: sorted((r.day or -1, r.user) for r in spark.read.schema(DAILY_USER_ACTIVITY).parquet(path).collect())
+    assert read() == [(-1, "c"), (1, "z")] and not glob.glob(path + "/day=2*")
+    assert replace_days(fact.where("day IS NULL").withColumn("user", F.lit("n")), path, [None]) == {None: 1}
+    assert read() == [(-1, "n"), (1, "z")]
+    assert replace_days(fact.limit(0), path, [None]) == {None: 0}
+    assert read() == [(1, "z")]
+
+
+def test_only_the_days_asked_for_are_read(spark, tmp_path):
+    from logonlens.sources.readers import read_bronze
+    from logonlens.sources.sinks import in_days
+
+    path = str(tmp_path / "bronze")
+    write_bronze_auth(layers(spark, SF_SMALL).auth, path)
+    df = silver.daily_user_activity(normalize_auth(read_bronze(spark, path).where(in_days([3, 5]))))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [day#" in plan and "IN (3,5)" in plan
