@@ -366,6 +366,11 @@ LIMIT 100"""),
     "merge_daily_user_activity": _DAILY_USER_ONE_SHOT,
     "merge_users_dim": _USERS_ONE_SHOT,
     "merge_user_computers": _BRIDGE_ONE_SHOT,
+    "user_features_colocated": with_(FEATURES, "SELECT * FROM uf"),
+    "computer_features_colocated": with_(FEATURES, "SELECT * FROM cf"),
+    "new_user_computers": with_(BASE, """SELECT "user", destination_computer AS computer FROM norm
+WHERE starts_with(destination_computer, 'C') AND NOT coalesce("timestamp" < 15 * 86400 + 43200, false)
+EXCEPT SELECT "user", destination_computer FROM norm WHERE "timestamp" < 15 * 86400 + 43200"""),
     "refresh_daily_user_activity": _DAILY_USER_ONE_SHOT,
     "active_users_rolling": with_(BASE, _rolling("norm", {"users": '"user"', "targets": "destination_computer"})),
     "redteam_distinct_rolling": with_([REDTEAM, RTE], _rolling("rte", {

@@ -208,6 +208,30 @@ def _refreshed_daily_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stored(spark, root, "silver", "daily_user_activity")
 
 
+def _colocated(what: str) -> Query:
+    """JON1 / JON2 / SET2 over bucketed tables: the bridges come from the first part of the log, and
+    the second part's new pairs are appended to them."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        import uuid
+
+        from logonlens.plans.colocated import Colocated
+        from logonlens.session import scratch_path
+
+        ly = layers(spark, sf_dir)
+        a, b = merge.split_at(ly.auth, MERGE_CUT)
+        store = Colocated(spark, f"colocated_{uuid.uuid4().hex[:12]}", scratch_path(spark, "colocated"))
+        store.store(ly)
+        first, second = (silver.user_computers(normalize_auth(part)) for part in (a, b))
+        store.write("user_bridge", first, "user")
+        store.write("computer_bridge", first, "computer")
+        if what == "new_pairs":
+            with store.partial_keys():
+                return _stored(store.new_pairs(second), "new-pairs")
+        store.append_pairs(second)
+        return getattr(store, what)(ly.redteam_events)
+    return run
+
+
 def _describe_with_null_group(ly: Layers) -> DataFrame:
     """STA6 over a group column that is NULL for users outside the red-team events."""
     users = ly.user_features.withColumn("cohort", F.when(F.col("redteam_events") > 0, F.lit("flagged")))
@@ -292,6 +316,9 @@ QUERIES: dict[str, Query] = {
     "merge_users_dim": _q(_merge_users),
     "merge_user_computers": _q(_merge_bridge),
     # stored states that are merged over days
+    "user_features_colocated": _colocated("user_features"),
+    "computer_features_colocated": _colocated("computer_features"),
+    "new_user_computers": _colocated("new_pairs"),
     "refresh_daily_user_activity": _refreshed_daily_user,
     "active_users_rolling": _rolling(lambda ly: ly.norm, ACTIVE),
     "redteam_distinct_rolling": _rolling(lambda ly: ly.redteam_events, REDTEAM_SEEN),

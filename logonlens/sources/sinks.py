@@ -142,6 +142,13 @@ def _by_day(df: DataFrame, sort_by: Sequence[str]):
     return df.hint("rebalance", DAY_PARTITIONS, "day").sortWithinPartitions("day", *sort_by).write.partitionBy("day")
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, by: Sequence[str], buckets: int, mode: str = "overwrite") -> None:
+    """A catalog table in ``buckets`` hash buckets of ``by``, one file a bucket and write: joins and
+    aggregates by those columns then read it where it lies. ``mode="append"`` adds files to the buckets."""
+    df.repartition(buckets, *by).sortWithinPartitions(*by).write.mode(mode).format("parquet") \
+        .bucketBy(buckets, *by).sortBy(*by).option("path", path).saveAsTable(table)
+
+
 def in_days(days: Sequence[int | None]) -> Column:
     """Rows of these days; None stands for rows without a day."""
     known = [d for d in days if d is not None]
