@@ -32,9 +32,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from typing import NamedTuple
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -50,32 +51,44 @@ from logonlens.llm.common import cut, document_rows, split_at_spaces
 MARK = "▁"
 SLICE_UNITS = 1 << 20        # words of the texts of a slice, about
 SLICE_DISTINCT = 1 << 17     # distinct words of a slice, about
-MEMO_UNITS = 1 << 17         # aligned words that a worker keeps
+MEMO_UNITS = 1 << 19         # cut words that a worker keeps
 MEMO_CHARS = 64              # longer words are not kept
-TOGETHER = 512               # words encoded by one call
+TOGETHER = 8192              # words cut by one call, at most
+LINE_UNITS = 64              # words of a line that the libraries get
+TOGETHER_CHARS = 1 << 20     # and their characters, about
+TEXTS_TOGETHER = 256         # texts whose pairs are made distinct at once
 B_BITS = 20                  # bits of a B id in a packed pair
 
 
-class Aligned(NamedTuple):
-    """A word's tokens: numbers of tokens and groups, its groups as text, and its links (packed
-    pairs of ids, one for each pair of token occurrences). ``groups`` is None where the bytes of
-    either tokenizer are not those of the word."""
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: bytes | None
-    links: list[int]
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges (start, size), one after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
-class Aligner:
+def _running(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Running sums of ``values`` that start anew after each of ``sizes`` entries."""
+    total = np.cumsum(values)
+    first = np.cumsum(sizes) - sizes
+    return total - np.repeat(np.r_[0, total][first], sizes)
+
+
+class Cutter:
+    """Cuts words into the tokens of both tokenizers. A word's record is a row of int32: numbers of
+    tokens of A and of B, then ids and byte ends of A's tokens and of B's; it has no tokens where
+    the bytes of either are not those of the word."""
+
     def __init__(self, a_path: str, b_path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")       # a task has one core
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True              # their strings in a text are ordinary text
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         with open(a_path, encoding="utf-8") as f:
             model = json.load(f)["model"]["vocab"]
         byte_of = _byte_letters()
-        self.a_bytes = {i: bytes(byte_of[c] for c in entry) for entry, i in model.items() if all(c in byte_of for c in entry)}
+        self.a_bytes = [b""] * (max(model.values()) + 1)
+        for entry, i in model.items():
+            if all(c in byte_of for c in entry):
+                self.a_bytes[i] = bytes(byte_of[c] for c in entry)
         self.b_bytes = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
@@ -85,48 +98,110 @@ class Aligner:
                 raise ValueError(f"piece {piece!r} has a word mark behind another character: texts cannot be cut at spaces")
             else:
                 self.b_bytes.append(piece.replace(MARK, " ").encode())
-        if self.b.get_piece_size() > 1 << B_BITS:
+        if len(self.b_bytes) > 1 << B_BITS:
             raise ValueError(f"more than 2 ** {B_BITS} pieces")
-
-    def align(self, units: list[str]) -> list[Aligned]:
-        """Every unit, as it stands behind a space."""
-        of_a = self.a.encode_batch([" " + u for u in units], add_special_tokens=False)
-        of_b = self.b.encode(units, out_type="proto", num_threads=1) if units else []
-        out = []
-        for unit, x, y in zip(units, of_a, of_b, strict=True):
-            whole = (" " + unit).encode()
-            pieces = [(p.id, p.end) for p in y.pieces]
-            ids_a, ids_b = x.ids, [i for i, _ in pieces]
-            bytes_a, bytes_b = [self.a_bytes.get(i, b"") for i in ids_a], [self.b_bytes[i] for i in ids_b]
-            if b"".join(bytes_a) != whole or b"".join(bytes_b) != whole:
-                out.append(Aligned(0, 0, 0, None, []))
-                continue
-            ends_a = self._ends_of_characters(x.offsets, bytes_a, unit, len(whole))
-            ends_b = self._ends_of_spans([e + 1 for _, e in pieces], bytes_b)
-            out.append(_grouped(ids_a, ids_b, ends_a, ends_b))
+        self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        # a group is written as its ids of A, a bar, its ids of B, and a semicolon behind it
+        ends = [[str(i).encode() + mark for i in range(len(t))] for t, mark in (
+            (self.a_bytes, b","), (self.a_bytes, b"|"), (self.b_bytes, b","), (self.b_bytes, b";"))]
+        self.written = np.array([x for t in ends for x in t], object)
+        self.written_size = np.array([len(x) for x in self.written], np.int64)
+
+    def cut(self, units: list[str]) -> list[bytes]:
+        """The record of every unit, as it stands behind a space. Units without white space at
+        their ends are joined by spaces into lines, since both tokenizers cut there again."""
+        joined = [k for k, u in enumerate(units) if u and not u[0].isspace() and not u[-1].isspace()]
+        alone = sorted(set(range(len(units))) - set(joined))
+        lines = [joined[at:at + LINE_UNITS] for at in range(0, len(joined), LINE_UNITS)] + [[k] for k in alone]
+        out: list[bytes] = [b""] * len(units)
+        while lines:
+            done = self._cut_lines([[units[k] for k in line] for line in lines])
+            again = []
+            for line, records in zip(lines, done, strict=True):
+                if records is None and len(line) > 1:
+                    again += [[k] for k in line]
+                else:
+                    for k, record in zip(line, records or [_NO_TOKENS], strict=True):
+                        out[k] = record
+            lines = again
         return out
 
-    @staticmethod
-    def _ends_of_characters(offsets: list[tuple[int, int]], of: list[bytes], unit: str, size: int) -> list[int]:
-        """Byte ends from character offsets; tokens that end inside a character, by their bytes."""
-        if size == len(unit) + 1:                        # all characters are single bytes
-            return [e for _, e in offsets]
-        at_byte = [0, 1, *(1 + np.cumsum([len(c.encode()) for c in unit])).tolist()]
-        ends, last = [], 0
-        for k, (_, e) in enumerate(offsets):
-            sure = k + 1 == len(offsets) or offsets[k + 1][0] == e
-            last = at_byte[e] if sure else last + len(of[k])
-            ends.append(last)
-        return ends
+    def _cut_lines(self, lines: list[list[str]]) -> list[list[bytes] | None]:
+        """The records of the units of every line; None where the bytes of either tokenizer are not
+        those of the line, or a token reaches over a unit's end."""
+        texts = [" ".join(line) for line in lines]
+        spaced = [" " + t for t in texts]
+        of_a = self.a.encode_batch(spaced, add_special_tokens=False)
+        of_b = self.b.encode(texts, out_type="proto", num_threads=1)
+        text = "".join(spaced)
+        whole = text.encode()
+        # the byte at which every character begins
+        if len(whole) == len(text):
+            at_byte = np.arange(len(text) + 1)
+        else:
+            code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+            at_byte = np.r_[0, np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))]
+        n_units = np.fromiter(map(len, lines), np.int64, len(lines))
+        unit_end = at_byte[np.cumsum(np.fromiter((len(u) + 1 for line in lines for u in line), np.int64, n_units.sum()))]
+        unit_base = np.r_[0, unit_end[:-1]]
+        chars = np.fromiter(map(len, spaced), np.int64, len(lines))
+        char_base = np.cumsum(chars) - chars
+        base = at_byte[char_base]
+
+        n_a = np.fromiter((len(x) for x in of_a), np.int64, len(lines))
+        ids_a = np.fromiter(chain.from_iterable(x.ids for x in of_a), np.int64, n_a.sum())
+        spans = np.fromiter(chain.from_iterable(chain.from_iterable(x.offsets for x in of_a)), np.int64, 2 * n_a.sum())
+        begin, end = spans[::2], spans[1::2]
+        by_bytes = _running(self.a_size[ids_a], n_a)
+        # a token ends between characters unless the next one begins in the same character
+        last = np.zeros(len(ids_a), bool)
+        last[np.cumsum(n_a)[n_a > 0] - 1] = True
+        sure = last | (np.r_[begin[1:], 0] == end)
+        ends_a = np.where(sure, at_byte[np.repeat(char_base, n_a) + end], np.repeat(base, n_a) + by_bytes)
+
+        n_b = np.fromiter((len(x.pieces) for x in of_b), np.int64, len(lines))
+        ids_b = np.fromiter((p.id for x in of_b for p in x.pieces), np.int64, n_b.sum())
+        span_end = np.fromiter((p.end for x in of_b for p in x.pieces), np.int64, n_b.sum()) + 1   # the library's own space
+        size_b = self.b_size[ids_b]
+        by_bytes = _running(size_b, n_b)
+        # the span of a byte of a fallback does not move until its last one
+        moved = span_end - (by_bytes - size_b) == size_b
+        ends_b = np.repeat(base, n_b) + np.where(moved, span_end, by_bytes)
+
+        line_of = np.repeat(np.arange(len(lines)), n_units)
+        right = self._right(ids_a, n_a, self.a_bytes, whole, np.r_[base, len(whole)]) \
+            & self._right(ids_b, n_b, self.b_bytes, whole, np.r_[base, len(whole)])
+        counts = []
+        if right.all():                      # ends ascend, so tokens can be told off to their units
+            for ends in (ends_a, ends_b):
+                upto = np.searchsorted(ends, unit_end, "right")
+                right[line_of[ends[np.maximum(upto, 1) - 1] != unit_end]] = False
+                counts.append(np.diff(upto, prepend=0))
+        if not right.all():
+            if len(lines) == 1:
+                return [None]
+            return [self._cut_lines([line])[0] for line in lines]
+        n_a, n_b = counts
+        sizes = 2 + 2 * (n_a + n_b)
+        first = np.cumsum(sizes) - sizes
+        flat = np.zeros(sizes.sum(), np.int32)
+        flat[first], flat[first + 1] = n_a, n_b
+        for values, at, n in ((ids_a, first + 2, n_a), (ends_a - np.repeat(unit_base, n_a), first + 2 + n_a, n_a),
+                              (ids_b, first + 2 + 2 * n_a, n_b), (ends_b - np.repeat(unit_base, n_b), first + 2 + 2 * n_a + n_b, n_b)):
+            flat[_ranges(at, n)] = values
+        data, edges = flat.tobytes(), (4 * np.r_[first, sizes.sum()]).tolist()
+        records = iter([data[x:y] for x, y in zip(edges[:-1], edges[1:], strict=True)])
+        return [list(islice(records, n)) for n in n_units.tolist()]
 
     @staticmethod
-    def _ends_of_spans(spans: list[int], of: list[bytes]) -> list[int]:
-        """Byte ends from spans; pieces whose span ends where the next one's does, by their bytes."""
-        ends, last = [], 0
-        for k, e in enumerate(spans):
-            last = e if len(of[k]) == e - last else last + len(of[k])
-            ends.append(last)
-        return ends
+    def _right(ids: np.ndarray, n: np.ndarray, table: list[bytes], whole: bytes, edges: np.ndarray) -> np.ndarray:
+        """Whether the tokens' bytes are those of their line."""
+        edge, bounds, ids = np.r_[0, np.cumsum(n)].tolist(), edges.tolist(), ids.tolist()
+        return np.array([b"".join(map(table.__getitem__, ids[edge[k]:edge[k + 1]])) == whole[bounds[k]:bounds[k + 1]]
+                         for k in range(len(n))], bool)
+
+
+_NO_TOKENS = np.zeros(2, np.int32).tobytes()
 
 
 def _byte_letters() -> dict[str, int]:
@@ -137,42 +212,69 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(rest)}
 
 
-def _grouped(ids_a: list[int], ids_b: list[int], ends_a: list[int], ends_b: list[int]) -> Aligned:
-    """Both token rows from left to right: each step closes the token that ends first (or both)."""
-    links, groups, i, j, from_i, from_j = [], [], 0, 0, 0, 0
-    while i < len(ids_a):
-        links.append(ids_a[i] << B_BITS | ids_b[j])
-        a, b = ends_a[i], ends_b[j]
-        i += a <= b
-        j += b <= a
-        if a == b:
-            groups.append(",".join(map(str, ids_a[from_i:i])) + "|" + ",".join(map(str, ids_b[from_j:j])))
-            from_i, from_j = i, j
-    return Aligned(len(ids_a), len(ids_b), len(groups), ";".join(groups).encode(), links)
+class Aligned:
+    """Many words at once: for each its numbers of tokens, groups and links (``n_a``, ``n_b``,
+    ``n_groups``, ``n_links``), its groups as text (``groups``, each ended by a semicolon), and in
+    ``pairs`` the packed id pairs of all links, word by word."""
+
+    def __init__(self, records: list[bytes], cutter: Cutter) -> None:
+        flat = np.frombuffer(b"".join(records), np.int32).astype(np.int64)
+        sizes = np.fromiter(map(len, records), np.int64, len(records)) // 4
+        first = np.cumsum(sizes) - sizes
+        self.n_a, self.n_b = n_a, n_b = flat[first], flat[first + 1]
+        ids_a, ids_b = flat[_ranges(first + 2, n_a)], flat[_ranges(first + 2 + 2 * n_a, n_b)]
+        rel_a, rel_b = flat[_ranges(first + 2 + n_a, n_a)], flat[_ranges(first + 2 + 2 * n_a + n_b, n_b)]
+        # all words on one line of bytes; both rows of tokens end at each word's end
+        size = np.zeros(len(records), np.int64)
+        size[n_a > 0] = rel_a[np.cumsum(n_a)[n_a > 0] - 1]
+        base = np.cumsum(size) - size
+        word_a, word_b = np.repeat(np.arange(len(records)), n_a), np.repeat(np.arange(len(records)), n_b)
+        ends_a, ends_b = base[word_a] + rel_a, base[word_b] + rel_b
+        # between two neighbouring ends lies one token of each: a link
+        cuts = np.union1d(ends_a, ends_b)
+        a, b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
+        self.pairs = ids_a[a] << B_BITS | ids_b[b]
+        self.n_links = np.bincount(word_a[a], minlength=len(records))
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        self.n_groups = np.bincount(word_a[np.searchsorted(ends_a, common)], minlength=len(records))
+        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        last_a, last_b = np.diff(group_a, append=-1) != 0, np.diff(group_b, append=-1) != 0
+        shift = len(cutter.a_bytes)
+        part = np.r_[ids_a + shift * last_a, 2 * shift + ids_b + len(cutter.b_bytes) * last_b]
+        order = np.argsort(np.r_[2 * group_a, 2 * group_b + 1], kind="stable")
+        text = b"".join(cutter.written[part[order]].tolist())
+        length = _sums(np.r_[word_a, word_b][order], cutter.written_size[part[order]], len(records))
+        edge = np.r_[0, np.cumsum(length)].tolist()
+        self.groups = [text[x:y] for x, y in zip(edge[:-1], edge[1:], strict=True)]
 
 
 class Memo(dict):
-    """Aligned words, encoded many at a time."""
-
-    def __init__(self, aligner: Aligner) -> None:
-        self.aligner = aligner
-
-    def all_of(self, units: list[str]) -> dict[str, Aligned]:
-        missing = [u for u in units if u not in self]
-        found = {}
-        for at in range(0, len(missing), TOGETHER):
-            part = missing[at:at + TOGETHER]
-            found.update(zip(part, self.aligner.align(part), strict=True))
-        out = {u: found[u] if u in found else self[u] for u in units}
-        if len(self) + len(found) > MEMO_UNITS:
+    """Records of words, cut many at a time."""
+
+    def __init__(self, cutter: Cutter) -> None:
+        self.cutter = cutter
+
+    def records(self, units: list[str]) -> list[bytes]:
+        out = list(map(self.get, units))
+        part, chars = [], 0
+        missing = [k for k, x in enumerate(out) if x is None]
+        for k in missing:
+            part.append(k)
+            chars += len(units[k])
+            if len(part) == TOGETHER or chars >= TOGETHER_CHARS or k == missing[-1]:
+                for at, record in zip(part, self.cutter.cut([units[i] for i in part]), strict=True):
+                    out[at] = record
+                    if len(units[at]) <= MEMO_CHARS:
+                        self[units[at]] = record
+                part, chars = [], 0
+        if len(self) > MEMO_UNITS:
             self.clear()
-        self.update((u, x) for u, x in found.items() if len(u) <= MEMO_CHARS)
         return out
 
 
 @lru_cache(maxsize=1)
 def _memo(a_path: str, b_path: str) -> Memo:
-    return Memo(Aligner(a_path, b_path))
+    return Memo(Cutter(a_path, b_path))
 
 
 def units_of(text: str) -> list[str]:
@@ -202,27 +304,28 @@ class Slice:
         self.units += len(own)
 
     def row(self, number: int, memo: Memo) -> dict:
-        words = list(memo.all_of(list(self.number)).values())
-        broken = np.array([w.groups is None for w in words], bool)
+        words = Aligned(memo.records(list(self.number)), memo.cutter)
+        broken = words.n_a == 0
         texts = [t if not broken[t].any() else t[:0] for t in self.texts]   # such a text has no tokens
         size = np.array([len(t) for t in texts], np.int64)
-        every = np.concatenate(texts) if texts else np.zeros(0, np.int32)
+        every = np.concatenate(texts)
         doc = np.repeat(np.arange(len(texts)), size)
-        totals = {name: _sums(doc, np.array([getattr(w, name) for w in words], np.int64)[every], len(texts))
-                  for name in ("n_a", "n_b", "n_groups")}
-        n_links = np.array([len(w.links) for w in words], np.int64)
-        pairs, link = np.unique(np.array([x for w in words for x in w.links], np.int64), return_inverse=True)
+        totals = {name: _sums(doc, getattr(words, name)[every], len(texts)) for name in ("n_a", "n_b", "n_groups")}
+        pairs, link = np.unique(words.pairs, return_inverse=True)
+        n_links = words.n_links
         first = np.cumsum(n_links) - n_links
-        # each pair of each text once: words of the text, then their pairs
-        own = np.unique(doc.astype(np.int64) << 32 | every)
-        of_doc, word = own >> 32, own & 0xFFFFFFFF
-        place = np.repeat(first[word] - (np.cumsum(n_links[word]) - n_links[word]), n_links[word]) + np.arange(n_links[word].sum())
-        held = np.unique(np.repeat(of_doc, n_links[word]) << 32 | link[place]) & 0xFFFFFFFF
-        names = [w.groups or b"" for w in words]
-        digest = [hashlib.sha256(b";".join([names[k] for k in t.tolist()])).hexdigest() if len(t) else "" for t in texts]
+        held = np.zeros(len(pairs), np.int64)
+        for at in range(0, len(texts), TEXTS_TOGETHER):
+            # each pair of each text once: words of the text, then their pairs
+            own = np.unique(np.concatenate([np.unique(t) + (np.int64(k) << 32) for k, t in enumerate(texts[at:at + TEXTS_TOGETHER])]))
+            of_doc, word = own >> 32, own & 0xFFFFFFFF
+            pair = np.unique(np.repeat(of_doc, n_links[word]) << 32 | link[_ranges(first[word], n_links[word])])
+            held += np.bincount(pair & 0xFFFFFFFF, minlength=len(pairs))
+        names = words.groups
+        digest = [hashlib.sha256(b"".join([names[k] for k in t.tolist()])[:-1]).hexdigest() if len(t) else "" for t in texts]
         return {"slice": number, "ids": self.ids, **totals, "digests": digest, "sizes": size, "texts": every.tobytes(),
                 "n_links": n_links.astype(np.int32).tobytes(), "links": link.astype(np.int32).tobytes(), "pairs": pairs,
-                "held": np.bincount(held, minlength=len(pairs))}
+                "held": held}
 
 
 _LONGS = pa.list_(pa.int64())
@@ -310,9 +413,8 @@ def aligned_groups(df: DataFrame, a_path: str, b_path: str, id_col: str = "doc_i
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 units = units_of(text.as_py())
-                known = memo.all_of(list(dict.fromkeys(units)))
-                groups = [known[u].groups for u in units]
-                parts = [] if None in groups else [g.split("|") for g in b";".join(groups).decode().split(";") if g]
+                words = Aligned(memo.records(units), memo.cutter)
+                parts = [g.split("|") for g in b"".join(words.groups).decode().split(";") if g] if (words.n_a > 0).all() else []
                 yield pa.RecordBatch.from_pylist([{"doc_id": doc_id, "groups": [
                     {"a": [int(i) for i in a.split(",")], "b": [int(i) for i in b.split(",")]} for a, b in parts]}], schema)
 

@@ -85,7 +85,7 @@ def test_figures(spark, docs, edge_docs, no_docs):
 
 def test_slices_and_memo_of_any_size(spark, docs, monkeypatch):
     want = figures(docs)
-    for name, value in (("SLICE_UNITS", 50), ("MEMO_UNITS", 100), ("MEMO_CHARS", 5), ("TOGETHER", 3)):
+    for name, value in (("SLICE_UNITS", 50), ("MEMO_UNITS", 100), ("MEMO_CHARS", 5), ("TOGETHER", 3), ("TOGETHER_CHARS", 20), ("LINE_UNITS", 2), ("TEXTS_TOGETHER", 2)):
         monkeypatch.setattr(token_align, name, value)
     assert figures(docs) == want
 
@@ -104,4 +104,4 @@ def test_a_broken_vocabulary_is_refused(monkeypatch):
     monkeypatch.setattr(SentencePieceProcessor, "id_to_piece", lambda self, i: "a▁b")
     monkeypatch.setattr(SentencePieceProcessor, "is_byte", lambda self, i: False)
     with pytest.raises(ValueError, match="word mark"):
-        token_align.Aligner(A, B)
+        token_align.Cutter(A, B)
