@@ -372,6 +372,25 @@ LIMIT 100"""),
 WHERE starts_with(destination_computer, 'C') AND NOT coalesce("timestamp" < 15 * 86400 + 43200, false)
 EXCEPT SELECT "user", destination_computer FROM norm WHERE "timestamp" < 15 * 86400 + 43200"""),
     "refresh_daily_user_activity": _DAILY_USER_ONE_SHOT,
+    "weekly_login_quantiles": with_(BASE + [DAILY_USER, """placed AS (
+  SELECT day // 7 AS week, CAST(authentications AS DOUBLE) AS x, count(*) OVER (PARTITION BY day // 7) AS n,
+    row_number() OVER (PARTITION BY day // 7 ORDER BY authentications) - 1 AS i FROM daily_user)"""],
+        "SELECT week, " + ", ".join(f"max(CASE WHEN i = floor({q}::DOUBLE * (n - 1) + 0.5) THEN x END) AS {p}, true AS {p}_within"
+                                    for p, q in (("p50", 0.50), ("p90", 0.90), ("p99", 0.99))) + " FROM placed GROUP BY week"),
+    "new_users_by_day": with_(BASE, """SELECT d.day, count(f."user") AS new_users, true AS within
+FROM (SELECT DISTINCT day FROM norm) d LEFT JOIN (SELECT "user", min(day) AS day FROM norm GROUP BY "user") f ON f.day = d.day
+GROUP BY d.day"""),
+    "users_of_both_logs": with_(BASE + [RTE], """SELECT a.week, count(r."user") AS users, true AS within
+FROM (SELECT DISTINCT day // 7 AS week, "user" FROM norm) a
+LEFT JOIN (SELECT DISTINCT day // 7 AS week, "user" FROM rte) r ON r.week = a.week AND r."user" = a."user"
+WHERE a.week IN (SELECT day // 7 FROM rte) GROUP BY a.week"""),
+    "top20_over_days": with_(BASE + [DAILY_USER], """SELECT "user", CAST(sum(authentications) AS BIGINT) AS total FROM daily_user
+WHERE day BETWEEN 5 AND 24 GROUP BY "user" ORDER BY total DESC, "user" LIMIT 20"""),
+    "correlation_over_days": with_(BASE + [DAILY_USER, 'du AS (SELECT *, length("user") AS user_length FROM daily_user)'],
+        "\nUNION ALL ".join(
+            f"SELECT '{a}' AS col_a, '{b}' AS col_b, count(*) AS n, {r6(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))')} AS corr FROM du"
+            for a in ("authentications", "success_logins", "failed_logins", "user_length")
+            for b in ("authentications", "success_logins", "failed_logins", "user_length"))),
     "active_users_rolling": with_(BASE, _rolling("norm", {"users": '"user"', "targets": "destination_computer"})),
     "redteam_distinct_rolling": with_([REDTEAM, RTE], _rolling("rte", {
         "users": '"user"', "source_computers": "source_computer", "targets": "destination_computer"})),

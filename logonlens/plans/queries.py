@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logonlens.functions.normalize import SECONDS_PER_DAY, day_of, hour_of, normalize_auth
-from logonlens.functions.scoring import percentile_scores
-from logonlens.operators import distinct, gold, merge, profile, silver, validate
+from logonlens.functions.scoring import exact_quantiles, percentile_scores, value_ranks
+from logonlens.operators import distinct, gold, merge, moments, profile, silver, sketches, topk, validate
 from logonlens.plans.layers import Layers
 from logonlens.sources import testdata
 
@@ -232,6 +232,89 @@ def _colocated(what: str) -> Query:
     return run
 
 
+def _stored_days(spark: SparkSession, fact: DataFrame, name: str, sort_by: list[str]) -> DataFrame:
+    from logonlens.session import scratch_path
+    from logonlens.sources.readers import read_by_day
+    from logonlens.sources.sinks import write_by_day
+
+    path = scratch_path(spark, name)
+    write_by_day(fact, path, sort_by)
+    return read_by_day(spark, path, fact.schema)
+
+
+WEEK = 7
+SKETCHED = {"p50": 0.50, "p90": 0.90, "p99": 0.99}
+
+
+def _weekly_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA2 / STA6: quantiles of a user's logins a day, by week: the exact ones, and whether those of
+    the week's merged day sketches lie within their error."""
+    col = "authentications"
+    fact = layers(spark, sf_dir).daily_user_activity
+    by_day = _stored(sketches.quantile_sketches(fact, [col], ["day"]), "kll-days", ["day"])
+    week = F.floor(F.col("day") / WEEK).alias("week")
+    merged = sketches.merge_quantile_sketches(by_day.select("*", week), [col], ["week"])
+    estimates = merged.select("week", *[c.alias(n) for n, c in sketches.sketch_quantiles(merged, col, SKETCHED).items()])
+    rows = fact.select(week, col)
+    exact = exact_quantiles(value_ranks(rows, [col], ["week"]), SKETCHED, ["week"]).drop("metric")
+    return exact.join(sketches.ranks_hold(rows, estimates, col, SKETCHED, ["week"]), "week")
+
+
+def _new_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG10 / STA7: users of each day that no earlier day had, exactly, and whether the estimate
+    from stored day sketches lies within its error."""
+    norm = layers(spark, sf_dir).norm
+    by_day = _stored(sketches.set_sketches(norm, {"users": "user"}, ["day"]), "theta-days", ["day"])
+    guess = sketches.before_each_day(by_day, "users").select(
+        F.col("day").alias("d"), sketches.only_in_first("users", "before").alias("guess"),
+        sketches.estimate(F.theta_union("users", F.coalesce("before", "users"))).alias("all_so_far"))
+    first = norm.groupBy("user").agg(F.min("day").alias("day"))
+    new = norm.select("day").distinct().join(first.groupBy("day").agg(F.count(F.lit(1)).alias("n")), "day", "left")
+    off = F.abs(F.col("guess") - F.col("new_users")) <= F.lit(sketches.theta_error()) * F.col("all_so_far")
+    return new.select("day", F.coalesce("n", F.lit(0)).alias("new_users")).join(guess, F.col("day") == F.col("d")) \
+        .select("day", "new_users", off.alias("within"))
+
+
+def _users_of_both_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG10 / STA7: users seen in both logs in each week, exactly and by the intersection of merged
+    day sketches."""
+    ly = layers(spark, sf_dir)
+    week = F.floor(F.col("day") / WEEK).alias("week")
+    merged = []
+    for name, log in (("auth", ly.norm), ("redteam", ly.redteam_events)):
+        by_day = _stored(sketches.set_sketches(log, {name: "user"}, ["day"]), f"theta-{name}", ["day"])
+        merged.append(sketches.merge_set_sketches(by_day.select("*", week), [name], ["week"]))
+    guess = merged[0].join(merged[1], "week").select(
+        "week", sketches.in_both("auth", "redteam").alias("guess"), sketches.estimate(F.theta_union("auth", "redteam")).alias("union"))
+    both = ly.norm.select(week, "user").distinct().join(ly.redteam_events.select(week, "user").distinct(), ["week", "user"]) \
+        .groupBy("week").agg(F.count(F.lit(1)).alias("n"))
+    off = F.abs(F.col("guess") - F.col("users")) <= F.lit(sketches.theta_error()) * F.col("union")
+    return guess.join(both, "week", "left").withColumn("users", F.coalesce("n", F.lit(0))).select("week", "users", off.alias("within"))
+
+
+TOP_DAYS = (5, 24)
+
+
+def _top_over_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TOP1 / TOP3 over a range of days, from the stored daily fact by thresholds."""
+    fact = _stored_days(spark, layers(spark, sf_dir).daily_user_activity, "top-days", ["authentications"])
+    some = fact.where(F.col("day").between(*TOP_DAYS))
+    return topk.threshold_top_k(some, "user", "authentications", 20).result
+
+
+# Added to every value before the states are built: the result must not depend on it.
+LARGE = 10 ** 9
+CORRELATED = ("authentications", "success_logins", "failed_logins", "user_length")
+
+
+def _correlation_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STA5 from states of single days, over values near 1e9."""
+    fact = layers(spark, sf_dir).daily_user_activity.withColumn("user_length", F.length("user"))
+    large = fact.select("day", *[(F.col(c) + LARGE).alias(c) for c in CORRELATED])
+    by_day = _stored(moments.moment_states(large, CORRELATED, ["day"]), "moments", ["day"])
+    return moments.correlations(moments.merge_states(by_day))
+
+
 def _describe_with_null_group(ly: Layers) -> DataFrame:
     """STA6 over a group column that is NULL for users outside the red-team events."""
     users = ly.user_features.withColumn("cohort", F.when(F.col("redteam_events") > 0, F.lit("flagged")))
@@ -320,6 +403,11 @@ QUERIES: dict[str, Query] = {
     "computer_features_colocated": _colocated("computer_features"),
     "new_user_computers": _colocated("new_pairs"),
     "refresh_daily_user_activity": _refreshed_daily_user,
+    "weekly_login_quantiles": _weekly_quantiles,
+    "new_users_by_day": _new_users,
+    "users_of_both_logs": _users_of_both_logs,
+    "top20_over_days": _top_over_days,
+    "correlation_over_days": _correlation_of_days,
     "active_users_rolling": _rolling(lambda ly: ly.norm, ACTIVE),
     "redteam_distinct_rolling": _rolling(lambda ly: ly.redteam_events, REDTEAM_SEEN),
     # profile
