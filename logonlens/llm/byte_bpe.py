@@ -219,10 +219,10 @@ class Memo(dict):
 class Encoder:
     """Text to little-endian unsigned 32-bit ids: split pattern, then the transducer."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.transducer = Transducer(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_memo: int = MAX_MEMO, max_states: int = MAX_STATES):
+        self.transducer = Transducer(ranks, max_states)
         self.matches = regex.compile(pattern).findall
-        self.packed = Memo(self._pack)
+        self.packed = Memo(self._pack, max_memo)
 
     def _pack(self, piece: str) -> bytes:
         """A piece of several matches is put together from theirs, which may be known."""
@@ -339,8 +339,8 @@ class Decoder:
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(read_ranks(path), pattern)
+def _encoder(path: str, pattern: str, max_memo: int = MAX_MEMO, max_states: int = MAX_STATES) -> Encoder:
+    return Encoder(read_ranks(path), pattern, max_memo, max_states)
 
 
 @lru_cache(maxsize=2)
@@ -396,12 +396,14 @@ def decode(df: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str
 
 
 def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-               text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+               text_col: str = "text", keep: tuple[str, ...] = (), max_memo: int = MAX_MEMO,
+               max_states: int = MAX_STATES) -> DataFrame:
     """``doc_id, ids, decoded``: :func:`encode`, and the ids' bytes by the streaming decoder,
-    in one pass. ``keep`` names further columns of ``df`` to hand on; rows stay in their order."""
+    in one pass. ``keep`` names further columns of ``df`` to hand on; rows stay in their order.
+    ``max_memo`` and ``max_states`` bound what a worker keeps, for its lifetime, to save time."""
     def work(batches):
         rarer_gc()
-        encoder, decoder = _encoder(ranks_path, pattern), _decoder(ranks_path)
+        encoder, decoder = _encoder(ranks_path, pattern, max_memo, max_states), _decoder(ranks_path)
         for part in slices(batches):
             ids = [encoder.encode(t) for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
