@@ -1,23 +1,24 @@
 """Global ranks, percentile scores, quantiles, rounding and risk bands.
 
 A whole-frame rank (``Window.orderBy(x)`` with no partition) moves every row to one
-task. Instead every rank here is computed from a *value histogram*:
+task. Instead every rank here is computed from a *value histogram* in two levels of cells:
 
 1. ``hist``: one row per (group, metric, distinct value) with its row count ``c``
    (partial aggregation map-side, then a shuffle of distinct values only).
-2. Each distinct value gets a bucket that is a fixed, monotone function of the value:
-   the number of boundaries below it. Boundaries come from a sample of the distinct values
-   chosen by hash alone: of the values in one hash slot the one of smallest hash. So they
-   are the same whenever and in whatever order they are computed (a retried or repeated
-   stage cannot shift them), they fold map-side, and at most ``slots`` values per metric are
-   sorted. Exactness never depends on where they lie.
-3. A running sum inside each bucket, partitioned by (metric, bucket), gives the rank
-   within the bucket; per-bucket totals, one bounded array of ``buckets`` numbers per
-   metric, give each bucket's offset as an exclusive prefix sum.
-
-The result ``below`` = number of non-null rows with a strictly smaller value, exact.
-Joins against the small tables are left to AQE, which broadcasts them only after
-measuring them, and falls back to a sort-merge join otherwise.
+2. A value's place on a logarithmic scale, ``sign(v) * log2(1 + |v|)``, is cut into coarse cells
+   (``buckets`` for each doubling of the value) and each of those into 2 ** 20 fine ones. Cells are
+   fixed, monotone functions of the value: no boundaries are sampled, stored or looked up, and a
+   retried or repeated stage gives the same ones.
+3. Counts are added up by fine and by coarse cell. Running sums over the coarse cells of a metric,
+   over the fine cells of a coarse one and over the values of a fine one add up to ``below``.
+
+So every window is bounded whatever the data: some 1,000 coarse cells for each doubling, 2 ** 20
+fine cells, and the few distinct numbers that lie within a billionth of each other. Each level
+joins the one above by the cell it lies in, never by the metric alone, so no key collects all
+values of a metric.
+
+``below`` = number of non-null rows with a strictly smaller value, exact. Cell counts are sums, so a
+stored histogram takes a new batch by adding its counts (:class:`StoredRanks`).
 """
 
 from __future__ import annotations
@@ -27,12 +28,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rank buckets: the (metric, bucket) groups are what the rank's window spreads over, so by
-# default there are as many buckets as the session has shuffle partitions: rank parallelism
-# follows the cluster's sizing, and a window task holds about (distinct values) / buckets
-# rows. Bucket lookup is a binary search (O(log buckets)) and bucket totals stay tiny
-# (metrics x buckets numbers).
-SLOTS_PER_BUCKET = 16       # hash slots a boundary is chosen from
+COARSE_CELLS = 1024         # for each doubling of 1 + |value|
+FINE_BITS = 20              # each coarse cell has 2 ** FINE_BITS fine ones
+# A value with more than 1 / HOT_SHARE of all rows is scored by a broadcast: at most HOT_SHARE
+# values of each metric can have that many, so what is broadcast is bounded.
+HOT_SHARE = 2500
 
 # Risk bands (lower bounds, highest first) and the default weights of
 # the four percentile scores, in the order they are summed.
@@ -53,25 +53,6 @@ RISK_INPUTS = {
 }
 
 
-def default_buckets(spark) -> int:
-    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-
-
-def bucket_of(bounds: Column, value: Column, n_bounds: int) -> Column:
-    """Number of entries of the ascending array ``bounds`` strictly below ``value``:
-    a binary search in ceil(log2(n_bounds + 1)) steps."""
-    def step(acc, _):
-        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
-        below = F.element_at(bounds, mid + 1) < value
-        moved = F.when(below, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))).otherwise(
-            F.struct(acc["lo"].alias("lo"), mid.alias("hi")))
-        return F.when(acc["lo"] >= acc["hi"], acc).otherwise(moved)
-
-    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
-    steps = max(1, int(n_bounds).bit_length())
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)["lo"]
-
-
 def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join on ``keys`` where NULL equals NULL (a NULL group is a group); keys come once, from
     the left side."""
@@ -81,6 +62,61 @@ def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     return left.join(renamed, on, how).drop(*names.values())
 
 
+def fine_cell(value: Column, coarse_cells: int = COARSE_CELLS) -> Column:
+    """The fine cell of a value (a bigint that does not fall as values rise; NaN is in the last)."""
+    place = F.signum(value) * F.log2(F.lit(1.0) + F.abs(value))
+    cell = F.floor(place * F.lit(float(coarse_cells << FINE_BITS)))
+    return F.when(F.isnan(value), F.lit((1 << 63) - 1)).otherwise(cell).cast("bigint")
+
+
+def value_histogram(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
+    """``group_cols..., metric, value (double), c``: the rows of each distinct value (NULL too)."""
+    pairs = F.array(*[
+        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns
+    ])
+    return df.select(*group_cols, F.inline(pairs)).groupBy(*group_cols, "metric", "value").agg(F.count(F.lit(1)).alias("c"))
+
+
+def merge_histograms(*parts: DataFrame) -> DataFrame:
+    """The histogram of all rows of several."""
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole.groupBy(*[c for c in whole.columns if c != "c"]).agg(F.sum("c").alias("c"))
+
+
+def cell_counts(hist: DataFrame, coarse_cells: int = COARSE_CELLS) -> DataFrame:
+    """``group_cols..., metric, coarse, fine, c``: a histogram's counts by cell."""
+    g = [c for c in hist.columns if c not in ("value", "c")]
+    fine = fine_cell(F.col("value"), coarse_cells)
+    return hist.groupBy(*g, F.shiftright(fine, FINE_BITS).alias("coarse"), fine.alias("fine")).agg(F.sum("c").alias("c"))
+
+
+def ranks_of_histogram(hist: DataFrame, cells: DataFrame | None = None, coarse_cells: int = COARSE_CELLS) -> DataFrame:
+    """:func:`value_ranks` from a histogram. ``cells`` are its :func:`cell_counts` (computed if not
+    given); ``hist`` may then hold only the values of some fine cells, if all of each."""
+    g = [c for c in hist.columns if c not in ("value", "c")]
+    cells = cells if cells is not None else cell_counts(hist, coarse_cells)
+    known = F.when(F.col("coarse").isNotNull(), F.col("c")).otherwise(F.lit(0))
+
+    def before(column: Column, partition: Sequence[str], order: str) -> Column:
+        own = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(column).over(own), F.lit(0))
+
+    all_cells = Window.partitionBy(*g)
+    coarse = cells.groupBy(*g, "coarse").agg(F.sum("c").alias("c")).select(
+        *g, "coarse", before(known, g, "coarse").alias("below_coarse"),
+        F.sum("c").over(all_cells).alias("n_all"), F.sum(known).over(all_cells).alias("n_valid"))
+    fine = join_groups(cells, coarse, [*g, "coarse"], "inner") \
+        .withColumn("below_fine", F.col("below_coarse") + before(F.col("c"), [*g, "coarse"], "fine")) \
+        .select(*g, "fine", "below_fine", "n_all", "n_valid")
+    values = hist.withColumn("fine", fine_cell(F.col("value"), coarse_cells))
+    values = values.withColumn("own", before(F.col("c"), [*g, "fine"], "value"))
+    return join_groups(values, fine, [*g, "fine"], "inner").select(
+        *g, "value", "c",
+        F.when(F.col("value").isNotNull(), F.col("below_fine") + F.col("own")).alias("below"), "n_all", "n_valid")
+
+
 def value_ranks(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str] = (),
                 buckets: int | None = None) -> DataFrame:
     """Exact rank statistics per distinct value of each column (optionally per group).
@@ -88,86 +124,41 @@ def value_ranks(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str]
     Output: ``group_cols..., metric, value (double), c, below, n_all, n_valid``; ``below`` is
     NULL for the NULL value. ``n_all`` counts NULLs, ``n_valid`` does not.
 
-    A NULL group is a group of its own.
-
-    Stages: histogram (shuffle of distinct values) -> bucket boundaries per metric ->
-    running sum inside each (metric, bucket) -> one array of ``buckets`` totals per metric
-    (bounded, broadcast by AQE) whose exclusive prefix sums are the bucket offsets.
+    A NULL group is a group of its own. ``buckets`` is the number of coarse cells for each
+    doubling of a value: it changes how work is spread, not the result.
     """
-    g = list(group_cols)
-    spark = df.sparkSession
-    buckets = buckets or default_buckets(spark)
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns
-    ])
-    hist = (
-        df.select(*g, F.inline(pairs))
-        .groupBy(*g, "metric", "value")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    # Boundaries: one value per hash slot (a partial aggregate of at most ``slots`` rows per
-    # group and metric), sorted, then every (size / buckets)-th of them.
-    slots = buckets * SLOTS_PER_BUCKET
-    h = F.xxhash64("value")
-    sample = (
-        hist.where(F.col("value").isNotNull())
-        .groupBy(*g, "metric", F.pmod(h, F.lit(slots)).alias("slot"))
-        .agg(F.min_by("value", h).alias("value"))
-        .groupBy(*g, "metric")
-        .agg(F.sort_array(F.collect_list("value")).alias("sample"))
-    )
-    picked = F.transform(
-        F.sequence(F.lit(1), F.lit(buckets - 1)),
-        lambda i: F.element_at("sample", F.greatest(F.lit(1), F.floor(i * F.size("sample") / F.lit(buckets))).cast("int")))
-    bounds = sample.select(*g, "metric", F.array_sort(F.array_distinct(picked)).alias("bounds"))
-    bucket = F.when(F.col("value").isNull(), F.lit(-1)).otherwise(
-        F.coalesce(bucket_of(F.col("bounds"), F.col("value"), buckets - 1), F.lit(0))
-    )
-    in_bucket = (
-        Window.partitionBy(*g, "metric", "bucket").orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = (
-        join_groups(hist, bounds, [*g, "metric"], "left")
-        .withColumn("bucket", bucket).drop("bounds")
-        .withColumn("cum", F.sum("c").over(in_bucket))
-    )
-    # Bucket totals: a partial aggregate leaves at most metrics x buckets rows per map
-    # task (the histogram exchange underneath is the reused one); at most ``buckets``
-    # totals per metric are then gathered (a bounded list) and turned into exclusive
-    # prefix sums, i.e. bucket offsets.
-    totals = local.groupBy(*g, "metric", "bucket").agg(F.sum("c").alias("bt"))
-    per_metric = totals.groupBy(*g, "metric").agg(
-        F.array_sort(F.collect_list(F.when(F.col("bucket") >= 0, F.struct("bucket", "bt")))).alias("t"),
-        F.coalesce(F.sum(F.when(F.col("bucket") == -1, F.col("bt"))), F.lit(0)).alias("nulls"),
-    )
-    zero = F.lit(0).cast("bigint")
-    # one pass over the sorted totals: exclusive prefix sums, and the running total
-    prefix = F.aggregate(
-        "t",
-        F.struct(F.array().cast("array<bigint>").alias("offs"), zero.alias("run")),
-        lambda acc, x: F.struct(F.array_append(acc["offs"], acc["run"]).alias("offs"),
-                                (acc["run"] + x["bt"]).alias("run")),
-    )
-    offsets = per_metric.select(
-        *g, "metric",
-        F.map_from_arrays(F.transform("t", lambda x: x["bucket"]), prefix["offs"]).alias("offsets"),
-        prefix["run"].alias("n_valid"),
-        "nulls",
-    )
-    return (
-        join_groups(local, offsets, [*g, "metric"], "inner")
-        .select(
-            *g, "metric", "value", "c",
-            F.when(F.col("value").isNull(), F.lit(None).cast("bigint"))
-            .otherwise(F.coalesce(F.element_at("offsets", F.col("bucket")),
-                                  F.raise_error(F.lit("rank bucket without an offset")).cast("bigint"))
-                       + F.col("cum") - F.col("c"))
-            .alias("below"),
-            (F.col("n_valid") + F.col("nulls")).alias("n_all"),
-            "n_valid",
-        )
-    )
+    return ranks_of_histogram(value_histogram(df, columns, group_cols), coarse_cells=buckets or COARSE_CELLS)
+
+
+class StoredRanks:
+    """A population's histogram and cell counts, kept as tables, against which batches are scored.
+
+    Adding a batch adds its counts. Scoring one reads the cells (a row for each distinct value at
+    most) and, of the histogram, only the fine cells that the batch's values lie in."""
+
+    def __init__(self, hist: DataFrame, cells: DataFrame):
+        self.hist, self.cells = hist, cells
+
+    @staticmethod
+    def tables(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+        """The two tables of a population, to be written."""
+        hist = value_histogram(df, columns)
+        return hist, cell_counts(hist)
+
+    def merged_tables(self, batch: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+        """The two tables with the batch added, to be written."""
+        hist, cells = self.tables(batch, columns)
+        return merge_histograms(self.hist, hist), merge_histograms(self.cells, cells)
+
+    def ranks_with(self, batch: DataFrame, columns: Sequence[str]) -> DataFrame:
+        """:func:`value_ranks` of the batch's values among the stored population and the batch."""
+        hist, cells = self.tables(batch, columns)
+        wanted = cells.select("metric", "fine").distinct()
+        own = self.hist.withColumn("fine", fine_cell(F.col("value")))
+        renamed = wanted.withColumnsRenamed({"metric": "__metric", "fine": "__fine"})
+        touched = own.join(renamed, F.col("metric").eqNullSafe(F.col("__metric")) & F.col("fine").eqNullSafe(F.col("__fine")),
+                           "left_semi").drop("fine")
+        return ranks_of_histogram(merge_histograms(touched, hist), merge_histograms(self.cells, cells))
 
 
 def average_rank(below: Column, c: Column) -> Column:
@@ -180,35 +171,57 @@ def percentile_score_of(avg_rank: Column, n_all: Column) -> Column:
     return (avg_rank - F.lit(1)) / F.nullif(n_all - F.lit(1), F.lit(0)) * F.lit(100)
 
 
-def percentile_scores(df: DataFrame, scores: Mapping[str, str], key: str | Sequence[str],
-                      buckets: int | None = None) -> DataFrame:
-    """Append one percentile score column per ``{output: input}`` pair.
+def scored_inputs(df: DataFrame, inputs: Sequence[str], keys: Sequence[str], ranks: DataFrame) -> DataFrame:
+    """``keys..., __metric, __score``: a row for each input of each row of ``df``.
+
+    A value that holds many rows (most users have no red-team event) is scored by a broadcast of
+    the few such values, and its rows get a key of their own in the shuffled join of the others,
+    which spreads them evenly with or without adaptive planning."""
+    scored = ranks.select(
+        "metric", "value", percentile_score_of(average_rank(F.col("below"), F.col("c")), F.col("n_all")).alias("score"),
+        (F.col("c") * HOT_SHARE > F.col("n_all")).alias("hot")).where("value IS NOT NULL")
+    hot = scored.where("hot").select(F.col("metric").alias("__hot_metric"), F.col("value").alias("__hot_value"),
+                                     F.col("score").alias("__hot_score"), F.lit(True).alias("__hot"))
+    cold = scored.where("NOT hot").select(F.col("metric").alias("__cold_metric"), F.col("value").alias("__cold_value"),
+                                          F.col("score").alias("__cold_score"))
+    pairs = F.array(*[
+        F.struct(F.lit(c).alias("__metric"), F.col(c).cast("double").alias("__value")) for c in inputs
+    ])
+    # at most HOT_SHARE rows for each metric
+    long = df.select(*keys, F.inline(pairs)).join(
+        F.broadcast(hot), (F.col("__metric") == F.col("__hot_metric")) & (F.col("__value") == F.col("__hot_value")), "left")
+    done = F.col("__hot").isNotNull() | F.col("__value").isNull()
+    # no metric has an empty name: such rows meet nothing, and go where their own hash sends them
+    long = long.withColumn("__join_metric", F.when(done, F.lit("")).otherwise(F.col("__metric"))) \
+        .withColumn("__join_value", F.when(done, F.xxhash64(*keys, "__metric").cast("double")).otherwise(F.col("__value")))
+    return long.join(cold, (F.col("__join_metric") == F.col("__cold_metric"))
+                     & (F.col("__join_value") == F.col("__cold_value")), "left") \
+        .select(*keys, "__metric", F.coalesce("__hot_score", "__cold_score").alias("__score"))
+
+
+def score_columns(df: DataFrame, scores: Mapping[str, str], key: str | Sequence[str],
+                  buckets: int | None = None, ranks: DataFrame | None = None) -> DataFrame:
+    """``key`` and one percentile score column per ``{output: input}`` pair, for every row of ``df``.
 
     Score of a row = percentile of its value among *all* rows of ``df`` (NULLs count in
-    n and get a NULL score). Range 0-100, ties share their average rank. ``key`` must
-    identify a row.
-
-    The rows are unpivoted to (metric, value) once, joined to the score table once on
-    (metric, value) and pivoted back by ``key``. The K rows made from one input row stay
-    in its partition through a broadcast join, so the pivot's partial aggregate folds
-    them map-side. No branch filters the shared histogram by metric, so its exchanges
-    are reused instead of recomputing ``df`` per metric.
+    n and get a NULL score), or by the given ``ranks``. Range 0-100, ties share their average rank.
+    ``key`` must identify a row.
+
+    Only the key and the inputs are unpivoted to (metric, value), joined to the score of the value
+    (:func:`scored_inputs`) and pivoted back by key.
     """
     keys = [key] if isinstance(key, str) else list(key)
     inputs = list(dict.fromkeys(scores.values()))
-    scored = value_ranks(df, inputs, buckets=buckets).select(
-        F.col("metric").alias("__metric"), F.col("value").alias("__value"),
-        percentile_score_of(average_rank(F.col("below"), F.col("c")), F.col("n_all")).alias("__score"),
-    )
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("__metric"), F.col(c).cast("double").alias("__value")) for c in inputs
-    ])
-    long = df.select(*df.columns, F.inline(pairs))
-    joined = long.join(scored, ["__metric", "__value"], "left")
-    carried = [F.any_value(c).alias(c) for c in df.columns if c not in keys]
-    picked = [F.max(F.when(F.col("__metric") == src, F.col("__score"))).alias(name)
-              for name, src in scores.items()]
-    return joined.groupBy(*keys).agg(*carried, *picked).select(*df.columns, *scores.keys())
+    ranks = ranks if ranks is not None else value_ranks(df, inputs, buckets=buckets)
+    return scored_inputs(df, inputs, keys, ranks).groupBy(*keys).agg(*[
+        F.max(F.when(F.col("__metric") == src, F.col("__score"))).alias(name) for name, src in scores.items()])
+
+
+def percentile_scores(df: DataFrame, scores: Mapping[str, str], key: str | Sequence[str],
+                      buckets: int | None = None) -> DataFrame:
+    """``df`` with the columns of :func:`score_columns`, joined back by key."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return join_groups(df, score_columns(df, scores, keys, buckets), keys, "left").select(*df.columns, *scores.keys())
 
 
 def exact_quantiles(ranks: DataFrame, quantiles: Mapping[str, float],

@@ -19,9 +19,9 @@ from logonlens.functions.scoring import (
     RISK_INPUTS,
     RISK_WEIGHTS,
     band_ordinal,
-    percentile_scores,
     risk_level,
     round2,
+    score_columns,
     weighted_sum,
 )
 
@@ -39,8 +39,8 @@ TOP_COMPUTERS_K = 100
 
 
 def percentile_risk_scores(users: DataFrame) -> DataFrame:
-    """The four percentile scores on every user row (shared by every weighting)."""
-    return percentile_scores(users, RISK_INPUTS, key="user")
+    """Each user's four percentile scores (shared by every weighting)."""
+    return score_columns(users, RISK_INPUTS, key="user")
 
 
 def risk_from_scores(scored: DataFrame, weights: Sequence[tuple[str, float]] = RISK_WEIGHTS) -> DataFrame:

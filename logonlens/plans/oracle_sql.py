@@ -372,6 +372,8 @@ LIMIT 100"""),
 WHERE starts_with(destination_computer, 'C') AND NOT coalesce("timestamp" < 15 * 86400 + 43200, false)
 EXCEPT SELECT "user", destination_computer FROM norm WHERE "timestamp" < 15 * 86400 + 43200"""),
     "refresh_daily_user_activity": _DAILY_USER_ONE_SHOT,
+    "late_user_scores": with_(FEATURES + [risk_cte()], """SELECT "user", login_score, computer_score, volume_score, redteam_score
+FROM scores WHERE CAST(substr("user", 2, 10) AS INTEGER) % 10 = 0"""),
     "weekly_login_quantiles": with_(BASE + [DAILY_USER, """placed AS (
   SELECT day // 7 AS week, CAST(authentications AS DOUBLE) AS x, count(*) OVER (PARTITION BY day // 7) AS n,
     row_number() OVER (PARTITION BY day // 7 ORDER BY authentications) - 1 AS i FROM daily_user)"""],

@@ -14,7 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logonlens.functions.normalize import SECONDS_PER_DAY, day_of, hour_of, normalize_auth
-from logonlens.functions.scoring import exact_quantiles, percentile_scores, value_ranks
+from logonlens.functions.scoring import (
+    RISK_INPUTS,
+    StoredRanks,
+    exact_quantiles,
+    percentile_scores,
+    score_columns,
+    value_ranks,
+)
 from logonlens.operators import distinct, gold, merge, moments, profile, silver, sketches, topk, validate
 from logonlens.plans.layers import Layers
 from logonlens.sources import testdata
@@ -315,6 +322,17 @@ def _correlation_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return moments.correlations(moments.merge_states(by_day))
 
 
+def _scores_of_a_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN1 / WIN2: a tenth of the users comes later, and is scored against the stored population
+    that it joins."""
+    users = layers(spark, sf_dir).user_features
+    late = F.substring("user", 2, 10).cast("int") % 10 == 0
+    inputs = list(RISK_INPUTS.values())
+    stored = StoredRanks(*[_stored(t, "population") for t in StoredRanks.tables(users.where(~late), inputs)])
+    batch = users.where(late)
+    return score_columns(batch, RISK_INPUTS, "user", ranks=stored.ranks_with(batch, inputs))
+
+
 def _describe_with_null_group(ly: Layers) -> DataFrame:
     """STA6 over a group column that is NULL for users outside the red-team events."""
     users = ly.user_features.withColumn("cohort", F.when(F.col("redteam_events") > 0, F.lit("flagged")))
@@ -403,6 +421,7 @@ QUERIES: dict[str, Query] = {
     "computer_features_colocated": _colocated("computer_features"),
     "new_user_computers": _colocated("new_pairs"),
     "refresh_daily_user_activity": _refreshed_daily_user,
+    "late_user_scores": _scores_of_a_batch,
     "weekly_login_quantiles": _weekly_quantiles,
     "new_users_by_day": _new_users,
     "users_of_both_logs": _users_of_both_logs,

@@ -103,18 +103,3 @@ def test_one_row_results_on_empty_inputs(spark):
     s = gold.redteam_summary(users, spark.createDataFrame([], COMPUTER_FEATURES)).collect()
     assert [tuple(r) for r in s] == [(0, 0, 0, 0)]
     assert gold.user_risk(users).count() == 0
-
-
-def test_bucket_binary_search_matches_bisect(spark):
-    import bisect
-    import random
-
-    rng = random.Random(7)
-    rows = []
-    for n in (0, 1, 2, 5, 63, 100, 255):
-        bounds = sorted(rng.choice([1.0, 2.0, 2.0, 3.5]) + rng.randint(0, 40) for _ in range(n))
-        for v in [-1.0, 0.0, 2.0, 3.5, 20.0, 99.0] + [rng.uniform(-5, 50) for _ in range(20)]:
-            rows.append((bounds, v, bisect.bisect_left(bounds, v)))
-    df = spark.createDataFrame(rows, "bounds array<double>, v double, want int")
-    got = df.select(scoring.bucket_of(F.col("bounds"), F.col("v"), 255).alias("got"), "want").collect()
-    assert all(r["got"] == r["want"] for r in got)

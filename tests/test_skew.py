@@ -16,6 +16,8 @@ SKEW_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "false",
 }
 
+NO_ADAPTIVE = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+
 
 def with_conf(spark, conf, fn):
     old = {k: spark.conf.get(k, None) for k in conf}
@@ -31,23 +33,37 @@ def with_conf(spark, conf, fn):
                 spark.conf.set(k, v)
 
 
-def test_rank_exact_with_hot_value_and_split_join(spark):
+def test_rank_exact_with_hot_value(spark):
     # 70% of rows share x = 0 (the "no red-team events" case), the rest spread out
     df = spark.range(0, 6000).select(
         F.col("id").alias("k"), F.when(F.col("id") % 10 < 7, 0).otherwise(F.col("id") % 97).alias("x"))
-
-    def run():
-        out = scoring.percentile_scores(df, {"p": "x"}, key="k", buckets=8)
-        rows = {r["k"]: r["p"] for r in out.collect()}
-        return rows, out._jdf.queryExecution().executedPlan().toString()
-
-    got, plan = with_conf(spark, SKEW_CONF, run)
-    final = plan.split("== Initial Plan ==")[0]
-    assert "SortMergeJoin(skew=true)" in final and "AQEShuffleRead skewed" in final
     w = Window.orderBy("x")
     ref = df.select("k", ((F.rank().over(w) + (F.count("*").over(Window.partitionBy("x")) - 1) / 2 - 1)
                           / (F.count("*").over(Window.partitionBy()) - 1) * 100).alias("p"))
-    assert got == {r["k"]: r["p"] for r in ref.collect()}
+    want = {r["k"]: r["p"] for r in ref.collect()}
+    for conf in (SKEW_CONF, NO_ADAPTIVE):
+        assert with_conf(spark, conf, lambda: {r["k"]: r["p"] for r in scoring.percentile_scores(
+            df, {"p": "x"}, key="k", buckets=8).collect()}) == want
+
+
+def test_score_join_is_even_without_adaptive_planning(spark):
+    """A value of 90 % of the rows, NULLs in a third of them, and values that few rows share: no
+    task of the shuffled join gets over twice the median rows."""
+    df = spark.range(0, 60_000).select(
+        F.col("id").alias("k"), F.when(F.col("id") % 10 < 9, 0).otherwise(F.col("id") % 9973).alias("x"),
+        F.when(F.col("id") % 3 > 0, F.col("id") * 7919 % 60_013).alias("y"))
+
+    def run():
+        ranks = scoring.value_ranks(df, ["x", "y"])
+        joined = scoring.scored_inputs(df, ["x", "y"], ["k"], ranks)
+        rows = joined.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        return sorted(r["count"] for r in rows), plan
+
+    counts, plan = with_conf(spark, NO_ADAPTIVE, run)
+    assert sum(counts) == 120_000 and len(counts) == 8
+    assert counts[-1] <= 2 * counts[len(counts) // 2], counts
+    assert "skew=true" not in plan and "SortMergeJoin" in plan and "SinglePartition" not in plan
 
 
 def test_hot_user_collapses_before_shuffle(spark):
