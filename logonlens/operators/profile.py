@@ -48,6 +48,14 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if f.dataType.simpleString() in numeric]
 
 
+def boolean_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if f.dataType.simpleString() == "boolean"]
+
+
+def text_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+
+
 def shape(df: DataFrame) -> DataFrame:
     """STA1: (rows, columns) of a frame."""
     return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)).cast("bigint"))
@@ -58,45 +66,62 @@ def null_counts(df: DataFrame) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
 
 
+def _describe_text(df: DataFrame, cols: Sequence[str], g: Sequence[str]) -> DataFrame:
+    """Rows of :func:`describe` for text columns: counts, and the first and last in byte order."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in cols])
+    return df.select(*g, F.inline(pairs)).groupBy(*g, F.col("metric").alias("column")).agg(
+        F.count("value").alias("count"), F.count_if(F.col("value").isNull()).alias("null_count"),
+        F.min("value").alias("min_text"), F.max("value").alias("max_text"))
+
+
 def describe(df: DataFrame, cols: Sequence[str] | None = None,
              group_cols: Sequence[str] = (), approximate: bool = False,
              accuracy: int = 10000) -> DataFrame:
     """STA2 / STA6: count, null_count, mean, std (sample), min, p25/p50/p75, max per
     column (and per group). Mean and std are rounded to 6 decimals.
 
+    All columns by default but those of the groups. Booleans have a mean (the share of true), min
+    and max as 0 and 1; text has its first and last value as ``min_text`` and ``max_text``; what a
+    type does not have is NULL. Columns of other types are left out.
+
     Quantiles are exact nearest-rank values from the value histogram; ``approximate``
     switches to one ``percentile_approx`` pass (bounded sketch memory, relative rank
     error 1/``accuracy``) for log-sized inputs.
     """
-    cols = list(cols) if cols is not None else numeric_columns(df)
     g = list(group_cols)
-    if approximate:
+    wanted = list(cols) if cols is not None else [c for c in df.columns if c not in g]
+    numeric, boolean, text = ([c for c in wanted if c in of(df)] for of in (numeric_columns, boolean_columns, text_columns))
+    parts = []
+    if numeric or boolean:
+        as_numbers = df.withColumns({c: F.col(c).cast("int") for c in boolean})
+        is_number = F.col("metric").isin(numeric) if numeric else F.lit(False)
         names = list(DESCRIBE_QUANTILES)
-        qs = [DESCRIBE_QUANTILES[n] for n in names]
-        return _long(df, cols, g).groupBy(*g, "metric").agg(
+        moments = _long(as_numbers, [*numeric, *boolean], g).groupBy(*g, "metric").agg(
             F.count("value").alias("count"),
             F.count_if(F.col("value").isNull()).alias("null_count"),
             round_to(F.avg("value")).alias("mean"),
             round_to(F.stddev_samp("value")).alias("std"),
             F.min("value").alias("min"),
-            F.percentile_approx("value", qs, accuracy).alias("q"),
             F.max("value").alias("max"),
-        ).select(*g, F.col("metric").alias("column"), "count", "null_count", "mean", "std", "min",
-                 *[F.col("q")[i].alias(n) for i, n in enumerate(names)], "max")
-    moments = _long(df, cols, g).groupBy(*g, "metric").agg(
-        F.count("value").alias("count"),
-        F.count_if(F.col("value").isNull()).alias("null_count"),
-        round_to(F.avg("value")).alias("mean"),
-        round_to(F.stddev_samp("value")).alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quants = exact_quantiles(value_ranks(df, cols, g), DESCRIBE_QUANTILES, g)
-    return (
-        join_groups(moments, quants, [*g, "metric"], "left")
-        .select(*g, F.col("metric").alias("column"), "count", "null_count", "mean", "std", "min",
-                "p25", "p50", "p75", "max")
-    )
+            *([F.percentile_approx("value", list(DESCRIBE_QUANTILES.values()), accuracy).alias("q")] if approximate else []),
+        ).withColumn("std", F.when(is_number, F.col("std")))
+        if approximate:
+            moments = moments.withColumns({n: F.when(is_number, F.col("q")[i]) for i, n in enumerate(names)})
+        elif numeric:
+            quants = exact_quantiles(value_ranks(df, numeric, g), DESCRIBE_QUANTILES, g)
+            moments = join_groups(moments, quants, [*g, "metric"], "left")
+        else:
+            moments = moments.withColumns({n: F.lit(None).cast("double") for n in names})
+        parts.append(moments.withColumnRenamed("metric", "column"))
+    if text:
+        parts.append(_describe_text(df, text, g))
+    if not parts:
+        raise ValueError("no column to describe")
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    out = out.withColumns({c: F.lit(None).cast(kind) for c, kind in (
+        *[(c, "double") for c in ("mean", "std", "min", *DESCRIBE_QUANTILES, "max")], ("min_text", "string"), ("max_text", "string"))
+        if c not in out.columns})
+    return out.select(*g, "column", "count", "null_count", "mean", "std", "min", "p25", "p50", "p75", "max", "min_text", "max_text")
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = HISTOGRAM_BINS) -> DataFrame:

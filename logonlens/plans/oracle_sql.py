@@ -175,7 +175,20 @@ def _long(cols, src: str) -> str:
     return "\n  UNION ALL ".join(f"SELECT '{c}' AS metric, CAST({c} AS DOUBLE) AS value FROM {src}" for c in cols)
 
 
-def _describe(cols, src: str, group: str | None = None) -> tuple[str, str]:
+def _describe(cols, src: str, group: str | None = None, text=(), boolean=()) -> tuple[str, str]:
+    ctes, body = _describe_numbers(cols, src, group)
+    gsel, by = (f"{group}, ", f" GROUP BY {group}") if group else ("", "")
+    body += "".join(f"""
+UNION ALL SELECT {gsel}'{c}', count({c}), count(*) FILTER (WHERE {c} IS NULL), {r6(f"avg(CAST({c} AS INTEGER))")}, NULL,
+  CAST(min(CAST({c} AS INTEGER)) AS DOUBLE), NULL, NULL, NULL, CAST(max(CAST({c} AS INTEGER)) AS DOUBLE), NULL, NULL FROM {src}{by}"""
+                    for c in boolean)
+    body += "".join(f"""
+UNION ALL SELECT {gsel}'{c.strip('"')}', count({c}), count(*) FILTER (WHERE {c} IS NULL), NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  min({c}), max({c}) FROM {src}{by}""" for c in text)
+    return ctes, body
+
+
+def _describe_numbers(cols, src: str, group: str | None = None) -> tuple[str, str]:
     gsel, gout = (f"{group}, ", f"m.{group}, ") if group else ("", "")
     same = f"m.metric = q.metric AND m.{group} IS NOT DISTINCT FROM q.{group}" if group else "m.metric = q.metric"
     long = "\n  UNION ALL ".join(
@@ -197,7 +210,8 @@ ordered AS (
 quants AS (
   SELECT {gpart},
     {quant}
-  FROM ordered GROUP BY {gpart})""", f"""SELECT {gout}m.metric AS column, count, null_count, mean, std, min, p25, p50, p75, max
+  FROM ordered GROUP BY {gpart})""", f"""SELECT {gout}m.metric AS column, count, null_count, mean, std, min, p25, p50, p75, max,
+  NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text
 FROM moments m LEFT JOIN quants q ON {same}""")
 
 
@@ -399,11 +413,11 @@ WHERE day BETWEEN 5 AND 24 GROUP BY "user" ORDER BY total DESC, "user" LIMIT 20"
     "user_shape": with_(FEATURES, "SELECT count(*) AS rows, 12::BIGINT AS columns FROM uf"),
     "user_null_counts": with_(FEATURES, "SELECT " + ", ".join(
         f"count(*) FILTER (WHERE {c} IS NULL) AS {c}" for c in USER_FEATURE_COLUMNS) + " FROM uf"),
-    "user_describe": _with_pair(FEATURES, _describe(NUMERIC_USER_COLUMNS, "uf")),
+    "user_describe": _with_pair(FEATURES, _describe(NUMERIC_USER_COLUMNS, "uf", text=['"user"'], boolean=["is_redteam_user"])),
     "user_describe_null_group": _with_pair(
         [*FEATURES, "uc AS (SELECT *, CASE WHEN redteam_events > 0 THEN 'flagged' END AS cohort FROM uf)"],
         _describe(["total_logins", "unique_computers"], "uc", "cohort")),
-    "user_describe_by_cohort": _with_pair(FEATURES, _describe(NUMERIC_USER_COLUMNS, "uf", "is_redteam_user")),
+    "user_describe_by_cohort": _with_pair(FEATURES, _describe(NUMERIC_USER_COLUMNS, "uf", "is_redteam_user", text=['"user"'])),
     "user_histogram": _with_pair(FEATURES, _histogram(PROFILE_COLUMNS, "uf")),
     "user_correlation": with_(FEATURES, _correlation(PROFILE_COLUMNS, "uf")),
     "top20_unique_computers": _top20("unique_computers"),

@@ -433,8 +433,7 @@ QUERIES: dict[str, Query] = {
     "user_shape": _q(lambda ly: profile.shape(ly.user_features)),
     "user_null_counts": _q(lambda ly: profile.null_counts(ly.user_features)),
     "user_describe": _q(lambda ly: profile.describe(ly.user_features)),
-    "user_describe_by_cohort": _q(lambda ly: profile.describe(
-        ly.user_features, profile.numeric_columns(ly.user_features), ["is_redteam_user"])),
+    "user_describe_by_cohort": _q(lambda ly: profile.describe(ly.user_features, group_cols=["is_redteam_user"])),
     "user_histogram": _q(lambda ly: profile.histogram(ly.user_features, profile.PROFILE_COLUMNS)),
     "user_correlation": _q(lambda ly: profile.correlation(ly.user_features, profile.PROFILE_COLUMNS)),
     "top20_unique_computers": _q(lambda ly: profile.top_by(ly.user_features, "unique_computers")),

@@ -103,3 +103,25 @@ def test_one_row_results_on_empty_inputs(spark):
     s = gold.redteam_summary(users, spark.createDataFrame([], COMPUTER_FEATURES)).collect()
     assert [tuple(r) for r in s] == [(0, 0, 0, 0)]
     assert gold.user_risk(users).count() == 0
+
+
+def test_describe_covers_every_type(spark):
+    from logonlens.operators.profile import describe
+
+    df = spark.createDataFrame([("b", True, 1, None, 1.5), ("é", None, 2, None, None), (None, False, 3, None, 2.5), ("a", True, None, None, 0.0)],
+                               "t string, f boolean, n int, none string, x double")
+    rows = {r["column"]: r for r in describe(df).collect()}
+    assert set(rows) == {"t", "f", "n", "none", "x"}
+    assert tuple(rows["t"]) == ("t", 3, 1, None, None, None, None, None, None, None, "a", "é")
+    assert tuple(rows["f"]) == ("f", 3, 1, 0.666667, None, 0.0, None, None, None, 1.0, None, None)
+    assert tuple(rows["none"]) == ("none", 0, 4, None, None, None, None, None, None, None, None, None)
+    assert tuple(rows["n"])[:3] == ("n", 3, 1) and rows["n"]["p50"] == 2.0 and rows["n"]["min_text"] is None
+    for some in (["t"], ["f"], ["t", "f"], ["n", "t"]):
+        assert {r["column"]: tuple(r) for r in describe(df, some).collect()} == {c: tuple(rows[c]) for c in some}
+    near = {r["column"]: r for r in describe(df, approximate=True).collect()}
+    assert {c: near[c]["count"] for c in near} == {c: rows[c]["count"] for c in rows} and near["f"]["p50"] is None
+    by = {(r["f"], r["column"]): r for r in describe(df, group_cols=["f"]).collect()}
+    assert set(by) == {(f, c) for f in (True, False, None) for c in ("t", "n", "none", "x")}
+    assert by[None, "t"]["min_text"] == "é" and by[True, "t"]["max_text"] == "b"
+    with pytest.raises(ValueError, match="no column"):
+        describe(df.select(F.array("n").alias("list")))

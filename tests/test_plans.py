@@ -132,3 +132,24 @@ def test_rank_exact_without_exchange_reuse(spark):
     ref = df.select("k", ((F.rank().over(w) + (F.count("*").over(Window.partitionBy("x")) - 1) / 2 - 1)
                           / (F.count("*").over(Window.partitionBy()) - 1) * 100).alias("p"))
     assert got == {r["k"]: r["p"] for r in ref.collect()}
+
+
+def test_user_risk_is_written_without_a_range_shuffle(spark, tmp_path, monkeypatch):
+    """Its parts are ordered inside; facts by day are dealt by day."""
+    from pyspark.sql import DataFrameWriter
+
+    from logonlens.plans import medallion
+
+    plans = {}
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: (
+        plans.update({path.rsplit("/", 1)[1]: plan(self._df)}), write(self, path, *a, **k))[1])
+    ly = layers(spark, SF_SMALL)
+    ly.auth.write.csv(str(tmp_path / "raw"))
+    ly.redteam.write.csv(str(tmp_path / "red"))
+    medallion.run_medallion(spark, str(tmp_path / "lake"), str(tmp_path / "raw"), str(tmp_path / "red"))
+    for name in ("user_risk", "daily_user_activity", "daily_computer_activity", "redteam_events"):
+        assert "rangepartitioning" not in plans[name] and "Sort [" in plans[name], name
+    assert "rangepartitioning" in plans["hourly_activity"]
+    days = [p.name for p in (tmp_path / "lake" / "silver" / "daily_user_activity").iterdir() if p.name.startswith("day=")]
+    assert len(days) == ly.daily_activity.count()
