@@ -1,0 +1,85 @@
+"""The kept day states against the lazy queries over the whole log."""
+
+import glob
+import os
+from collections import Counter, defaultdict
+
+import pytest
+from conftest import SF_SMALL
+from pyspark.sql import functions as F
+
+from logonlens.operators import profile
+from logonlens.plans.day_states import MEASURED, DayStates
+from logonlens.plans.medallion import Paths
+from logonlens.plans.queries import layers
+from logonlens.sources.sinks import write_bronze_auth, write_table
+
+
+@pytest.fixture(scope="module")
+def kept(spark, tmp_path_factory):
+    """States of all days, built in three updates, the last of which repeats some days."""
+    root = str(tmp_path_factory.mktemp("states"))
+    ly = layers(spark, SF_SMALL)
+    write_table(ly.redteam, Paths(root).bronze("redteam"))
+    # the first update sees a log in which day 4 lacks its morning
+    write_bronze_auth(ly.auth.where("timestamp NOT BETWEEN 4 * 86400 AND 4 * 86400 + 40000"), Paths(root).bronze("auth"))
+    states = DayStates(spark, root)
+    states.update(list(range(0, 12)))
+    write_bronze_auth(ly.auth, Paths(root).bronze("auth"))
+    before = {f: os.path.getmtime(f) for f in glob.glob(root + "/states/*/day=*/*.parquet")}
+    rows = states.update([4, *range(12, 31)])
+    for f, at in before.items():
+        assert "day=4/" in f or os.path.getmtime(f) == at        # other days' files stay
+    for _ in range(2):
+        assert rows == states.update([4, *range(12, 31)])
+    assert len(glob.glob(root + "/states/ids/after=*")) <= 2
+    return states, ly
+
+
+def test_distinct_counts_of_ranges_and_windows(kept):
+    states, ly = kept
+    seen = defaultdict(lambda: (set(), set()))
+    for r in ly.norm.select("day", "user", "destination_computer").distinct().collect():
+        seen[r.day][0].add(r.user)
+        seen[r.day][1].add(r.destination_computer)
+    for first, last in ((None, None), (4, 4), (3, 17), (25, None)):
+        days = [d for d in seen if (first is None or d >= first) and (last is None or d <= last)]
+        want = tuple(len(set().union(*(seen[d][k] for d in days))) for k in (0, 1))
+        assert tuple(states.distinct(first, last).first()) == want
+    got = {r.last_day: (r.users, r.targets) for r in states.rolling(7).collect()}
+    assert got == {d: tuple(len(set().union(*(seen[e][k] for e in seen if d - 6 <= e <= d))) for k in (0, 1)) for d in seen}
+
+
+def test_set_questions_are_exact_for_small_sets(kept):
+    states, ly = kept
+    first = ly.norm.groupBy("user").agg(F.min("day").alias("day")).groupBy("day").count()
+    want = {r.day: r["count"] for r in first.collect()}
+    assert {r.day: r.new_users for r in states.new_users().collect()} == {d: want.get(d, 0) for d in range(30)} or \
+        {r.day: r.new_users for r in states.new_users().collect() if r.new_users} == want
+    week = F.floor(F.col("day") / 7)
+    both = ly.norm.select(week.alias("w"), "user").distinct().join(
+        ly.redteam_events.select(week.alias("w"), "user").distinct(), ["w", "user"]).groupBy("w").count()
+    assert {r.part: r.users for r in states.in_both_logs(week).collect() if r.users} == {r.w: r["count"] for r in both.collect()}
+
+
+def test_quantiles_correlations_and_leaders(kept):
+    states, ly = kept
+    fact = ly.daily_user_activity
+    values = sorted(r[0] for r in fact.select("authentications").collect())
+    got = states.quantiles().first().asDict()
+    for name, q in (("p50", 0.5), ("p90", 0.9), ("p99", 0.99)):
+        below, upto = (sum(x < got[name] for x in values) / len(values), sum(x <= got[name] for x in values) / len(values))
+        assert below - 0.02 <= q <= upto + 0.02
+    want = {(r.col_a, r.col_b): r["corr"] for r in profile.correlation(fact, MEASURED).collect()}
+    assert {(r.col_a, r.col_b): r["corr"] for r in states.correlation().collect()} == want
+    total = Counter()
+    for r in fact.where("day BETWEEN 2 AND 20").collect():
+        total[r.user] += r.authentications
+    leaders = sorted(total.items(), key=lambda x: (-x[1], x[0]))[:10]
+    assert [(r.user, r.total) for r in states.top_users(10, 2, 20).collect()] == leaders
+
+
+def test_only_the_days_asked_for_are_read(kept):
+    states, _ = kept
+    plan = states._read("bitmaps", 3, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
