@@ -25,6 +25,15 @@ followed further. So common prefixes come out by increasing value, and the searc
 ``length``: suffixes not parted by then share ``length`` bytes, and each run of them is one
 string, whose earliest start stays.
 
+**Hot anchors.** Where a passage stands in very many texts, the segments at its ends differ from text
+to text, and one anchor would bring as many together as there are texts. The first pass counts each
+anchor's places; segments of one with over ``HOT_PLACES`` are cut, before they are sent, into parts of
+``PART_STARTS`` starts at fixed places from the anchor. All strings of a part hold its middle bytes, so
+strings can only be shared by parts with the same middle, and anchor, place and middle make the part's
+own anchor: it goes to a range of its own, and equal parts are folded in the slice as before. With
+over ``VERY_HOT_PLACES`` each start is a part, which is then equal to all others of its anchor. So no
+anchor brings more than ``VERY_HOT_PLACES`` parts that differ to one task, at any size of the corpus.
+
 Equality of segments is by 128 bits of hash (anchor and segment). Segments of one anchor that
 have more bytes than a transform should hold are judged a few starts at a time (equal strings
 stand at equal places from their anchor, so nothing is lost), equal parts folded first: where a
@@ -56,6 +65,8 @@ SLICE_BYTES = 4 << 20         # text of a slice (one longer text is a slice of i
 CHUNK_BYTES = 1 << 20         # text whose anchors are found at once
 GROUP_ANCHORS = 30_000        # anchors of a hash range, about
 BATCH_BYTES = 1 << 18         # bytes of one Burrows-Wheeler transform, about
+HOT_PLACES = 1 << 10          # places of an anchor in the corpus above which its segments are cut
+VERY_HOT_PLACES = 1 << 16     # and above which into single starts
 PART_STARTS = 8               # starts taken at once where one anchor has more bytes than that
 NULL_ID = -(1 << 63)
 
@@ -139,6 +150,32 @@ class Segments:
             setattr(out, name, getattr(self, name)[which])
         return out
 
+    def split(self, anchors: np.ndarray, starts: np.ndarray, texts: list[bytes], length: int) -> Segments:
+        """With the segments of ``anchors`` (ascending) cut into parts of so many ``starts`` each, at
+        fixed places from the anchor. A part's anchor is a hash of all that its strings share."""
+        if not len(anchors):
+            return self
+        at = np.minimum(np.searchsorted(anchors, self.anchor), len(anchors) - 1)
+        cut = anchors[at] == self.anchor
+        whole, own, step = self.take(np.flatnonzero(~cut)), self.take(np.flatnonzero(cut)), starts[at[cut]]
+        low, high = -own.offset // step, (own.count - 1 - own.offset) // step
+        n = high - low + 1
+        seg = np.repeat(np.arange(len(n)), n)
+        number = low[seg] + np.arange(len(seg)) - np.repeat(np.cumsum(n) - n, n)
+        place, step = number * step[seg], step[seg]
+        begin = np.maximum(0, place + own.offset[seg])
+        end = np.minimum(own.count[seg], place + step + own.offset[seg])
+        middle = own.start[seg] + own.offset[seg] + place
+        digest, mask = xxhash.xxh3_64_intdigest, (1 << 64) - 1
+        key = np.fromiter((digest(texts[t][m + w - 1:m + length], (a + 0x9E3779B97F4A7C15 * q) & mask) for t, m, w, a, q in zip(
+            own.text[seg].tolist(), middle.tolist(), step.tolist(), own.anchor[seg].tolist(), number.tolist(), strict=True)),
+            np.uint64, len(seg))
+        out = object.__new__(Segments)
+        for name, parts in (("text", own.text[seg]), ("start", own.start[seg] + begin), ("count", end - begin),
+                            ("offset", own.offset[seg] - begin), ("anchor", key)):
+            setattr(out, name, np.concatenate([getattr(whole, name), parts]))
+        return out
+
     def digests(self, texts: list[bytes], length: int) -> np.ndarray:
         digest = xxhash.xxh3_64_intdigest
         return np.fromiter((digest(texts[t][s:s + c + length - 1], o) for t, s, c, o in zip(
@@ -381,49 +418,56 @@ def _to_slices(answers: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def repeated_anchors(table: DataFrame, ranges: int, length: int) -> DataFrame:
-    """``slice, anchors``: the slice's anchor hashes that occur at two places of the corpus."""
+    """``slice, anchors, starts``: the slice's anchor hashes that occur at two places of the corpus,
+    and the starts of a part where their segments are to be cut (0: they are not)."""
     def send(batches):
         rarer_gc()
         for batch in batches:
             for row in batch.to_pylist():
                 anchors, n = np.unique(Segments(row["texts"], length).anchor, return_counts=True)
                 yield pa.RecordBatch.from_pylist([
-                    {"range": r, "slice": row["slice"], "anchors": anchors[at].tobytes(), "twice": (n[at] > 1).tobytes()}
+                    {"range": r, "slice": row["slice"], "anchors": anchors[at].tobytes(), "places": n[at].astype(np.int64).tobytes()}
                     for r, at in _by_range(anchors, ranges)], sent)
 
-    sent = pa.schema([("range", pa.int64()), ("slice", pa.int64()), ("anchors", pa.binary()), ("twice", pa.binary())])
-    answer = pa.schema([("slice", pa.int64()), ("anchors", pa.binary())])
+    sent = pa.schema([("range", pa.int64()), ("slice", pa.int64()), ("anchors", pa.binary()), ("places", pa.binary())])
+    answer = pa.schema([("slice", pa.int64()), ("anchors", pa.binary()), ("starts", pa.binary())])
 
     def find(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         each = [np.frombuffer(r["anchors"], np.uint64) for r in rows]
-        anchors, places, n = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
-        again = n > 1
-        np.logical_or.at(again, places, np.frombuffer(b"".join(r["twice"] for r in rows), bool))
-        hit, at, out = again[places], 0, []
+        _, which = np.unique(np.concatenate(each), return_inverse=True)
+        places = np.bincount(which, np.frombuffer(b"".join(r["places"] for r in rows), np.int64))[which].astype(np.int64)
+        starts = np.where(places > VERY_HOT_PLACES, 1, np.where(places > HOT_PLACES, PART_STARTS, 0)).astype(np.int64)
+        at, out = 0, []
         for r, own in zip(rows, each, strict=True):
-            found = own[hit[at:at + len(own)]]
+            here = slice(at, at + len(own))
             at += len(own)
-            if len(found):
-                out.append({"slice": r["slice"], "anchors": found.tobytes()})
+            again = places[here] > 1
+            if again.any():
+                out.append({"slice": r["slice"], "anchors": own[again].tobytes(), "starts": starts[here][again].tobytes()})
         return pa.Table.from_pylist(out, answer)
 
-    rows = table.select("slice", "texts").mapInArrow(send, "range long, slice long, anchors binary, twice binary")
-    return rows.groupBy("range").applyInArrow(find, "slice long, anchors binary")
+    rows = table.select("slice", "texts").mapInArrow(send, "range long, slice long, anchors binary, places binary")
+    return rows.groupBy("range").applyInArrow(find, "slice long, anchors binary, starts binary")
 
 
 def verdicts(table: DataFrame, repeated: DataFrame, ranges: int, length: int) -> DataFrame:
     """``slice, digests, keeps_first, text, start, count, lost``: the repeated segments of each
     slice; whether its first occurrence there is the earliest of all, and for these the strings
-    lost to other segments."""
+    lost to other segments. ``cut`` and ``starts`` say which anchors' segments were cut, and how."""
     def send(batches):
         rarer_gc()
         for batch in batches:
             for row in batch.to_pylist():
                 texts = row["texts"]
                 found = Segments(texts, length)
-                known = np.unique(np.concatenate([np.frombuffer(a["anchors"], np.uint64) for a in row["answers"]]))
+                known, starts = (np.concatenate([np.frombuffer(a[k], kind) for a in row["answers"]]) for k, kind in (
+                    ("anchors", np.uint64), ("starts", np.int64)))
                 found = found.take(np.flatnonzero(np.isin(found.anchor, known)))
+                order = np.argsort(known)
+                order = order[starts[order] > 0]
+                hot, starts = known[order], starts[order]
+                found = found.split(hot, starts, texts, length)
                 digest = found.digests(texts, length)
                 ids = np.array([NULL_ID if i is None else i for i in row["ids"]], np.int64)
                 hashes = np.array(row["hashes"], np.int64)
@@ -436,7 +480,8 @@ def verdicts(table: DataFrame, repeated: DataFrame, ranges: int, length: int) ->
                     s = found.take(at)
                     blobs = [texts[t][b:b + c + length - 1] for t, b, c in zip(
                         s.text.tolist(), s.start.tolist(), s.count.tolist(), strict=True)]
-                    out.append({"range": r, "slice": row["slice"], "blobs": b"".join(blobs)} | _pack({
+                    out.append({"range": r, "slice": row["slice"], "blobs": b"".join(blobs),
+                                "cut": b"" if out else hot.tobytes(), "starts": b"" if out else starts.tobytes()} | _pack({
                         "anchor": s.anchor, "digest": digest[at], "id": ids[s.text], "hash": hashes[s.text],
                         "text": s.text.astype(np.int64), "start": s.start.astype(np.int64),
                         "count": s.count.astype(np.int64), "offset": s.offset.astype(np.int64)}))
@@ -444,10 +489,10 @@ def verdicts(table: DataFrame, repeated: DataFrame, ranges: int, length: int) ->
 
     kinds = {"anchor": np.uint64, "digest": np.uint64, "id": np.int64, "hash": np.int64, "text": np.int64,
              "start": np.int64, "count": np.int64, "offset": np.int64}
-    sent = pa.schema([("range", pa.int64()), ("slice", pa.int64()), ("blobs", pa.binary()),
-                      *((k, pa.binary()) for k in kinds)])
+    sent = pa.schema([("range", pa.int64()), ("slice", pa.int64()), ("blobs", pa.binary()), ("cut", pa.binary()),
+                      ("starts", pa.binary()), *((k, pa.binary()) for k in kinds)])
     answer = pa.schema([("slice", pa.int64()), *((k, pa.binary()) for k in (
-        "digest", "keeps", "text", "start", "count", "lost"))])
+        "digest", "keeps", "text", "start", "count", "lost", "cut", "starts"))])
 
     def find(group: pa.Table) -> pa.Table:
         rarer_gc()
@@ -466,21 +511,23 @@ def verdicts(table: DataFrame, repeated: DataFrame, ranges: int, length: int) ->
         first[order] = np.cumsum(new)
         earliest, lost = judge(v["anchor"], v["digest"], first, v["count"], v["offset"], blobs, length)
         out, at = [], 0
-        for number, own in zip(group.column("slice").to_pylist(), columns["count"], strict=True):
+        for number, own, hot, starts in zip(group.column("slice").to_pylist(), columns["count"], group.column("cut").to_pylist(),
+                                            group.column("starts").to_pylist(), strict=True):
             here = slice(at, at + len(own))
             flags = [lost[i] if lost[i] is not None else np.zeros(v["count"][i], bool) for i in range(at, at + len(own))]
-            out.append({"slice": number, "lost": np.packbits(np.concatenate(flags)).tobytes()} | _pack({
+            out.append({"slice": number, "lost": np.packbits(np.concatenate(flags)).tobytes(), "cut": hot, "starts": starts} | _pack({
                 "digest": v["digest"][here], "keeps": earliest[here], "text": v["text"][here],
                 "start": v["start"][here], "count": v["count"][here]}))
             at += len(own)
         return pa.Table.from_pylist(out, answer)
 
-    asked = table.select("slice", "ids", "hashes", "texts").join(_to_slices(repeated, ["anchors"]), "slice")
-    rows = asked.mapInArrow(send, "range long, slice long, blobs binary, " + ", ".join(f"{k} binary" for k in kinds))
+    asked = table.select("slice", "ids", "hashes", "texts").join(_to_slices(repeated, ["anchors", "starts"]), "slice")
+    rows = asked.mapInArrow(send, "range long, slice long, blobs binary, cut binary, starts binary, " + ", ".join(f"{k} binary" for k in kinds))
     # as many tasks as there are partitions, however few bytes a range has: judging is the work
     tasks = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(tasks, "range").groupBy("range").applyInArrow(
-        find, "slice long, digest binary, keeps binary, text binary, start binary, count binary, lost binary")
+        find, "slice long, digest binary, keeps binary, text binary, start binary, count binary, lost binary, "
+              "cut binary, starts binary")
 
 
 def _lost_starts(texts: list[bytes], answers: list[dict], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -490,9 +537,10 @@ def _lost_starts(texts: list[bytes], answers: list[dict], length: int) -> tuple[
 
     digest, keeps, text, start, count = (all_of(n, k) for n, k in (
         ("digest", np.uint64), ("keeps", bool), ("text", np.int64), ("start", np.int64), ("count", np.int64)))
+    hot, starts = all_of("cut", np.uint64), all_of("starts", np.int64)     # ascending: from one of the answers
     lost = np.concatenate([np.unpackbits(np.frombuffer(a["lost"], np.uint8), count=int(np.frombuffer(
         a["count"], np.int64).sum())) for a in answers]).astype(bool)
-    found = Segments(texts, length)
+    found = Segments(texts, length).split(hot, starts, texts, length)
     own = found.digests(texts, length)
     hit = np.flatnonzero(np.isin(own, digest))
     spared = set(zip(text[keeps].tolist(), start[keeps].tolist(), strict=True))
@@ -553,7 +601,7 @@ def remove_repeats(df: DataFrame, length: int = 100, id_col: str = "doc_id", tex
 
     result = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_bytes", pa.int64()),
                         ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
-    columns = ["digest", "keeps", "text", "start", "count", "lost"]
+    columns = ["digest", "keeps", "text", "start", "count", "lost", "cut", "starts"]
     return table.select("slice", "ids", "hashes", "texts").join(_to_slices(judged, columns), "slice", "left") \
         .mapInArrow(work, "doc_id long, text_hash long, n_bytes long, n_removed long, n_spans long, kept binary")
 

@@ -125,3 +125,68 @@ def test_anchor_depends_on_the_string_alone():
             key = data[s + k:s + k + 50]
             assert anchor.setdefault(key, (o - k, h)) == (o - k, h)
     assert int(np.sum(found.count)) == len(data) - 49
+
+
+def passages(n, rnd):
+    """Texts that share two passages among bytes of their own, some of which are alike."""
+    shared = ["".join(rnd.choice("abcdefgh ") for _ in range(300)) for _ in range(2)]
+    out = []
+    for i in range(n):
+        edge = rnd.choice(["", "x", "xy", "the same edge "])
+        out.append("".join(rnd.choice("klmno") for _ in range(rnd.randrange(0, 150))) + edge + shared[i % 5 == 0]
+                   + rnd.choice(["", "z", edge]) + "".join(rnd.choice("pqrs") for _ in range(rnd.randrange(0, 150))))
+    return out
+
+
+@pytest.mark.parametrize(("hot", "very_hot"), [(2, 1 << 40), (2, 2), (5, 30), (1 << 40, 1 << 40)])
+def test_segments_of_hot_anchors_are_cut(spark, monkeypatch, hot, very_hot):
+    monkeypatch.setattr(suffix_dedup, "HOT_PLACES", hot)
+    monkeypatch.setattr(suffix_dedup, "VERY_HOT_PLACES", very_hot)
+    monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", 1500)
+    texts = passages(60, random.Random(hot)) + ["x" * 400, "ab" * 200]
+    same(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), 100)
+
+
+def test_parts_hold_every_start_once_and_depend_on_their_strings_alone():
+    rnd = random.Random(8)
+    texts = [t.encode() for t in passages(20, rnd)]
+    found = suffix_dedup.Segments(texts, 100)
+    anchors = np.unique(found.anchor)[::2]
+    for step in (1, 8, 100):
+        parts = found.split(anchors, np.full(len(anchors), step), texts, 100)
+        starts = sorted((int(t), int(b) + k) for t, b, c in zip(parts.text, parts.start, parts.count, strict=True) for k in range(c))
+        assert starts == sorted((k, s) for k, t in enumerate(texts) for s in range(len(t) - 99))
+        key, cut = {}, 0
+        for t, b, c, o, a in zip(parts.text, parts.start, parts.count, parts.offset, parts.anchor, strict=True):
+            assert 0 <= o and (c <= step or a in set(found.anchor))
+            for k in range(c):
+                assert key.setdefault(texts[t][b + k:b + k + 100], (a, o - k)) == (a, o - k)
+            cut += a not in found.anchor
+        assert cut > 0
+
+
+def test_a_hot_passage_brings_few_differing_parts_to_one_anchor():
+    """One passage in every text, among bytes that differ: the anchors at its ends have as many
+    different segments as there are texts, the starts of a very hot anchor none that differ."""
+    rnd = random.Random(2)
+    shared = "".join(rnd.choice("abcdefgh ") for _ in range(150))
+    texts = [("".join(rnd.choice("klmnopqrstuv") for _ in range(120)) + shared
+              + "".join(rnd.choice("klmnopqrstuv") for _ in range(120))).encode() for _ in range(400)]
+    found = suffix_dedup.Segments(texts, 100)
+
+    def differing(parts):
+        kinds = {}
+        for a, d in zip(parts.anchor.tolist(), parts.digests(texts, 100).tolist(), strict=True):
+            kinds.setdefault(a, set()).add(d)
+        return max(map(len, kinds.values()))
+
+    hot, n = np.unique(found.anchor, return_counts=True)
+    hot = hot[n > 50]
+    eight, one = np.full(len(hot), 8), np.full(len(hot), 1)
+    assert len(hot) and differing(found) > 350
+    single = found.split(hot, one, texts, 100)
+    single = single.take(np.flatnonzero(~np.isin(single.anchor, found.anchor)))
+    assert len(single.text) and differing(single) == 1
+    # parts of eight starts: fewer bytes of their own, and only parts over an end differ
+    parts = found.split(hot, eight, texts, 100)
+    assert (parts.count + 99)[np.isin(parts.anchor, hot, invert=True) & ~np.isin(parts.anchor, found.anchor)].max() <= 107
