@@ -21,6 +21,7 @@ text. Repeated rows each give a row. An empty table gives an empty result.
 from __future__ import annotations
 
 import base64
+import ctypes
 import gc
 import struct
 from collections.abc import Iterable, Iterator
@@ -357,6 +358,16 @@ def rarer_gc() -> None:
     gc.set_threshold(500_000, 50, 100)
 
 
+def give_back() -> None:
+    """Memory that a finished task's arrays leave free in a worker goes back to the machine: workers
+    outlive their stage and stand beside the next one's."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:                   # not a glibc system
+        pass
+
+
 def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, SLICE_ROWS):
@@ -409,6 +420,7 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(ids, pa.binary()), pa.array([decoder.decode(x)[0] for x in ids], pa.binary()),
                  *part.columns[2:]], ["doc_id", "ids", "decoded", *keep])
+        give_back()
 
     docs = document_rows(df, id_col, text_col, keep)
     kept = "".join(f", `{name}` {kind}" for name, kind in docs.dtypes[2:])

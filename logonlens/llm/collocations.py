@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logonlens.llm.byte_bpe import rarer_gc
+from logonlens.llm.byte_bpe import give_back, rarer_gc
 from logonlens.llm.common import cut
 
 LONGEST = 4
@@ -122,6 +122,7 @@ def write_slices(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                                              or sum(len(s.number) for s in held.values()) >= SLICE_DISTINCT):
                     yield from close()
         yield from close()
+        give_back()
 
     texts = df.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),
                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
@@ -340,6 +341,7 @@ def phrase_counts(slices: DataFrame, words: DataFrame, n_words: int, n_known: in
                         yield packed(n)
         for n in list(held):
             yield packed(n)
+        give_back()
 
     def merge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         n, top = key[0].as_py(), key[1].as_py()

@@ -56,7 +56,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logonlens.llm.byte_bpe import rarer_gc, slices
+from logonlens.llm.byte_bpe import give_back, rarer_gc, slices
 from logonlens.llm.common import cut, document_rows, note_scratch
 from logonlens.session import scratch_path
 
@@ -379,6 +379,7 @@ def write_slices(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
                 size += len(t)
         if held:
             yield row(held)
+        give_back()
 
     schema = pa.schema([("slice", pa.int64()), ("n_bytes", pa.int64()), ("ids", pa.list_(pa.int64())),
                         ("hashes", pa.list_(pa.int64())), ("texts", pa.list_(pa.binary()))])
@@ -428,6 +429,7 @@ def repeated_anchors(table: DataFrame, ranges: int, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_pylist([
                     {"range": r, "slice": row["slice"], "anchors": anchors[at].tobytes(), "places": n[at].astype(np.int64).tobytes()}
                     for r, at in _by_range(anchors, ranges)], sent)
+        give_back()
 
     sent = pa.schema([("range", pa.int64()), ("slice", pa.int64()), ("anchors", pa.binary()), ("places", pa.binary())])
     answer = pa.schema([("slice", pa.int64()), ("anchors", pa.binary()), ("starts", pa.binary())])
@@ -486,6 +488,7 @@ def verdicts(table: DataFrame, repeated: DataFrame, ranges: int, length: int) ->
                         "text": s.text.astype(np.int64), "start": s.start.astype(np.int64),
                         "count": s.count.astype(np.int64), "offset": s.offset.astype(np.int64)}))
                 yield pa.RecordBatch.from_pylist(out, sent)
+        give_back()
 
     kinds = {"anchor": np.uint64, "digest": np.uint64, "id": np.int64, "hash": np.int64, "text": np.int64,
              "start": np.int64, "count": np.int64, "offset": np.int64}
@@ -519,6 +522,9 @@ def verdicts(table: DataFrame, repeated: DataFrame, ranges: int, length: int) ->
                 "digest": v["digest"][here], "keeps": earliest[here], "text": v["text"][here],
                 "start": v["start"][here], "count": v["count"][here]}))
             at += len(own)
+        if group.nbytes > BATCH_BYTES << 5:
+            del v, blobs, columns, lost
+            give_back()
         return pa.Table.from_pylist(out, answer)
 
     asked = table.select("slice", "ids", "hashes", "texts").join(_to_slices(repeated, ["anchors", "starts"]), "slice")
@@ -598,6 +604,7 @@ def remove_repeats(df: DataFrame, length: int = 100, id_col: str = "doc_id", tex
                     out.append({"doc_id": i, "text_hash": h, "n_bytes": len(t), "n_removed": len(t) - n_kept,
                                 "n_spans": len(s), "kept": kept})
                 yield pa.RecordBatch.from_pylist(out, result)
+        give_back()
 
     result = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_bytes", pa.int64()),
                         ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])

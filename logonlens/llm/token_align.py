@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from logonlens.llm.byte_bpe import rarer_gc
+from logonlens.llm.byte_bpe import give_back, rarer_gc
 from logonlens.llm.common import cut, document_rows, split_at_spaces
 
 MARK = "▁"
@@ -349,6 +349,8 @@ def write_slices(df: DataFrame, a_path: str, b_path: str, id_col: str, text_col:
                     held, number = Slice(), number + 1
         if held.ids:
             yield pa.RecordBatch.from_pylist([held.row(part << 32 | number, memo)], _SLICE)
+        del held
+        give_back()
 
     return cut(document_rows(df, id_col, text_col).mapInArrow(work, _SLICE_SQL), "aligned-slices")
 
