@@ -7,16 +7,18 @@
 **Index.** Vectors are projected to ``PROJECTED`` dimensions by random normal (2-stable)
 directions; the squared projected distance of two points over their squared distance follows
 a chi-square law. A kd-tree's upper levels, set by a bounded sample (``SAMPLE`` vectors of
-smallest hash), cut the projected space into cells; every vector is put in its cell. Cells with
-more than ``CELL_ROWS`` vectors are dealt over several shards. Within a shard the kd-tree goes
-on down to leaves of ``LEAF_ROWS``.
-
-**Search.** A query takes leaves by increasing projected distance and verifies their vectors
-with the true product. It stops as soon as a vector as near as the worst of its ``k`` best would
-already have been met with probability ``SURE``: when the next projected distance squared
-exceeds the ``SURE`` quantile of the chi-square law times the squared distance of that vector.
-The first round searches the query's own cell; with the bound found there, the second round
-goes only to the other cells that the same test leaves open.
+smallest hash), cut the projected space into cells; every vector is put in its cell, and a cell's
+box is that of the vectors in it. Cells with more than ``CELL_ROWS`` vectors are dealt over several
+shards. Within a shard the kd-tree goes on down to leaves of ``LEAF_ROWS``.
+
+**Search.** A query takes leaves by increasing projected distance and, in each, its projected
+neighbours: a vector is verified with the true product only if its own projected distance is
+small enough. Both stop where a vector as near as the worst of the ``k`` best would already have
+been met with probability ``SURE``: when the projected distance squared exceeds the ``SURE``
+quantile of the chi-square law times the squared distance of that vector. So a neighbour is
+missed with probability ``1 - SURE`` at most. The first round searches the query's own cell; with
+the bound found there, the second round goes only to the other cells that the same test leaves open.
+A cell's candidates are read once for every ``QUERY_ROWS`` queries that go to that cell.
 
 Nothing is capped: every vector is indexed, and a query goes to as many cells as the test asks.
 Nulls: vectors that are NULL, zero, of another length than most, or that hold NULL or non-finite
@@ -36,8 +38,8 @@ from pyspark.sql import functions as F
 
 from logonlens.llm.common import cut
 
-PROJECTED = 6                 # even, for the closed form of the law
-SURE = 0.98
+PROJECTED = 16                # even, for the closed form of the law
+SURE = 0.96
 SAMPLE = 8192
 CELL_ROWS = 4096
 LEAF_ROWS = 64
@@ -88,21 +90,6 @@ class Tree:
             node = 2 * node + 1 + (points[np.arange(len(points)), self.axis[node]] >= self.split[node])
         return node - ((1 << self.depth) - 1)
 
-    def boxes(self, dimensions: int) -> tuple[np.ndarray, np.ndarray]:
-        """Lower and upper corners of all cells (open sides are infinite)."""
-        low = {0: np.full(dimensions, -np.inf)}
-        high = {0: np.full(dimensions, np.inf)}
-        for node in range((1 << self.depth) - 1):
-            a, b = low.pop(node), high.pop(node)
-            k, s = self.axis[node], self.split[node]
-            low[2 * node + 1], high[2 * node + 1] = a, b.copy()
-            high[2 * node + 1][k] = min(s, b[k])
-            low[2 * node + 2], high[2 * node + 2] = a.copy(), b
-            low[2 * node + 2][k] = max(s, a[k])
-        first = (1 << self.depth) - 1
-        return (np.array([low[first + c] for c in range(1 << self.depth)]),
-                np.array([high[first + c] for c in range(1 << self.depth)]))
-
 
 def leaves_of(points: np.ndarray, rows: int) -> list[np.ndarray]:
     """Row numbers of the leaves: halves at the median of the widest axis down to ``rows``."""
@@ -137,7 +124,6 @@ class Index:
         self.directions = rng.normal(size=(dimensions + 1, PROJECTED))
         self.largest = largest
         self.tree = Tree(self.project(sample), depth)
-        self.low, self.high = self.tree.boxes(PROJECTED)
 
     def project(self, vectors: np.ndarray, queries: bool = False) -> np.ndarray:
         extra = np.zeros(len(vectors)) if queries else np.sqrt(
@@ -149,24 +135,33 @@ class Index:
 
 
 def search(index: Index, ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray,
-           bounds: np.ndarray, k: int, sure: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+           bounds: np.ndarray, k: int, sure: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """The ``k`` best of a shard for every query, as far as they beat ``bounds`` (products that
-    a result must reach): numbers of the queries, ids, products."""
+    a result must reach): numbers of the queries, ids, products; and how many vectors were verified."""
     points, asked = index.project(vectors), index.project(queries, queries=True)
     leaves = leaves_of(points, LEAF_ROWS)
-    low = np.array([points[x].min(0) for x in leaves])
-    high = np.array([points[x].max(0) for x in leaves])
+    by_leaf = np.concatenate(leaves)
+    ids, vectors, points = ids[by_leaf], vectors[by_leaf], points[by_leaf]
+    ends = np.cumsum([len(x) for x in leaves])
+    starts = np.r_[0, ends[:-1]]
+    low, high = np.minimum.reduceat(points, starts), np.maximum.reduceat(points, starts)
     norms = (queries * queries).sum(1)
-    quantile = chi_square_quantile(sure)
+    quantile, verified = chi_square_quantile(sure), 0
     out = [], [], []
     for q in range(len(queries)):
         gaps = distance_to_boxes(asked[q:q + 1], low, high)[0]
         order = np.argsort(gaps, kind="stable")
         best_ids, best, bound = np.zeros(0, np.int64), np.zeros(0), bounds[q]
         for at in range(0, len(order), LEAVES_AT_ONCE):
-            if np.isfinite(bound) and gaps[order[at]] > quantile * index.squared_distance(norms[q], bound):
-                break
-            rows = np.concatenate([leaves[x] for x in order[at:at + LEAVES_AT_ONCE]])
+            some = order[at:at + LEAVES_AT_ONCE]
+            rows = np.concatenate([np.arange(starts[x], ends[x]) for x in some])
+            if np.isfinite(bound):
+                reach = quantile * index.squared_distance(norms[q], bound)
+                if gaps[some[0]] > reach:
+                    break
+                apart = points[rows] - asked[q]
+                rows = rows[np.einsum("ij,ij->i", apart, apart) <= reach]
+            verified += len(rows)
             products = vectors[rows] @ queries[q]
             good = (products >= bound) & (ids[rows] != query_ids[q])
             best_ids, best = np.r_[best_ids, ids[rows[good]]], np.r_[best, products[good]]
@@ -178,7 +173,7 @@ def search(index: Index, ids: np.ndarray, vectors: np.ndarray, query_ids: np.nda
         out[0].append(np.full(len(best), q))
         out[1].append(best_ids)
         out[2].append(best)
-    return tuple(np.concatenate(x) if x else np.zeros(0) for x in out)
+    return (*(np.concatenate(x) if x else np.zeros(0) for x in out), verified)
 
 
 # ---------------------------------------------------------------- on Spark
@@ -216,28 +211,29 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
     def put(batches):
         for batch in batches:
             v = _matrix(batch.column(1), dimensions)
-            own, asked = (index.value.tree.cells(index.value.project(v, q)) for q in (False, True))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own), pa.array(asked)],
-                                             ["vec_id", "v", "cell", "own_cell"])
+            at, asked = (index.value.project(v, q) for q in (False, True))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(index.value.tree.cells(at)), pa.array(index.value.tree.cells(asked)),
+                 pa.array(list(at))], ["vec_id", "v", "cell", "own_cell", "at"])
 
-    placed = cut(rows.mapInArrow(put, "vec_id long, v array<double>, cell long, own_cell long"), "ann-cells")
+    placed = cut(rows.mapInArrow(put, "vec_id long, v array<double>, cell long, own_cell long, at array<double>"), "ann-cells")
     # equal query rows are one query; rows of one id with other vectors are queries of their own, by ``q``
-    queries = cut(placed.where(is_query).dropDuplicates(["vec_id", "v"])
+    queries = cut(placed.where(is_query).select("vec_id", "v", "own_cell").dropDuplicates(["vec_id", "v"])
                   .withColumn("q", F.monotonically_increasing_id()), "ann-queries")
     # a row per cell, and at most sample / 16 cells
-    shards = {r["cell"]: ceil(r["count"] / cell_rows) for r in placed.groupBy("cell").count().collect()}
-    blocks = ceil(queries.count() / QUERY_ROWS) or 1
+    boxes = placed.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n"), F.array(*[F.min(F.get("at", i)) for i in range(PROJECTED)]).alias("low"),
+        F.array(*[F.max(F.get("at", i)) for i in range(PROJECTED)]).alias("high")).orderBy("cell").collect()
+    shards = {r["cell"]: ceil(r["n"] / cell_rows) for r in boxes}
     number = F.create_map(*[F.lit(x) for pair in shards.items() for x in pair])
-    candidates = placed.select("vec_id", "v", "cell", F.pmod(F.xxhash64("vec_id"), number[F.col("cell")]).alias("shard"),
-                               F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block")
+    candidates = placed.select("vec_id", "v", "cell", F.pmod(F.xxhash64("vec_id"), number[F.col("cell")]).alias("shard"))
 
     def find(key, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return pa.table({"q": pa.array([], pa.int64()), "query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()),
                              "score": pa.array([], pa.float64())})
         asked = right.column("vec_id").to_numpy()
-        which, ids, products = search(index.value, left.column("vec_id").to_numpy(), _matrix(left.column("v"), dimensions),
+        which, ids, products, _ = search(index.value, left.column("vec_id").to_numpy(), _matrix(left.column("v"), dimensions),
                                       asked, _matrix(right.column("v"), dimensions),
                                       right.column("bound").to_numpy(), k, sure)
         which = which.astype(np.int64)
@@ -245,10 +241,15 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
                          "score": pa.array(products.astype(np.float64))})
 
     def searched(asked: DataFrame) -> DataFrame:
+        """``asked`` (written): queries and the cells that they go to."""
         keys = ["cell", "shard", "block"]
-        to = asked.withColumn("shard", F.explode(F.sequence(
-            F.lit(0).cast("long"), (number[F.col("cell")] - 1).cast("long"))))
-        return candidates.groupBy(*keys).cogroup(to.groupBy(*keys)).applyInArrow(
+        going = {r["cell"]: ceil(r["count"] / QUERY_ROWS) for r in asked.groupBy("cell").count().collect()}
+        blocks = F.create_map(*[F.lit(x) for pair in (going or {-1: 1}).items() for x in pair])
+        to = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), blocks[F.col("cell")]).cast("int")) \
+            .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), (number[F.col("cell")] - 1).cast("long"))))
+        own = candidates.where(F.col("cell").isin(list(going))) \
+            .withColumn("block", F.explode(F.sequence(F.lit(0), blocks[F.col("cell")] - 1)))
+        return own.groupBy(*keys).cogroup(to.groupBy(*keys)).applyInArrow(
             find, "q long, query_id long, vec_id long, score double")
 
     best = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
@@ -258,18 +259,18 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
 
     none = F.lit(float("-inf"))
     # a query's own cell may hold no candidate: it then goes on without a bound
-    first = cut(top(searched(queries.select("q", "vec_id", "v", F.col("own_cell").alias("cell"), none.alias("bound"), block)
+    first = cut(top(searched(queries.select("q", "vec_id", "v", F.col("own_cell").alias("cell"), none.alias("bound"))
                              .where(F.col("cell").isin(list(shards))))), "ann-first")
     bounds = first.where(F.col("rank") == k).select("q", F.col("score").alias("bound"))
     known = queries.join(bounds, "q", "left").select("vec_id", "v", "own_cell", F.coalesce("bound", none).alias("bound"), "q")
 
     def go_on(batches):
         ix, quantile = index.value, chi_square_quantile(sure)
-        cells = np.array(sorted(shards))
+        cells, low, high = (np.array([r[name] for r in boxes]) for name in ("cell", "low", "high"))
         for batch in batches:
             v, own = _matrix(batch.column(1), dimensions), batch.column(2).to_numpy()
             bound = batch.column(3).to_numpy()
-            gaps = distance_to_boxes(ix.project(v, True), ix.low[cells], ix.high[cells])
+            gaps = distance_to_boxes(ix.project(v, True), low, high)
             norms = (v * v).sum(1)
             with np.errstate(invalid="ignore"):
                 reach = np.where(np.isfinite(bound), quantile * ix.squared_distance(norms, bound), np.inf)
@@ -278,6 +279,6 @@ def nearest(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id"
                 [batch.column(0).take(pa.array(q)), batch.column(1).take(pa.array(q)), pa.array(cells[c]),
                  batch.column(3).take(pa.array(q)), batch.column(4).take(pa.array(q))], ["vec_id", "v", "cell", "bound", "q"])
 
-    asked = known.mapInArrow(go_on, "vec_id long, v array<double>, cell long, bound double, q long").select("*", block)
+    asked = cut(known.mapInArrow(go_on, "vec_id long, v array<double>, cell long, bound double, q long"), "ann-asked")
     every = searched(asked).unionByName(first.select("q", "query_id", "vec_id", "score"))
     return top(every).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

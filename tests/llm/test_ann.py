@@ -70,7 +70,7 @@ def test_rows_that_take_no_part(spark):
 
 def test_chi_square():
     assert abs(ann.chi_square_cdf(ann.chi_square_quantile(0.9)) - 0.9) < 1e-9
-    assert abs(ann.chi_square_quantile(0.95) - 12.5916) < 1e-3
+    assert abs(ann.chi_square_quantile(0.95, 6) - 12.5916) < 1e-3 and abs(ann.chi_square_quantile(0.95, 16) - 26.2962) < 1e-3
 
 
 def test_repeated_query_rows_give_whole_results(spark):
@@ -84,3 +84,46 @@ def test_repeated_query_rows_give_whole_results(spark):
     other = spark.createDataFrame([*rows, (0, rows[7][1])], kind)           # its id with another vector: two queries
     found = [r for r in ann.nearest(other, F.col("vec_id") == 0, k=8, cell_rows=50).collect()]
     assert sorted(r["rank"] for r in found) == sorted([*range(1, 9)] * 2)
+
+
+def clustered(n, dimensions, clusters, spread, rng):
+    centres = rng.normal(size=(clusters, dimensions))
+    return centres[rng.integers(0, clusters, n)] + spread * rng.normal(size=(n, dimensions))
+
+
+def test_few_vectors_are_verified():
+    """50,000 clustered vectors in shards: the share of them that queries verify, and what they find."""
+    rng = np.random.default_rng(4)
+    v = clustered(50_000, 64, 300, 0.35, rng)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    ids, queries = np.arange(len(v)), np.arange(0, len(v), 500)
+    index = ann.Index(v[:8192], 64, float((v * v).sum(1).max()), 3)
+    cell = index.tree.cells(index.project(v))
+    verified, found = 0, {int(q): [] for q in queries}
+    bounds = np.full(len(queries), -np.inf)
+    own = index.tree.cells(index.project(v[queries], True))
+    for first_round in (True, False):
+        for c in range(8):
+            rows, asked = np.flatnonzero(cell == c), np.flatnonzero((own == c) == first_round)
+            which, hit, product, n = ann.search(index, ids[rows], v[rows], queries[asked], v[queries[asked]], bounds[asked], 20, ann.SURE)
+            verified += n
+            for w, i, s in zip(which.astype(int), hit.astype(int), product, strict=True):
+                found[int(queries[asked[w]])].append((-s, i))
+        bounds = np.array([-sorted(found[int(q)])[19][0] if len(found[int(q)]) >= 20 else -np.inf for q in queries])
+    products = v @ v[queries].T
+    hits = 0
+    for k, q in enumerate(queries):
+        products[q, k] = -np.inf
+        hits += len(set(np.argsort(-products[:, k])[:20].tolist()) & {i for _, i in sorted(found[int(q)])[:20]})
+    assert hits / (20 * len(queries)) >= 0.9
+    assert verified / (len(queries) * len(v)) < 0.3, verified / (len(queries) * len(v))
+
+
+def test_cells_with_many_queries_are_read_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, x.tolist()) for i, x in enumerate(clustered(900, 8, 5, 0.3, rng))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "QUERY_ROWS", 20)
+    got = results(ann.nearest(df, F.col("vec_id") % 3 == 0, k=6, cell_rows=150))
+    want = brute(rows, 6, 3)
+    assert set(got) == set(want) and recall(got, want) >= 0.93
