@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 
 from logonlens.llm.common import document_rows, split_at_spaces
 
-MAX_STATES = 100_000        # transducer states kept per worker
+MAX_STATES = 600_000        # transducer moves kept per worker
+MAX_PAIRS = 800_000         # pairs of tokens kept per worker
 MAX_MEMO = 700_000          # encoded pieces kept per worker
 MAX_MEMO_CHARS = 48         # longer pieces are not kept
 NEVER = 1 << 62             # later than any rank
@@ -153,7 +154,7 @@ class Transducer:
                 key = token if before is None else (before + 1) << 32 | token
                 fits = pairs.get(key)
                 if fits is None:
-                    if len(pairs) > 8 * self.max_states:
+                    if len(pairs) > MAX_PAIRS:
                         pairs.clear()
                     fits = pairs[key] = self._may_follow(before, token)
                 if fits:
