@@ -156,6 +156,29 @@ STATEMENTS = [
     "filler " * 37 + "Released under the MIT License.", "MITLicense mit-license mit_license"]
 
 
+def test_whole_licences_and_a_table_of_templates(spark, no_docs):
+    """Whole texts inside others, with words left out; templates as a DataFrame of any size."""
+    rng = random.Random(11)
+    whole = [(label, t) for label, t in license_scan.TEMPLATES if len(t.split()) > 50]
+    texts = []
+    for k, (_, t) in enumerate(whole):
+        for missing in (0, 0.05, 0.3):
+            words = [w for w in t.split() if rng.random() >= missing]
+            texts.append("x " * rng.randint(0, 300) + ", ".join(words).upper() + " y" * (17 * k))
+    docs = spark.createDataFrame([(i if i % 4 else None, t) for i, t in enumerate(texts + texts[:2])], "doc_id long, text string")
+    got = license_scan.license_scan(docs).collect()
+    assert sorted(map(tuple, got), key=str) == plain_scan(texts_of(docs), license_scan.TEMPLATES, license_scan.THRESHOLD)
+    assert all({label for label, _ in whole} <= {x for r in got for x in r.labels.split(",")} for label, _ in whole)
+    many = [(f"label{i % 7}", " ".join(rng.choice("abcdefghij") + str(rng.randint(0, 30)) for _ in range(rng.randint(1, 40))))
+            for i in range(300)]
+    texts = [" ".join(f"{rng.choice('abcdefghij')}{rng.randint(0, 30)}" for _ in range(60)) + f" {many[i][1]} end" for i in range(25)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = spark.createDataFrame([*many, (None, "a1 b2"), ("empty", ""), ("none", None)], "label string, text string")
+    got = license_scan.license_scan(docs, templates=table).collect()
+    assert sorted(map(tuple, got), key=str) == plain_scan(texts_of(docs), many, license_scan.THRESHOLD)
+    assert license_scan.license_scan(no_docs).count() == 0
+
+
 @pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
 def test_license_scan_equals_plain_scan(spark, edge_docs, threshold):
     small = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
