@@ -18,7 +18,7 @@ hold the task's attempt, and only files named in the committed manifest count, s
 repeated task leaves at most an unused file.
 
 Nulls: a NULL text is the empty text (the end id alone); a NULL doc_id sorts first and comes
-back as NULL. Documents of equal doc_id stand in the order of their texts; each repeated row
+back as NULL. Documents of equal doc_id stand in the order of their texts' hashes (then of the texts); each repeated row
 is a document of its own. An empty table gives a manifest without files.
 """
 

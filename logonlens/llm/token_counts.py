@@ -7,7 +7,7 @@ pre-tokens (a run of spaces with the characters up to the next run).
 1. One pass over all texts counts pre-tokens map-side. Each task keeps a bounded summary
    (a Misra-Gries sketch: when it outgrows its bound the smallest counts are taken off all),
    and summaries are merged pairwise in a tree, each again within the bound. No pre-token
-   goes through a shuffle.
+   goes through a shuffle row by row: only the bounded summaries move.
 2. The ``frequent`` most frequent pre-tokens are encoded once and broadcast as a compact
    table: their joined bytes and one small integer each (bounded by ``frequent`` entries).
 3. Every text is counted map-side: first tier the broadcast table, second tier a bounded
@@ -105,7 +105,12 @@ def frequent_pre_tokens(df: DataFrame, frequent: int = FREQUENT, summary: int =
 def _library(model_path: str):
     from sentencepiece import SentencePieceProcessor
 
-    return SentencePieceProcessor(model_file=model_path)
+    library = SentencePieceProcessor(model_file=model_path)
+    for i in range(library.get_piece_size()):
+        piece = library.id_to_piece(i)
+        if MARK in piece.lstrip(MARK):
+            raise ValueError(f"piece {piece!r} has a word mark behind another character: texts cannot be cut at word marks")
+    return library
 
 
 def length_of(model_path: str):
