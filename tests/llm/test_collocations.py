@@ -1,4 +1,5 @@
 """Collocations against plain Python, and the filters they are counted in."""
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -126,3 +127,12 @@ def test_parts_are_even_under_skew(spark):
     words = c.numbered_words(slices, 3)
     ids = sorted(r.id for r in words.collect())
     assert ids == list(range(1, 113)) and words.select(F.max("f")).first()[0] == 200 * 2001
+
+
+def test_texts_of_megabytes(spark):
+    """A piece of a million words, words of megabytes, and nothing but separators."""
+    rng = random.Random(1)
+    words = [rng.choice(["the", "of", "a", "x", "yy", "été"]) for _ in range(400_000)]
+    rows = [("en", " ".join(words)), ("en", "z" * 3_000_000 + " the of " + "z" * 3_000_000), ("de", "." * 2_000_000), ("de", " " * 2_000_000)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    assert result(docs, min_count=100, top=300) == plain(rows, 100, 300)

@@ -143,3 +143,17 @@ def test_run_gives_the_mixed_order(spark, monkeypatch):
             spark.conf.set(k, v)
     assert {r.doc_id: r.position for r in rows} == place
     assert [r.position for r in rows] == list(range(len(place)))
+
+
+def test_texts_of_megabytes(spark):
+    """Every stage on a text of three million characters beside the small table."""
+    small = spark.read.parquet(f"{SMALL}/documents.parquet").where("doc_id < 30")
+    word = texts(small)
+    long_text = "\n".join(" ".join(t.split()[k::2]) for k in range(2) for t in word.values() if t) * 40
+    row = spark.createDataFrame([(10_000, long_text, "en", "src0", len(long_text))], small.schema)
+    df = cut(small.unionAll(row), "test-long")
+    assert cp.quality_rules(spark, df, SMALL).where("doc_id = 10000").count() == 0       # it repeats itself
+    for _, stage in cp.STAGES[1:]:
+        df = cut(stage(spark, df, SMALL), "test-long")
+    got = {r.doc_id: r for r in df.collect()}
+    assert 10_000 in got and 0 < got[10_000].n_tokens < len(long_text)

@@ -81,3 +81,12 @@ def test_keys_stream_in_one_range_shuffle(spark):
     plan = line_dedup.dropped_lines(rows)._jdf.queryExecution().executedPlan().toString()
     below_window = plan.split("Window ", 1)[1]
     assert "rangepartitioning(h1" in below_window and "hashpartitioning" not in below_window.split("rangepartitioning")[0]
+
+
+def test_texts_of_megabytes(spark):
+    """One line of megabytes twice, and a text of 400,000 lines of which an earlier one holds some."""
+    long_line = "a long line " * 300_000
+    rows = [(1, long_line), (2, f"  {long_line}\nend"), (3, "\n".join(f"number {i} of many lines" for i in range(0, 400_000, 1000))),
+            (4, "\n".join(f"number {i} of many lines" for i in range(400_000)))]
+    docs = cut(spark.createDataFrame(rows, "doc_id long, text string"), "line-test")
+    assert result(docs) == plain_dedup(rows)

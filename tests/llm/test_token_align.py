@@ -105,3 +105,16 @@ def test_a_broken_vocabulary_is_refused(monkeypatch):
     monkeypatch.setattr(SentencePieceProcessor, "is_byte", lambda self, i: False)
     with pytest.raises(ValueError, match="word mark"):
         token_align.Cutter(A, B)
+
+
+def test_texts_of_megabytes(spark):
+    """Many words, one word without a space, and one line of a script with long characters."""
+    few, many = ["hello wörld now", "x" * 100, "漢字" * 50], ["hello wörld now " * 150_000, "x" * 300_000, "漢字" * 60_000]
+    rows = list(enumerate([many[0].strip(), *many[1:]]))
+    got = {r.doc_id: r for r in token_align.alignment_figures(spark.createDataFrame(rows, "doc_id long, text string"), A, B).collect()}
+    for i, text in rows:
+        ids_a, ids_b = LIBRARY_A.encode(" " + text, add_special_tokens=False).ids, LIBRARY_B.encode(text)
+        assert (got[i].n_a, got[i].n_b) == (len(ids_a), len(ids_b)) and got[i].n_groups > 0
+        assert max(got[i].n_a, got[i].n_b) <= got[i].n_links < got[i].n_a + got[i].n_b
+    one = plain_figures([(0, few[0])])
+    assert got[0].n_links == 150_000 * next(iter(one))[4] and got[0].n_groups == 150_000 * next(iter(one))[3]
