@@ -65,8 +65,8 @@ SLICE_BYTES = 4 << 20         # text of a slice (one longer text is a slice of i
 CHUNK_BYTES = 1 << 20         # text whose anchors are found at once
 GROUP_ANCHORS = 30_000        # anchors of a hash range, about
 BATCH_BYTES = 1 << 18         # bytes of one Burrows-Wheeler transform, about
-HOT_PLACES = 1 << 10          # places of an anchor in the corpus above which its segments are cut
-VERY_HOT_PLACES = 1 << 16     # and above which into single starts
+HOT_PLACES = 1 << 14          # places of an anchor in the corpus above which its segments are cut
+VERY_HOT_PLACES = 1 << 18     # and above which into single starts
 PART_STARTS = 8               # starts taken at once where one anchor has more bytes than that
 NULL_ID = -(1 << 63)
 
@@ -401,11 +401,13 @@ def _ranges(total_bytes: int, partitions: int) -> int:
 
 
 def _by_range(anchor: np.ndarray, ranges: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Places of the anchors of each hash range (by the highest bits)."""
+    """Places of the anchors of each hash range. Anchors are the smallest hashes of their windows,
+    so it is the highest bits of a product with all of their bits that spread them evenly."""
     if not len(anchor):
         return
     bits = ranges.bit_length() - 1
-    number = (anchor >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(anchor), np.int64)
+    mixed = anchor * np.uint64(0x9E3779B97F4A7C15)
+    number = (mixed >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(anchor), np.int64)
     order = np.argsort(number, kind="stable")
     cuts = np.flatnonzero(np.r_[True, np.diff(number[order]) != 0])
     for at, until in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)], strict=True):

@@ -190,3 +190,12 @@ def test_a_hot_passage_brings_few_differing_parts_to_one_anchor():
     # parts of eight starts: fewer bytes of their own, and only parts over an end differ
     parts = found.split(hot, eight, texts, 100)
     assert (parts.count + 99)[np.isin(parts.anchor, hot, invert=True) & ~np.isin(parts.anchor, found.anchor)].max() <= 107
+
+
+def test_ranges_are_even():
+    """Although anchors are the smallest hashes of their windows."""
+    rnd = random.Random(12)
+    data = bytes(rnd.choice(b"abcdefghijklmnop ") for _ in range(600_000))
+    anchors = np.unique(suffix_dedup.Segments([data], 100).anchor)
+    sizes = sorted(len(at) for _, at in suffix_dedup._by_range(anchors, 64))
+    assert len(sizes) == 64 and sizes[-1] < 1.5 * sizes[32] and sum(sizes) == len(anchors)
