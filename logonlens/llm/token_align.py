@@ -51,7 +51,7 @@ from logonlens.llm.common import cut, document_rows, split_at_spaces
 MARK = "▁"
 SLICE_UNITS = 1 << 20        # words of the texts of a slice, about
 SLICE_DISTINCT = 1 << 17     # distinct words of a slice, about
-MEMO_UNITS = 1 << 17         # cut words that a worker keeps
+MEMO_UNITS = 1 << 18         # cut words that a worker keeps
 MEMO_CHARS = 64              # longer words are not kept
 TOGETHER = 8192              # words cut by one call, at most
 LINE_UNITS = 64              # words of a line that the libraries get
