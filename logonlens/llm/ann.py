@@ -18,7 +18,8 @@ been met with probability ``SURE``: when the projected distance squared exceeds
 quantile of the chi-square law times the squared distance of that vector. So a neighbour is
 missed with probability ``1 - SURE`` at most. The first round searches the query's own cell; with
 the bound found there, the second round goes only to the other cells that the same test leaves open.
-A cell's candidates are read once for every ``QUERY_ROWS`` queries that go to that cell.
+A cell's candidates are read once for every ``QUERY_ROWS`` queries that go to that cell. The queries
+of a cell go on side by side, ``LEAVES_AT_ONCE`` of each one's own next leaves at a time.
 
 Nothing is capped: every vector is indexed, and a query goes to as many cells as the test asks.
 Nulls: vectors that are NULL, zero, of another length than most, or that hold NULL or non-finite
@@ -45,6 +46,7 @@ CELL_ROWS = 4096
 LEAF_ROWS = 64
 LEAVES_AT_ONCE = 8
 QUERY_ROWS = 50_000           # queries that one task holds, about
+SEARCHED_AT_ONCE = 1 << 19    # products of queries and vectors that are made at once, about
 SEED = 11
 
 
@@ -145,35 +147,50 @@ def search(index: Index, ids: np.ndarray, vectors: np.ndarray, query_ids: np.nda
     ends = np.cumsum([len(x) for x in leaves])
     starts = np.r_[0, ends[:-1]]
     low, high = np.minimum.reduceat(points, starts), np.maximum.reduceat(points, starts)
-    norms = (queries * queries).sum(1)
-    quantile, verified = chi_square_quantile(sure), 0
-    out = [], [], []
-    for q in range(len(queries)):
-        gaps = distance_to_boxes(asked[q:q + 1], low, high)[0]
-        order = np.argsort(gaps, kind="stable")
-        best_ids, best, bound = np.zeros(0, np.int64), np.zeros(0), bounds[q]
-        for at in range(0, len(order), LEAVES_AT_ONCE):
-            some = order[at:at + LEAVES_AT_ONCE]
-            rows = np.concatenate([np.arange(starts[x], ends[x]) for x in some])
-            if np.isfinite(bound):
-                reach = quantile * index.squared_distance(norms[q], bound)
-                if gaps[some[0]] > reach:
-                    break
-                apart = points[rows] - asked[q]
-                rows = rows[np.einsum("ij,ij->i", apart, apart) <= reach]
-            verified += len(rows)
-            products = vectors[rows] @ queries[q]
-            good = (products >= bound) & (ids[rows] != query_ids[q])
-            best_ids, best = np.r_[best_ids, ids[rows[good]]], np.r_[best, products[good]]
-            if len(best) > k:
-                keep = np.lexsort((best_ids, -best))[:k]
-                best_ids, best = best_ids[keep], best[keep]
-            if len(best) == k:
-                bound = max(bound, best.min())
-        out[0].append(np.full(len(best), q))
-        out[1].append(best_ids)
-        out[2].append(best)
-    return (*(np.concatenate(x) if x else np.zeros(0) for x in out), verified)
+    # rows of every leaf, filled up with one more row that is never near
+    rows_of = np.full((len(leaves), max(map(len, leaves))), len(ids))
+    for leaf, (first, end) in enumerate(zip(starts, ends, strict=True)):
+        rows_of[leaf, :end - first] = np.arange(first, end)
+    ids = np.append(ids, 0)
+    sizes, asked_sizes, norms = (points * points).sum(1), (asked * asked).sum(1), (queries * queries).sum(1)
+    # room for the rounding of distances that are made from products
+    slack = 1e-9 * (sizes.max(initial=0.0) + asked_sizes.max(initial=0.0))
+    quantile, verified, out = chi_square_quantile(sure), 0, []
+    together = max(1, SEARCHED_AT_ONCE // len(ids))
+    for begin in range(0, len(queries), together):
+        block = slice(begin, begin + together)
+        products = np.hstack([queries[block] @ vectors.T, np.full((len(queries[block]), 1), -np.inf)])
+        apart = np.hstack([asked_sizes[block, None] + sizes - 2 * (asked[block] @ points.T),
+                           np.full((len(products), 1), np.inf)])
+        gaps = distance_to_boxes(asked[block], low, high)
+        order = np.argsort(gaps, axis=1, kind="stable")
+        bound, on = bounds[block].copy(), np.arange(len(products))
+        best = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)       # query, id, product
+        for at in range(0, len(leaves), LEAVES_AT_ONCE):
+            bounded = np.isfinite(bound)
+            with np.errstate(invalid="ignore"):
+                reach = np.where(bounded, quantile * index.squared_distance(norms[block], bound), np.inf)
+            on = on[~(gaps[on, order[on, at]] > reach[on])]
+            if not len(on):
+                break
+            rows = rows_of[order[on, at:at + LEAVES_AT_ONCE]].reshape(len(on), -1)
+            near = ((apart[on[:, None], rows] <= reach[on, None] + slack) | ~bounded[on, None]) & (rows < len(ids) - 1)
+            verified += int(near.sum())
+            found = products[on[:, None], rows]
+            q, k_th = np.nonzero(near & (found >= bound[on, None]))
+            rows, found, q = rows[q, k_th], found[q, k_th], on[q]
+            other = ids[rows] != query_ids[block][q]
+            best = tuple(np.r_[x, y[other]] for x, y in zip(best, (q, ids[rows], found), strict=True))
+            keep = np.lexsort((best[1], -best[2], best[0]))
+            best = tuple(x[keep] for x in best)
+            number = np.bincount(best[0], minlength=len(products))
+            first = np.cumsum(number) - number
+            keep = np.arange(len(best[0])) - first[best[0]] < k
+            full = np.nonzero(number >= k)[0]
+            bound[full] = np.maximum(bound[full], best[2][first[full] + k - 1])
+            best = tuple(x[keep] for x in best)
+        out.append((best[0] + begin, *best[1:]))
+    return (*(np.concatenate(x) if x else np.zeros(0) for x in (zip(*out, strict=True) if out else ((), (), ()))), verified)
 
 
 # ---------------------------------------------------------------- on Spark

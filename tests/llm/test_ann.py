@@ -127,3 +127,26 @@ def test_cells_with_many_queries_are_read_in_blocks(spark, monkeypatch):
     got = results(ann.nearest(df, F.col("vec_id") % 3 == 0, k=6, cell_rows=150))
     want = brute(rows, 6, 3)
     assert set(got) == set(want) and recall(got, want) >= 0.93
+
+
+def test_queries_of_a_shard_are_searched_side_by_side(monkeypatch):
+    rng = np.random.default_rng(5)
+    vectors, ids = rng.normal(size=(2000, 24)), rng.permutation(2000)
+    queries, query_ids = np.vstack([vectors[:200], 3 * rng.normal(size=(100, 24))]), np.r_[ids[:200], np.arange(5000, 5100)]
+    vectors[1500:] = vectors[0]                             # copies tie
+    index = ann.Index(vectors[:500], 24, (vectors * vectors).sum(1).max(), 0)
+    calls, boxes = [], ann.distance_to_boxes
+    monkeypatch.setattr(ann, "distance_to_boxes", lambda *x: calls.append(1) or boxes(*x))
+    bounds = np.where(np.arange(300) % 3 == 0, np.sort(queries @ vectors.T)[:, -30], -np.inf)
+    which, found, products, verified = ann.search(index, ids, vectors, query_ids, queries, bounds, 20, ann.SURE)
+    assert len(calls) <= 3                                  # not one for each query
+    assert 0 < verified < 300 * 2000
+    monkeypatch.setattr(ann, "SEARCHED_AT_ONCE", 1)         # each query by itself
+    alone = ann.search(index, ids, vectors, query_ids, queries, bounds, 20, ann.SURE)
+    assert verified == alone[3] and (which == alone[0]).all() and (found == alone[1]).all()
+    assert np.allclose(products, alone[2], rtol=1e-12)
+    hits = 0
+    for q in range(300):
+        p = np.where(ids == query_ids[q], -np.inf, vectors @ queries[q])
+        hits += len(set(ids[np.lexsort((ids, -p))[:20]]) & set(found[which == q]))
+    assert hits >= 0.9 * 300 * 20
