@@ -29,8 +29,9 @@ import os
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logonlens.llm.byte_bpe import Memo, rarer_gc, slices
+from logonlens.llm.byte_bpe import MAX_MEMO, MAX_MEMO_CHARS, rarer_gc, slices
 from logonlens.llm.common import cut, document_rows, split_at_spaces
 
 MAGIC, VERSION = b"IDPK", 1
@@ -47,6 +48,9 @@ HEADER, FOOTER = struct.Struct("<4s3I"), struct.Struct("<4QI4s")
 LANE = 64                       # ids that together fill whole 64-bit words
 BLOCK_IDS = 4096                # ids per block: the unit of random access
 WRITE_IDS = 64 * BLOCK_IDS      # ids packed at once
+LINE_PIECES = 64                # new pieces in a line that the library gets
+LINES = 64                      # and lines it gets at once
+TOGETHER_CHARS = 1 << 20        # characters of texts whose new pieces it gets together, about
 
 
 # ---------------------------------------------------------------- bit packing
@@ -187,26 +191,81 @@ def open_file(path: str, mode: str):
 class LibraryEncoder:
     """Ids by the tokenizers library. A text is cut at single spaces between other
     characters, where its split pattern always starts anew, and pieces met before are
-    looked up; a text that holds an added token's string goes to the library whole."""
+    looked up; a text that holds an added token's string goes to the library whole.
 
-    def __init__(self, path: str):
+    New pieces go to the library many at a time, joined to lines again. The bytes of the ids, which
+    are those of the line, tell which ids are whose; where they do not, pieces go one by one."""
+
+    def __init__(self, path: str, bound: int = MAX_MEMO):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.packed = Memo(self._whole)
+        # a letter stands for a byte in such a vocabulary
+        vocabulary = self.library.get_vocab()
+        self.size = np.zeros(1 + max(vocabulary.values(), default=0), np.int64)
+        self.size[list(vocabulary.values())] = [len(entry) for entry in vocabulary]
+        self.bound = bound
+        self.known: dict[str, bytes] = {}           # a piece to the ids of a space and the piece
+        self.old: dict[str, bytes] = {}             # the same before ``known`` was full
 
     def _whole(self, text: str) -> bytes:
         ids = self.library.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _lines(self, lines: list[list[str]]) -> Iterator[bytes]:
+        """The ids of every piece of ``lines``."""
+        found = self.library.encode_batch_fast([f" {' '.join(line)}" for line in lines], add_special_tokens=False)
+        for line, ids in zip(lines, (np.array(x.ids, "<u4") for x in found), strict=True):
+            ends = np.cumsum([1 + len(piece.encode()) for piece in line])
+            token_ends = np.cumsum(self.size[ids])
+            upto = np.searchsorted(token_ends, ends, "right")
+            if len(ids) and token_ends[-1] == ends[-1] and (token_ends[upto - 1] == ends).all():
+                data, edges = ids.tobytes(), [0, *(4 * upto).tolist()]
+                yield from map(data.__getitem__, map(slice, edges[:-1], edges[1:]))
+            else:
+                yield from (self._whole(" " + piece) for piece in line)
+
+    def _make(self, pieces: set[str]) -> dict[str, bytes]:
+        """The ids of new ``pieces``."""
+        made = {piece: self.old[piece] for piece in pieces & self.old.keys()}
+        pieces = pieces.difference(made)
+        joined = [piece for piece in pieces if piece and not piece[-1].isspace()]
+        made.update((piece, self._whole(" " + piece)) for piece in pieces.difference(joined))
+        lines = [joined[at:at + LINE_PIECES] for at in range(0, len(joined), LINE_PIECES)]
+        for at in range(0, len(lines), LINES):
+            part = lines[at:at + LINES]
+            made.update(zip(chain.from_iterable(part), self._lines(part), strict=True))
+        return made
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of every text, in order; texts of about ``TOGETHER_CHARS`` are worked on at once."""
+        texts = iter(texts)
+        while True:
+            held, size, get = [], 0, self.known.get
+            for text in texts:
+                whole = not text or any(t in text for t in self.added)
+                pieces = [text] if whole else split_at_spaces(text)
+                found = list(map(get, pieces))
+                found[0] = self._whole(pieces[0])                   # no space stands before it
+                held.append((found, [(k, pieces[k]) for k, ids in enumerate(found) if ids is None]))
+                size += len(text)
+                if size >= TOGETHER_CHARS:
+                    break
+            if not held:
+                return
+            made = self._make({piece for _, missing in held for _, piece in missing})
+            for found, missing in held:
+                for k, piece in missing:
+                    found[k] = made[piece]
+                yield b"".join(found)
+            if len(self.known) >= self.bound:
+                self.old, self.known = self.known, {}
+            self.known.update((piece, ids) for piece, ids in made.items() if len(piece) <= MAX_MEMO_CHARS)
+
     def encode(self, text: str) -> bytes:
-        if not text or any(t in text for t in self.added):
-            return self._whole(text)
-        pieces = split_at_spaces(text)
-        pieces[1:] = [" " + piece for piece in pieces[1:]]
-        return b"".join(map(self.packed.__getitem__, pieces))
+        return next(self.encode_all([text]))
 
 
 @lru_cache(maxsize=2)
@@ -231,8 +290,9 @@ def write(df: DataFrame, path: str, tokenizer_path: str, vocabulary: int, end_id
             if writer is None:
                 sink = open_file(file, "wb")
                 writer = Writer(sink, bits)
-            for doc_id, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-                writer.add(doc_id, np.frombuffer(encoder.encode(text) + end, "<u4"))
+            texts = (text.as_py() for text in rows.column(1))
+            for doc_id, ids in zip(rows.column(0).to_pylist(), encoder.encode_all(texts), strict=True):
+                writer.add(doc_id, np.frombuffer(ids + end, "<u4"))
         if writer is not None:
             writer.close()
             sink.close()

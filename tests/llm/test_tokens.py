@@ -119,6 +119,35 @@ def test_packed_query_and_edge_cases(spark, edge_docs, no_docs):
     assert packed_ids.write_and_read(spark, no_docs, scratch_path(spark, "idpk-test"), BYTES, 2).count() == 0
 
 
+def test_new_pieces_go_to_the_library_in_lines():
+    plain = Tokenizer.from_file(BYTES)
+    calls = []
+
+    class Counting:
+        def __init__(self, library):
+            self.library = library
+
+        def __getattr__(self, name):
+            calls.append(name)
+            return getattr(self.library, name)
+
+    rnd = random.Random(7)
+    words = ["".join(rnd.choice("abcdeéß漢'’.,-1") for _ in range(rnd.randint(1, 12))) for _ in range(4000)]
+    texts = [" ".join(rnd.choice(words) for _ in range(200)) for _ in range(60)]
+    texts += [*EDGE_TEXTS, *odd_texts(2000, 8), "a" * 200 + " " + "b" * 200 + "  c d\n", " x ", "x\n y\n", "end<|endoftext|> of it"]
+    texts = [t for t in texts if t is not None]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    for bound in (700_000, 100):                         # the smaller one starts anew many times
+        encoder = packed_ids.LibraryEncoder(BYTES, bound)
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode_all(texts)] == want
+        assert [np.frombuffer(encoder.encode(t), "<u4").tolist() for t in texts] == want
+        assert max(map(len, encoder.known), default=0) <= byte_bpe.MAX_MEMO_CHARS
+    encoder = packed_ids.LibraryEncoder(BYTES)
+    encoder.library = Counting(encoder.library)
+    list(encoder.encode_all(texts[:60]))
+    assert len(calls) < 200                              # not one for each of about 3,800 words
+
+
 def test_pre_token_counts_equal_library():
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     length = token_counts.length_of(PIECES)
