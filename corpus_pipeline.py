@@ -20,7 +20,7 @@ from logonlens.llm.queries import MULTI_RANKS
 
 SHINGLE_WORDS, MAX_BITS, REPEAT_BYTES = 3, 2, 100
 # Workers outlive their stage: what the encoder keeps in them stands beside the next stages' needs.
-MEMO_PIECES, MEMO_STATES = 150_000, 30_000
+MEMO_PIECES, MEMO_STATES, MEMO_PAIRS = 80_000, 8_000, 200_000
 FILES_TOGETHER = 4096        # files whose rows are summed up in one window
 
 
@@ -108,7 +108,7 @@ def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     ordered = written_order(docs).select("row.doc_id", "row.text", "position") \
         .repartitionByRange("position").sortWithinPartitions("position")
     coded = byte_bpe.round_trip(ordered, MULTI_RANKS, public_tokenizers.PATTERN, keep=("position",),
-                                max_memo=MEMO_PIECES, max_states=MEMO_STATES)
+                                max_memo=MEMO_PIECES, max_states=MEMO_STATES, max_pairs=MEMO_PAIRS)
     return coded.select("position", "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

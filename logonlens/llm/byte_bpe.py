@@ -76,8 +76,8 @@ class _State:
 class Transducer:
     """The lazily determinised transducer of one vocabulary of byte strings."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
-        self.ranks, self.max_states = ranks, max_states
+    def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES, max_pairs: int = MAX_PAIRS):
+        self.ranks, self.max_states, self.max_pairs = ranks, max_states, max_pairs
         self.bytes_of = {rank: tok for tok, rank in ranks.items()}
         # (node << 8 | byte) -> node. A node's lowest bits tell whether an entry ends there
         # (1) and whether entries go on (2); the root is node 2.
@@ -154,7 +154,7 @@ class Transducer:
                 key = token if before is None else (before + 1) << 32 | token
                 fits = pairs.get(key)
                 if fits is None:
-                    if len(pairs) > MAX_PAIRS:
+                    if len(pairs) > self.max_pairs:
                         pairs.clear()
                     fits = pairs[key] = self._may_follow(before, token)
                 if fits:
@@ -221,8 +221,9 @@ class Memo(dict):
 class Encoder:
     """Text to little-endian unsigned 32-bit ids: split pattern, then the transducer."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_memo: int = MAX_MEMO, max_states: int = MAX_STATES):
-        self.transducer = Transducer(ranks, max_states)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_memo: int = MAX_MEMO, max_states: int = MAX_STATES,
+                 max_pairs: int = MAX_PAIRS):
+        self.transducer = Transducer(ranks, max_states, max_pairs)
         self.matches = regex.compile(pattern).findall
         self.packed = Memo(self._pack, max_memo)
 
@@ -321,8 +322,8 @@ class Utf8Stream:
 
 
 class Decoder:
-    def __init__(self, ranks: dict[bytes, int], chunk_ids: int = 4096):
-        self.bytes_of = {rank: tok for tok, rank in ranks.items()}
+    def __init__(self, ranks: dict[bytes, int], chunk_ids: int = 4096, bytes_of: dict[int, bytes] | None = None):
+        self.bytes_of = {rank: tok for tok, rank in ranks.items()} if bytes_of is None else bytes_of
         self.chunk = 4 * chunk_ids
 
     def chunks(self, packed: bytes) -> Iterator[bytes]:
@@ -341,8 +342,9 @@ class Decoder:
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str, pattern: str, max_memo: int = MAX_MEMO, max_states: int = MAX_STATES) -> Encoder:
-    return Encoder(read_ranks(path), pattern, max_memo, max_states)
+def _encoder(path: str, pattern: str, max_memo: int = MAX_MEMO, max_states: int = MAX_STATES,
+             max_pairs: int = MAX_PAIRS) -> Encoder:
+    return Encoder(read_ranks(path), pattern, max_memo, max_states, max_pairs)
 
 
 @lru_cache(maxsize=2)
@@ -361,14 +363,25 @@ def rarer_gc() -> None:
 
 def give_back() -> None:
     """Memory that a finished task's arrays leave free in a worker goes back to the machine: workers
-    outlive their stage and stand beside the next one's."""
+    outlive their stage and stand beside the next one's. Arrow keeps freed memory in a pool of its own."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except AttributeError:                   # not a glibc system
         pass
 
 
+def giving_back(work):
+    """``work`` (a generator function over a task's batches), and :func:`give_back` once its own
+    variables are gone: while it runs, its last rows are still held."""
+    def run(batches):
+        yield from work(batches)
+        give_back()
+
+    return run
+
+
 def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, SLICE_ROWS):
@@ -409,23 +422,24 @@ def decode(df: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str
 
 def round_trip(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
                text_col: str = "text", keep: tuple[str, ...] = (), max_memo: int = MAX_MEMO,
-               max_states: int = MAX_STATES) -> DataFrame:
+               max_states: int = MAX_STATES, max_pairs: int = MAX_PAIRS) -> DataFrame:
     """``doc_id, ids, decoded``: :func:`encode`, and the ids' bytes by the streaming decoder,
     in one pass. ``keep`` names further columns of ``df`` to hand on; rows stay in their order.
-    ``max_memo`` and ``max_states`` bound what a worker keeps, for its lifetime, to save time."""
+    ``max_memo``, ``max_states`` and ``max_pairs`` bound what a worker keeps, for its lifetime, to
+    save time."""
     def work(batches):
         rarer_gc()
-        encoder, decoder = _encoder(ranks_path, pattern, max_memo, max_states), _decoder(ranks_path)
+        encoder = _encoder(ranks_path, pattern, max_memo, max_states, max_pairs)
+        decoder = Decoder({}, bytes_of=encoder.transducer.bytes_of)     # no second copy of the vocabulary
         for part in slices(batches):
             ids = [encoder.encode(t) for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(ids, pa.binary()), pa.array([decoder.decode(x)[0] for x in ids], pa.binary()),
                  *part.columns[2:]], ["doc_id", "ids", "decoded", *keep])
-        give_back()
 
     docs = document_rows(df, id_col, text_col, keep)
     kept = "".join(f", `{name}` {kind}" for name, kind in docs.dtypes[2:])
-    return docs.mapInArrow(work, "doc_id long, ids binary, decoded binary" + kept)
+    return docs.mapInArrow(giving_back(work), "doc_id long, ids binary, decoded binary" + kept)
 
 
 def digests(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
