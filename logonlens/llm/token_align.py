@@ -21,7 +21,8 @@ once for many texts, kept in a bounded memo.
 as numbers into the slice's list of distinct id pairs, texts as numbers into the list of words, and
 for each pair in how many texts of the slice it occurs. Only the pairs of slices are shuffled: to be
 summed, to find each A id's highest count, and to bring the sums back to their slices, which then
-give every text its figures. A pair that stands in a third of all texts is one row a slice.
+give every text its figures, one slice at a time. A pair that stands in a third of all texts is one
+row a slice.
 
 Nulls: a NULL or empty text has no tokens: zeros, and the empty string in place of the digest.
 Each row is a document of its own, also where ids are NULL or repeat. An empty table gives an
@@ -65,6 +66,14 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The different ones of ``values``, ascending; sorts them in place."""
+    values.sort()
+    new = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return values[new]
+
+
 def _running(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Running sums of ``values`` that start anew after each of ``sizes`` entries."""
     total = np.cumsum(values)
@@ -160,8 +169,8 @@ class Cutter:
         ends_a = np.where(sure, at_byte[np.repeat(char_base, n_a) + end], np.repeat(base, n_a) + by_bytes)
 
         n_b = np.fromiter((len(x.pieces) for x in of_b), np.int64, len(lines))
-        ids_b = np.fromiter((p.id for x in of_b for p in x.pieces), np.int64, n_b.sum())
-        span_end = np.fromiter((p.end for x in of_b for p in x.pieces), np.int64, n_b.sum()) + 1   # the library's own space
+        ids_ends = np.fromiter(chain.from_iterable((p.id, p.end) for x in of_b for p in x.pieces), np.int64, 2 * n_b.sum())
+        ids_b, span_end = ids_ends[::2], ids_ends[1::2] + 1       # the library's own space
         size_b = self.b_size[ids_b]
         by_bytes = _running(size_b, n_b)
         # the span of a byte of a fallback does not move until its last one
@@ -283,22 +292,25 @@ def units_of(text: str) -> list[str]:
     return [] if not text or MARK in text else split_at_spaces(text)
 
 
+class Numbers(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Slice:
     """Texts as numbers into a list of distinct words."""
 
     def __init__(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = Numbers()
         self.ids: list = []
         self.texts: list[np.ndarray] = []
         self.units = 0
 
     def add(self, doc_id: int | None, text: str) -> None:
-        number, own = self.number, []
-        for u in units_of(text):
-            k = number.get(u)
-            if k is None:
-                k = number[u] = len(number)
-            own.append(k)
+        own = list(map(self.number.__getitem__, units_of(text)))
         self.ids.append(doc_id)
         self.texts.append(np.array(own, np.int32))
         self.units += len(own)
@@ -317,9 +329,10 @@ class Slice:
         held = np.zeros(len(pairs), np.int64)
         for at in range(0, len(texts), TEXTS_TOGETHER):
             # each pair of each text once: words of the text, then their pairs
-            own = np.unique(np.concatenate([np.unique(t) + (np.int64(k) << 32) for k, t in enumerate(texts[at:at + TEXTS_TOGETHER])]))
+            some = texts[at:at + TEXTS_TOGETHER]
+            own = _distinct(np.repeat(np.arange(len(some)) << 32, size[at:at + TEXTS_TOGETHER]) | np.concatenate(some))
             of_doc, word = own >> 32, own & 0xFFFFFFFF
-            pair = np.unique(np.repeat(of_doc, n_links[word]) << 32 | link[_ranges(first[word], n_links[word])])
+            pair = _distinct(np.repeat(of_doc, n_links[word]) << 32 | link[_ranges(first[word], n_links[word])])
             held += np.bincount(pair & 0xFFFFFFFF, minlength=len(pairs))
         names = words.groups
         digest = [hashlib.sha256(b"".join([names[k] for k in t.tolist()])[:-1]).hexdigest() if len(t) else "" for t in texts]
@@ -368,34 +381,28 @@ def alignment_figures(df: DataFrame, a_path: str, b_path: str, id_col: str = "do
     """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` for every row of ``df``."""
     slices = write_slices(df, a_path, b_path, id_col, text_col)
     placed = slices.select("slice", F.posexplode("pairs").alias("at", "pair"))
-    back = placed.join(pair_counts(slices), "pair").groupBy(F.col("slice").alias("s")) \
-        .agg(F.sort_array(F.collect_list(F.struct("at", "n", "best"))).alias("sums"))
-    back = back.select("s", F.transform("sums", lambda x: x["n"]).alias("counts"), F.transform("sums", lambda x: x["best"]).alias("best"))
-
-    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = {name: batch.column(name)[k] for name in batch.schema.names}
-                longs = {name: row[name].values.to_numpy() for name in ("n_a", "n_b", "n_groups", "sizes")}
-                texts, n_links, links = (np.frombuffer(row[name].as_buffer(), np.int32) for name in ("texts", "n_links", "links"))
-                if row["counts"].is_valid:
-                    count, best = row["counts"].values.to_numpy(), row["best"].values.to_numpy(zero_copy_only=False)
-                else:
-                    count, best = np.zeros(0, np.int64), np.zeros(0, bool)
-                word = np.repeat(np.arange(len(n_links)), n_links)
-                of_word = [n_links.astype(np.int64), _sums(word, best[links].astype(np.int64), len(n_links)),
-                           _sums(word, count[links], len(n_links))]
-                doc = np.repeat(np.arange(len(longs["sizes"])), longs["sizes"])
-                figures = [_sums(doc, x[texts], len(longs["sizes"])) for x in of_word]
-                yield pa.RecordBatch.from_arrays(
-                    [row["ids"].values, *(pa.array(longs[name]) for name in ("n_a", "n_b", "n_groups")),
-                     *map(pa.array, figures), row["digests"].values],
-                    ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
+    back = placed.join(pair_counts(slices), "pair").select(F.col("slice").alias("s"), "at", "n", "best")
+
+    def work(slice_: pa.Table, sums: pa.Table) -> pa.Table:
+        row = {name: slice_.column(name)[0] for name in slice_.column_names}
+        longs = {name: row[name].values.to_numpy() for name in ("n_a", "n_b", "n_groups", "sizes")}
+        texts, n_links, links = (np.frombuffer(row[name].as_buffer(), np.int32) for name in ("texts", "n_links", "links"))
+        order = np.argsort(sums.column("at").to_numpy())
+        count, best = (sums.column(name).to_numpy()[order] for name in ("n", "best"))
+        word = np.repeat(np.arange(len(n_links)), n_links)
+        of_word = [n_links.astype(np.int64), _sums(word, best[links].astype(np.int64), len(n_links)),
+                   _sums(word, count[links], len(n_links))]
+        doc = np.repeat(np.arange(len(longs["sizes"])), longs["sizes"])
+        figures = [_sums(doc, x[texts], len(longs["sizes"])) for x in of_word]
+        return pa.Table.from_arrays(
+            [row["ids"].values, *(pa.array(longs[name]) for name in ("n_a", "n_b", "n_groups")),
+             *map(pa.array, figures), row["digests"].values],
+            ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
     needed = ["slice", "ids", "n_a", "n_b", "n_groups", "digests", "sizes", "texts", "n_links", "links"]
-    return slices.select(*needed).join(back, F.col("slice") == F.col("s"), "left").drop("slice", "s") \
-        .mapInArrow(work, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
-                          "groups_sha256 string")
+    return slices.select(*needed).groupBy("slice").cogroup(back.groupBy("s")).applyInArrow(
+        work, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
+              "groups_sha256 string")
 
 
 def _sums(of: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:

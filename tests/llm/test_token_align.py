@@ -2,6 +2,7 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 from llm_data import edge_docs, no_docs, SMALL  # noqa: F401
@@ -118,3 +119,30 @@ def test_texts_of_megabytes(spark):
         assert max(got[i].n_a, got[i].n_b) <= got[i].n_links < got[i].n_a + got[i].n_b
     one = plain_figures([(0, few[0])])
     assert got[0].n_links == 150_000 * next(iter(one))[4] and got[0].n_groups == 150_000 * next(iter(one))[3]
+
+
+def test_slices_go_back_one_at_a_time(docs):
+    """No batch of the last step holds two slices, and no array the sums of all their pairs."""
+    plan = token_align.alignment_figures(docs, A, B)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "MapInArrow" not in plan.replace("FlatMapCoGroupsInArrow", "")
+    assert "collect_list" not in plan
+
+
+def test_distinct_and_numbers():
+    for values in ([], [3], [3, 1, 3, 3, 2 ** 40, 1]):
+        assert token_align._distinct(np.array(values, np.int64)).tolist() == sorted(set(values))
+    numbers = token_align.Numbers()
+    assert [numbers[w] for w in "abacb"] == [0, 1, 0, 2, 1] and list(numbers) == ["a", "b", "c"]
+
+
+def test_a_slice_of_many_distinct_words(spark):
+    distinct = token_align.SLICE_DISTINCT // 2
+    text = " ".join(f"{k:x}" for k in range(distinct))
+    rows = [(1, text), (2, f"{distinct - 1:x} 0"), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r for r in token_align.alignment_figures(df, A, B).collect()}
+    few = next(iter(plain_figures([(2, rows[1][1])])))
+    assert (got[2].n_a, got[2].n_b, got[2].n_groups, got[2].n_links, got[2].groups_sha256) == (*few[1:5], few[7])
+    ids_a, ids_b = LIBRARY_A.encode(" " + text, add_special_tokens=False).ids, LIBRARY_B.encode(text)
+    assert (got[1].n_a, got[1].n_b) == (len(ids_a), len(ids_b)) and got[3].n_a == 0
+    assert got[1].count_sum >= got[1].n_links and got[2].count_sum >= 2 * got[2].n_links
