@@ -33,7 +33,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -129,6 +129,7 @@ def shapes(classes: int, class_words: int) -> dict[str, tuple[int, ...]]:
 
 SHAPES = shapes(CLASSES, CLASS_WORDS)
 ABSENT = -30.0                # logit of an empty place
+LARGEST = 60.0                # logits up to here, of either sign, need no shift before ``exp``
 
 
 def initial(vocabulary: Vocabulary) -> dict[str, np.ndarray]:
@@ -161,45 +162,71 @@ def _step(w, x, h):
     return z, r, n, h + z * (n - h)
 
 
-def _softmax(logits, picked):
-    """The log probability of the ``picked`` place of each row; the exponentials and their sums."""
-    logits -= logits.max(axis=1, keepdims=True)
-    e = np.exp(logits)
-    total = e.sum(axis=1, keepdims=True)
-    return logits[np.arange(len(picked)), picked] - np.log(total[:, 0]), e, total
+def _small(w) -> bool:
+    """Whether no logit can leave what ``exp`` takes, since no component of a state is beyond 1."""
+    return all(float((np.abs(w[k]).sum(axis=-2) + np.abs(w[b])).max()) < LARGEST for k, b in (("wc", "bc"), ("ww", "bw")))
+
+
+def _softmax(logits, picked, small):
+    """The log probability of the ``picked`` place of each row, and the sums of the exponentials,
+    which take the place of the logits."""
+    if not small:
+        logits -= logits.max(axis=1, keepdims=True)
+    log_p = logits[np.arange(len(picked)), picked]
+    np.exp(logits, out=logits)
+    total = logits @ np.ones(logits.shape[1], logits.dtype)
+    return log_p - np.log(total), total
+
+
+def _to_gradient(e, total, picked):
+    """Exponentials and their sums become the gradient of the loss by the logits."""
+    e *= (1 / total)[:, None]
+    e[np.arange(len(picked)), picked] -= 1
 
 
 def output(w, h, y, grads=None):
     """Log probability (natural) of the head words or classes ``y`` under states ``h``; with
     ``grads`` also adds up the gradients of the loss and returns that of ``h``."""
     classes, _, class_words = w["ww"].shape
-    of_class = y // class_words
-    log_p, e, total = _softmax(h @ w["wc"] + w["bc"], of_class)
+    of_class, small = y // class_words, _small(w)
+    e = h @ w["wc"]
+    e += w["bc"]
+    log_p, total = _softmax(e, of_class, small)
     out = log_p.astype(np.float64)
     back = None
     if grads is not None:
-        d = e / total
-        d[np.arange(len(y)), of_class] -= 1
-        grads["wc"] += h.T @ d
-        grads["bc"] += d.sum(0)
-        back = d @ w["wc"].T
-    order = np.argsort(of_class, kind="stable")
-    cuts = np.searchsorted(of_class[order], np.arange(classes + 1))
-    for c in range(classes):
-        own = order[cuts[c]:cuts[c + 1]]
-        if len(own):
-            hc, k = h[own], y[own] % class_words
-            log_p, e, total = _softmax(hc @ w["ww"][c] + w["bw"][c], k)
-            out[own] += log_p
-            if grads is not None:
-                d = e / total
-                d[np.arange(len(own)), k] -= 1
-                grads["ww"][c] += hc.T @ d
-                grads["bw"][c] += d.sum(0)
-                back[own] += d @ w["ww"][c].T
+        _to_gradient(e, total, of_class)
+        grads["wc"] += h.T @ e
+        grads["bc"] += e.sum(0)
+        back = e @ w["wc"].T
+    order = np.argsort(_narrow(of_class, classes + 1), kind="stable")
+    cuts = np.searchsorted(of_class[order], np.arange(classes + 1)).tolist()
+    inside = order[:cuts[-1]]                   # the others are of the last class
+    own = [(c, slice(x, y)) for c, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if x < y]
+    if own:
+        h, k = h[inside], y[inside] % class_words
+        e = np.empty((len(inside), class_words), np.result_type(h, w["ww"]))
+        for c, part in own:
+            np.matmul(h[part], w["ww"][c], out=e[part])
+            e[part] += w["bw"][c]
+        log_p, total = _softmax(e, k, small)
+        out[inside] += log_p
+        if grads is not None:
+            _to_gradient(e, total, k)
+            more = np.empty((len(inside), HIDDEN), e.dtype)
+            for c, part in own:
+                grads["ww"][c] += h[part].T @ e[part]
+                grads["bw"][c] += e[part].sum(0)
+                np.matmul(e[part], w["ww"][c].T, out=more[part])
+            back[inside] += more
     return out, back
 
 
+def _narrow(numbers, size: int):
+    """Numbers below ``size`` in a type that sorts fast."""
+    return numbers.astype(np.int16) if size < 1 << 15 else numbers
+
+
 class Trainer:
     """Adam over steps of truncated backpropagation."""
 
@@ -240,36 +267,54 @@ class Trainer:
             self._update(self.grads, self.waiting)
 
     def _window(self, x, y, h, running):
-        w, kept = self.w, []
-        for t, n in enumerate(running):
-            before = h[:n]
-            z, r, c, after = _step(w, x[t, :n], before)
-            kept.append((before, z, r, c))
-            h = np.vstack([after, h[n:]])
-            kept[-1] += (after,)
-        grads, inputs = self.grads, []
-        states = np.vstack([k[-1] for k in kept])
-        targets = np.concatenate([y[t, :n] for t, n in enumerate(running)])
+        w, grads = self.w, self.grads
+        words, targets = (np.concatenate([of[t, :n] for t, n in enumerate(running)]) for of in (x, y))
+        ends = np.cumsum(running).tolist()
+        own = [slice(end - n, end) for end, n in zip(ends, running, strict=True)]
+        ug, uc = (np.ascontiguousarray(part) for part in np.hsplit(w["u"], [2 * HIDDEN]))
+        gates, c = (part[words] for part in np.hsplit(w["x"], [2 * HIDDEN]))       # and candidates of all steps
+        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
+        before, reset, states = (np.empty_like(c) for _ in range(3))
+        h = h.astype(c.dtype)
+        for at, n in zip(own, running, strict=True):
+            old, new, gate, candidate = before[at], states[at], gates[at], c[at]
+            old[:] = h[:n]
+            gate += old @ ug
+            np.negative(gate, out=gate)
+            np.exp(gate, out=gate)
+            gate += 1
+            np.reciprocal(gate, out=gate)
+            candidate += np.multiply(r[at], old, out=reset[at]) @ uc
+            np.tanh(candidate, out=candidate)
+            np.subtract(candidate, old, out=new)
+            new *= z[at]
+            new += old
+            h[:n] = new
         _, back = output(w, states, targets, grads)
-        ends = np.cumsum(running)
-        carried = np.zeros((0, HIDDEN), np.float32)
-        for t in range(len(running) - 1, -1, -1):
-            before, z, r, c, _ = kept[t]
-            n = running[t]
-            dh = back[ends[t] - n:ends[t]].copy()
+        keep = 1 - z
+        of_c, of_z, of_r = z * (1 - c * c), (c - before) * z * keep, reset * (1 - r)
+        ug, uc = ug.T.copy(), uc.T.copy()
+        dg = np.empty((len(words), 3 * HIDDEN), c.dtype)
+        carried = np.zeros((0, HIDDEN), c.dtype)
+        for at in reversed(own):
+            dh, d = back[at], dg[at]
             dh[:len(carried)] += carried
-            dc = dh * z * (1 - c * c)
-            drh = dc @ w["u"][:, 2 * HIDDEN:].T
-            dz = dh * (c - before) * z * (1 - z)
-            dr = drh * before * r * (1 - r)
-            dg = np.hstack([dz, dr, dc])
-            inputs.append((x[t, :n], dg))
-            grads["u"][:, :2 * HIDDEN] += before.T @ dg[:, :2 * HIDDEN]
-            grads["u"][:, 2 * HIDDEN:] += (r * before).T @ dc
-            carried = dh * (1 - z) + drh * r + dg[:, :2 * HIDDEN] @ w["u"][:, :2 * HIDDEN].T
-        words, dg = np.concatenate([k for k, _ in inputs]), np.vstack([g for _, g in inputs])
-        order = np.argsort(words, kind="stable")
-        rows, starts = np.unique(words[order], return_index=True)
+            dc = dh * of_c[at]
+            drh = dc @ uc
+            np.multiply(dh, of_z[at], out=d[:, :HIDDEN])
+            np.multiply(drh, of_r[at], out=d[:, HIDDEN:2 * HIDDEN])
+            d[:, 2 * HIDDEN:] = dc
+            drh *= r[at]
+            dh *= keep[at]
+            drh += dh
+            drh += d[:, :2 * HIDDEN] @ ug
+            carried = drh
+        grads["u"][:, :2 * HIDDEN] += before.T @ dg[:, :2 * HIDDEN]
+        grads["u"][:, 2 * HIDDEN:] += reset.T @ dg[:, 2 * HIDDEN:]
+        order = np.argsort(_narrow(words, len(w["x"])), kind="stable")
+        in_order = words[order]
+        starts = np.flatnonzero(np.r_[True, in_order[1:] != in_order[:-1]])
+        rows = in_order[starts]
         grads["x"][rows] += np.add.reduceat(dg[order], starts)
         self.rows.append(rows)
         self.waiting += len(targets)
@@ -283,16 +328,25 @@ class Trainer:
         rows = np.unique(np.concatenate(self.rows))
         of = {k: rows if k == "x" else slice(None) for k in grads}     # other rows of x keep their moments
         own = {k: g[of[k]] for k, g in grads.items()}
-        size = np.sqrt(sum(float((g * g).sum()) for g in own.values())) / n
-        scale = 1 / n / max(1.0, size / 1.0)
-        rate = RATE * np.sqrt(1 - 0.999 ** self.t) / (1 - 0.9 ** self.t)
+        size = float(np.sqrt(sum(float(np.vdot(g, g)) for g in own.values()))) / n
+        scale = 1 / n / max(1.0, size / 1.0)         # Python's floats leave arrays in single precision
+        rate = RATE * (1 - 0.999 ** self.t) ** 0.5 / (1 - 0.9 ** self.t)
         for k, g in own.items():
-            g = g * scale
-            m, v = self.m[k][of[k]], self.v[k][of[k]]
-            m = m + 0.1 * (g - m)
-            v = v + 0.001 * (g * g - v)
-            self.m[k][of[k]], self.v[k][of[k]] = m, v
-            self.w[k][of[k]] -= (rate * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
+            m, v = self.m[k][of[k]], self.v[k][of[k]]       # copies for rows, the arrays themselves elsewhere
+            g *= 0.1 * scale
+            m *= 0.9
+            m += g
+            g *= g
+            g *= 0.1                                        # 0.001 of the square
+            v *= 0.999
+            v += g
+            move = np.sqrt(v)
+            move += 1e-8
+            np.divide(m, move, out=move)
+            move *= rate
+            self.w[k][of[k]] -= move
+            if k == "x":
+                self.m[k][rows], self.v[k][rows] = m, v
             grads[k][of[k]] = 0
         self.rows, self.waiting = [], 0
 
@@ -323,7 +377,7 @@ def train(texts: DataFrame, vocabulary, weights: dict[str, np.ndarray], rounds:
             def ids_of():
                 for part in slices(batches):
                     for text in part.column(0).to_pylist():
-                        ids = [place.get(w, head) for w in words_of(text)]
+                        ids = list(map(place.get, words_of(text), repeat(head)))
                         ids.append(end)
                         yield np.minimum(np.array(ids, np.int32), head)
 
@@ -361,16 +415,16 @@ def score_texts(w, y_of: list[np.ndarray], end: int) -> np.ndarray:
     h = np.zeros((len(order), HIDDEN), np.float32)
     x = np.full(len(order), end)
     window, states, targets, owners = 0, [], [], []
-    for t in range(int(lengths[0])):
-        n = int(np.searchsorted(-lengths, -t, "left"))
+    running, every = np.searchsorted(-lengths, -np.arange(lengths[0]), "left").tolist(), np.arange(len(order))
+    for t, n in enumerate(running):
         h = _step(w, x[:n], h[:n])[-1]
         y = flat[begin[:n] + t]
         states.append(h)
         targets.append(y)
-        owners.append(np.arange(n))
+        owners.append(every[:n])
         window += n
         x = y
-        if window >= 65_536 or t + 1 == lengths[0]:
+        if window >= 16_384 or t + 1 == lengths[0]:
             log_p, _ = output(w, np.vstack(states), np.concatenate(targets))
             scores += np.bincount(np.concatenate(owners), log_p, len(order))
             window, states, targets, owners = 0, [], [], []
@@ -404,27 +458,27 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", kno
         rarer_gc()
         voc = shared.value
         w, head = _weights_of(weights.value, voc.classes, voc.class_words), voc.head
-        place, counts, n_known_words = voc.place, voc.counts, len(voc.counts)
-        end = voc.end
+        place, end = voc.place, voc.end
+        base_of, rest_of = voc.base_log10(voc.counts), voc.rest_log10(voc.counts)
         held, size = [], 0
 
         def scored():
             known_of, base, n_known, n_tokens, rare, y_of, rest = [], [], [], [], [], [], []
             for _, _, text in held:
                 words = words_of(text)
-                ids = [place.get(w, -1) for w in words]
+                ids = list(map(place.get, words, repeat(-1)))
                 ids.append(place.get(b"", -1))
                 found = np.array(ids)
-                rare.append([w.decode() for w, k in zip(words, ids, strict=False) if k < 0])
-                c = counts[found[found >= 0]] if n_known_words else np.zeros(0)
+                unknown = found < 0
+                rare.append([words[k].decode() for k in np.flatnonzero(unknown[:-1]).tolist()])
+                seen = found[~unknown]
                 n_tokens.append(len(ids))
-                n_known.append(len(c))
+                n_known.append(len(seen))
                 missing_end = ids[-1] < 0       # nothing to learn from
-                base.append(float(voc.base_log10(c).sum()) + (float(voc.base_log10(0.0)) if missing_end else 0.0))
-                outside = found[found >= head]
-                rest.append(float(voc.rest_log10(counts[outside]).sum() if len(outside) else 0.0)
-                            + (float(voc.rest_log10(0.0)) if missing_end else 0.0))
-                y_of.append(np.where((found < 0) | (found > head), head, found))
+                base.append(float(base_of[seen].sum()) + (float(voc.base_log10(0.0)) if missing_end else 0.0))
+                rest.append(float(rest_of[seen[seen >= head]].sum()) + (float(voc.rest_log10(0.0)) if missing_end else 0.0))
+                found[unknown] = head
+                y_of.append(np.minimum(found, head))
             scores = score_texts(w, y_of, end) + np.array(rest)
             return pa.RecordBatch.from_arrays(
                 [pa.array([d for d, _, _ in held], pa.int64()), pa.array([x for _, x, _ in held], pa.bool_()),

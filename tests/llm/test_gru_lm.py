@@ -140,3 +140,29 @@ def test_classes_follow_the_vocabulary():
     assert all((packed[k] == w[k]).all() for k in w)
     scores = gru_lm.score_texts(w, [np.array([y]) for y in range(large.head + 1)], 0)
     assert abs(sum(10 ** scores) - 1) < 1e-4
+
+
+def test_softmax_with_and_without_a_shift(small, monkeypatch):
+    """Small logits need no shift, large ones get one; both give the same."""
+    w, rng = small
+    states, y = np.tanh(rng.normal(0, 2, (400, gru_lm.HIDDEN))), rng.integers(0, gru_lm.HEAD + 1, 400)
+    both = []
+    for largest in (60.0, 0.0):
+        monkeypatch.setattr(gru_lm, "LARGEST", largest)
+        grads = {k: np.zeros_like(v) for k, v in w.items()}
+        both.append((*gru_lm.output(w, states, y, grads), *(grads[k] for k in ("wc", "bc", "ww", "bw"))))
+    assert all(np.allclose(a, b, atol=1e-12) for a, b in zip(*both, strict=True))
+    large = {k: v * (1000 if k in ("wc", "ww") else 1) for k, v in w.items()}
+    monkeypatch.setattr(gru_lm, "LARGEST", 60.0)
+    assert not gru_lm._small(large) and np.isfinite(gru_lm.output(large, states, y)[0]).all()
+
+
+def test_training_stays_in_single_precision(small):
+    w, rng = small
+    seen = []
+    trainer = gru_lm.Trainer({k: v.astype(np.float32) for k, v in w.items()})
+    sqrt = np.sqrt
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(gru_lm.np, "sqrt", lambda x, *a: seen.append(getattr(x, "dtype", None)) or sqrt(x, *a))
+        trainer.texts([rng.integers(0, 300, 50)], 0)
+    assert seen and all(d in (None, np.float32) for d in seen)
