@@ -55,6 +55,7 @@ SLICE_DISTINCT = 1 << 17     # distinct words of a slice, about
 MEMO_UNITS = 1 << 18         # cut words that a worker keeps
 MEMO_CHARS = 64              # longer words are not kept
 TOGETHER = 8192              # words cut by one call, at most
+ALIGNED_TOGETHER = 16_384    # words aligned at once
 LINE_UNITS = 64              # words of a line that the libraries get
 TOGETHER_CHARS = 1 << 20     # and their characters, about
 TEXTS_TOGETHER = 256         # texts whose pairs are made distinct at once
@@ -227,10 +228,18 @@ class Aligned:
     ``pairs`` the packed id pairs of all links, word by word."""
 
     def __init__(self, records: list[bytes], cutter: Cutter) -> None:
+        parts = [self._part(records[at:at + ALIGNED_TOGETHER], cutter) for at in range(0, max(1, len(records)), ALIGNED_TOGETHER)]
+        *figures, groups = zip(*parts, strict=True)
+        self.n_a, self.n_b, self.n_groups, self.n_links, self.pairs = map(np.concatenate, figures)
+        self.groups = list(chain.from_iterable(groups))
+
+    @staticmethod
+    def _part(records: list[bytes], cutter: Cutter) -> tuple:
+        """``n_a, n_b, n_groups, n_links, pairs, groups`` of some of the words."""
         flat = np.frombuffer(b"".join(records), np.int32).astype(np.int64)
         sizes = np.fromiter(map(len, records), np.int64, len(records)) // 4
         first = np.cumsum(sizes) - sizes
-        self.n_a, self.n_b = n_a, n_b = flat[first], flat[first + 1]
+        n_a, n_b = flat[first], flat[first + 1]
         ids_a, ids_b = flat[_ranges(first + 2, n_a)], flat[_ranges(first + 2 + 2 * n_a, n_b)]
         rel_a, rel_b = flat[_ranges(first + 2 + n_a, n_a)], flat[_ranges(first + 2 + 2 * n_a + n_b, n_b)]
         # all words on one line of bytes; both rows of tokens end at each word's end
@@ -242,10 +251,10 @@ class Aligned:
         # between two neighbouring ends lies one token of each: a link
         cuts = np.union1d(ends_a, ends_b)
         a, b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
-        self.pairs = ids_a[a] << B_BITS | ids_b[b]
-        self.n_links = np.bincount(word_a[a], minlength=len(records))
+        pairs = ids_a[a] << B_BITS | ids_b[b]
+        n_links = np.bincount(word_a[a], minlength=len(records))
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        self.n_groups = np.bincount(word_a[np.searchsorted(ends_a, common)], minlength=len(records))
+        n_groups = np.bincount(word_a[np.searchsorted(ends_a, common)], minlength=len(records))
         group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
         last_a, last_b = np.diff(group_a, append=-1) != 0, np.diff(group_b, append=-1) != 0
         shift = len(cutter.a_bytes)
@@ -254,7 +263,7 @@ class Aligned:
         text = b"".join(cutter.written[part[order]].tolist())
         length = _sums(np.r_[word_a, word_b][order], cutter.written_size[part[order]], len(records))
         edge = np.r_[0, np.cumsum(length)].tolist()
-        self.groups = [text[x:y] for x, y in zip(edge[:-1], edge[1:], strict=True)]
+        return n_a, n_b, n_groups, n_links, pairs, [text[x:y] for x, y in zip(edge[:-1], edge[1:], strict=True)]
 
 
 class Memo(dict):

@@ -146,3 +146,19 @@ def test_a_slice_of_many_distinct_words(spark):
     ids_a, ids_b = LIBRARY_A.encode(" " + text, add_special_tokens=False).ids, LIBRARY_B.encode(text)
     assert (got[1].n_a, got[1].n_b) == (len(ids_a), len(ids_b)) and got[3].n_a == 0
     assert got[1].count_sum >= got[1].n_links and got[2].count_sum >= 2 * got[2].n_links
+
+
+def test_words_are_aligned_in_parts(monkeypatch):
+    """Any number of words at once gives the same; the arrays of a part stay small."""
+    cutter = token_align.Cutter(A, B)
+    records = cutter.cut(["hello", "wörld", "漢字", "x\x00y", "▁", "", "the"] * 3)
+    whole, seen, part = token_align.Aligned(records, cutter), [], token_align.Aligned._part
+    monkeypatch.setattr(token_align.Aligned, "_part", staticmethod(lambda some, c: seen.append(len(some)) or part(some, c)))
+    for size in (1, 4, 100):
+        monkeypatch.setattr(token_align, "ALIGNED_TOGETHER", size)
+        parts = token_align.Aligned(records, cutter)
+        assert parts.groups == whole.groups
+        assert all((getattr(parts, k) == getattr(whole, k)).all() for k in ("n_a", "n_b", "n_groups", "n_links", "pairs"))
+        assert max(seen) == min(size, len(records))
+        seen.clear()
+    assert token_align.Aligned([], cutter).groups == []
