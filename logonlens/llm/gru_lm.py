@@ -30,17 +30,16 @@ Repeated rows each give a row. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain, islice, repeat
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logonlens.llm.byte_bpe import rarer_gc, slices
 from logonlens.llm.common import cut, document_rows
 
 FOLDS, HELD_OUT = 5, 1
@@ -48,6 +47,7 @@ KNOWN = 100_000               # words of the broadcast table
 CLASSES, CLASS_WORDS = 32, 64   # up to a vocabulary of ``CLASSED`` words
 CLASSED = 80_000
 HIDDEN = 24
+FLAT = 1 << 19                # tokens of running and ended texts kept before the ended ones go
 STEPS = 16                    # tokens that a gradient goes back
 TRAIN_TEXTS = 512             # texts trained side by side
 UPDATE_TOKENS = 2048          # least tokens of an update, but for a partition's last one
@@ -55,13 +55,50 @@ ROUNDS = 3                    # averagings of the partitions' weights; a text is
 RATE = 0.02
 SCORE_TEXTS = 4096            # texts scored side by side, at most
 SCORE_BYTES = 16 << 20        # and their bytes
-MAX_COUNTED = 500_000         # distinct words a task holds before it sends them on
+SCORE_TOKENS = 16_384         # least tokens of a window in scoring, but for the last one
+COUNTED = 4_000_000           # words a task holds before it counts them and sends the counts on
+TOKENIZED_TEXTS, TOKENIZED_BYTES = 1024, 4 << 20     # texts split into words at once, at most
 END = ""                      # the end token's name; no word is empty
 HEAD = CLASSES * CLASS_WORDS
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.lower().split()
+def portions(batches: Iterable[pa.RecordBatch], column: int, rows: int, size: int) -> Iterator[pa.Table]:
+    """All rows in order, so many at once, or fewer once the texts (in ``column``) have ``size`` bytes."""
+    held, n, full = [], 0, 0
+    for batch in batches:
+        start = 0
+        for k, length in enumerate(pc.binary_length(batch.column(column)).to_pylist(), 1):
+            n, full = n + 1, full + length
+            if n >= rows or full >= size:
+                yield pa.Table.from_batches([*held, batch.slice(start, k - start)]).combine_chunks()
+                held, n, full, start = [], 0, 0, k
+        if start < batch.num_rows:
+            held.append(batch.slice(start))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def words_of(texts: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """The words of ``texts`` (binary, none null) one after another, and how many each text has."""
+    texts = texts.chunk(0)
+    text = texts.view(pa.large_string() if pa.types.is_large_binary(texts.type) else pa.string())
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(text))
+    words, ends = lists.flatten(), lists.offsets.to_numpy()
+    real = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0       # white space at an end leaves an empty string
+    if not real.all():
+        words, ends = words.filter(pa.array(real)), np.r_[0, np.cumsum(real)][ends]
+    return words.cast(pa.string()), np.diff(ends).astype(np.int64)
+
+
+def places(words: pa.Array, known: pa.Array, other: int) -> np.ndarray:
+    """The place of each word among the ``known`` ones, ``other`` for the rest."""
+    return pc.index_in(words, value_set=known).fill_null(other).to_numpy(zero_copy_only=False)
+
+
+def with_ends(ids: np.ndarray, lengths: np.ndarray, end: int) -> list[np.ndarray]:
+    """Each text's ids, an end token after them."""
+    stops = np.cumsum(lengths)
+    return np.split(np.insert(ids, stops, end), (stops + np.arange(1, len(stops) + 1))[:-1])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -73,21 +110,20 @@ def held_out(doc_id: Column) -> Column:
 def word_counts(texts: DataFrame) -> DataFrame:
     """``word, c`` over all rows of ``texts`` (text: binary); the end token is ``END``."""
     def work(batches):
-        rarer_gc()
-        counts: Counter = Counter()
+        held, size = [], 0
 
         def sent():
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()).cast(pa.string()),
-                                               pa.array(list(counts.values()), pa.int64())], ["word", "c"])
-
-        for part in slices(batches):
-            for text in part.column(0).to_pylist():
-                counts.update(words_of(text))
-            counts[b""] += part.num_rows
-            if len(counts) > MAX_COUNTED:
+            counts = pa.chunked_array(held).value_counts()
+            return pa.RecordBatch.from_arrays([counts.field(0), counts.field(1)], ["word", "c"])
+
+        for part in portions(batches, 0, TOKENIZED_TEXTS, TOKENIZED_BYTES):
+            words, _ = words_of(part.column(0))
+            held += [words, pa.array([END]).take(pa.array(np.zeros(part.num_rows, np.int32)))]
+            size += len(words)
+            if size > COUNTED:
                 yield sent()
-                counts.clear()
-        if counts:
+                held, size = [], 0
+        if held:
             yield sent()
 
     return texts.mapInArrow(work, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
@@ -103,12 +139,12 @@ class Vocabulary:
     """The known words by falling count. The first ``head`` of them have classes of their own."""
 
     def __init__(self, words: list[str], counts: list[int], total: int, distinct: int):
-        self.place = {w.encode(): k for k, w in enumerate(words)}
+        self.words = pa.array(words, pa.string())
         self.counts = np.array(counts, dtype=np.float64)
         self.total, self.distinct = total, distinct
         self.classes, self.class_words = layout(distinct)
         self.head = self.classes * self.class_words
-        self.end = min(self.head, self.place.get(b"", self.head))
+        self.end = min(self.head, words.index(END)) if END in words else self.head
         # what all words outside the head have, with half a count for each and for a new word
         self.rest = total - self.counts[:self.head].sum() + 0.5 * (max(0, distinct - self.head) + 1)
         self.denominator = total + 0.5 * (distinct + 1)
@@ -149,17 +185,53 @@ def initial(vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     return {k: v.astype(np.float32) for k, v in w.items()}
 
 
-def _sigmoid(x):
-    return 1 / (1 + np.exp(-x))
-
-
-def _step(w, x, h):
-    """One step of the unit: gates, candidate and new state."""
-    g = w["x"][x]
-    gates = _sigmoid(g[:, :2 * HIDDEN] + h @ w["u"][:, :2 * HIDDEN])
-    z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-    n = np.tanh(g[:, 2 * HIDDEN:] + (r * h) @ w["u"][:, 2 * HIDDEN:])
-    return z, r, n, h + z * (n - h)
+def _planes(weights):
+    """The parts for the update gate, the reset gate and the candidate, each on its own."""
+    return np.ascontiguousarray(weights.reshape(len(weights), 3, HIDDEN).transpose(1, 0, 2))
+
+
+def _unroll(x, u, words, h, running):
+    """The unit over a window: ``words`` step after step, ``running`` texts in each, the first ones
+    of the step before. ``x`` and ``u`` are planes. Gives gates, candidates, states before and after
+    each step and what the reset gate lets through of those before."""
+    gates, c = x[:2].take(words, axis=1), x[2].take(words, axis=0)
+    np.negative(gates, out=gates)
+    ug, uc = -u[:2], u[2]
+    before, reset, states = (np.empty_like(c) for _ in range(3))
+    start = 0
+    for n in running:
+        at = slice(start, start + n)
+        start += n
+        old, gate, candidate, new = before[at], gates[:, at], c[at], states[at]
+        old[:] = h[:n]
+        gate += old @ ug
+        np.exp(gate, out=gate)
+        gate += 1
+        np.reciprocal(gate, out=gate)
+        candidate += np.multiply(gate[1], old, out=reset[at]) @ uc
+        np.tanh(candidate, out=candidate)
+        np.subtract(candidate, old, out=new)
+        new *= gate[0]
+        new += old
+        h = new
+    return gates, c, before, reset, states
+
+
+def _alike(keys, size):
+    """An order that brings equal ``keys`` (below ``size``) together, and the keys that are there
+    equally often next to each other; those keys; and for each number of times the slice of them, the
+    slice of the order and that number."""
+    counts = np.bincount(keys, minlength=size)
+    there = np.flatnonzero(counts)
+    there = there[np.argsort(counts[there], kind="stable")]
+    place = np.empty(size, np.int16 if size < 1 << 15 else np.int32)      # the narrow type sorts fast
+    place[there] = np.arange(len(there))
+    often = counts[there]
+    cuts = [0, *(np.flatnonzero(often[1:] != often[:-1]) + 1).tolist(), len(there)]
+    ends = np.r_[0, np.cumsum(often)].tolist()
+    often = often.tolist()
+    groups = [(slice(i, j), slice(ends[i], ends[j]), often[i]) for i, j in zip(cuts[:-1], cuts[1:], strict=True) if i < j]
+    return np.argsort(place[keys], kind="stable"), there, groups
 
 
 def _small(w) -> bool:
@@ -184,11 +256,13 @@ def _to_gradient(e, total, picked):
     e[np.arange(len(picked)), picked] -= 1
 
 
-def output(w, h, y, grads=None):
+def output(w, h, y, grads=None, small=None):
     """Log probability (natural) of the head words or classes ``y`` under states ``h``; with
-    ``grads`` also adds up the gradients of the loss and returns that of ``h``."""
+    ``grads`` also adds up the gradients of the loss and returns that of ``h``. ``small``: what
+    ``_small`` says of the weights, if known."""
     classes, _, class_words = w["ww"].shape
-    of_class, small = y // class_words, _small(w)
+    of_class = y // class_words
+    small = _small(w) if small is None else small
     e = h @ w["wc"]
     e += w["bc"]
     log_p, total = _softmax(e, of_class, small)
@@ -197,36 +271,37 @@ def output(w, h, y, grads=None):
     if grads is not None:
         _to_gradient(e, total, of_class)
         grads["wc"] += h.T @ e
-        grads["bc"] += e.sum(0)
+        grads["bc"] += np.ones(len(e), e.dtype) @ e
         back = e @ w["wc"].T
-    order = np.argsort(_narrow(of_class, classes + 1), kind="stable")
-    cuts = np.searchsorted(of_class[order], np.arange(classes + 1)).tolist()
-    inside = order[:cuts[-1]]                   # the others are of the last class
-    own = [(c, slice(x, y)) for c, (x, y) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if x < y]
-    if own:
-        h, k = h[inside], y[inside] % class_words
-        e = np.empty((len(inside), class_words), np.result_type(h, w["ww"]))
-        for c, part in own:
-            np.matmul(h[part], w["ww"][c], out=e[part])
-            e[part] += w["bw"][c]
+    inside = np.flatnonzero(of_class < classes)     # the others are of the last class
+    if len(inside):
+        order, there, groups = _alike(of_class[inside], classes)
+        inside = inside[order]
+        k = y[inside] % class_words
+        ww = np.concatenate([w["ww"][there], w["bw"][there, None]], axis=1)
+        one = np.ones((len(inside), HIDDEN + 1), np.result_type(h, ww))         # the states, and a one for the bias
+        one[:, :HIDDEN] = h[inside]
+        e = np.empty((len(inside), class_words), one.dtype)
+        groups = [(c, one[part].reshape(-1, n, HIDDEN + 1), e[part].reshape(-1, n, class_words)) for c, part, n in groups]
+        for c, state, own in groups:                # classes with equally many rows go together
+            np.matmul(state, ww[c], out=own)
         log_p, total = _softmax(e, k, small)
         out[inside] += log_p
         if grads is not None:
             _to_gradient(e, total, k)
-            more = np.empty((len(inside), HIDDEN), e.dtype)
-            for c, part in own:
-                grads["ww"][c] += h[part].T @ e[part]
-                grads["bw"][c] += e[part].sum(0)
-                np.matmul(e[part], w["ww"][c].T, out=more[part])
-            back[inside] += more
+            more, by_ww = np.empty_like(one), np.empty_like(ww)
+            start = 0
+            for c, state, own in groups:
+                np.matmul(state.transpose(0, 2, 1), own, out=by_ww[c])
+                part = more[start:start + state.shape[0] * state.shape[1]]
+                np.matmul(own, ww[c].transpose(0, 2, 1), out=part.reshape(state.shape))
+                start += len(part)
+            grads["ww"][there] += by_ww[:, :HIDDEN]
+            grads["bw"][there] += by_ww[:, HIDDEN]
+            back[inside] += more[:, :HIDDEN]
     return out, back
 
 
-def _narrow(numbers, size: int):
-    """Numbers below ``size`` in a type that sorts fast."""
-    return numbers.astype(np.int16) if size < 1 << 15 else numbers
-
-
 class Trainer:
     """Adam over steps of truncated backpropagation."""
 
@@ -235,97 +310,107 @@ class Trainer:
         self.m = {k: np.zeros_like(v) for k, v in w.items()}
         self.v = {k: np.zeros_like(v) for k, v in w.items()}
         self.grads = {k: np.zeros_like(v) for k, v in w.items()}
-        self.rows = []                  # of ``x`` that have a gradient
+        self.rows = np.zeros(0, np.int64)       # of ``x`` that have a gradient
+        self.windows = []               # since the last update: words, running texts, _unroll's first four, gradient of the states
         self.t = self.tokens = self.waiting = 0
+        self.x, self.u, self.small = _planes(w["x"]), _planes(w["u"]), _small(w)
 
     def texts(self, docs: Iterable[np.ndarray], end: int) -> None:
         """``docs``: the head words (``head``: any other) of whole training texts, read as places
         become free."""
-        docs, running = iter(docs), []              # running: [text, place in it]
-        h = np.zeros((0, HIDDEN), np.float32)
+        docs, flat = iter(docs), np.zeros(0, np.int32)      # the running texts, each after an end token
+        at = stop = np.zeros(0, np.int64)                   # where each one is in ``flat``, and its last token
+        h = np.zeros((0, HIDDEN), self.x.dtype)
         while True:
-            new = [[d, 0] for d in islice(docs, TRAIN_TEXTS - len(running))]
-            running += new
-            if not running:
+            new = list(islice(docs, TRAIN_TEXTS - len(at)))
+            if not len(at) + len(new):
                 break
-            h = np.vstack([h, np.zeros((len(new), HIDDEN), np.float32)])
-            lengths = np.array([min(STEPS, len(d) - at) for d, at in running])
+            if new:
+                left = [flat[x:y + 1] for x, y in zip(at.tolist(), stop.tolist(), strict=True)] if len(flat) > FLAT else [flat]
+                sizes = np.array([len(d) + 1 for d in new])
+                if len(flat) > FLAT:
+                    stop = np.cumsum([len(d) for d in left], dtype=np.int64) - 1
+                    at = np.r_[0, stop[:-1] + 1] if len(stop) else stop
+                ends = sum(map(len, left)) + np.cumsum(sizes)
+                flat = np.concatenate([*left, *(part for d in new for part in ((end,), d))])
+                at, stop = np.r_[at, ends - sizes], np.r_[stop, ends - 1]
+                h = np.vstack([h, np.zeros((len(new), HIDDEN), h.dtype)])
+            lengths = np.minimum(STEPS, stop - at)
             order = np.argsort(-lengths, kind="stable")
-            running, lengths, h = [running[k] for k in order], lengths[order], h[order]
-            y = np.full((lengths[0], len(running)), end)
-            first = np.full(len(running), end)
-            for k, (d, at) in enumerate(running):
-                y[:lengths[k], k] = d[at:at + STEPS]
-                if at:
-                    first[k] = d[at - 1]
-                running[k][1] += STEPS
-            x = np.vstack([first[None], y[:-1]])
-            h = self._window(x, y, h, [int(np.searchsorted(-lengths, -t, "left")) for t in range(len(y))])
-            on = [k for k, (d, at) in enumerate(running) if at < len(d)]
-            running, h = [running[k] for k in on], h[on]
+            at, stop, lengths, h = at[order], stop[order], lengths[order], h[order]
+            step = np.arange(lengths[0])[:, None]
+            place = (at + step)[step < lengths]
+            h = self._window(flat[place], flat[place + 1], h, np.searchsorted(-lengths, -step[:, 0], "left").tolist())
+            at = at + lengths
+            on = np.flatnonzero(at < stop)                  # all of them in the last step
+            at, stop, h = at[on], stop[on], h[on]
         if self.waiting:
-            self._update(self.grads, self.waiting)
-
-    def _window(self, x, y, h, running):
-        w, grads = self.w, self.grads
-        words, targets = (np.concatenate([of[t, :n] for t, n in enumerate(running)]) for of in (x, y))
-        ends = np.cumsum(running).tolist()
-        own = [slice(end - n, end) for end, n in zip(ends, running, strict=True)]
-        ug, uc = (np.ascontiguousarray(part) for part in np.hsplit(w["u"], [2 * HIDDEN]))
-        gates, c = (part[words] for part in np.hsplit(w["x"], [2 * HIDDEN]))       # and candidates of all steps
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        before, reset, states = (np.empty_like(c) for _ in range(3))
-        h = h.astype(c.dtype)
-        for at, n in zip(own, running, strict=True):
-            old, new, gate, candidate = before[at], states[at], gates[at], c[at]
-            old[:] = h[:n]
-            gate += old @ ug
-            np.negative(gate, out=gate)
-            np.exp(gate, out=gate)
-            gate += 1
-            np.reciprocal(gate, out=gate)
-            candidate += np.multiply(r[at], old, out=reset[at]) @ uc
-            np.tanh(candidate, out=candidate)
-            np.subtract(candidate, old, out=new)
-            new *= z[at]
-            new += old
-            h[:n] = new
-        _, back = output(w, states, targets, grads)
+            self._learn()
+
+    def _window(self, words, targets, h, running):
+        *kept, states = _unroll(self.x, self.u, words, h, running)
+        _, back = output(self.w, states, targets, self.grads, self.small)
+        self.windows.append((words, running, *kept, back))
+        self.waiting += len(targets)
+        if self.waiting >= UPDATE_TOKENS:
+            self._learn()
+        return states[len(states) - running[-1]:]
+
+    def _together(self):
+        """The windows since the last update side by side, as one."""
+        if len(self.windows) == 1:
+            return self.windows[0]
+        words, running, gates, *rows = zip(*self.windows, strict=True)
+        lengths = [(np.array(n)[:, None] > np.arange(n[0])).sum(0) for n in running]
+        first = np.cumsum([0, *map(len, lengths)])
+        texts = np.concatenate([f + np.concatenate([np.arange(k) for k in n]) for f, n in zip(first, running, strict=False)])
+        steps = np.concatenate([np.repeat(np.arange(len(n)), n) for n in running])
+        place = np.empty(first[-1], np.int64)       # the longest first, so a step's texts are the first of the step before
+        place[np.argsort(-np.concatenate(lengths), kind="stable")] = np.arange(first[-1])
+        order = np.argsort(steps * first[-1] + place[texts])
+        return (np.concatenate(words)[order], np.bincount(steps).tolist(), np.concatenate(gates, axis=1)[:, order],
+                *(np.concatenate(part)[order] for part in rows))
+
+    def _learn(self):
+        """Back through the windows since the last update, and an update."""
+        grads, (words, running, gates, c, before, reset, back) = self.grads, self._together()
+        z, r = gates
         keep = 1 - z
         of_c, of_z, of_r = z * (1 - c * c), (c - before) * z * keep, reset * (1 - r)
-        ug, uc = ug.T.copy(), uc.T.copy()
-        dg = np.empty((len(words), 3 * HIDDEN), c.dtype)
-        carried = np.zeros((0, HIDDEN), c.dtype)
-        for at in reversed(own):
-            dh, d = back[at], dg[at]
+        uz, ur, uc = (part.T.copy() for part in self.u)
+        dg = np.empty((3, len(words), HIDDEN), c.dtype)
+        dz, dr, dc = dg
+        carried, end = np.zeros((0, HIDDEN), c.dtype), len(words)
+        for n in reversed(running):
+            at = slice(end - n, end)
+            end -= n
+            dh = back[at]
             dh[:len(carried)] += carried
-            dc = dh * of_c[at]
-            drh = dc @ uc
-            np.multiply(dh, of_z[at], out=d[:, :HIDDEN])
-            np.multiply(drh, of_r[at], out=d[:, HIDDEN:2 * HIDDEN])
-            d[:, 2 * HIDDEN:] = dc
+            drh = np.multiply(dh, of_c[at], out=dc[at]) @ uc
+            np.multiply(dh, of_z[at], out=dz[at])
+            np.multiply(drh, of_r[at], out=dr[at])
             drh *= r[at]
             dh *= keep[at]
             drh += dh
-            drh += d[:, :2 * HIDDEN] @ ug
+            drh += dz[at] @ uz
+            drh += dr[at] @ ur
             carried = drh
-        grads["u"][:, :2 * HIDDEN] += before.T @ dg[:, :2 * HIDDEN]
-        grads["u"][:, 2 * HIDDEN:] += reset.T @ dg[:, 2 * HIDDEN:]
-        order = np.argsort(_narrow(words, len(w["x"])), kind="stable")
-        in_order = words[order]
-        starts = np.flatnonzero(np.r_[True, in_order[1:] != in_order[:-1]])
-        rows = in_order[starts]
-        grads["x"][rows] += np.add.reduceat(dg[order], starts)
-        self.rows.append(rows)
-        self.waiting += len(targets)
-        if self.waiting >= UPDATE_TOKENS:
-            self._update(grads, self.waiting)
-        return h
+        for k, of in enumerate((before, before, reset)):
+            grads["u"][:, k * HIDDEN:(k + 1) * HIDDEN] += of.T @ dg[k]
+        order, rows, groups = _alike(words, len(self.w["x"]))
+        dg, dx = dg.take(order, axis=1), np.empty((3, len(rows), HIDDEN), c.dtype)
+        for of, part, n in groups:
+            np.sum(dg[:, part].reshape(3, -1, n, HIDDEN), axis=2, out=dx[:, of])
+        grads["x"][rows] = dx.transpose(1, 0, 2).reshape(-1, 3 * HIDDEN)
+        self.rows, self.windows = rows, []
+        self._update(grads, self.waiting)
+        self.x[:, rows] = self.w["x"][rows].reshape(-1, 3, HIDDEN).transpose(1, 0, 2)
+        self.u, self.small = _planes(self.w["u"]), _small(self.w)
 
     def _update(self, grads, n):
         self.t += 1
         self.tokens += n
-        rows = np.unique(np.concatenate(self.rows))
+        rows = self.rows
         of = {k: rows if k == "x" else slice(None) for k in grads}     # other rows of x keep their moments
         own = {k: g[of[k]] for k, g in grads.items()}
         size = float(np.sqrt(sum(float(np.vdot(g, g)) for g in own.values()))) / n
@@ -348,7 +433,7 @@ class Trainer:
             if k == "x":
                 self.m[k][rows], self.v[k][rows] = m, v
             grads[k][of[k]] = 0
-        self.rows, self.waiting = [], 0
+        self.waiting = 0
 
 
 def _pack(w: dict[str, np.ndarray]) -> bytes:
@@ -372,14 +457,13 @@ def train(texts: DataFrame, vocabulary, weights: dict[str, np.ndarray], rounds:
 
         def work(batches, shared=shared):
             known = vocabulary.value
-            place, head, end = known.place, known.head, known.end
+            head, end = known.head, known.end
+            words = known.words.slice(0, head)       # by falling count
 
             def ids_of():
-                for part in slices(batches):
-                    for text in part.column(0).to_pylist():
-                        ids = list(map(place.get, words_of(text), repeat(head)))
-                        ids.append(end)
-                        yield np.minimum(np.array(ids, np.int32), head)
+                for part in portions(batches, 0, TOKENIZED_TEXTS, TOKENIZED_BYTES):
+                    found, lengths = words_of(part.column(0))
+                    yield from with_ends(places(found, words, head), lengths, end)
 
             docs = ids_of()
             first = next(docs, None)
@@ -409,25 +493,23 @@ def score_texts(w, y_of: list[np.ndarray], end: int) -> np.ndarray:
     """Log10 probability of each text's head words and classes, the state carried through it."""
     order = sorted(range(len(y_of)), key=lambda k: -len(y_of[k]))
     lengths = np.array([len(y_of[k]) for k in order])
-    flat = np.concatenate([y_of[k] for k in order])
-    begin = np.cumsum(lengths) - lengths
+    flat = np.concatenate([part for k in order for part in ((end,), y_of[k])])     # each after an end token
+    begin = np.cumsum(lengths + 1) - lengths - 1
     scores = np.zeros(len(order))
-    h = np.zeros((len(order), HIDDEN), np.float32)
-    x = np.full(len(order), end)
-    window, states, targets, owners = 0, [], [], []
+    x, u, small = _planes(w["x"]), _planes(w["u"]), _small(w)
     running, every = np.searchsorted(-lengths, -np.arange(lengths[0]), "left").tolist(), np.arange(len(order))
-    for t, n in enumerate(running):
-        h = _step(w, x[:n], h[:n])[-1]
-        y = flat[begin[:n] + t]
-        states.append(h)
-        targets.append(y)
-        owners.append(every[:n])
-        window += n
-        x = y
-        if window >= 16_384 or t + 1 == lengths[0]:
-            log_p, _ = output(w, np.vstack(states), np.concatenate(targets))
-            scores += np.bincount(np.concatenate(owners), log_p, len(order))
-            window, states, targets, owners = 0, [], [], []
+    t, h = 0, np.zeros((len(order), HIDDEN), np.float32)
+    while t < len(running):
+        upto, size = t, 0
+        while upto < len(running) and size < SCORE_TOKENS:
+            size += running[upto]
+            upto += 1
+        owners = np.concatenate([every[:n] for n in running[t:upto]])
+        place = begin[owners] + np.repeat(np.arange(t, upto), running[t:upto])
+        states = _unroll(x, u, flat[place], h, running[t:upto])[-1]
+        log_p, _ = output(w, states, flat[place + 1], small=small)
+        scores += np.bincount(owners, log_p, len(order))
+        h, t = states[size - running[upto - 1]:], upto
     out = np.empty(len(order))
     out[order] = scores / np.log(10)
     return out
@@ -455,52 +537,35 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", kno
     weights = spark.sparkContext.broadcast(_pack(train(seeds, shared, initial(vocabulary), rounds)))
 
     def work(batches):
-        rarer_gc()
         voc = shared.value
         w, head = _weights_of(weights.value, voc.classes, voc.class_words), voc.head
-        place, end = voc.place, voc.end
-        base_of, rest_of = voc.base_log10(voc.counts), voc.rest_log10(voc.counts)
-        held, size = [], 0
-
-        def scored():
-            known_of, base, n_known, n_tokens, rare, y_of, rest = [], [], [], [], [], [], []
-            for _, _, text in held:
-                words = words_of(text)
-                ids = list(map(place.get, words, repeat(-1)))
-                ids.append(place.get(b"", -1))
-                found = np.array(ids)
-                unknown = found < 0
-                rare.append([words[k].decode() for k in np.flatnonzero(unknown[:-1]).tolist()])
-                seen = found[~unknown]
-                n_tokens.append(len(ids))
-                n_known.append(len(seen))
-                missing_end = ids[-1] < 0       # nothing to learn from
-                base.append(float(base_of[seen].sum()) + (float(voc.base_log10(0.0)) if missing_end else 0.0))
-                rest.append(float(rest_of[seen[seen >= head]].sum()) + (float(voc.rest_log10(0.0)) if missing_end else 0.0))
-                found[unknown] = head
-                y_of.append(np.minimum(found, head))
-            scores = score_texts(w, y_of, end) + np.array(rest)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([d for d, _, _ in held], pa.int64()), pa.array([x for _, x, _ in held], pa.bool_()),
-                 pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base), pa.array(scores),
-                 pa.array(rare, pa.list_(pa.string()))],
+        base_of, rest_of = (np.r_[of(voc.counts), of(0.0)] for of in (voc.base_log10, voc.rest_log10))
+        rest_of[:head] = 0
+        last = len(voc.words)                   # the place of other words; only an end nobody learned from counts here
+        end = voc.words.index(END).as_py()
+        end = last if end < 0 else end
+        for part in portions(batches, 2, SCORE_TEXTS, SCORE_BYTES):
+            words, lengths = words_of(part.column(2))
+            ids = places(words, voc.words, last)
+            rare = ids == last
+            texts = np.arange(len(lengths))
+            owners, before = np.repeat(texts, lengths), np.r_[0, np.cumsum(lengths)]
+            rares = np.r_[0, np.cumsum(rare)][before]
+            known, of = ids[~rare], owners[~rare]
+            base = np.bincount(of, base_of[known], len(texts)) + base_of[end]
+            rest = np.bincount(of, rest_of[known], len(texts)) + rest_of[end]
+            scores = score_texts(w, with_ends(np.minimum(ids, head), lengths, voc.end), voc.end) + rest
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(k).combine_chunks() for k in range(2)), pa.array(lengths + 1),
+                 pa.array(lengths - np.diff(rares) + (end < last)), pa.array(base), pa.array(scores),
+                 pa.ListArray.from_arrays(pa.array(rares, pa.int32()), words.filter(pa.array(rare)))],
                 ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"])
 
-        for part in slices(batches):
-            for row in zip(*(part.column(k).to_pylist() for k in range(3)), strict=True):
-                held.append(row)
-                size += len(row[2])
-                if len(held) >= SCORE_TEXTS or size >= SCORE_BYTES:
-                    yield scored()
-                    held, size = [], 0
-        if held:
-            yield scored()
-
     first = docs.mapInArrow(work, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, "
                                   "score double, rare array<string>")
     first = cut(first.withColumn("row", F.monotonically_increasing_id()), "lm-scores")
     c = F.coalesce(F.col("c"), F.lit(0))
-    rare = first.select("row", F.explode("rare").alias("word")).join(counts, "word", "left").groupBy("row").agg(
+    rare = first.select("row", F.explode("rare").alias("word")).join(counts.hint("shuffle_hash"), "word", "left").groupBy("row").agg(
         F.sum((c > 0).cast("long")).alias("more_known"),
         F.sum(F.log10((c + 0.5) / F.lit(float(vocabulary.denominator)))).alias("more_base"),
         F.sum(F.log10((c + 0.5) / F.lit(float(vocabulary.rest)))).alias("more_score"))
