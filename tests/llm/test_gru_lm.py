@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_data import edge_docs, no_docs, texts_of  # noqa: F401
 
@@ -166,3 +167,56 @@ def test_training_stays_in_single_precision(small):
         patch.setattr(gru_lm.np, "sqrt", lambda x, *a: seen.append(getattr(x, "dtype", None)) or sqrt(x, *a))
         trainer.texts([rng.integers(0, 300, 50)], 0)
     assert seen and all(d in (None, np.float32) for d in seen)
+
+
+def test_words_split_by_arrow_are_those_of_bytes():
+    texts = [b" A  b\x0bC\x0c", b"", b" \t\n", "x\x1cy\x85 Äß z".encode(), b"one", b"\r\nlast One "]
+    words, lengths = gru_lm.words_of(pa.chunked_array([pa.array(texts, pa.binary())]))
+    plain = [t.lower().split() for t in texts]
+    assert [w.encode() for w in words.to_pylist()] == sum(plain, []) and lengths.tolist() == list(map(len, plain))
+    ids = gru_lm.with_ends(np.arange(len(words)), lengths, -1)
+    assert [len(d) - 1 for d in ids] == lengths.tolist() and all(d[-1] == -1 for d in ids)
+
+
+def test_portions_hold_all_rows_in_order():
+    texts = [b"x" * (k * 7 % 11) for k in range(50)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[k:k + 13], pa.binary())], ["text"]) for k in range(0, 50, 13)]
+    for rows, size in ((4, 10 ** 9), (100, 20), (100, 10 ** 9), (1, 1)):
+        parts = [p.column(0).to_pylist() for p in gru_lm.portions(batches, 0, rows, size)]
+        assert sum(parts, []) == texts
+        assert all(len(p) <= rows and sum(map(len, p[:-1])) < size for p in parts)
+
+
+def test_small_windows_go_back_side_by_side(small, monkeypatch):
+    """The windows of an update take one pass back, with the gradients of each one's own."""
+    w, rng = small
+    docs = [rng.integers(0, 300, n) for n in (70, 45, 3, 16, 33)]
+    got = []
+    for tokens in (1, 10_000):
+        monkeypatch.setattr(gru_lm, "UPDATE_TOKENS", tokens)
+        trainer, seen = gru_lm.Trainer(w), []
+
+        def update(grads, n, trainer=trainer, seen=seen):
+            seen.append({k: g.copy() for k, g in grads.items()})
+            trainer.waiting = 0
+            for g in grads.values():
+                g[:] = 0
+
+        trainer._update = update
+        trainer.texts(iter(docs), 0)
+        got.append(seen)
+    assert len(got[0]) == 5 and len(got[1]) == 1
+    for k in gru_lm.SHAPES:
+        assert np.allclose(sum(g[k] for g in got[0]), got[1][0][k], atol=1e-10)
+
+
+def test_ended_texts_leave_the_tokens_kept(small, monkeypatch):
+    w, rng = small
+    docs, seen = [rng.integers(0, 300, n) for n in (40, 1, 16, 100, 3, 17, 33)], []
+    monkeypatch.setattr(gru_lm, "TRAIN_TEXTS", 3)
+    for kept in (10, 10 ** 6):
+        monkeypatch.setattr(gru_lm, "FLAT", kept)
+        trainer = gru_lm.Trainer(w)
+        trainer.texts(iter(docs), 0)
+        seen.append(trainer.w)
+    assert all((seen[0][k] == seen[1][k]).all() for k in w)
