@@ -112,11 +112,12 @@ def links(reps: DataFrame, max_bits: int, segments: int = SEGMENTS, bucket_rows:
                        for m in flips(low, width, radius)]) for k, (low, width, radius) in enumerate(looked)]
     probes = reps.select("fp", F.explode(F.concat(*balls)).alias("p")).select(
         "fp", "p.seg", "p.flip", F.col("fp").bitwiseXOR(F.col("p.flip")).bitwiseAND(seg[F.col("p.seg")]).alias("key"))
-    # a look-up of its own value meets at least the fingerprint itself
-    hits = cut(probes.join(sizes, ["seg", "key"]).where((F.col("flip") != 0) | (F.col("n") > 1)), "simhash-hits")
+    # Spark sizes a table after an explode as if it had no more rows, and would send it to the driver: both joins are by
+    # shuffle. A look-up of its own value meets at least the fingerprint itself.
+    hits = cut(probes.hint("merge").join(sizes, ["seg", "key"]).where((F.col("flip") != 0) | (F.col("n") > 1)), "simhash-hits")
 
     small = hits.where(F.col("n") <= bucket_rows).drop("n") \
-        .join(index.withColumnRenamed("fp", "other"), ["seg", "key"]) \
+        .join(index.withColumnRenamed("fp", "other").hint("merge"), ["seg", "key"]) \
         .select(F.col("fp").alias("x"), F.col("other").alias("y")) \
         .where(F.bit_count(F.col("x").bitwiseXOR(F.col("y"))).between(1, max_bits))
 
@@ -142,8 +143,9 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         # large star: every node's larger neighbours move to its smallest neighbour
         both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        # (each has its row in least: of a left join only that side, of known size, can be broadcast)
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where(F.col("b") > F.col("a")).join(least, "a") \
+        large = both.where(F.col("b") > F.col("a")).join(least, "a", "left") \
             .select(F.col("m").alias("a"), "b").distinct()
         # small star: every node and its smaller neighbours move to the smallest of them
         least = large.groupBy("b").agg(F.min("a").alias("m"))
@@ -171,5 +173,6 @@ def near_duplicates(df: DataFrame, shingle_words: int, max_bits: int, id_col: st
         .select("fp", "first", F.coalesce("component", "fp").alias("component"))
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
     of_fp = named.select("fp", "component").join(smallest, "component").select("fp", "component_id", "component")
-    return docs.join(of_fp, "fp").select(
+    # files may be far smaller than their rows: docs are not to be broadcast
+    return docs.hint("merge").join(of_fp, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *(["component", *keep] if keep else []))

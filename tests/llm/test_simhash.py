@@ -4,6 +4,7 @@ import re
 import pytest
 import xxhash
 from llm_data import edge_docs, no_docs, SMALL, texts_of  # noqa: F401
+from pyspark.sql import functions as F
 
 from logonlens.llm import simhash
 from logonlens.llm.queries import QUERIES
@@ -67,6 +68,24 @@ def test_edge_cases(spark, edge_docs, no_docs):
     assert simhash.near_duplicates(no_docs, 3, 2).count() == 0
 
 
+def test_exploded_tables_are_not_broadcast(spark, monkeypatch):
+    """2,000 fingerprints look small to Spark before and after they are made 34 look-ups each."""
+    frames, cut = [], simhash.cut
+    monkeypatch.setattr(simhash, "cut", lambda df, name: frames.append(df) or cut(df, name))
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("some words"), "id").alias("text"))
+    frames.append(simhash.links(docs.select(F.xxhash64("doc_id").alias("fp")), 2))
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in frames]
+    assert len(plans) == 2 and all("SortMergeJoin" in p for p in plans)
+    assert not any(re.search(r"BroadcastHashJoin .*Inner", p) for p in plans)
+
+
+def test_documents_are_not_broadcast(spark):
+    docs = spark.range(500).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("some words"), "id").alias("text"))
+    got = simhash.near_duplicates(docs, 3, 2)
+    assert got.count() == 500
+    assert re.match(r"(?s).*?(\w+Join)", got._jdf.queryExecution().executedPlan().toString())[1] == "SortMergeJoin"
+
+
 def test_segment_balls_cover_every_pair():
     for bits in range(5):
         for segments in (1, 2, 3, 4):
