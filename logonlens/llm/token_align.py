@@ -60,6 +60,9 @@ LINE_UNITS = 64              # words of a line that the libraries get
 TOGETHER_CHARS = 1 << 20     # and their characters, about
 TEXTS_TOGETHER = 256         # texts whose pairs are made distinct at once
 B_BITS = 20                  # bits of a B id in a packed pair
+# A slice has megabytes. Parquet's writer looks at its buffers after the first 100 rows, and its reader takes up to
+# 4,096 rows of a row group at once; a task of a large input has a hundred slices. So each is a row group.
+ROW_GROUPS = {"parquet.block.row.count.limit": "1"}
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -374,7 +377,7 @@ def write_slices(df: DataFrame, a_path: str, b_path: str, id_col: str, text_col:
         del held
         give_back()
 
-    return cut(document_rows(df, id_col, text_col).mapInArrow(work, _SLICE_SQL), "aligned-slices")
+    return cut(document_rows(df, id_col, text_col).mapInArrow(work, _SLICE_SQL), "aligned-slices", options=ROW_GROUPS)
 
 
 def pair_counts(slices: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from llm_data import edge_docs, no_docs, SMALL  # noqa: F401
 from pyspark.sql import functions as F
@@ -162,3 +163,13 @@ def test_words_are_aligned_in_parts(monkeypatch):
         assert max(seen) == min(size, len(records))
         seen.clear()
     assert token_align.Aligned([], cutter).groups == []
+
+
+def test_tasks_hold_one_slice_at_a_time(spark):
+    """Two slices of one task, each as many different words as a slice has: a row group each."""
+    n = token_align.SLICE_DISTINCT
+    text = F.array_join(F.transform(F.sequence(F.col("id") * n, F.col("id") * n + n - 1), lambda x: x.cast("string")), " ")
+    docs = spark.range(2, numPartitions=1).select(F.col("id").alias("doc_id"), text.alias("text"))
+    slices = token_align.write_slices(docs, A, B, "doc_id", "text")
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in slices.inputFiles()]
+    assert [(m.num_rows, m.num_row_groups) for m in files if m.num_rows] == [(2, 2)]
