@@ -80,7 +80,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     placed = mixing.mix(all_rows.select("row.source", "row.doc_id", "row.text", "key"), spread_cols=("text",), keep=("key",))
     placed = placed.select("position", F.col("row.key").alias("k"))
     on = (F.col("key.file") == F.col("k.file")) & (F.col("key.at") == F.col("k.at"))
-    return all_rows.join(placed, on).select("row", "position") \
+    # every row has its place; files may be far smaller than their texts, which a left join never broadcasts
+    return all_rows.join(placed, on, "left").select("row", "position") \
         .repartitionByRange("position").sortWithinPartitions("position").select("row.*")
 
 
@@ -99,7 +100,8 @@ def written_order(docs: DataFrame) -> DataFrame:
         .select("m", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     starts = sizes.withColumn("own", F.coalesce(F.sum("n").over(within), F.lit(0))) \
         .join(many, F.col("many").eqNullSafe(F.col("m"))).select("f", (F.col("first") + F.col("own")).alias("start"))
-    return rows.join(starts, F.col("file.name") == F.col("f.name")).select("row", (F.col("start") + F.col("at")).alias("position"))
+    # every file has its start; the texts are not to be broadcast (see mix_sources)
+    return rows.join(starts, F.col("file.name") == F.col("f.name"), "left").select("row", (F.col("start") + F.col("at")).alias("position"))
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """The pipeline, stage by stage, against plain Python on what the stage before kept."""
 import hashlib
 import pathlib
+import re
 
 import corpus_pipeline as cp
 import public_tokenizers
@@ -27,6 +28,13 @@ def texts(df):
     return {r.doc_id: r.text for r in df.collect()}
 
 
+def test_texts_are_not_broadcast(spark, steps):
+    """Also not where their files are small: of a left join only the other side can be."""
+    for df in (cp.mix_sources(spark, steps[0], SMALL), cp.written_order(steps[3])):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert re.match(r"(?s).*?Join [^\n]*?(Inner|LeftOuter)", plan)[1] == "LeftOuter"
+
+
 def test_columns(steps):
     assert all(f.columns == steps[0].columns and f.dtypes == steps[0].dtypes for f in steps[:-1])
 
